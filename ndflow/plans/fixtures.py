@@ -264,7 +264,7 @@ def _uuid_from(k: F.Column) -> F.Column:
 
 
 def ledger_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """steps(job_id, pos, name, status, started_at, completed_at, files_processed,
+    """steps(job_id, step_id, pos, name, status, started_at, completed_at, files_processed,
     bytes_processed, retry_count, error_type, error_message, http_status)"""
     li = table(spark, sf_dir, "lineitem")
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority")
@@ -287,8 +287,13 @@ def ledger_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
     hs_i = F.col("l_suppkey") % 5
     http = F.when(hs_i == 0, 500).when(hs_i == 1, 503).when(hs_i == 2, 429).when(hs_i == 3, 404).otherwise(400)
     failed = status == "failed"
+    step_id = F.concat_ws("-", *[F.col(c).cast("string") for c in ("l_orderkey", "l_linenumber", "l_partkey",
+                                                                     "l_suppkey")],
+                          F.col("l_quantity").cast("long").cast("string"),
+                          F.round(F.col("l_extendedprice") * 100).cast("long").cast("string"))
     return j.select(
         _uuid_from(F.col("l_orderkey")).alias("job_id"),
+        step_id.alias("step_id"),
         pos.cast("int").alias("pos"),
         name.alias("name"),
         status.alias("status"),
@@ -331,6 +336,8 @@ def ledger_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
 SQL_LEDGER = """
 fx_steps AS (
   SELECT lpad(lower(hex(l_orderkey)), 32, '0') AS _h, l_orderkey,
+         l_orderkey || '-' || l_linenumber || '-' || l_partkey || '-' || l_suppkey || '-' || CAST(l_quantity AS BIGINT)
+           || '-' || CAST(round(l_extendedprice * 100) AS BIGINT) AS step_id,
          CAST(l_linenumber AS INTEGER) AS pos,
          CASE WHEN l_linenumber = 1 THEN
                 CASE WHEN o_orderpriority IN ('2-HIGH', '3-MEDIUM') THEN 'torch'
@@ -344,7 +351,7 @@ fx_steps AS (
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
 ledger_steps AS (
   SELECT substr(_h,1,8) || '-' || substr(_h,9,4) || '-' || substr(_h,13,4) || '-' || substr(_h,17,4) || '-' || substr(_h,21,12) AS job_id,
-         pos, name, status,
+         step_id, pos, name, status,
          CASE WHEN status <> 'pending' THEN l_shipdate END AS started_at,
          CASE WHEN status = 'completed' AND l_returnflag <> 'N' THEN l_shipdate + INTERVAL 1 DAY END AS completed_at,
          CAST(l_quantity AS INTEGER) AS files_processed,

@@ -47,3 +47,23 @@ def grouped_row_number(df: DataFrame, keys: list[str], order_col: str, name: str
     one = df.withColumn("_one", F.lit(1).cast("long"))
     out = grouped_running_sums(one, keys, [order_col], {name: "_one"}, bucket)
     return out.drop("_one")
+
+
+def grouped_forward_fill(df: DataFrame, keys: list[str], order_col: str, cols: list[str],
+                         bucket: Column) -> DataFrame:
+    """``last(c, ignorenulls) OVER (PARTITION BY keys ORDER BY order_col)`` for
+    each column, two-level: the last non-null per (key, bucket) is carried
+    across buckets on the small bucket table, then filled inside buckets."""
+    b = df.withColumn("_bk", bucket)
+    lasts = b.groupBy(*keys, "_bk").agg(*[
+        F.max(F.when(F.col(c).isNotNull(), F.struct(F.col(order_col).alias("o"), F.col(c).alias("v"))))
+        .alias(f"_l_{c}") for c in cols])
+    before = Window.partitionBy(*keys).orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)
+    carried = lasts.select(*keys, "_bk", *[
+        F.last(F.col(f"_l_{c}")["v"], ignorenulls=True).over(before).alias(f"_c_{c}") for c in cols])
+    upto = Window.partitionBy(*keys, "_bk").orderBy(order_col).rowsBetween(Window.unboundedPreceding, 0)
+    inner = b.select(*[x for x in b.columns if x not in cols], *[
+        F.last(F.col(c), ignorenulls=True).over(upto).alias(f"_f_{c}") for c in cols])
+    out = inner.join(carried, [*keys, "_bk"], "inner")
+    return out.select(*[x for x in df.columns if x not in cols],
+                      *[F.coalesce(f"_f_{c}", f"_c_{c}").alias(c) for c in cols])
