@@ -213,13 +213,17 @@ def patient_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def encounter_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Encounters referencing their patient.  Fixed values: orders with
+    o_orderkey mod 97 = 5 reference a patient id shifted by 1,000,000 (a
+    dangling reference)."""
     o = table(spark, sf_dir, "orders")
+    subj = F.when(F.col("o_orderkey") % 97 == 5, F.col("o_custkey") + 1000000).otherwise(F.col("o_custkey"))
     res = F.to_json(F.struct(
         F.col("o_orderkey").cast("string").alias("id"),
         F.date_format("o_orderdate", "yyyy-MM-dd").alias("period"),
         F.lit("Encounter").alias("resourceType"),
         F.col("o_orderstatus").alias("status"),
-        F.struct(F.concat(F.lit("Patient/"), F.col("o_custkey").cast("string")).alias("reference")).alias("subject")))
+        F.struct(F.concat(F.lit("Patient/"), subj.cast("string")).alias("reference")).alias("subject")))
     return o.select(F.col("o_orderkey").alias("src_key"), res.alias("value"))
 
 
@@ -239,7 +243,7 @@ fx_encounter AS (
   SELECT o_orderkey AS src_key, CAST(to_json(struct_pack(
       id := CAST(o_orderkey AS VARCHAR), period := strftime(o_orderdate, '%Y-%m-%d'),
       resourceType := 'Encounter', status := o_orderstatus,
-      subject := struct_pack(reference := 'Patient/' || o_custkey))) AS VARCHAR) AS value
+      subject := struct_pack(reference := 'Patient/' || CASE WHEN o_orderkey % 97 = 5 THEN o_custkey + 1000000 ELSE o_custkey END))) AS VARCHAR) AS value
   FROM orders)"""
 
 

@@ -44,10 +44,12 @@ def check_source(path: str) -> str | None:
     return "directory holds no .ndjson files"
 
 
-def read_ndjson(spark: SparkSession, path: str | list[str], recursive: bool = True) -> DataFrame:
+def read_ndjson(spark: SparkSession, path: str | list[str], recursive: bool = True,
+                glob: str = NDJSON_GLOB) -> DataFrame:
     """Every line of every ``*.ndjson`` file (any letter case) under
-    ``path``, with ``file_path, file_name, file_size, file_mtime, line_no``."""
-    r = spark.read.option("pathGlobFilter", NDJSON_GLOB)
+    ``path``, with ``file_path, file_name, file_size, file_mtime, line_no``.
+    ``glob`` changes the file filter (Spark's own text output is ``*.txt``)."""
+    r = spark.read.option("pathGlobFilter", glob)
     if recursive:
         r = r.option("recursiveFileLookup", "true")
     raw = r.text(path if isinstance(path, str) else list(path))
