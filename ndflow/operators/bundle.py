@@ -85,6 +85,18 @@ def pack_breaks(sizes: Column, threshold: int, overhead: int = BUNDLE_OVERHEAD)
     return F.aggregate(sizes, init, step, lambda acc: acc["br"])
 
 
+def with_entry_sizes(df: DataFrame, escape_html: bool = True) -> DataFrame:
+    """Add ``sizes`` (B1 per entry), ``entry_bytes`` (their sum) and
+    ``max_entry`` unless the frame already carries them (a frame built by
+    grouping entry rows computes them in the same aggregate, codegen'd)."""
+    if {"sizes", "entry_bytes", "max_entry"} <= set(df.columns):
+        return df
+    sizes = entry_sizes(F.col("entries"), escape_html)
+    x = df.select("*", sizes.alias("sizes"))
+    return x.select("*", F.aggregate("sizes", F.lit(0).cast("long"), lambda a, b: a + b).alias("entry_bytes"),
+                    F.array_max("sizes").alias("max_entry"))
+
+
 def split_bundles(df: DataFrame, threshold: int, overhead: int = BUNDLE_OVERHEAD,
                   escape_html: bool = True) -> DataFrame:
     """B5 + P7: one row per bundle with the split plan.
@@ -93,60 +105,62 @@ def split_bundles(df: DataFrame, threshold: int, overhead: int = BUNDLE_OVERHEAD
     error_resource_type, error_resource_id, error_size``.  ``status`` is one of
     ``ok``, ``invalid`` (id or type missing), ``empty`` (no entries),
     ``oversized`` (one entry alone exceeds the budget; reject-table row).
+    The per-entry work (sizes, packing) is array functions on the bundle's
+    own row: narrow, no shuffle.
     """
-    sizes = entry_sizes(F.col("entries"), escape_html)
-    d = df.withColumn("_sizes", sizes).withColumn("original_size", bundle_size(escape_html))
-    split = should_split(F.col("original_size"), threshold)
+    d = with_entry_sizes(df, escape_html)
+    h = _header(F.col("bundle_id"), F.col("bundle_type"), F.col("timestamp"))
+    hs = F.octet_length(h).cast("long") + (escape_growth(h) if escape_html else F.lit(0))
     n = F.size("entries")
-    over_idx = F.filter(F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0))),
-                        lambda i: F.try_element_at(F.col("_sizes"), i + 1) + overhead > threshold)
-    first_over = F.when(n > 0, F.try_element_at(over_idx, F.lit(1)))
-    d = d.withColumn("_over", F.when(split, first_over))
-    over_entry = F.try_parse_json(F.try_element_at("entries", F.col("_over") + 1))
+    size = hs + F.coalesce(F.col("entry_bytes"), F.lit(0)) + F.greatest(n - 1, F.lit(0))
+    d = d.select("*", size.alias("original_size"))
+    split = F.col("original_size") > threshold
+    # the first oversized entry is searched only when the largest one is over
+    over_pos = F.array_position(F.transform("sizes", lambda x: x + overhead > threshold), True)
+    over = F.when(split & (F.col("max_entry") + overhead > threshold), (over_pos - 1).cast("int"))
+    d = d.select("*", over.alias("_over"))
     status = (F.when(F.col("bundle_id").isNull() | F.col("bundle_type").isNull(), "invalid")
               .when(n == 0, "empty")
               .when(F.col("_over").isNotNull(), "oversized")
               .otherwise("ok"))
-    breaks = F.when(status != "ok", F.lit(None)).when(split, pack_breaks(F.col("_sizes"), threshold, overhead)) \
+    d = d.select("*", status.alias("status"))
+    ok = F.col("status") == "ok"
+    breaks = F.when(~ok, F.lit(None)).when(split, pack_breaks(F.col("sizes"), threshold, overhead)) \
         .otherwise(F.array(F.lit(0)))
-    return (d.withColumn("status", status)
-            .withColumn("breaks", breaks)
-            .withColumn("was_split", (F.col("status") == "ok") & split)
-            .withColumn("total_chunks", F.coalesce(F.size("breaks"), F.lit(0)))
-            .withColumn("error_resource_type",
-                        F.when(F.col("status") == "oversized",
-                               F.coalesce(string_field(over_entry, "$.resource.resourceType"), F.lit("Unknown"))))
-            .withColumn("error_resource_id",
-                        F.when(F.col("status") == "oversized",
-                               F.coalesce(string_field(over_entry, "$.resource.id"), F.lit("unknown"))))
-            .withColumn("error_size", F.when(F.col("status") == "oversized",
-                                             F.try_element_at("_sizes", F.col("_over") + 1)))
-            .withColumnRenamed("_sizes", "sizes")
-            .drop("_over"))
+    over_entry = F.try_parse_json(F.try_element_at("entries", F.col("_over") + 1))
+    oversized = F.col("status") == "oversized"
+    d = d.select("*", breaks.alias("breaks"), (ok & split).alias("was_split"),
+                 F.when(oversized, F.coalesce(string_field(over_entry, "$.resource.resourceType"), F.lit("Unknown")))
+                 .alias("error_resource_type"),
+                 F.when(oversized, F.coalesce(string_field(over_entry, "$.resource.id"), F.lit("unknown")))
+                 .alias("error_resource_id"),
+                 F.when(oversized, F.try_element_at("sizes", F.col("_over") + 1)).alias("error_size"))
+    return d.select("*", F.coalesce(F.size("breaks"), F.lit(0)).alias("total_chunks")).drop("_over")
 
 
 def chunk_rows(split: DataFrame, escape_html: bool = True) -> DataFrame:
     """One row per chunk of every ``ok`` bundle.
 
     Adds ``chunk_index, first_index, chunk_id, n_entries, chunk_entries,
-    estimated_size``.
-    ``estimated_size`` follows the reference: it always counts ``timestamp``
-    (zero time when unset) and ``total`` (H11).
+    estimated_size``.  ``estimated_size`` follows the reference: it always
+    counts ``timestamp`` (zero time when unset) and ``total`` (H11).
     """
     ok = split.filter(F.col("status") == "ok")
-    x = ok.select("*", F.posexplode("breaks").alias("chunk_index", "_start"))
+    x = ok.select("*", F.posexplode("breaks").alias("chunk_index", "first_index"))
     nxt = F.try_element_at(F.col("breaks"), F.col("chunk_index") + 2)
     end = F.when(F.col("chunk_index") + 1 < F.col("total_chunks"), nxt).otherwise(F.size("entries"))
-    x = x.withColumn("n_entries", (end - F.col("_start")).cast("int"))
-    x = x.withColumn("chunk_entries", F.slice("entries", F.col("_start") + 1, F.col("n_entries")))
-    x = x.withColumn("_chunk_sizes", F.slice("sizes", F.col("_start") + 1, F.col("n_entries")))
-    x = x.withColumn("chunk_id", F.concat(F.col("bundle_id"), F.lit("-chunk-"), F.col("chunk_index").cast("string")))
+    x = x.select("*", (end - F.col("first_index")).cast("int").alias("n_entries"))
+    start = F.col("first_index") + 1
+    chunk_id = F.concat(F.col("bundle_id"), F.lit("-chunk-"), F.col("chunk_index").cast("string"))
+    x = x.select("*", F.slice("entries", start, F.col("n_entries")).alias("chunk_entries"),
+                 F.aggregate(F.slice("sizes", start, F.col("n_entries")), F.lit(0).cast("long"),
+                             lambda a, b: a + b).alias("_chunk_bytes"),
+                 chunk_id.alias("chunk_id"))
     ts_fmt = F.coalesce(rfc3339_normalized(F.col("timestamp")), F.lit(ZERO_TIME))
     h = _header(F.col("chunk_id"), F.col("bundle_type"), ts_fmt, F.col("n_entries"))
     hs = F.octet_length(h).cast("long") + (escape_growth(h) if escape_html else F.lit(0))
-    est = hs + F.aggregate("_chunk_sizes", F.lit(0).cast("long"), lambda a, s: a + s) + (F.col("n_entries") - 1)
-    return (x.withColumn("estimated_size", est).withColumnRenamed("_start", "first_index")
-            .drop("_chunk_sizes"))
+    est = hs + F.col("_chunk_bytes") + (F.col("n_entries") - 1)
+    return x.select("*", est.alias("estimated_size")).drop("_chunk_bytes")
 
 
 def chunk_document(chunks: DataFrame) -> Column:

@@ -48,13 +48,18 @@ def bundles_from_entries(entries: DataFrame, meta: DataFrame | None = None) -> D
     here is bounded by what one input line already held.  ``meta`` may add
     ``bundle_type``/``timestamp`` per bundle (joined on ``bundle_id``).
     """
-    b = (entries.groupBy("bundle_id")
-         .agg(F.array_sort(F.collect_list(F.struct("pos", "entry"))).alias("_e"))
-         .select("bundle_id", F.transform("_e", lambda x: x["entry"]).alias("entries")))
+    from ndflow.functions.jsonfn import json_size
+    sized = entries.select("bundle_id", "pos", "entry", json_size(F.col("entry")).alias("size"))
+    b = (sized.groupBy("bundle_id")
+         .agg(F.array_sort(F.collect_list(F.struct("pos", "entry", "size"))).alias("_e"),
+              F.sum("size").alias("entry_bytes"), F.max("size").alias("max_entry"))
+         .select("bundle_id", F.col("_e.entry").alias("entries"), F.col("_e.size").alias("sizes"),
+                 "entry_bytes", "max_entry"))
+    cols = ["bundle_id", "bundle_type", "timestamp", "entries", "sizes", "entry_bytes", "max_entry"]
     if meta is None:
         return b.select("bundle_id", F.lit("collection").alias("bundle_type"),
-                        F.lit(None).cast("string").alias("timestamp"), "entries")
-    return b.join(meta, "bundle_id", "inner").select("bundle_id", "bundle_type", "timestamp", "entries")
+                        F.lit(None).cast("string").alias("timestamp"), *cols[3:])
+    return b.join(meta, "bundle_id", "inner").select(*cols)
 
 
 def conversation_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -262,9 +267,9 @@ ERROR_HTTP = [500, 503, 429, 404, 400]
 
 
 def _uuid_from(k: F.Column) -> F.Column:
-    h = F.lpad(F.lower(F.hex(k.cast("long"))), 32, "0")
-    return F.concat_ws("-", F.substring(h, 1, 8), F.substring(h, 9, 4), F.substring(h, 13, 4),
-                       F.substring(h, 17, 4), F.substring(h, 21, 12))
+    """UUID-shaped job id from a non-negative 64-bit key."""
+    return F.format_string("00000000-0000-0000-%04x-%012x", F.shiftright(k.cast("long"), 48),
+                           k.cast("long").bitwiseAND(F.lit(0xFFFFFFFFFFFF)))
 
 
 def ledger_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -339,7 +344,7 @@ def ledger_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 SQL_LEDGER = """
 fx_steps AS (
-  SELECT lpad(lower(hex(l_orderkey)), 32, '0') AS _h, l_orderkey,
+  SELECT l_orderkey,
          l_orderkey || '-' || l_linenumber || '-' || l_partkey || '-' || l_suppkey || '-' || CAST(l_quantity AS BIGINT)
            || '-' || CAST(round(l_extendedprice * 100) AS BIGINT) AS step_id,
          CAST(l_linenumber AS INTEGER) AS pos,
@@ -354,7 +359,7 @@ fx_steps AS (
          l_shipdate, l_returnflag, l_quantity, l_discount, l_partkey, l_suppkey
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
 ledger_steps AS (
-  SELECT substr(_h,1,8) || '-' || substr(_h,9,4) || '-' || substr(_h,13,4) || '-' || substr(_h,17,4) || '-' || substr(_h,21,12) AS job_id,
+  SELECT printf('00000000-0000-0000-%04x-%012x', l_orderkey >> 48, l_orderkey & 281474976710655) AS job_id,
          step_id, pos, name, status,
          CASE WHEN status <> 'pending' THEN l_shipdate END AS started_at,
          CASE WHEN status = 'completed' AND l_returnflag <> 'N' THEN l_shipdate + INTERVAL 1 DAY END AS completed_at,
@@ -369,9 +374,9 @@ ledger_steps AS (
          CASE WHEN status = 'failed' THEN
               CASE l_suppkey % 5 WHEN 0 THEN 500 WHEN 1 THEN 503 WHEN 2 THEN 429 WHEN 3 THEN 404 ELSE 400 END END AS http_status
   FROM fx_steps),
-fx_jobs AS (SELECT lpad(lower(hex(o_orderkey)), 32, '0') AS _h, * FROM orders),
+fx_jobs AS (SELECT * FROM orders),
 ledger_jobs AS (
-  SELECT substr(_h,1,8) || '-' || substr(_h,9,4) || '-' || substr(_h,13,4) || '-' || substr(_h,17,4) || '-' || substr(_h,21,12) AS job_id,
+  SELECT printf('00000000-0000-0000-%04x-%012x', o_orderkey >> 48, o_orderkey & 281474976710655) AS job_id,
          o_orderdate AS created_at,
          CASE o_orderpriority WHEN '1-URGENT' THEN 'https://data.example.org/export/' || o_orderkey || '.ndjson'
               WHEN '2-HIGH' THEN 'https://torch.example.org/fhir/extraction/' || o_orderkey

@@ -19,7 +19,7 @@ import os
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ndflow.functions.jsonfn import parse_status, string_field, variant_type
+from ndflow.functions.jsonfn import strict_parse, string_field, variant_type
 
 # Case-insensitive match of the record file extension.
 NDJSON_GLOB = "*.[nN][dD][jJ][sS][oO][nN]"
@@ -84,25 +84,27 @@ def parse_lines(lines: DataFrame, value_col: str = "value") -> DataFrame:
     ``status``: ``blank`` (empty line, skipped), ``invalid_json``,
     ``not_object``, ``missing_resource_type``, ``bad_resource_type``,
     ``bad_id`` or ``ok``.  ``resource_type`` is set only when it is a string;
-    ``resource_id`` is ``''`` when absent (P2).
+    ``resource_id`` is ``''`` when absent (P2).  Each line is parsed once.
     """
+    doc, st = strict_parse(F.col(value_col))
+    x = lines.select("*", doc.alias("_v"), st.alias("_st"))
     v = F.col("_v")
-    x = lines.withColumn("_v", F.try_parse_json(F.col(value_col)))
-    st = parse_status(F.col(value_col))
     rt_t = variant_type(v, "$.resourceType")
     id_t = variant_type(v, "$.id")
-    status = (F.when(st != "ok", st)
+    ok_obj = F.col("_st") == "ok"
+    status = (F.when(~ok_obj, F.col("_st"))
               .when(rt_t.isNull(), "missing_resource_type")
               .when(rt_t != "STRING", "bad_resource_type")
               .when(id_t.isNotNull() & (id_t != "STRING"), "bad_id")
               .otherwise("ok"))
-    return (x.withColumn("status", status)
-            .withColumn("resource_type", string_field(v, "$.resourceType"))
-            .withColumn("parsed", F.col("status").isin("ok", "missing_resource_type", "bad_resource_type", "bad_id"))
-            .withColumn("resource_id", F.when(F.col("parsed"), F.when(id_t.isNull(), F.lit(""))
-                                              .otherwise(string_field(v, "$.id"))))
-            .withColumn("blank_trimmed", is_blank_trimmed(F.col(value_col)))
-            .drop("_v"))
+    parsed = status.isin("ok", "missing_resource_type", "bad_resource_type", "bad_id")
+    y = x.select(*lines.columns, "_v", status.alias("status"),
+                 F.when(ok_obj, string_field(v, "$.resourceType")).alias("resource_type"),
+                 parsed.alias("parsed"),
+                 F.when(ok_obj, F.when(id_t.isNull(), F.lit("")).otherwise(string_field(v, "$.id"))).alias("_rid"),
+                 is_blank_trimmed(F.col(value_col)).alias("blank_trimmed"))
+    return y.select(*lines.columns, "status", "resource_type", "parsed",
+                    F.when(F.col("parsed"), F.col("_rid")).alias("resource_id"), "blank_trimmed")
 
 
 # Error text per line status (what the reference reports).
