@@ -56,7 +56,7 @@ def read_ndjson(spark: SparkSession, path: str | list[str], recursive: bool = Tr
     x = raw.select(
         "value",
         F.col("_metadata.file_path").alias("file_path"),
-        F.col("_metadata.file_name").alias("file_name"),
+        _decode_name(F.col("_metadata.file_name")).alias("file_name"),
         F.col("_metadata.file_size").alias("file_size"),
         F.col("_metadata.file_modification_time").alias("file_mtime"),
         F.col("_metadata.file_block_start").alias("_blk"),
@@ -64,6 +64,12 @@ def read_ndjson(spark: SparkSession, path: str | list[str], recursive: bool = Tr
     return number_lines_by_split(x)
 
 
+def _decode_name(name: Column) -> Column:
+    """``_metadata`` names are URI-encoded (``%20``, ``%23``); decode them,
+    keeping a literal ``+`` (form decoding would turn it into a space)."""
+    return F.url_decode(F.replace(name, F.lit("+"), F.lit("%2B")))
+
+
 def number_lines_by_split(x: DataFrame) -> DataFrame:
     """Line numbers from (file_path, _blk, _mid) as produced by the scan."""
     splits = x.groupBy("file_path", "_blk").agg(F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_m0"))
