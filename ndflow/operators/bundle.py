@@ -184,7 +184,8 @@ def reassemble(chunks: DataFrame, keep_columns: tuple[str, ...] = ()) -> DataFra
     per_chunk = chunks.select(
         "bundle_id", "bundle_type", "timestamp", "chunk_index", "n_entries", *keep_columns,
         F.array_join("chunk_entries", ",").alias("_joined"))
-    g = (per_chunk.groupBy("bundle_id")
+    from ndflow.plans.seq import by_key
+    g = (by_key(per_chunk, "bundle_id").groupBy("bundle_id")
          .agg(F.first("bundle_type").alias("bundle_type"), F.first("timestamp").alias("timestamp"),
               *[F.first(c).alias(c) for c in keep_columns],
               F.array_sort(F.collect_list(F.struct("chunk_index", "_joined"))).alias("_parts"),

@@ -412,7 +412,8 @@ def _result_docs(spark, sf_dir):
     url = (F.when(m == 0, F.concat(F.lit("/fhir/result/"), tail))
            .when(m == 1, F.concat(F.lit("http://torch:8080/fhir/result/"), tail))
            .otherwise(F.concat(F.lit("https://data.example.org/result/"), tail)))
-    items = li.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(
+    from ndflow.plans.seq import by_key
+    items = by_key(li, "l_orderkey").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(
         F.array_sort(F.collect_list(F.struct("l_linenumber", url.alias("url")))).alias("_u"))
     d = o.join(items, "o_orderkey", "left").select("o_orderkey", F.coalesce(
         F.transform("_u", lambda x: x["url"]), F.array().cast("array<string>")).alias("urls"))

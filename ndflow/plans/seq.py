@@ -67,3 +67,11 @@ def grouped_forward_fill(df: DataFrame, keys: list[str], order_col: str, cols: l
     out = inner.join(carried, [*keys, "_bk"], "inner")
     return out.select(*[x for x in df.columns if x not in cols],
                       *[F.coalesce(f"_f_{c}", f"_c_{c}").alias(c) for c in cols])
+
+
+def by_key(df: DataFrame, *keys: str) -> DataFrame:
+    """Hash-partition on the grouping key before a list-building aggregate
+    (``collect_list``).  Such aggregates do not shrink data map-side, so
+    shuffling the raw rows and aggregating once is cheaper than shuffling
+    serialized partial lists; the shuffle volume is the same."""
+    return df.repartition(*keys)

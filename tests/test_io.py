@@ -76,3 +76,19 @@ def test_fetch_retries_transient_then_fails_fast(spark, tmp_dir):
     assert (got["flaky"].status, got["flaky"].attempts) == ("ok", 2)
     assert (got["missing"].status, got["missing"].attempts, got["missing"].http_status) == ("failed", 1, 404)
     assert not os.path.exists(tmp_dir + "/dl/c.ndjson")
+
+
+def test_run_flow_writes_every_sink(spark, tmp_dir):
+    from ndflow.plans.flow import run_flow
+    vals = ['{"id":"1","resourceType":"Note","source":"s","text":"hello"}', "", "{bad",
+            '{"id":"2","resourceType":"Note","source":"s","text":"' + "x" * 500 + '"}']
+    lines = spark.createDataFrame([("f.ndjson", i + 1, v) for i, v in enumerate(vals)],
+                                  "file_name string, line_no long, value string")
+    paths = run_flow(lines, "k", 300, tmp_dir + "/out")
+    docs = [json.loads(r.value) for r in spark.read.text(paths["ndjson"]).collect()]
+    assert len(docs) == 1 and docs[0]["id"] != "1" and docs[0]["meta"]["security"][0]["code"] == "REDACTED"
+    assert spark.read.parquet(paths["rejects"]).count() == 1
+    assert spark.read.parquet(paths["oversized"]).count() == 1
+    assert spark.read.option("header", True).csv(paths["csv"]).count() == 1
+    assert spark.read.parquet(paths["parquet"]).select("resource_type").collect()[0][0] == "Note"
+    assert os.listdir(paths["ndjson"]) and any(n.startswith("output_file=dimped_f.ndjson") for n in os.listdir(paths["ndjson"]))
