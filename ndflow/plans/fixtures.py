@@ -269,8 +269,9 @@ ERROR_HTTP = [500, 503, 429, 404, 400]
 
 def _uuid_from(k: F.Column) -> F.Column:
     """UUID-shaped job id from a non-negative 64-bit key."""
-    return F.format_string("00000000-0000-0000-%04x-%012x", F.shiftright(k.cast("long"), 48),
-                           k.cast("long").bitwiseAND(F.lit(0xFFFFFFFFFFFF)))
+    k = k.cast("long")
+    return F.concat(F.lit("00000000-0000-0000-"), F.lpad(F.lower(F.hex(F.shiftright(k, 48))), 4, "0"), F.lit("-"),
+                    F.lpad(F.lower(F.hex(k.bitwiseAND(F.lit(0xFFFFFFFFFFFF)))), 12, "0"))
 
 
 def ledger_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
