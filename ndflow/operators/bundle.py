@@ -240,15 +240,21 @@ def oversized_resources(res: DataFrame, threshold: int, escape_html: bool = True
 BUNDLE_LINE_SCHEMA = "resourceType string, id string, type string, timestamp string, entry array<string>"
 
 
-def bundles_from_lines(lines: DataFrame, value_col: str = "value") -> DataFrame:
+def bundles_from_lines(lines: DataFrame, value_col: str = "value", canonicalize: bool = True) -> DataFrame:
     """Parse Bundle lines into a bundle frame (P7 fields checked by
     ``bundle_structure``).  ``from_json`` keeps each entry's JSON text and
-    handles lines beyond the VARIANT size limit."""
+    handles lines beyond the VARIANT size limit; with ``canonicalize`` each
+    entry is re-serialised compact with sorted keys (what the reference
+    measures), one entry at a time."""
     p = F.from_json(F.col(value_col), BUNDLE_LINE_SCHEMA)
-    return lines.select("*", p.alias("_b")).select(
+    x = lines.select("*", p.alias("_b"))
+    entries = F.col("_b.entry")
+    if canonicalize:
+        entries = F.transform(entries, lambda e: F.coalesce(F.to_json(F.try_parse_json(e)), e))
+    return x.select(
         *lines.columns,
         F.col("_b.id").alias("bundle_id"), F.col("_b.type").alias("bundle_type"),
-        F.col("_b.timestamp").alias("timestamp"), F.col("_b.entry").alias("entries"))
+        F.col("_b.timestamp").alias("timestamp"), entries.alias("entries"))
 
 
 def bundle_structure(value: Column) -> Column:

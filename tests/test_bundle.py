@@ -114,3 +114,22 @@ def test_bundle_structure_rules(spark):
     assert got[0] is None
     assert got[1].startswith("bundle.id") and got[2].startswith("bundle.type")
     assert got[3] == "bundle.entry must be an array" and got[4] == "bundle.entry[i] must be an object"
+
+
+def test_large_bundle_packs_linearly(spark):
+    import time
+    entries = [entry(i, pad=(i * 13) % 90) for i in range(50_000)]
+    df = frame(spark, [("big", "collection", None, entries)])
+    t0 = time.time()
+    ch = B.chunk_rows(B.split_bundles(df, 1500)).select("chunk_index", "first_index", "n_entries").collect()
+    assert time.time() - t0 < 120
+    want = greedy([len(e.encode()) for e in entries], 1500)
+    got = sorted((r.chunk_index, r.first_index, r.n_entries) for r in ch)
+    assert [(i, c[0], len(c)) for i, c in enumerate(want)] == got
+
+
+def test_bundle_lines_are_canonicalised(spark):
+    line = '{"resourceType":"Bundle","id":"b","type":"collection","entry":[{ "resource": {"resourceType":"X", "id":"1"}, "fullUrl":"u"}]}'
+    df = spark.createDataFrame([(line,)], "value string")
+    b = B.bundles_from_lines(df).collect()[0]
+    assert b.entries == ['{"fullUrl":"u","resource":{"id":"1","resourceType":"X"}}']
