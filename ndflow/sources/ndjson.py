@@ -140,24 +140,41 @@ def quarantine(parsed: DataFrame) -> DataFrame:
                       status_message(F.col("status")).alias("error"), "value")
 
 
-def file_counts(parsed: DataFrame) -> DataFrame:
-    """A1 + failfast stop point per file.
+def file_counts(parsed: DataFrame, bucket: Column | None = None) -> DataFrame:
+    """A1 + failfast stop point per file, in one pass over the lines.
 
     ``n_parsed``: lines that parse as JSON objects; ``n_nonblank``: lines
     not blank after trimming; ``first_error_line``: where a failfast read
     stops; ``n_parsed_before_error``: the reference's per-file count.
+
+    Lines are cut into (file, bucket) slices (default: 2^20 line numbers); a
+    running "error seen" flag inside each slice gives the parsed lines before
+    the slice's first error; a small per-slice table then combines: slices
+    before the file's first error count fully, the slice holding it counts up
+    to it, later slices not at all.
     """
+    from ndflow.plans.seq import ID_BUCKET
+    bk = bucket if bucket is not None else F.floor(F.col("line_no") / F.lit(ID_BUCKET))
     err = ~F.col("parsed") & (F.col("status") != "blank")
-    g = parsed.groupBy("file_name").agg(
+    x = parsed.select("file_name", "line_no", "parsed", "status", "blank_trimmed", bk.alias("_bk"),
+                      err.alias("_err"))
+    upto = Window.partitionBy("file_name", "_bk").orderBy("line_no").rowsBetween(Window.unboundedPreceding, 0)
+    x = x.select("*", F.max(F.col("_err").cast("int")).over(upto).alias("_seen"))
+    per = x.groupBy("file_name", "_bk").agg(
         F.count(F.lit(1)).alias("n_lines"),
         F.count_if(~F.col("blank_trimmed")).alias("n_nonblank"),
         F.count_if(F.col("parsed")).alias("n_parsed"),
-        F.min(F.when(err, F.col("line_no"))).alias("first_error_line"),
+        F.min(F.when(F.col("_err"), F.col("line_no"))).alias("_e"),
+        F.count_if(F.col("parsed") & (F.col("_seen") == 0)).alias("_before"),
         F.count_if(F.col("status") == "ok").alias("n_valid"))
-    before = parsed.join(g.select("file_name", "first_error_line"), "file_name").groupBy("file_name").agg(
-        F.count_if(F.col("parsed") & (F.col("first_error_line").isNull() | (F.col("line_no") < F.col("first_error_line"))))
-        .alias("n_parsed_before_error"))
-    return g.join(before, "file_name")
+    first_bk = F.min(F.when(F.col("_e").isNotNull(), F.col("_bk"))).over(Window.partitionBy("file_name"))
+    per = per.select("*", first_bk.alias("_ebk"))
+    contrib = (F.when(F.col("_ebk").isNull() | (F.col("_bk") < F.col("_ebk")), F.col("n_parsed"))
+               .when(F.col("_bk") == F.col("_ebk"), F.col("_before")).otherwise(F.lit(0)))
+    return per.groupBy("file_name").agg(
+        F.sum("n_lines").alias("n_lines"), F.sum("n_nonblank").alias("n_nonblank"),
+        F.sum("n_parsed").alias("n_parsed"), F.min("_e").alias("first_error_line"),
+        F.sum("n_valid").alias("n_valid"), F.sum(contrib).alias("n_parsed_before_error"))
 
 
 def name_to_type(file_name: Column) -> Column:
