@@ -474,12 +474,15 @@ def q_fetch_urls(spark, sf_dir):
     doc = F.to_json(F.struct(F.col("html").alias("html"), F.col("page_id").cast("string").alias("id"),
                              F.lit("DocumentReference").alias("resourceType"), F.col("url").alias("url")))
     p.select(doc.alias("value"), host_of(F.col("url")).alias("host")).write.partitionBy("host").text(src)
-    files = (spark.read.text(src).select(F.col("_metadata.file_path").alias("path")).distinct()
+    # list the files without reading them (binaryFile prunes the content column)
+    listing = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+               .option("pathGlobFilter", "*.txt").load(src).select("path"))
+    files = (listing
              .select(F.concat(F.lit("file://"), F.regexp_replace("path", "^file:", "")).alias("url"),
                      F.regexp_extract("path", "host=([^/]+)/", 1).alias("host"),
                      F.concat(F.regexp_extract("path", "host=([^/]+)/", 1), F.lit("-"),
                               F.regexp_extract("path", "([^/]+)$", 1)).alias("file_name")))
-    got = fetch(files.repartition(8), _scratch(spark, "fetch-dst"))
+    got = fetch(files.repartition(spark.sparkContext.defaultParallelism), _scratch(spark, "fetch-dst"))
     m = got.join(files.select("url", "host"), "url")
     return m.groupBy("host").agg(F.sum("line_count").alias("line_count"), F.first("status").alias("status"))
 
