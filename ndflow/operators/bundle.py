@@ -188,13 +188,13 @@ def reassemble(chunks: DataFrame, keep_columns: tuple[str, ...] = ()) -> DataFra
     g = (by_key(per_chunk, "bundle_id").groupBy("bundle_id")
          .agg(F.first("bundle_type").alias("bundle_type"), F.first("timestamp").alias("timestamp"),
               *[F.first(c).alias(c) for c in keep_columns],
-              F.array_sort(F.collect_list(F.struct("chunk_index", "_joined"))).alias("_parts"),
+              F.sort_array(F.collect_list(F.struct("chunk_index", "_joined"))).alias("_parts"),
               F.sum("n_entries").cast("int").alias("entry_count"),
               F.count(F.lit(1)).cast("int").alias("n_chunks")))
     ts = rfc3339_normalized(F.col("timestamp"))
     total = F.when(F.col("bundle_type").isin(*TOTAL_TYPES), F.col("entry_count"))
     h = _header(F.col("bundle_id"), F.col("bundle_type"), ts, total)
-    joined = F.array_join(F.transform("_parts", lambda p: p["_joined"]), ",")
+    joined = F.array_join(F.col("_parts._joined"), ",")
     return g.select("bundle_id", "bundle_type", *keep_columns, "entry_count",
                     (F.col("n_chunks") > 1).alias("was_reassembled"),
                     _splice(h, joined).alias("document"))

@@ -98,8 +98,8 @@ def job_status(jobs: DataFrame, steps: DataFrame) -> DataFrame:
     most the number of step kinds, so the ordered list is small."""
     lines = steps.select("job_id", "pos", "step_id", step_line(steps).alias("line"))
     g = by_key(lines, "job_id").groupBy("job_id").agg(
-        F.array_sort(F.collect_list(F.struct("pos", "step_id", "line"))).alias("_l"))
-    g = g.select("job_id", F.array_join(F.transform("_l", lambda x: x["line"]), "\n").alias("steps_text"))
+        F.sort_array(F.collect_list(F.struct("pos", "step_id", "line"))).alias("_l"))
+    g = g.select("job_id", F.array_join(F.col("_l.line"), "\n").alias("steps_text"))
     s = step_summary(steps).select("job_id", "current_step")
     return (jobs.join(s, "job_id", "left").join(g, "job_id", "left")
             .select("job_id", F.concat(

@@ -34,7 +34,7 @@ def lookback(samples: DataFrame, k: int, cols: list[str]) -> DataFrame:
     x = samples.select("run_id", "n", *cols, F.explode(F.sequence(F.lit(0), F.lit(k - 1))).alias("_d"))
     x = x.select("run_id", (F.col("n") + F.col("_d")).alias("_target"), F.struct("n", *cols).alias("_s"))
     g = by_key(x, "run_id", "_target").groupBy("run_id", "_target").agg(
-        F.array_sort(F.collect_list("_s")).alias("prev"))
+        F.sort_array(F.collect_list("_s")).alias("prev"))
     # keep only targets that are real samples (their own copy is the last)
     g = g.filter(F.element_at("prev", -1)["n"] == F.col("_target"))
     return g.select("run_id", F.col("_target").alias("n"), "prev")

@@ -52,7 +52,7 @@ def bundles_from_entries(entries: DataFrame, meta: DataFrame | None = None) -> D
     sized = entries.select("bundle_id", "pos", "entry", json_size(F.col("entry")).alias("size"))
     from ndflow.plans.seq import by_key
     b = (by_key(sized, "bundle_id").groupBy("bundle_id")
-         .agg(F.array_sort(F.collect_list(F.struct("pos", "entry", "size"))).alias("_e"),
+         .agg(F.sort_array(F.collect_list(F.struct("pos", "entry", "size"))).alias("_e"),
               F.sum("size").alias("entry_bytes"), F.max("size").alias("max_entry"))
          .select("bundle_id", F.col("_e.entry").alias("entries"), F.col("_e.size").alias("sizes"),
                  "entry_bytes", "max_entry"))

@@ -414,9 +414,9 @@ def _result_docs(spark, sf_dir):
            .otherwise(F.concat(F.lit("https://data.example.org/result/"), tail)))
     from ndflow.plans.seq import by_key
     items = by_key(li, "l_orderkey").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(
-        F.array_sort(F.collect_list(F.struct("l_linenumber", url.alias("url")))).alias("_u"))
+        F.sort_array(F.collect_list(F.struct("l_linenumber", url.alias("url")))).alias("_u"))
     d = o.join(items, "o_orderkey", "left").select("o_orderkey", F.coalesce(
-        F.transform("_u", lambda x: x["url"]), F.array().cast("array<string>")).alias("urls"))
+        F.col("_u.url"), F.array().cast("array<string>")).alias("urls"))
     k = F.col("o_orderkey")
     d1 = F.to_json(F.struct(F.transform("urls", lambda u: F.struct(
         F.lit("output").alias("name"),
