@@ -45,10 +45,12 @@ def check_source(path: str) -> str | None:
 
 
 def read_ndjson(spark: SparkSession, path: str | list[str], recursive: bool = True,
-                glob: str = NDJSON_GLOB) -> DataFrame:
+                glob: str = NDJSON_GLOB, broadcast_limit_bytes: int = 64 << 20) -> DataFrame:
     """Every line of every ``*.ndjson`` file (any letter case) under
     ``path``, with ``file_path, file_name, file_size, file_mtime, line_no``.
-    ``glob`` changes the file filter (Spark's own text output is ``*.txt``)."""
+    ``glob`` changes the file filter (Spark's own text output is ``*.txt``).
+    ``broadcast_limit_bytes`` bounds the split-offset table that is
+    broadcast (see ``number_lines_by_split``)."""
     r = spark.read.option("pathGlobFilter", glob)
     if recursive:
         r = r.option("recursiveFileLookup", "true")
@@ -61,7 +63,23 @@ def read_ndjson(spark: SparkSession, path: str | list[str], recursive: bool = Tr
         F.col("_metadata.file_modification_time").alias("file_mtime"),
         F.col("_metadata.file_block_start").alias("_blk"),
         F.monotonically_increasing_id().alias("_mid"))
-    return number_lines_by_split(x)
+    bound = split_count_bound(spark, raw)
+    return number_lines_by_split(x, broadcast=bound * SPLIT_ROW_BYTES <= broadcast_limit_bytes)
+
+
+# Bytes one split-offset row takes in a broadcast relation (path + 3 longs),
+# a generous estimate.
+SPLIT_ROW_BYTES = 512
+
+
+def split_count_bound(spark: SparkSession, raw: DataFrame) -> int:
+    """Upper bound of the number of file splits of a scan, from the file
+    listing Spark already holds: files + total bytes / split size."""
+    files = len(raw.inputFiles())
+    size = int(str(raw._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    split = int(spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(
+        spark.conf.get("spark.sql.files.maxPartitionBytes", "128m")))
+    return files + size // max(split, 1) + 1
 
 
 def _decode_name(name: Column) -> Column:
@@ -70,12 +88,16 @@ def _decode_name(name: Column) -> Column:
     return F.url_decode(F.replace(name, F.lit("+"), F.lit("%2B")))
 
 
-def number_lines_by_split(x: DataFrame) -> DataFrame:
-    """Line numbers from (file_path, _blk, _mid) as produced by the scan."""
+def number_lines_by_split(x: DataFrame, broadcast: bool = False) -> DataFrame:
+    """Line numbers from (file_path, _blk, _mid) as produced by the scan.
+
+    The split table (one row per split) is joined back to the lines.  When
+    its size is bounded (``broadcast``), it is broadcast so the lines are
+    never shuffled; otherwise the join shuffles (correct, slower)."""
     splits = x.groupBy("file_path", "_blk").agg(F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_m0"))
     before = Window.partitionBy("file_path").orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
     offs = splits.select("file_path", "_blk", "_m0", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-    out = x.join(offs, ["file_path", "_blk"], "inner")
+    out = x.join(F.broadcast(offs) if broadcast else offs, ["file_path", "_blk"], "inner")
     return out.select(*[c for c in x.columns if not c.startswith("_")],
                       (F.col("_off") + F.col("_mid") - F.col("_m0") + 1).cast("long").alias("line_no"))
 

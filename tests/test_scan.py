@@ -75,3 +75,17 @@ def test_name_to_type(spark):
     df = spark.createDataFrame([(n,) for n in names], "n string")
     got = [r[0] for r in df.select(N.name_to_type(F.col("n"))).collect()]
     assert got == ["Patient", "Observation", "Unknown", "Encounter", "Unknown"]
+
+
+def test_line_numbers_without_broadcast_match(spark, tmp_dir):
+    lines = [json.dumps({"resourceType": "P", "id": str(i)}) for i in range(3000)]
+    write(f"{tmp_dir}/a.ndjson", lines)
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8192")
+    try:
+        a = {(r.line_no, r.value) for r in N.read_ndjson(spark, tmp_dir).collect()}
+        b = {(r.line_no, r.value) for r in N.read_ndjson(spark, tmp_dir, broadcast_limit_bytes=0).collect()}
+        plan = N.read_ndjson(spark, tmp_dir)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert a == b and len(a) == 3000 and "Broadcast" in plan
