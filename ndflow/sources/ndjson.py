@@ -14,7 +14,6 @@ split offset plus its index inside the split.
 
 from __future__ import annotations
 
-import os
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -26,20 +25,27 @@ NDJSON_GLOB = "*.[nN][dD][jJ][sS][oO][nN]"
 WHITESPACE = " \t\r\n"
 
 
-def check_source(path: str) -> str | None:
-    """Why a local path cannot be imported, or None when it can.
+def check_source(spark: SparkSession, path: str) -> str | None:
+    """Why a path cannot be imported, or None when it can.
 
-    Driver-side argument check on one path (no data is read)."""
-    if not os.path.exists(path):
+    Uses the Hadoop file system of the path (local, HDFS, object stores) and
+    a lazy recursive listing that stops at the first ``.ndjson`` file, so a
+    directory with millions of files is not listed in full on the driver."""
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(hpath):
         return f"source does not exist: {path}"
-    if not os.path.isdir(path):
-        if path.lower().endswith((".crtdl", ".json")):
+    if not fs.getFileStatus(hpath).isDirectory():
+        low = path.lower()
+        if low.endswith((".crtdl", ".json")):
             return "source is a file; cohort query files are submitted, not imported"
-        if path.lower().endswith(".ndjson"):
+        if low.endswith(".ndjson"):
             return "source is a single file; give the directory that holds it"
         return "source must be a directory"
-    for _root, _dirs, files in os.walk(path):
-        if any(f.lower().endswith(".ndjson") for f in files):
+    files = fs.listFiles(hpath, True)
+    while files.hasNext():
+        if files.next().getPath().getName().lower().endswith(".ndjson"):
             return None
     return "directory holds no .ndjson files"
 

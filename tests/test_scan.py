@@ -22,12 +22,12 @@ def test_recursive_case_insensitive_discovery(spark, tmp_dir):
     assert sorted(r.file_name for r in df.collect()) == ["Obs #2.NDJSON", "Patient_1.ndjson"]
 
 
-def test_check_source(tmp_dir):
-    assert N.check_source(tmp_dir) == "directory holds no .ndjson files"
-    assert N.check_source(tmp_dir + "/missing").startswith("source does not exist")
-    write(f"{tmp_dir}/x/a.ndjson", ["{}"])
-    assert N.check_source(tmp_dir) is None
-    assert "single file" in N.check_source(f"{tmp_dir}/x/a.ndjson")
+def test_check_source(spark, tmp_dir):
+    assert N.check_source(spark, tmp_dir) == "directory holds no .ndjson files"
+    assert N.check_source(spark, tmp_dir + "/missing").startswith("source does not exist")
+    write(f"{tmp_dir}/x/a.NDJSON", ["{}"])
+    assert N.check_source(spark, tmp_dir) is None
+    assert "single file" in N.check_source(spark, f"{tmp_dir}/x/a.NDJSON")
 
 
 def test_line_numbers_across_many_splits(spark, tmp_dir):
