@@ -73,3 +73,23 @@ def run_flow(lines: DataFrame, secret: str, threshold: int, out_dir: str) -> dic
     write_csv(flat, paths["csv"])
     write_parquet(flat, paths["parquet"], partition_by=["resource_type"])
     return paths
+
+
+def import_directory(spark, src: str, dest: str, source_step: str = "local_import") -> DataFrame:
+    """Check the source (S5), scan every ``*.ndjson`` under it (S1/S3),
+    land the lines unchanged in ``dest`` (one folder per input file, via the
+    committer), and return one manifest row per file (file size from the
+    file system, non-blank line count, type from the name)."""
+    from ndflow.sources.ndjson import check_source, is_blank_trimmed, name_to_type, read_ndjson
+
+    err = check_source(spark, src)
+    if err:
+        raise ValueError(err)
+    lines = read_ndjson(spark, src)
+    lines.select("value", "file_name").write.mode("overwrite").partitionBy("file_name").text(dest)
+    return (lines.groupBy("file_name").agg(
+        F.first("file_size").alias("file_size"),
+        F.count_if(~is_blank_trimmed(F.col("value"))).cast("int").alias("line_count"))
+        .select("file_name", F.concat(F.lit(source_step + "/"), F.col("file_name")).alias("file_path"),
+                name_to_type(F.col("file_name")).alias("resource_type"), "file_size",
+                F.lit(source_step).alias("source_step"), "line_count"))

@@ -92,3 +92,22 @@ def test_run_flow_writes_every_sink(spark, tmp_dir):
     assert spark.read.option("header", True).csv(paths["csv"]).count() == 1
     assert spark.read.parquet(paths["parquet"]).select("resource_type").collect()[0][0] == "Note"
     assert os.listdir(paths["ndjson"]) and any(n.startswith("output_file=dimped_f.ndjson") for n in os.listdir(paths["ndjson"]))
+
+
+def test_import_directory(spark, tmp_dir):
+    from ndflow.plans.flow import import_directory
+    os.makedirs(tmp_dir + "/in/sub")
+    with open(tmp_dir + "/in/Patient_a.ndjson", "w") as f:
+        f.write('{"resourceType":"Patient"}\n\n{"resourceType":"Patient"}\n')
+    with open(tmp_dir + "/in/sub/Observation.NDJSON", "w") as f:
+        f.write('{"resourceType":"Observation"}\n')
+    m = {r.file_name: r for r in import_directory(spark, tmp_dir + "/in", tmp_dir + "/out").collect()}
+    assert m["Patient_a.ndjson"].line_count == 2 and m["Patient_a.ndjson"].resource_type == "Patient"
+    assert m["Patient_a.ndjson"].file_size == os.path.getsize(tmp_dir + "/in/Patient_a.ndjson")
+    assert m["Observation.NDJSON"].line_count == 1
+    assert spark.read.text(tmp_dir + "/out").count() == 4
+    try:
+        import_directory(spark, tmp_dir + "/out", tmp_dir + "/out2")
+        assert False
+    except ValueError as e:
+        assert "no .ndjson" in str(e)
