@@ -152,9 +152,11 @@ def _doc_resource(include_type=True, numeric_type=False) -> F.Column:
     return F.to_json(F.struct(*fields))
 
 
-def document_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+def document_lines(spark: SparkSession, sf_dir: str, numbered: bool = True) -> DataFrame:
     """(file_name, line_no, value, doc_id): one NDJSON line per document; the
-    file is the document's source and lines follow doc_id."""
+    file is the document's source and lines follow doc_id.  Queries that do
+    not use line numbers pass ``numbered=False`` (``line_no`` is then NULL)
+    and skip the numbering shuffles."""
     from ndflow.plans.seq import grouped_row_number
 
     d = table(spark, sf_dir, "documents")
@@ -170,6 +172,8 @@ def document_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = (d.select("doc_id", F.concat("source", F.lit(".ndjson")).alias("file_name"), good.alias("_good"),
                       "lang", "source", "text")
              .select("doc_id", "file_name", value.alias("value")))
+    if not numbered:
+        return lines.withColumn("line_no", F.lit(None).cast("long"))
     return grouped_row_number(lines, ["file_name"], "doc_id", "line_no")
 
 

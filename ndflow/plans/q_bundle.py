@@ -307,7 +307,7 @@ GROUP BY route"""))
 def q_route_counts(spark, sf_dir):
     b = FX.conversation_bundles(spark, sf_dir)
     br = b.select(B.route(F.lit("Bundle"), B.bundle_size(), T1).alias("route"))
-    res = parse_lines(FX.document_lines(spark, sf_dir)).filter(F.col("status") == "ok")
+    res = parse_lines(FX.document_lines(spark, sf_dir, numbered=False)).filter(F.col("status") == "ok")
     size = json_size(F.col("value"))
     rr = res.select(F.when(size > T1, "single_oversized")
                     .otherwise(B.route(F.col("resource_type"), size, T1)).alias("route"))

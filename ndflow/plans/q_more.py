@@ -193,7 +193,7 @@ def q_split_invariance(spark, sf_dir):
 @register("output_names", sql=with_ctes(FX.SQL_DOCUMENT_LINES, select="""
 SELECT DISTINCT file_name, 'dimped_' || file_name AS output_file FROM fx_lines"""))
 def q_output_names(spark, sf_dir):
-    lines = FX.document_lines(spark, sf_dir)
+    lines = FX.document_lines(spark, sf_dir, numbered=False)
     return lines.select("file_name", output_name(F.col("file_name")).alias("output_file")).distinct()
 
 
@@ -228,7 +228,7 @@ WHERE json_valid(value) AND json_type(value) = 'OBJECT' AND json_type(value, '$.
 def q_ndjson_roundtrip(spark, sf_dir):
     """Accepted lines written as NDJSON (one folder per output
     file), then read back with the recursive, case-insensitive scan."""
-    p = parse_lines(FX.document_lines(spark, sf_dir)).filter(F.col("status") == "ok")
+    p = parse_lines(FX.document_lines(spark, sf_dir, numbered=False)).filter(F.col("status") == "ok")
     path = _scratch(spark, "ndjson")
     write_ndjson(p.withColumn("output_file", output_name(F.col("file_name"))), path, partition_col="output_file")
     back = read_ndjson(spark, path, glob="*.txt")
@@ -353,7 +353,7 @@ LATERAL (SELECT unnest(['resource_type', 'id', 'source', 'text']) AS field,
                 unnest([m_resource_type, m_id, m_source, m_text]) AS n_missing) u"""))
 def q_missing_fields(spark, sf_dir):
     """Per resource type and required field, rows missing it."""
-    p = parse_lines(FX.document_lines(spark, sf_dir)).filter(F.col("parsed"))
+    p = parse_lines(FX.document_lines(spark, sf_dir, numbered=False)).filter(F.col("parsed"))
     v = F.try_parse_json("value")
     x = p.select("resource_type", F.when(F.col("resource_id") != "", F.col("resource_id")).alias("id"),
                  F.try_variant_get(v, "$.source", "string").alias("source"),
@@ -497,7 +497,7 @@ GROUP BY file_name HAVING CAST(regexp_extract(file_name, '([0-9]+)', 1) AS INTEG
 def q_resume_pending(spark, sf_dir):
     """Files without an output of the same name, size and time.
     Fixed values: outputs exist for sources whose number is a multiple of 3."""
-    lines = FX.document_lines(spark, sf_dir)
+    lines = FX.document_lines(spark, sf_dir, numbered=False)
     inputs = lines.groupBy("file_name").agg(F.sum(F.octet_length("value") + 1).cast("long").alias("file_size")) \
         .withColumn("file_mtime", F.lit(0))
     done = inputs.filter(F.regexp_extract("file_name", "([0-9]+)", 1).cast("int") % 3 == 0)
@@ -510,7 +510,7 @@ def q_stream_ingest(spark, sf_dir):
     """A file stream with a checkpoint, run three times (availableNow):
     first half of the files, a rerun with nothing new, then the rest.  Every
     line arrives exactly once."""
-    lines = FX.document_lines(spark, sf_dir)
+    lines = FX.document_lines(spark, sf_dir, numbered=False)
     src, sink, ckpt = _scratch(spark, "stream-src"), _scratch(spark, "stream-sink"), _scratch(spark, "stream-ckpt")
     half = F.regexp_extract("file_name", "([0-9]+)", 1).cast("int") % 2 == 0
     lines.filter(half).select("value", "file_name").write.partitionBy("file_name").text(src + "/a")
@@ -545,7 +545,7 @@ SELECT stage, n, bytes FROM (
 def q_end_to_end_counts(spark, sf_dir):
     """Lines, blank, rejected, oversized and accepted rows and bytes of
     the import -> quarantine -> size guard -> de-identify flow."""
-    return stage_counts(plan_flow(FX.document_lines(spark, sf_dir), SECRET, FLOW_THRESHOLD), FLOW_THRESHOLD)
+    return stage_counts(plan_flow(FX.document_lines(spark, sf_dir, numbered=False), SECRET, FLOW_THRESHOLD), FLOW_THRESHOLD)
 
 
 @register("deidentified_documents", sql=with_ctes(FX.SQL_DOCUMENT_LINES, select=f"""

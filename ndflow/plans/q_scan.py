@@ -31,8 +31,8 @@ parsed2 AS (
   SELECT *, status IN ('ok', 'missing_resource_type', 'bad_resource_type', 'bad_id') AS parsed FROM parsed)"""
 
 
-def _parsed(spark, sf_dir):
-    return N.parse_lines(FX.document_lines(spark, sf_dir))
+def _parsed(spark, sf_dir, numbered=True):
+    return N.parse_lines(FX.document_lines(spark, sf_dir, numbered))
 
 
 @register("ndjson_scan", sql=with_ctes(FX.SQL_DOCUMENT_LINES, SQL_PARSED, select="""
@@ -83,7 +83,7 @@ SELECT file_name, count(*) FILTER (WHERE resource_type IS NOT NULL) AS n_valid,
        count(*) FILTER (WHERE resource_type IS NULL) AS n_invalid
 FROM parsed2 WHERE parsed GROUP BY file_name"""))
 def q_valid_resources(spark, sf_dir):
-    p = _parsed(spark, sf_dir).filter(F.col("parsed"))
+    p = _parsed(spark, sf_dir, numbered=False).filter(F.col("parsed"))
     return p.groupBy("file_name").agg(F.count_if(F.col("resource_type").isNotNull()).alias("n_valid"),
                                       F.count_if(F.col("resource_type").isNull()).alias("n_invalid"))
 
@@ -104,7 +104,7 @@ def q_count_per_file(spark, sf_dir):
 SELECT resource_type, count(*) AS n_resources, CAST(sum(strlen(value)) AS BIGINT) AS bytes
 FROM parsed2 WHERE status = 'ok' GROUP BY resource_type"""))
 def q_group_by_type(spark, sf_dir):
-    p = _parsed(spark, sf_dir).filter(F.col("status") == "ok")
+    p = _parsed(spark, sf_dir, numbered=False).filter(F.col("status") == "ok")
     return p.groupBy("resource_type").agg(F.count(F.lit(1)).alias("n_resources"),
                                           F.sum(F.octet_length("value")).cast("long").alias("bytes"))
 
@@ -113,7 +113,7 @@ def q_group_by_type(spark, sf_dir):
 SELECT count(DISTINCT file_name) AS n_files, CAST(sum(strlen(value) + 1) AS BIGINT) AS total_bytes,
        count(*) AS n_lines FROM fx_lines"""))
 def q_import_totals(spark, sf_dir):
-    lines = FX.document_lines(spark, sf_dir)
+    lines = FX.document_lines(spark, sf_dir, numbered=False)
     return lines.agg(F.count_distinct("file_name").alias("n_files"),
                      F.sum(F.octet_length("value") + 1).cast("long").alias("total_bytes"),
                      F.count(F.lit(1)).alias("n_lines"))
@@ -126,4 +126,4 @@ SELECT file_name, 'import/' || file_name AS file_path,
        CAST(count(*) FILTER (WHERE NOT blank_trimmed) AS INTEGER) AS line_count
 FROM parsed2 GROUP BY file_name"""))
 def q_import_manifest(spark, sf_dir):
-    return N.manifest(_parsed(spark, sf_dir))
+    return N.manifest(_parsed(spark, sf_dir, numbered=False))
