@@ -62,8 +62,23 @@ def strict_parse(value: Column) -> tuple[Column, Column]:
 
 
 def parse_status(value: Column) -> Column:
-    """Status part of ``strict_parse``."""
-    return strict_parse(value)[1]
+    """Status part of ``strict_parse`` without building the document: a
+    streaming pass counts the elements of ``[value]`` (Jackson, nothing
+    materialised) and the first non-blank character tells an object."""
+    n = F.json_array_length(F.concat(F.lit("["), value, F.lit("]")))
+    return (F.when(F.length(value) == 0, F.lit("blank"))
+            .when(n.isNull() | (n != 1), F.lit("invalid_json"))
+            .when(F.substring(F.ltrim(value, F.lit(" \t\r\n")), 1, 1) != "{", F.lit("not_object"))
+            .otherwise(F.lit("ok")))
+
+
+HEADER_SCHEMA = "resourceType variant, id variant"
+
+
+def header_fields(value: Column) -> Column:
+    """``struct(resourceType, id)`` as VARIANTs read in one streaming pass
+    (other fields are skipped, not materialised); duplicate keys: last wins."""
+    return F.from_json(value, HEADER_SCHEMA)
 
 
 def variant_type(v: Column, path: str) -> Column:

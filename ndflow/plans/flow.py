@@ -46,15 +46,14 @@ def plan_flow(lines: DataFrame, secret: str, threshold: int) -> dict[str, DataFr
 def stage_counts(plan: dict[str, DataFrame], threshold: int) -> DataFrame:
     """Rows per stage from one aggregate over the parsed lines:
     (stage, n, bytes)."""
-    p = plan["parsed"]
-    size = json_size(F.col("value"))
+    p = plan["parsed"].select("status", json_size(F.col("value")).alias("_size"),
+                              (F.octet_length("value").cast("long") + 1).alias("_b"))
     ok = F.col("status") == "ok"
-    b = F.octet_length("value").cast("long") + 1
     stages = {"lines": F.lit(True), "blank": F.col("status") == "blank",
               "rejected": ~F.col("status").isin("ok", "blank"),
-              "oversized": ok & (size > threshold), "accepted": ok & (size <= threshold)}
+              "oversized": ok & (F.col("_size") > threshold), "accepted": ok & (F.col("_size") <= threshold)}
     g = p.agg(*[F.count_if(c).alias(f"n_{k}") for k, c in stages.items()],
-              *[F.sum(F.when(c, b).otherwise(0)).cast("long").alias(f"b_{k}") for k, c in stages.items()])
+              *[F.sum(F.when(c, F.col("_b")).otherwise(0)).cast("long").alias(f"b_{k}") for k, c in stages.items()])
     rows = F.array(*[F.struct(F.lit(k).alias("stage"), F.col(f"n_{k}").alias("n"), F.col(f"b_{k}").alias("bytes"))
                      for k in stages])
     return g.select(F.inline(rows))

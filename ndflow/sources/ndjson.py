@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ndflow.functions.jsonfn import strict_parse, string_field, variant_type
+from ndflow.functions.jsonfn import header_fields, parse_status
 
 # Case-insensitive match of the record file extension.
 NDJSON_GLOB = "*.[nN][dD][jJ][sS][oO][nN]"
@@ -118,27 +118,28 @@ def parse_lines(lines: DataFrame, value_col: str = "value") -> DataFrame:
     ``status``: ``blank`` (empty line, skipped), ``invalid_json``,
     ``not_object``, ``missing_resource_type``, ``bad_resource_type``,
     ``bad_id`` or ``ok``.  ``resource_type`` is set only when it is a string;
-    ``resource_id`` is ``''`` when absent (P2).  Each line is parsed once.
+    ``resource_id`` is ``''`` when absent (P2).  Two streaming passes per
+    line (strict validity, header fields); the document itself is not built.
     """
-    doc, st = strict_parse(F.col(value_col))
-    x = lines.select("*", doc.alias("_v"), st.alias("_st"))
-    v = F.col("_v")
-    rt_t = variant_type(v, "$.resourceType")
-    id_t = variant_type(v, "$.id")
+    value = F.col(value_col)
+    x = lines.select("*", parse_status(value).alias("_st"), header_fields(value).alias("_h"))
+    rt, rid = F.col("_h.resourceType"), F.col("_h.id")
+    rt_t = F.when(rt.isNotNull(), F.schema_of_variant(rt))
+    id_t = F.when(rid.isNotNull(), F.schema_of_variant(rid))
     ok_obj = F.col("_st") == "ok"
     status = (F.when(~ok_obj, F.col("_st"))
               .when(rt_t.isNull(), "missing_resource_type")
               .when(rt_t != "STRING", "bad_resource_type")
               .when(id_t.isNotNull() & (id_t != "STRING"), "bad_id")
               .otherwise("ok"))
-    parsed = status.isin("ok", "missing_resource_type", "bad_resource_type", "bad_id")
-    y = x.select(*lines.columns, "_v", status.alias("status"),
-                 F.when(ok_obj, string_field(v, "$.resourceType")).alias("resource_type"),
-                 parsed.alias("parsed"),
-                 F.when(ok_obj, F.when(id_t.isNull(), F.lit("")).otherwise(string_field(v, "$.id"))).alias("_rid"),
-                 is_blank_trimmed(F.col(value_col)).alias("blank_trimmed"))
-    return y.select(*lines.columns, "status", "resource_type", "parsed",
-                    F.when(F.col("parsed"), F.col("_rid")).alias("resource_id"), "blank_trimmed")
+    y = x.select(*lines.columns, status.alias("status"),
+                 F.when(ok_obj & (rt_t == "STRING"), F.try_variant_get(rt, "$", "string")).alias("resource_type"),
+                 F.when(ok_obj, F.when(id_t.isNull(), F.lit("")).when(id_t == "STRING", F.try_variant_get(rid, "$", "string")))
+                 .alias("_rid"),
+                 is_blank_trimmed(value).alias("blank_trimmed"))
+    parsed = F.col("status").isin("ok", "missing_resource_type", "bad_resource_type", "bad_id")
+    return y.select(*lines.columns, "status", "resource_type", parsed.alias("parsed"),
+                    F.when(parsed, F.col("_rid")).alias("resource_id"), "blank_trimmed")
 
 
 # Error text per line status (what the reference reports).
