@@ -11,13 +11,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ndflow.functions.jsonfn import json_size
-from ndflow.operators.deid import apply_rules, pseudonym, rebuild, security_meta
+from ndflow.operators.deid import pseudonym, rebuild, security_meta
 from ndflow.sinks.files import output_name, write_csv, write_ndjson, write_parquet
 from ndflow.sources.ndjson import parse_lines, quarantine
 
-# Paths kept from a text resource and what happens to them.
+# Paths kept from a text resource.  The id is pseudonymised
+# with the row's own type (``Type/id``); source and text are kept; any other
+# field is dropped.
 TEXT_PATHS = {"id": ("$.id", "string"), "source": ("$.source", "string"), "text": ("$.text", "string")}
-TEXT_RULES = {"id": "pseudonym", "source": "keep", "text": "keep", "resource_type": "keep", "file_name": "keep"}
 
 
 def deidentify_text_resources(ok: DataFrame, secret: str) -> DataFrame:
