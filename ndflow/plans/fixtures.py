@@ -16,8 +16,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+_TABLES: dict = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """The driver's table as a DataFrame.  Handles are reused per session
+    (a DataFrame is only a plan; the inputs are read-only), which saves the
+    file listing and footer read on every call."""
+    key = (id(spark), sf_dir.rstrip("/"), name)
+    df = _TABLES.get(key)
+    if df is None or df.sparkSession is not spark:
+        df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+        _TABLES[key] = df
+    return df
 
 
 # --------------------------------------------------------------------------
