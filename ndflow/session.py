@@ -55,13 +55,13 @@ def apply_session_defaults(spark: SparkSession) -> None:
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for checkpoints and intermediate tables.
 
-    Reads ``spark.checkpoint.dir``; sets a local one only when unset (tests).
+    Reads ``spark.checkpoint.dir`` (the cluster's shared folder).  Only when
+    nothing is configured (local tests) a temporary folder is used.
     """
     d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not d:
         d = tempfile.mkdtemp(prefix="ndflow-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
-    spark.sparkContext.setCheckpointDir(d)
+        spark.sparkContext.setCheckpointDir(d)
     return d
 
 
