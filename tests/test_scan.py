@@ -89,3 +89,18 @@ def test_line_numbers_without_broadcast_match(spark, tmp_dir):
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
     assert a == b and len(a) == 3000 and "Broadcast" in plan
+
+
+def test_empty_input_and_failfast(spark, tmp_dir):
+    os.makedirs(tmp_dir + "/sub")
+    write(f"{tmp_dir}/notes.txt", ["x"])
+    df = N.read_ndjson(spark, tmp_dir)
+    assert df.count() == 0 and "line_no" in df.columns
+    lines = spark.createDataFrame([("f.ndjson", 1, '{"resourceType":"A"}'), ("f.ndjson", 2, "{bad")],
+                                  "file_name string, line_no long, value string")
+    try:
+        N.parse_lines(lines, mode="failfast").collect()
+        assert False, "failfast should stop on the bad line"
+    except Exception as e:  # noqa: BLE001
+        assert "file f.ndjson line 2: failed to parse JSON" in str(e)
+    assert N.parse_lines(lines).count() == 2
