@@ -105,27 +105,44 @@ def pseudonym_map(resources: DataFrame, secret: str, prefix_len: int = 2) -> Dat
 
 
 def external(df: DataFrame, fn: Callable[[dict], dict], doc_col: str = "value",
-             key_col: str = "src_key") -> DataFrame:
+             key_col: str = "src_key", max_attempts: int = 5, initial_ms: int = 1000,
+             max_ms: int = 30000) -> DataFrame:
     """Run a document-in, document-out de-identifier on every row through
-    Arrow batches.  Output ``(key, ok, error_type, error, value)``; a
-    failing document becomes a row with ``ok = false`` instead of failing the
-    job.  Batch size follows ``spark.sql.execution.arrow.maxRecordsPerBatch``."""
+    Arrow batches.  Output ``(key, ok, error_type, error, attempts, value)``.
+    Network-type failures (``ConnectionError``, ``TimeoutError``, or any
+    exception with ``transient = True``) are retried with capped exponential
+    backoff (D6); other failures stop at once.  A failing document becomes a
+    row with ``ok = false`` instead of failing the job.  Batch size follows
+    ``spark.sql.execution.arrow.maxRecordsPerBatch``."""
+    import time
+
     import pandas as pd
 
+    def transient(e: Exception) -> bool:
+        return isinstance(e, (ConnectionError, TimeoutError)) or bool(getattr(e, "transient", False))
+
+    def one(doc: str):
+        attempts = 0
+        while True:
+            attempts += 1
+            try:
+                res = fn(json.loads(doc))
+                return True, None, None, attempts, json.dumps(res, sort_keys=True, separators=(",", ":"),
+                                                             ensure_ascii=False)
+            except Exception as e:  # noqa: BLE001 - classified and kept as a row
+                if transient(e) and attempts < max_attempts:
+                    time.sleep(min(initial_ms * 2 ** (attempts - 1), max_ms) / 1000.0)
+                    continue
+                kind = "transient" if transient(e) else "non_transient"
+                return False, kind, f"{type(e).__name__}: {e}", attempts, None
+
     def run(batches):
         for pdf in batches:
-            oks, types, errs, outs = [], [], [], []
-            for doc in pdf[doc_col]:
-                try:
-                    res = fn(json.loads(doc))
-                    outs.append(json.dumps(res, sort_keys=True, separators=(",", ":"), ensure_ascii=False))
-                    oks.append(True), types.append(None), errs.append(None)
-                except (ValueError, KeyError, TypeError) as e:
-                    outs.append(None), oks.append(False)
-                    types.append("non_transient"), errs.append(f"{type(e).__name__}: {e}")
-            yield pd.DataFrame({key_col: pdf[key_col], "ok": oks, "error_type": types, "error": errs,
-                                "value": outs})
+            res = [one(d) for d in pdf[doc_col]]
+            cols = list(zip(*res)) if res else [[], [], [], [], []]
+            yield pd.DataFrame({key_col: pdf[key_col], "ok": cols[0], "error_type": cols[1], "error": cols[2],
+                                "attempts": cols[3], "value": cols[4]})
 
     key_type = dict(df.dtypes)[key_col]
-    schema = f"{key_col} {key_type}, ok boolean, error_type string, error string, value string"
+    schema = f"{key_col} {key_type}, ok boolean, error_type string, error string, attempts int, value string"
     return df.select(key_col, doc_col).mapInPandas(run, schema)

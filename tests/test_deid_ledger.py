@@ -36,8 +36,18 @@ def test_rule_table_drops_unlisted_and_unknown_action(spark):
 def test_external_errors_become_rows(spark):
     df = spark.createDataFrame([(1, '{"id":"a"}'), (2, "{bad")], "src_key long, value string")
     out = {r.src_key: r for r in D.external(df, lambda d: {"id": d["id"] + "x"}).collect()}
-    assert out[1].ok and json.loads(out[1].value) == {"id": "ax"}
-    assert not out[2].ok and out[2].error_type == "non_transient"
+    assert out[1].ok and json.loads(out[1].value) == {"id": "ax"} and out[1].attempts == 1
+    assert not out[2].ok and out[2].error_type == "non_transient" and out[2].attempts == 1
+
+
+def test_external_retries_transient_failures(spark):
+    df = spark.createDataFrame([(1, '{"id":"a"}')], "src_key long, value string")
+
+    def always_down(doc):
+        raise ConnectionError("connection refused")
+
+    r = D.external(df, always_down, max_attempts=3, initial_ms=1).collect()[0]
+    assert not r.ok and r.error_type == "transient" and r.attempts == 3
 
 
 def steps_frame(spark, rows):
