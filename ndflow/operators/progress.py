@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ndflow.functions.scalars import format_bytes, format_bytes_rate, format_duration, format_items_rate
-from ndflow.plans.seq import by_key, grouped_running_sums
+from ndflow.plans.seq import by_key, grouped_running_sums, join_null_safe
 
 WINDOW_SAMPLES = 10
 WINDOW_SECONDS = 30
@@ -58,7 +58,7 @@ def eta_window(samples: DataFrame, window_samples: int = WINDOW_SAMPLES,
     avg = F.when(valid, dt / di)
     total = samples.groupBy("run_id").agg(F.max("items").alias("total_items"))
     y = x.select("run_id", "n", "items", cnt.alias("window_samples"), avg.alias("avg_sec_per_item"))
-    y = y.join(total, "run_id")
+    y = join_null_safe(y, total, ["run_id"])
     remaining = F.col("total_items") - F.col("items")
     eta_valid = (F.col("window_samples") >= 2) & ((remaining <= 0) | F.col("avg_sec_per_item").isNotNull())
     eta = F.when(F.col("window_samples") < 2, F.lit(None)).when(remaining <= 0, F.lit(0.0)) \
@@ -98,7 +98,7 @@ def average_rate(samples: DataFrame) -> DataFrame:
     """W5 + W7: rates since the run's first sample, and percent of the run's
     final item count (0 when that total is 0)."""
     per = samples.groupBy("run_id").agg(F.min("ts").alias("_t0"), F.max("items").alias("_total"))
-    x = samples.join(per, "run_id")
+    x = join_null_safe(samples, per, ["run_id"])
     el = (now_us_of(F.col("ts")) - now_us_of(F.col("_t0"))) / 1e6
     return x.select("run_id", "n",
                     F.when(el > 0, F.col("items") / el).otherwise(0.0).alias("avg_items_per_sec"),

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ndflow.functions.scalars import backoff_ms, classify_error, step_error_type
-from ndflow.plans.seq import grouped_running_sums
+from ndflow.plans.seq import grouped_running_sums, join_null_safe
 
 MAX_ATTEMPTS = 5
 INITIAL_BACKOFF_MS = 1000
@@ -45,7 +45,7 @@ def retry_outcomes(log: DataFrame, max_attempts: int = MAX_ATTEMPTS, initial_ms:
                                         F.min(F.when(terminal, F.col("attempt"))).alias("_first_terminal"))
     decided = F.least(F.coalesce("_first_terminal", "n_attempts"), F.lit(max_attempts))
     per = per.select("call_id", "n_attempts", decided.cast("long").alias("attempt"))
-    j = per.join(ranked, ["call_id", "attempt"], "inner")
+    j = join_null_safe(per, ranked, ["call_id", "attempt"])
     outcome = (F.when(F.col("success"), "succeeded")
                .when(F.col("error_type") == "non_transient", "failed_non_transient")
                .when(F.col("attempt") >= max_attempts, "exhausted")

@@ -33,10 +33,22 @@ def grouped_running_sums(df: DataFrame, keys: list[str], order: list[str], sums:
         F.coalesce(F.sum(f"_t_{o}").over(before), F.lit(0)).cast("long").alias(f"_o_{o}") for o in sums])
     upto = Window.partitionBy(*keys, "_bk").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     inner = b.select("*", *[F.sum(c).over(upto).alias(f"_r_{o}") for o, c in sums.items()])
-    out = inner.join(offsets, [*keys, "_bk"], "inner")
+    out = join_null_safe(inner, offsets, [*keys, "_bk"])
     return out.select(*df.columns, *[(F.col(f"_r_{o}") + F.col(f"_o_{o}")).cast("long").alias(o) for o in sums])
 
 
+def join_null_safe(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """Inner join on ``keys`` where NULL matches NULL, so rows with a NULL
+    key are kept (a plain equi-join would drop them)."""
+    r = right.select(*[F.col(k).alias(f"_j{i}") for i, k in enumerate(keys)],
+                     *[c for c in right.columns if c not in keys])
+    cond = None
+    for i, k in enumerate(keys):
+        c = left[k].eqNullSafe(r[f"_j{i}"])
+        cond = c if cond is None else cond & c
+    return left.join(r, cond, "inner").drop(*[f"_j{i}" for i in range(len(keys))])
+
+
 def grouped_row_number(df: DataFrame, keys: list[str], order_col: str, name: str,
                        bucket: Column | None = None) -> DataFrame:
     """``row_number() OVER (PARTITION BY keys ORDER BY order_col)`` computed in
@@ -64,7 +76,7 @@ def grouped_forward_fill(df: DataFrame, keys: list[str], order_col: str, cols: l
     upto = Window.partitionBy(*keys, "_bk").orderBy(order_col).rowsBetween(Window.unboundedPreceding, 0)
     inner = b.select(*[x for x in b.columns if x not in cols], *[
         F.last(F.col(c), ignorenulls=True).over(upto).alias(f"_f_{c}") for c in cols])
-    out = inner.join(carried, [*keys, "_bk"], "inner")
+    out = join_null_safe(inner, carried, [*keys, "_bk"])
     return out.select(*[x for x in df.columns if x not in cols],
                       *[F.coalesce(f"_f_{c}", f"_c_{c}").alias(c) for c in cols])
 

@@ -81,3 +81,10 @@ def test_instant_rate_zero_gap_keeps_previous(spark):
         .withColumn("n", F.col("seq"))
     got = {r.n: r for r in W.instant_rate(s).collect()}
     assert got[1].items_per_sec == 0.0 and got[2].items_per_sec == 2.0 and got[3].items_per_sec == 2.0
+
+
+def test_running_sums_keep_null_keys(spark):
+    rows = [(None, 1, 5), (None, 2, 7), ("a", 1, 1)]
+    df = spark.createDataFrame(rows, "k string, o long, v long")
+    got = {(r.k, r.o): r.cum for r in grouped_running_sums(df, ["k"], ["o"], {"cum": "v"}, F.col("o")).collect()}
+    assert got == {(None, 1): 5, (None, 2): 12, ("a", 1): 1}
