@@ -71,7 +71,8 @@ def bundles_from_entries(entries: DataFrame, meta: DataFrame | None = None) -> D
     if meta is None:
         return b.select("bundle_id", F.lit("collection").alias("bundle_type"),
                         F.lit(None).cast("string").alias("timestamp"), *cols[3:])
-    return b.join(meta, "bundle_id", "inner").select(*cols)
+    # left join: a bundle without metadata is kept (status "invalid" later)
+    return b.join(meta, "bundle_id", "left").select(*cols)
 
 
 def conversation_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
