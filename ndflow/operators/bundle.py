@@ -225,7 +225,10 @@ def oversized_resources(res: DataFrame, threshold: int, escape_html: bool = True
     """P5: non-Bundle resources whose canonical size is over the threshold
     (strict).  Expects ``value`` (JSON text) and optional ``resource_type``/
     ``resource_id`` (NULL when absent or not a string)."""
-    size = json_size(F.to_json(F.try_parse_json(F.col("value"))), escape_html)
+    # canonical size; lines beyond the VARIANT limit (16 MiB) fall back to
+    # their raw size, which is then far above any budget anyway
+    size = F.coalesce(json_size(F.to_json(F.try_parse_json(F.col("value"))), escape_html),
+                      json_size(F.col("value"), escape_html))
     return (res.withColumn("size", size)
             .filter((F.coalesce(F.col("resource_type"), F.lit("")) != "Bundle") & (F.col("size") > threshold))
             .withColumn("error_resource_type", F.coalesce("resource_type", F.lit("Unknown")))

@@ -104,3 +104,15 @@ def test_empty_input_and_failfast(spark, tmp_dir):
     except Exception as e:  # noqa: BLE001
         assert "file f.ndjson line 2: failed to parse JSON" in str(e)
     assert N.parse_lines(lines).count() == 2
+
+
+def test_line_beyond_variant_limit_is_classified(spark, tmp_dir):
+    big = json.dumps({"resourceType": "Bundle", "id": "huge", "type": "collection",
+                      "entry": [{"resource": {"resourceType": "X", "id": str(i), "pad": "p" * 2000}} for i in range(10_000)]})
+    assert len(big) > 17 * 1024 * 1024
+    write(f"{tmp_dir}/big.ndjson", [big, '{"resourceType":"A"}'])
+    p = {r.line_no: r for r in N.parse_lines(N.read_ndjson(spark, tmp_dir)).collect()}
+    assert p[1].status == "ok" and p[1].resource_type == "Bundle" and p[1].resource_id == "huge"
+    from ndflow.operators import bundle as B
+    b = B.bundles_from_lines(N.read_ndjson(spark, tmp_dir).filter("line_no = 1")).collect()[0]
+    assert len(b.entries) == 10_000
