@@ -69,3 +69,28 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A path for an intermediate table under the shared checkpoint folder."""
     base = checkpoint_dir(spark)
     return os.path.join(base, name) if "://" not in base else base.rstrip("/") + "/" + name
+
+
+_SHIPPED: set = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``ndflow`` importable in Python workers (the ``mapInPandas``
+    functions live in the package): zip it once per application into the
+    shared folder and ``addPyFile`` it, as ``--py-files`` would."""
+    import shutil
+    import uuid
+
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    base = scratch_path(spark, f"pyfiles-{uuid.uuid4().hex[:12]}")
+    if "://" in base and not base.startswith("file:"):
+        staging = tempfile.mkdtemp(prefix="ndflow-pyfiles-")  # zip locally, Spark ships it
+    else:
+        staging = base.replace("file:", "", 1)
+        os.makedirs(staging, exist_ok=True)
+    zpath = shutil.make_archive(os.path.join(staging, "ndflow"), "zip", root_dir=root, base_dir="ndflow")
+    sc.addPyFile(zpath)
+    _SHIPPED.add(sc.applicationId)
