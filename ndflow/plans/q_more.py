@@ -246,7 +246,7 @@ def q_ndjson_roundtrip(spark, sf_dir):
 
 @register("manifest_validity", sql=with_ctes(f"""
 man AS (
-  SELECT page_id, {'name'} AS file_name,
+  SELECT page_id, name AS file_name,
          CASE page_id % 5 WHEN 0 THEN '../escape/' || name WHEN 1 THEN '/abs/' || name ELSE 'import/' || name END AS file_path,
          CAST(strlen(html) AS BIGINT) AS file_size,
          CAST(length(html) - length(replace(html, chr(10), '')) AS INTEGER) AS line_count,
