@@ -104,15 +104,28 @@ def is_network_error(msg: Column, word_boundary: bool = False) -> Column:
     return F.coalesce(out, F.lit(False))
 
 
+# Error classes (category, message) in the order they are tested.
+ERROR_CLASSES = {
+    "network": ("network", "Network connectivity issue"),
+    "disk": ("filesystem", "Insufficient disk space"),
+    "permission": ("filesystem", "Permission denied"),
+    "other": ("validation", "An error occurred"),
+}
+DISK_PATTERNS = ("no space left", "disk full")
+PERMISSION_PATTERNS = ("permission denied", "access denied")
+
+
 def classify_error(msg: Column) -> Column:
     """struct(category, message, retryable)."""
     low = F.lower(msg)
     net = is_network_error(msg)
-    disk = low.contains("no space left") | low.contains("disk full")
-    perm = low.contains("permission denied") | low.contains("access denied")
-    cat = F.when(net, "network").when(disk | perm, "filesystem").otherwise("validation")
-    text = (F.when(net, "Network connectivity issue").when(disk, "Insufficient disk space")
-            .when(perm, "Permission denied").otherwise("An error occurred"))
+    disk = low.contains(DISK_PATTERNS[0]) | low.contains(DISK_PATTERNS[1])
+    perm = low.contains(PERMISSION_PATTERNS[0]) | low.contains(PERMISSION_PATTERNS[1])
+    c = ERROR_CLASSES
+    cat = (F.when(net, c["network"][0]).when(disk, c["disk"][0]).when(perm, c["permission"][0])
+           .otherwise(c["other"][0]))
+    text = (F.when(net, c["network"][1]).when(disk, c["disk"][1]).when(perm, c["permission"][1])
+            .otherwise(c["other"][1]))
     return F.struct(cat.alias("category"), text.alias("message"), net.alias("retryable"))
 
 

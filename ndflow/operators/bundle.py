@@ -260,6 +260,16 @@ def bundles_from_lines(lines: DataFrame, value_col: str = "value", canonicalize:
         F.col("_b.timestamp").alias("timestamp"), entries.alias("entries"))
 
 
+# Bundle structure rules, in the order they are checked.
+STRUCTURE_RULES = {
+    "json": "invalid JSON",
+    "id": "bundle.id must be present and a string",
+    "type": "bundle.type must be present and a string",
+    "entry": "bundle.entry must be an array",
+    "entry_object": "bundle.entry[i] must be an object",
+}
+
+
 def bundle_structure(value: Column) -> Column:
     """First failing structure rule of a Bundle document, NULL if fine."""
     v = F.try_parse_json(value)
@@ -268,9 +278,9 @@ def bundle_structure(value: Column) -> Column:
         return F.when(f.isNotNull(), F.schema_of_variant(f))
     entry_t = typ("$.entry")
     # every element must be an object: ARRAY<OBJECT...> (or empty ARRAY<VOID>)
-    return (F.when(v.isNull(), "invalid JSON")
-            .when(F.coalesce(typ("$.id"), F.lit("")) != "STRING", "bundle.id must be present and a string")
-            .when(F.coalesce(typ("$.type"), F.lit("")) != "STRING", "bundle.type must be present and a string")
-            .when(~F.coalesce(entry_t, F.lit("")).startswith("ARRAY"), "bundle.entry must be an array")
+    return (F.when(v.isNull(), STRUCTURE_RULES["json"])
+            .when(F.coalesce(typ("$.id"), F.lit("")) != "STRING", STRUCTURE_RULES["id"])
+            .when(F.coalesce(typ("$.type"), F.lit("")) != "STRING", STRUCTURE_RULES["type"])
+            .when(~F.coalesce(entry_t, F.lit("")).startswith("ARRAY"), STRUCTURE_RULES["entry"])
             .when(~(entry_t.startswith("ARRAY<OBJECT") | (entry_t == "ARRAY<VOID>")),
-                  "bundle.entry[i] must be an object"))
+                  STRUCTURE_RULES["entry_object"]))

@@ -29,6 +29,27 @@ INPUT_TYPES = ("local_directory", "http_url", "crtdl_file", "torch_result_url")
 ALLOWED_TRANSITIONS = (("pending", "in_progress"), ("in_progress", "completed"), ("in_progress", "failed"),
                        ("failed", "in_progress"))
 UUID_RE = r"^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$"
+# Job and step validity messages, in the order they are checked.
+JOB_RULES = {
+    "id": "job_id is required",
+    "uuid": "invalid job_id: must be a valid UUID",
+    "input": "input_source is required",
+    "http": "input_source must be a valid HTTP(S) URL when input_type is http_url",
+    "input_type": "invalid input_type: ",
+    "status": "invalid status: ",
+    "current": "current_step not found in job steps",
+    "files": "total_files cannot be negative",
+    "bytes": "total_bytes cannot be negative",
+}
+STEP_RULES = {
+    "name": "invalid step name: ",
+    "status": "invalid step status: ",
+    "retries": "retry_count cannot be negative",
+    "files": "files_processed cannot be negative",
+    "bytes": "bytes_processed cannot be negative",
+    "started": "started_at must be set when step is in_progress or completed",
+    "completed": "completed_at must be set when step is completed",
+}
 
 
 def _step_struct() -> Column:
@@ -199,29 +220,29 @@ def job_error(jobs: DataFrame, steps: DataFrame) -> DataFrame:
     names = steps.groupBy("job_id").agg(F.collect_set("name").alias("_names"))
     j = jobs.join(s, "job_id", "left").join(names, "job_id", "left")
     src, it = F.col("input_source"), F.col("input_type")
-    err = (F.when(F.coalesce(F.col("job_id"), F.lit("")) == "", "job_id is required")
-           .when(~F.col("job_id").rlike(UUID_RE), "invalid job_id: must be a valid UUID")
-           .when(F.coalesce(src, F.lit("")) == "", "input_source is required")
+    err = (F.when(F.coalesce(F.col("job_id"), F.lit("")) == "", JOB_RULES["id"])
+           .when(~F.col("job_id").rlike(UUID_RE), JOB_RULES["uuid"])
+           .when(F.coalesce(src, F.lit("")) == "", JOB_RULES["input"])
            .when((it == "http_url") & ~(src.startswith("http://") | src.startswith("https://")),
-                 "input_source must be a valid HTTP(S) URL when input_type is http_url")
-           .when(~it.isin(*INPUT_TYPES), F.concat(F.lit("invalid input_type: "), it))
-           .when(~F.col("status").isin(*JOB_STATUSES), F.concat(F.lit("invalid status: "), F.col("status")))
+                 JOB_RULES["http"])
+           .when(~it.isin(*INPUT_TYPES), F.concat(F.lit(JOB_RULES["input_type"]), it))
+           .when(~F.col("status").isin(*JOB_STATUSES), F.concat(F.lit(JOB_RULES["status"]), F.col("status")))
            .when(F.col("current_step").isNotNull() & ~F.array_contains(F.col("_names"), F.col("current_step")),
-                 "current_step not found in job steps")
-           .when(F.col("total_files") < 0, "total_files cannot be negative")
-           .when(F.col("total_bytes") < 0, "total_bytes cannot be negative"))
+                 JOB_RULES["current"])
+           .when(F.col("total_files") < 0, JOB_RULES["files"])
+           .when(F.col("total_bytes") < 0, JOB_RULES["bytes"]))
     return j.select("job_id", err.alias("job_error"))
 
 
 def step_error(steps: DataFrame) -> Column:
     """First failing step rule, NULL when valid."""
     st = F.col("status")
-    return (F.when(~F.col("name").isin(*STEP_NAMES), F.concat(F.lit("invalid step name: "), F.col("name")))
-            .when(~st.isin(*JOB_STATUSES), F.concat(F.lit("invalid step status: "), st))
-            .when(F.col("retry_count") < 0, "retry_count cannot be negative")
-            .when(F.col("files_processed") < 0, "files_processed cannot be negative")
-            .when(F.col("bytes_processed") < 0, "bytes_processed cannot be negative")
+    return (F.when(~F.col("name").isin(*STEP_NAMES), F.concat(F.lit(STEP_RULES["name"]), F.col("name")))
+            .when(~st.isin(*JOB_STATUSES), F.concat(F.lit(STEP_RULES["status"]), st))
+            .when(F.col("retry_count") < 0, STEP_RULES["retries"])
+            .when(F.col("files_processed") < 0, STEP_RULES["files"])
+            .when(F.col("bytes_processed") < 0, STEP_RULES["bytes"])
             .when(st.isin("in_progress", "completed") & F.col("started_at").isNull(),
-                  "started_at must be set when step is in_progress or completed")
+                  STEP_RULES["started"])
             .when((st == "completed") & F.col("completed_at").isNull(),
-                  "completed_at must be set when step is completed"))
+                  STEP_RULES["completed"]))

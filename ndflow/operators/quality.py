@@ -14,6 +14,37 @@ from pyspark.sql import functions as F
 from ndflow.functions.jsonfn import RFC3339_RE
 
 
+# Rule messages, in the order the rules are checked.
+CHUNK_RULES = {
+    "bundle": "resourceType must be Bundle",
+    "type": "type must be document or collection",
+    "id": "id must match <id>-chunk-<n>",
+    "entries": "entry must be non-empty",
+    "total": "total must equal entry count",
+    "timestamp": "timestamp must be RFC 3339",
+    "entry_type": "entry resource needs a resourceType",
+}
+MANIFEST_RULES = {
+    "extension": "file_name must end with .ndjson",
+    "path": "unsafe file_path detected: ",
+    "size": "file_size must be greater than 0",
+    "lines": "line_count cannot be negative",
+    "step": "invalid source_step: ",
+}
+QUERY_DOC_RULES = {
+    "empty": "file is empty",
+    "json": "not valid JSON",
+    "parameters": "uses FHIR Parameters format",
+    "both": "missing both 'cohortDefinition' and 'dataExtraction' keys",
+    "cohort": "missing 'cohortDefinition' key",
+    "extraction": "missing 'dataExtraction' key",
+    "cohort_object": "'cohortDefinition' must be an object",
+    "inclusion": "cohortDefinition missing 'inclusionCriteria'",
+    "extraction_object": "'dataExtraction' must be an object",
+    "groups": "dataExtraction missing 'attributeGroups'",
+}
+
+
 def _jtype(v: Column, path: str) -> Column:
     f = F.try_variant_get(v, path, "variant")
     return F.when(f.isNotNull(), F.schema_of_variant(f))
@@ -28,16 +59,16 @@ def chunk_contract_error(doc: Column) -> Column:
     entries = F.from_json(F.get_json_object(doc, "$.entry"), "array<string>")
     rt_list = F.transform(entries, lambda e: F.get_json_object(e, "$.resource.resourceType"))
     return (F.when(F.coalesce(F.try_variant_get(v, "$.resourceType", "string"), F.lit("")) != "Bundle",
-                   "resourceType must be Bundle")
+                   CHUNK_RULES["bundle"])
             .when(~F.coalesce(F.try_variant_get(v, "$.type", "string"), F.lit("")).isin("document", "collection"),
-                  "type must be document or collection")
+                  CHUNK_RULES["type"])
             .when(~F.coalesce(F.try_variant_get(v, "$.id", "string"), F.lit("")).rlike(r"^.+-chunk-[0-9]+$"),
-                  "id must match <id>-chunk-<n>")
-            .when(n == 0, "entry must be non-empty")
-            .when(total.isNotNull() & (total != n), "total must equal entry count")
-            .when(ts.isNotNull() & ~ts.rlike(RFC3339_RE), "timestamp must be RFC 3339")
+                  CHUNK_RULES["id"])
+            .when(n == 0, CHUNK_RULES["entries"])
+            .when(total.isNotNull() & (total != n), CHUNK_RULES["total"])
+            .when(ts.isNotNull() & ~ts.rlike(RFC3339_RE), CHUNK_RULES["timestamp"])
             .when(~F.forall(rt_list, lambda t: F.coalesce(t, F.lit("")) != ""),
-                  "entry resource needs a resourceType"))
+                  CHUNK_RULES["entry_type"]))
 
 
 # Known step names (manifest ``source_step`` and ledger).
@@ -52,28 +83,28 @@ def manifest_error(file_name: Column, file_path: Column, file_size: Column, line
     # a path is unsafe when absolute or when, cleaned, it climbs above its root
     cleaned = F.regexp_replace(F.regexp_replace(file_path, r"(^|/)\./", "$1"), r"/+", "/")
     unsafe = cleaned.startswith("/") | cleaned.startswith("..")
-    return (F.when(~F.lower(file_name).endswith(".ndjson"), "file_name must end with .ndjson")
-            .when(unsafe, F.concat(F.lit("unsafe file_path detected: "), file_path))
-            .when(file_size <= 0, "file_size must be greater than 0")
-            .when(line_count < 0, "line_count cannot be negative")
-            .when(~source_step.isin(*STEP_NAMES), F.concat(F.lit("invalid source_step: "), source_step)))
+    return (F.when(~F.lower(file_name).endswith(".ndjson"), MANIFEST_RULES["extension"])
+            .when(unsafe, F.concat(F.lit(MANIFEST_RULES["path"]), file_path))
+            .when(file_size <= 0, MANIFEST_RULES["size"])
+            .when(line_count < 0, MANIFEST_RULES["lines"])
+            .when(~source_step.isin(*STEP_NAMES), F.concat(F.lit(MANIFEST_RULES["step"]), source_step)))
 
 
 def query_doc_error(doc: Column) -> Column:
     """Cohort-query document check; first failure, NULL when valid."""
     v = F.try_parse_json(doc)
     has = lambda p: F.try_variant_get(v, p, "variant").isNotNull()
-    return (F.when(F.length(doc) == 0, "file is empty")
-            .when(v.isNull() | ~F.coalesce(F.schema_of_variant(v), F.lit("")).startswith("OBJECT"), "not valid JSON")
-            .when(F.try_variant_get(v, "$.resourceType", "string") == "Parameters", "uses FHIR Parameters format")
+    return (F.when(F.length(doc) == 0, QUERY_DOC_RULES["empty"])
+            .when(v.isNull() | ~F.coalesce(F.schema_of_variant(v), F.lit("")).startswith("OBJECT"), QUERY_DOC_RULES["json"])
+            .when(F.try_variant_get(v, "$.resourceType", "string") == "Parameters", QUERY_DOC_RULES["parameters"])
             .when(~has("$.cohortDefinition") & ~has("$.dataExtraction"),
-                  "missing both 'cohortDefinition' and 'dataExtraction' keys")
-            .when(~has("$.cohortDefinition"), "missing 'cohortDefinition' key")
-            .when(~has("$.dataExtraction"), "missing 'dataExtraction' key")
-            .when(~_jtype(v, "$.cohortDefinition").startswith("OBJECT"), "'cohortDefinition' must be an object")
-            .when(~has("$.cohortDefinition.inclusionCriteria"), "cohortDefinition missing 'inclusionCriteria'")
-            .when(~_jtype(v, "$.dataExtraction").startswith("OBJECT"), "'dataExtraction' must be an object")
-            .when(~has("$.dataExtraction.attributeGroups"), "dataExtraction missing 'attributeGroups'"))
+                  QUERY_DOC_RULES["both"])
+            .when(~has("$.cohortDefinition"), QUERY_DOC_RULES["cohort"])
+            .when(~has("$.dataExtraction"), QUERY_DOC_RULES["extraction"])
+            .when(~_jtype(v, "$.cohortDefinition").startswith("OBJECT"), QUERY_DOC_RULES["cohort_object"])
+            .when(~has("$.cohortDefinition.inclusionCriteria"), QUERY_DOC_RULES["inclusion"])
+            .when(~_jtype(v, "$.dataExtraction").startswith("OBJECT"), QUERY_DOC_RULES["extraction_object"])
+            .when(~has("$.dataExtraction.attributeGroups"), QUERY_DOC_RULES["groups"]))
 
 
 def missing_fields(df: DataFrame, group_col: str, required: list[str]) -> DataFrame:
