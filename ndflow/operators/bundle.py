@@ -25,7 +25,8 @@ from pyspark.sql import functions as F
 
 from ndflow.functions.jsonfn import ZERO_TIME, escape_growth, json_size, rfc3339_normalized, string_field
 
-BUNDLE_OVERHEAD = 200  # fixed per-chunk allowance of the reference's packing rule
+# Per-chunk allowance of the packing rule (bytes).
+BUNDLE_OVERHEAD = 200
 
 # Bundle types whose documents carry `total` (FHIR R4 rule).
 TOTAL_TYPES = ("searchset", "history")

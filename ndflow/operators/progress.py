@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from ndflow.functions.scalars import format_bytes, format_bytes_rate, format_duration, format_items_rate
 from ndflow.plans.seq import by_key, grouped_running_sums, join_null_safe
 
+# ETA window (last samples kept, and their maximum age in seconds).
 WINDOW_SAMPLES = 10
 WINDOW_SECONDS = 30
 

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from ndflow.functions.scalars import backoff_ms, classify_error, step_error_type
 from ndflow.plans.seq import grouped_running_sums, join_null_safe
 
+# Default retry configuration (attempts, first and largest backoff).
 MAX_ATTEMPTS = 5
 INITIAL_BACKOFF_MS = 1000
 MAX_BACKOFF_MS = 30000

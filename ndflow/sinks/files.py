@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# Prefix of a de-identified output file name.
 OUTPUT_PREFIX = "dimped_"
 
 
