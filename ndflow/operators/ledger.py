@@ -20,8 +20,9 @@ from ndflow.functions.scalars import format_age, format_bytes, status_symbol
 from ndflow.operators.quality import STEP_NAMES
 from ndflow.plans.seq import by_key
 
+# Ledger enums - the import steps, the steps that need a
+# completed import first (any of the three), job/step statuses, input kinds.
 IMPORT_STEPS = ("torch", "local_import", "http_import")
-# Steps that need a completed import first (any of the three).
 NEEDS_IMPORT = ("dimp", "validation", "csv_conversion", "parquet_conversion")
 JOB_STATUSES = ("pending", "in_progress", "completed", "failed")
 INPUT_TYPES = ("local_directory", "http_url", "crtdl_file", "torch_result_url")
