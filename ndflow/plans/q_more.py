@@ -567,3 +567,30 @@ def q_deidentified_documents(spark, sf_dir):
     labels, as they are written to the NDJSON sink."""
     d = plan_flow(FX.document_lines(spark, sf_dir), SECRET, FLOW_THRESHOLD)["deidentified"]
     return d.select("file_name", "line_no", "value")
+
+
+@register("eta_stream", sql=with_ctes(FX.SQL_PROGRESS, select=f"""
+SELECT run_id, items AS n, CAST(len(w) AS INTEGER) AS window_samples,
+       CASE WHEN len(w) >= 2 AND items - w[1].items > 0 AND (epoch_us(ts) - epoch_us(w[1].ts)) / 1e6 > 0
+            THEN ((epoch_us(ts) - epoch_us(w[1].ts)) / 1e6) / (items - w[1].items) END AS avg_sec_per_item
+FROM (
+  SELECT run_id, ts, items,
+         list_filter(list(struct_pack(ts := ts, items := items)) OVER (PARTITION BY run_id ORDER BY ts, seq
+                     ROWS BETWEEN 9 PRECEDING AND CURRENT ROW),
+                     lambda s: epoch_us(s.ts) > epoch_us(ts) - {12 * 3600 * 1_000_000}) AS w
+  FROM progress)"""))
+def q_eta_stream(spark, sf_dir):
+    """The ETA window as keyed streaming state.  Samples derived from
+    ``events`` arrive as files in two time-ordered halves; the stream runs
+    twice with one checkpoint, so the second run continues from the state
+    the first one left."""
+    from ndflow.streaming.progress import eta_stream, run_available, samples_from
+    s = FX.progress_samples(spark, sf_dir)
+    src, sink, ckpt = _scratch(spark, "eta-src"), _scratch(spark, "eta-sink"), _scratch(spark, "eta-ckpt")
+    cut = F.col("ts") < F.lit("2024-01-16 00:00:00").cast("timestamp_ntz")
+    s.filter(cut).write.mode("append").parquet(src)
+    run_available(eta_stream(samples_from(spark, src), window_seconds=12 * 3600), sink, ckpt)
+    s.filter(~cut).write.mode("append").parquet(src)
+    run_available(eta_stream(samples_from(spark, src), window_seconds=12 * 3600), sink, ckpt)
+    got = spark.read.parquet(sink)
+    return got.select("run_id", F.col("items").alias("n"), "window_samples", "avg_sec_per_item")
