@@ -5,7 +5,7 @@ import re
 import pytest
 
 SF = "/root/testdata/sf0.001"
-WRITES = {"flatten_csv", "flatten_parquet", "ndjson_roundtrip", "fetch_urls", "stream_ingest"}
+WRITES = {"flatten_csv", "flatten_parquet", "ndjson_roundtrip", "fetch_urls", "stream_ingest", "eta_stream"}
 
 
 def plan_of(spark, name):
