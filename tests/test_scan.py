@@ -116,3 +116,12 @@ def test_line_beyond_variant_limit_is_classified(spark, tmp_dir):
     from ndflow.operators import bundle as B
     b = B.bundles_from_lines(N.read_ndjson(spark, tmp_dir).filter("line_no = 1")).collect()[0]
     assert len(b.entries) == 10_000
+
+
+def test_streaming_status_agrees_with_variant_parse(spark):
+    from ndflow.functions.jsonfn import parse_status, strict_parse
+    vals = ['{"a":1}', " {\"a\":1} ", "", "  ", "[1]", '"s"', "5", "null", '{"a":1} x', '{"a":1},{"b":2}',
+            '{"a":[1,{"b":null}]}', '{"a":', "{}", '{"a":1}{"a":2}', '\t{"k":"v"}\n']
+    df = spark.createDataFrame([(v,) for v in vals], "v string")
+    rows = df.select(parse_status(F.col("v")).alias("a"), strict_parse(F.col("v"))[1].alias("b")).collect()
+    assert [r.a for r in rows] == [r.b for r in rows]
