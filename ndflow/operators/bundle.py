@@ -109,7 +109,11 @@ def split_bundles(df: DataFrame, threshold: int, overhead: int = BUNDLE_OVERHEAD
     The per-entry work (sizes, packing) is array functions on the bundle's
     own row: narrow, no shuffle.
     """
-    d = with_entry_sizes(df, escape_html)
+    # columns this function produces replace same-named pass-through columns
+    # (e.g. the line ``status`` of a frame that came from ``parse_lines``)
+    produced = {"original_size", "status", "breaks", "was_split", "total_chunks", "error_resource_type",
+                "error_resource_id", "error_size"}
+    d = with_entry_sizes(df.drop(*[c for c in df.columns if c in produced]), escape_html)
     h = _header(F.col("bundle_id"), F.col("bundle_type"), F.col("timestamp"))
     hs = F.octet_length(h).cast("long") + (escape_growth(h) if escape_html else F.lit(0))
     n = F.size("entries")
