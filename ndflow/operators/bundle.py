@@ -150,7 +150,8 @@ def chunk_rows(split: DataFrame, escape_html: bool = True) -> DataFrame:
     estimated_size``.  ``estimated_size`` follows the reference: it always
     counts ``timestamp`` (zero time when unset) and ``total`` (H11).
     """
-    ok = split.filter(F.col("status") == "ok")
+    produced = {"chunk_index", "first_index", "n_entries", "chunk_entries", "chunk_id", "estimated_size"}
+    ok = split.filter(F.col("status") == "ok").drop(*[c for c in split.columns if c in produced])
     x = ok.select("*", F.posexplode("breaks").alias("chunk_index", "first_index"))
     nxt = F.try_element_at(F.col("breaks"), F.col("chunk_index") + 2)
     end = F.when(F.col("chunk_index") + 1 < F.col("total_chunks"), nxt).otherwise(F.size("entries"))
