@@ -142,15 +142,21 @@ def scan_documents(docs: DataFrame, benchmark: DataFrame, n: int = NGRAM, id_col
     u = scans[0]
     for x in scans[1:]:
         u = u.unionAll(x)
-    word = F.flatten(F.transform(F.flatten(F.collect_list("spans")), lambda x: F.sequence(x["start"], x["stop"] - 1)))
+    span = "array<struct<start:int,stop:int>>"
+
+    def join(a, x):  # a: merged runs so far, x: the next one by start
+        last = F.get(a, F.size(a) - 1)
+        longer = F.struct(last["start"].alias("start"), F.greatest(last["stop"], x["stop"]).alias("stop"))
+        return F.when((F.size(a) > 0) & (x["start"] <= last["stop"]), F.concat(F.slice(a, F.lit(1), F.size(a) - 1), F.array(longer))).otherwise(
+            F.concat(a, F.array(x)))
+
     g = u.groupBy("_k", "doc_id").agg(F.first("n_words").alias("n_words"), F.count(F.lit(1)).alias("_n"),
-                                      F.array_sort(F.array_distinct(word)).alias("_w"),
+                                      F.array_sort(F.array_distinct(F.flatten(F.collect_list("spans")))).alias("_s"),
                                       F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
-    spans = F.transform(F.filter("_w", lambda x: ~F.array_contains(F.col("_w"), x - 1)),
-                        lambda x: F.struct(x.alias("start"), (F.element_at(F.filter(
-                            F.col("_w"), lambda y: (y >= x) & ~F.array_contains(F.col("_w"), y + 1)), 1) + 1).alias("stop")))
+    g = g.withColumn("spans", F.aggregate("_s", F.array().cast(span), join))
+    n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda a, x: a + x["stop"] - x["start"])
     copies = F.explode(F.sequence(F.lit(1), (F.col("_n") / F.lit(len(parts))).cast("int")))
-    return g.select("doc_id", "n_words", F.size("_w").cast("long").alias("n_hit"), spans.alias("spans"), "items", copies.alias("_c")).drop("_c")
+    return g.select("doc_id", "n_words", n_hit.alias("n_hit"), "spans", "items", copies.alias("_c")).drop("_c")
 
 
 def _keyed(d: DataFrame) -> DataFrame:

@@ -31,8 +31,8 @@ MIN_GROUP = 100
 SPREAD = 4.0
 #: Added to each fence, so that a measure without spread (all zero) still
 #: leaves room: symbols per character, repeated lines per 100 words, characters
-#: per word, share of repeated words.
-MARGIN = {"symbols": 0.03, "dup_lines": 1.0, "word_len": 1.0, "repeat": 0.05}
+#: per word.
+MARGIN = {"symbols": 0.03, "dup_lines": 2.0, "word_len": 1.0}
 WORD_SPLIT = r"[\x20\x09-\x0D]+"
 SYMBOLS = r"[#*$%&|<>]"
 #: Groups in the fence table below which it is broadcast.
@@ -90,7 +90,7 @@ def measures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
 def _ratios() -> dict[str, Column]:
     n = F.greatest("n_words", F.lit(1)).cast("double")
     return {"symbols": F.col("n_symbols") / F.greatest("word_chars", F.lit(1)).cast("double"), "dup_lines": 100.0 * F.col("n_dup_lines") / n,
-            "word_len": F.col("word_chars") / n, "repeat": F.col("n_repeat_words") / n}
+            "word_len": F.col("word_chars") / n}
 
 
 def fences(m: DataFrame) -> DataFrame:
