@@ -1,7 +1,7 @@
 """JSON column functions: strict parse, canonical byte size, field access.
 
-All functions return ``Column`` expressions, so they run inside whole-stage
-codegen next to the scan; nothing here leaves the JVM.
+All functions return ``Column`` expressions that stay in the JVM, next to the
+scan; the JSON parsers among them run interpreted.
 """
 
 from __future__ import annotations
@@ -37,41 +37,53 @@ def canonical_json(value: Column) -> Column:
     return F.to_json(F.try_parse_json(value))
 
 
-def canonical_size(value: Column, escape_html: bool = True) -> Column:
-    return json_size(canonical_json(value), escape_html)
+# Parser settings under which only RFC 8259 text parses (no single quotes, raw
+# control characters, NaN or leading zeros), whatever the text's length.
+STRICT_JSON = {"mode": "PERMISSIVE", "allowSingleQuotes": "false", "allowUnquotedControlChars": "false",
+               "allowUnquotedFieldNames": "false", "allowNonNumericNumbers": "false", "allowNumericLeadingZeros": "false",
+               "allowBackslashEscapingAnyCharacter": "false", "allowComments": "false", "maxStringLen": "2147483647",
+               "maxNestingDepth": "10000"}
 
 
-def strict_parse(value: Column) -> tuple[Column, Column]:
-    """Parse a line once, strictly (H3): returns ``(doc, status)``.
-
-    The line is wrapped in ``[...]`` and parsed as VARIANT: it is valid only
-    when that array has exactly one element, so trailing text or several
-    documents on one line are rejected.  A valid single value is an object
-    exactly when its first non-blank character is ``{``.  ``status`` is one
-    of ``blank`` (zero length), ``invalid_json``, ``not_object``, ``ok``;
-    ``doc`` is the VARIANT of the value (NULL unless parsed).
-    """
-    w = F.try_parse_json(F.concat(F.lit("["), value, F.lit("]")))
-    doc = F.try_variant_get(w, "$[0]", "variant")
-    extra = F.try_variant_get(w, "$[1]", "variant")
-    status = (F.when(F.length(value) == 0, F.lit("blank"))
-              .when(w.isNull() | doc.isNull() | extra.isNotNull(), F.lit("invalid_json"))
-              .when(F.substring(F.ltrim(value, F.lit(" \t\r\n")), 1, 1) != "{", F.lit("not_object"))
-              .otherwise(F.lit("ok")))
-    return doc, status
+def is_one_value(value: Column) -> Column:
+    """Whether a text is exactly one JSON value and nothing else.
+
+    The text is placed inside an object, ``{"v":TEXT,"end":1}``: the strict
+    parser must reach ``end``, so a stray closing bracket or junk fails.  It is
+    also placed inside an array, which must then hold one element, so
+    ``1,"k":2`` fails.  What passes both is one value.  Both passes stream;
+    no document is built and there is no size limit."""
+    end = F.from_json(F.concat(F.lit('{"v":'), value, F.lit(',"end":1}')), "end int", STRICT_JSON)["end"]
+    n = F.json_array_length(F.concat(F.lit("["), value, F.lit("]")))
+    return F.coalesce((end == 1) & (n == 1), F.lit(False))
 
 
 def parse_status(value: Column) -> Column:
-    """Status part of ``strict_parse`` without building the document: a
-    streaming pass counts the elements of ``[value]`` (Jackson, nothing
-    materialised) and the first non-blank character tells an object."""
-    n = F.json_array_length(F.concat(F.lit("["), value, F.lit("]")))
+    """Strict status of a line (H3): ``blank`` (zero length), ``invalid_json``,
+    ``not_object`` or ``ok``.  A valid single value is an object exactly when
+    its first non-blank character is ``{``."""
     return (F.when(F.length(value) == 0, F.lit("blank"))
-            .when(n.isNull() | (n != 1), F.lit("invalid_json"))
+            .when(~is_one_value(value), F.lit("invalid_json"))
             .when(F.substring(F.ltrim(value, F.lit(" \t\r\n")), 1, 1) != "{", F.lit("not_object"))
             .otherwise(F.lit("ok")))
 
 
+def strict_parse(value: Column) -> tuple[Column, Column]:
+    """``(doc, status)``: the VARIANT of a strictly valid value and its status.
+    The VARIANT is NULL for a value that is not valid, or beyond 16 MiB (use
+    the streaming readers there)."""
+    status = parse_status(value)
+    return F.when(status.isin("ok", "not_object"), F.try_parse_json(value)), status
+
+
+def one_line(value: Column) -> Column:
+    """Canonical JSON text; a valid value beyond the VARIANT limit keeps its
+    own text, with line breaks (white space there) as spaces."""
+    broken = F.contains(value, F.lit("\n")) | F.contains(value, F.lit("\r"))
+    own = F.when(broken, F.regexp_replace(value, "[\r\n]", " ")).otherwise(value)
+    return F.coalesce(canonical_json(value), own)
+
+
 HEADER_SCHEMA = "resourceType variant, id variant"
 
 

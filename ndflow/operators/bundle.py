@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ndflow.functions.jsonfn import ZERO_TIME, escape_growth, json_size, rfc3339_normalized, string_field
+from ndflow.functions.jsonfn import STRICT_JSON, ZERO_TIME, escape_growth, is_one_value, json_size, one_line, rfc3339_normalized, string_field
 
 # Per-chunk allowance of the packing rule (bytes).
 BUNDLE_OVERHEAD = 200
@@ -231,10 +231,7 @@ def oversized_resources(res: DataFrame, threshold: int, escape_html: bool = True
     """P5: non-Bundle resources whose canonical size is over the threshold
     (strict).  Expects ``value`` (JSON text) and optional ``resource_type``/
     ``resource_id`` (NULL when absent or not a string)."""
-    # canonical size; lines beyond the VARIANT limit (16 MiB) fall back to
-    # their raw size, which is then far above any budget anyway
-    size = F.coalesce(json_size(F.to_json(F.try_parse_json(F.col("value"))), escape_html),
-                      json_size(F.col("value"), escape_html))
+    size = json_size(one_line(F.col("value")), escape_html)
     return (res.withColumn("size", size)
             .filter((F.coalesce(F.col("resource_type"), F.lit("")) != "Bundle") & (F.col("size") > threshold))
             .withColumn("error_resource_type", F.coalesce("resource_type", F.lit("Unknown")))
@@ -255,7 +252,7 @@ def bundles_from_lines(lines: DataFrame, value_col: str = "value", canonicalize:
     handles lines beyond the VARIANT size limit; with ``canonicalize`` each
     entry is re-serialised compact with sorted keys (what the reference
     measures), one entry at a time."""
-    p = F.from_json(F.col(value_col), BUNDLE_LINE_SCHEMA)
+    p = F.from_json(F.col(value_col), BUNDLE_LINE_SCHEMA, STRICT_JSON)
     x = lines.select("*", p.alias("_b"))
     entries = F.col("_b.entry")
     if canonicalize:
@@ -277,16 +274,18 @@ STRUCTURE_RULES = {
 
 
 def bundle_structure(value: Column) -> Column:
-    """First failing structure rule of a Bundle document, NULL if fine."""
-    v = F.try_parse_json(value)
-    def typ(p):
-        f = F.try_variant_get(v, p, "variant")
-        return F.when(f.isNotNull(), F.schema_of_variant(f))
-    entry_t = typ("$.entry")
-    # every element must be an object: ARRAY<OBJECT...> (or empty ARRAY<VOID>)
-    return (F.when(v.isNull(), STRUCTURE_RULES["json"])
-            .when(F.coalesce(typ("$.id"), F.lit("")) != "STRING", STRUCTURE_RULES["id"])
-            .when(F.coalesce(typ("$.type"), F.lit("")) != "STRING", STRUCTURE_RULES["type"])
-            .when(~F.coalesce(entry_t, F.lit("")).startswith("ARRAY"), STRUCTURE_RULES["entry"])
-            .when(~(entry_t.startswith("ARRAY<OBJECT") | (entry_t == "ARRAY<VOID>")),
-                  STRUCTURE_RULES["entry_object"]))
+    """First failing structure rule of a Bundle document, NULL if fine.
+    Read field by field, so the document's size does not matter; an entry
+    beyond the VARIANT limit is told by its first character."""
+    h = F.from_json(value, "id variant, type variant", STRICT_JSON)
+    arr = F.from_json(value, "entry array<variant>", STRICT_JSON)["entry"]
+    raw = F.from_json(value, "entry array<string>", STRICT_JSON)["entry"]
+    def is_string(v):
+        return F.coalesce(F.schema_of_variant(v) == "STRING", F.lit(False))
+    is_object = F.forall(F.arrays_zip(arr.alias("v"), raw.alias("t")), lambda x: F.coalesce(
+        F.schema_of_variant(x["v"]).startswith("OBJECT"), F.coalesce(x["t"].startswith("{"), F.lit(False))))
+    return (F.when(~is_one_value(value), STRUCTURE_RULES["json"])
+            .when(~is_string(h["id"]), STRUCTURE_RULES["id"])
+            .when(~is_string(h["type"]), STRUCTURE_RULES["type"])
+            .when(raw.isNull(), STRUCTURE_RULES["entry"])
+            .when(~is_object, STRUCTURE_RULES["entry_object"]))

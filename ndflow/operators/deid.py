@@ -13,24 +13,49 @@ from __future__ import annotations
 import json
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-PSEUDONYM_HEX = 16
+PSEUDONYM_HEX = 32
 
+_KEYS: dict = {}
 
-def pseudonym(resource_type: Column, resource_id: Column, secret: str, n: int = PSEUDONYM_HEX) -> Column:
+
+def key_column(secret: str | Column) -> Column:
+    """The key as a one-row scalar subquery: it is bound when the query runs
+    and does not appear as a literal in plans or logs.  Inside array functions,
+    where Spark takes no subquery, put it in a column first and pass that."""
+    if isinstance(secret, Column):
+        return secret
+    spark = SparkSession.active()
+    at = (id(spark), secret)
+    if at not in _KEYS or _KEYS[at].sparkSession is not spark:
+        _KEYS[at] = spark.createDataFrame([(secret + ":",)], "k string")
+    return _KEYS[at].scalar()
+
+
+def pseudonym(resource_type: Column, resource_id: Column, secret: str | Column, n: int = PSEUDONYM_HEX) -> Column:
     """Keyed, consistent pseudonym of ``Type/id``: the first ``n`` hex
-    digits of sha256(secret ':' Type '/' id).  The secret is an argument and
-    never stored in outputs."""
-    return F.substring(F.sha2(F.concat(F.lit(secret + ":"), resource_type, F.lit("/"), resource_id), 256), 1, n)
+    digits of sha256(secret ':' Type '/' id); 32 digits keep 10^11 resources
+    apart."""
+    return F.substring(F.sha2(F.concat(key_column(secret), resource_type, F.lit("/"), resource_id), 256), 1, n)
+
+
+# Reference shapes - [base/]Type/id[/_history/version] and
+# urn:uuid: or urn:oid: names.
+REFERENCE_RE = r"^((?:[A-Za-z][A-Za-z0-9+.\-]*://[^?#]*/)?)([A-Za-z]+)/([^/?#]+)((?:/_history/[^/?#]+)?)$"
+URN_RE = r"^(urn:(?:uuid|oid)):(.+)$"
 
 
-def pseudonymize_reference(ref: Column, secret: str, n: int = PSEUDONYM_HEX) -> Column:
-    """``Type/id`` -> ``Type/<pseudonym of Type/id>``; other text unchanged."""
-    t = F.regexp_extract(ref, r"^([A-Za-z]+)/(.+)$", 1)
-    i = F.regexp_extract(ref, r"^([A-Za-z]+)/(.+)$", 2)
-    return F.when(t != "", F.concat(t, F.lit("/"), pseudonym(t, i, secret, n))).otherwise(ref)
+def pseudonymize_reference(ref: Column, secret: str | Column, n: int = PSEUDONYM_HEX) -> Column:
+    """The id in a reference or ``fullUrl`` becomes the pseudonym that its
+    resource gets: relative, absolute and versioned references keep their base
+    and version; ``urn:uuid:x`` maps alike wherever it stands; other text is
+    unchanged."""
+    base, t, i, version = (F.regexp_extract(ref, REFERENCE_RE, g) for g in (1, 2, 3, 4))
+    urn, name = F.regexp_extract(ref, URN_RE, 1), F.regexp_extract(ref, URN_RE, 2)
+    return (F.when(t != "", F.concat(base, t, F.lit("/"), pseudonym(t, i, secret, n), version))
+            .when(urn != "", F.concat(urn, F.lit(":"), pseudonym(urn, name, secret, n))).otherwise(ref))
 
 
 # The actions a rule table may use.
@@ -89,19 +114,19 @@ def rebuild(template) -> Column:
 
 def pseudonym_map(resources: DataFrame, secret: str, prefix_len: int = 2) -> DataFrame:
     """Distinct ``(resource_type, resource_id)`` with the keyed pseudonym
-    and a sequential pseudonym (``PA_00001`` style, in id order per type).
+    and a sequential pseudonym (``PA_00001`` style, in id order per type; more
+    digits when five are not enough).
 
-    The sequence is a two-level row number over id prefixes, so one large
-    type does not go to one task."""
-    from ndflow.plans.seq import grouped_running_sums
+    Ids are numbered through sampled id ranges, so a large type is spread over
+    all tasks whatever its ids look like."""
+    from ndflow.plans.seq import range_row_number
     d = resources.select("resource_type", "resource_id").distinct()
-    d = d.withColumn("_one", F.lit(1).cast("long"))
-    n = grouped_running_sums(d, ["resource_type"], ["resource_id"], {"n": "_one"},
-                             bucket=F.substring("resource_id", 1, 3))
+    n = range_row_number(d, ["resource_type"], "resource_id", "n")
+    num = F.col("n").cast("string")
     return n.select("resource_type", "resource_id",
                     pseudonym(F.col("resource_type"), F.col("resource_id"), secret).alias("pseudonym"),
                     F.concat(F.upper(F.substring("resource_type", 1, prefix_len)), F.lit("_"),
-                             F.lpad(F.col("n").cast("string"), 5, "0")).alias("sequential"))
+                             F.when(F.length(num) < 5, F.lpad(num, 5, "0")).otherwise(num)).alias("sequential"))
 
 
 def external(df: DataFrame, fn: Callable[[dict], dict], doc_col: str = "value",

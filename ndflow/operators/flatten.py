@@ -29,10 +29,18 @@ ENCOUNTER_PATHS = {
 
 def flatten(lines: DataFrame, paths: dict[str, tuple[str, str]], resource_type: str | None = None,
             value_col: str = "value", keep: tuple[str, ...] = ()) -> DataFrame:
-    """One typed column per ``name -> (json path, type)``; rows of other
-    resource types are filtered out first (pushed below the parse)."""
+    """One typed column per ``name -> (json path, type)``, read from one VARIANT
+    of the value.  A value beyond the VARIANT limit is read path by path.
+    ``resource_type`` keeps the rows of one type.  An ``array<...>`` type keeps
+    every element of a path; a path with ``[0]`` takes the first."""
     v = F.try_parse_json(F.col(value_col))
-    x = lines.select(*keep, v.alias("_v"))
+    x = lines.select(*keep, F.col(value_col).alias("_text"), v.alias("_v"))
+
+    def read(path, kind):
+        by_path = F.get_json_object("_text", path)
+        slow = F.from_json(by_path, kind) if kind.startswith(("array", "struct", "map")) else by_path.cast(kind)
+        return F.when(F.col("_v").isNotNull(), F.try_variant_get("_v", path, kind)).otherwise(slow)
+
     if resource_type is not None:
-        x = x.filter(F.try_variant_get("_v", "$.resourceType", "string") == resource_type)
-    return x.select(*keep, *[F.try_variant_get("_v", p, t).alias(c) for c, (p, t) in paths.items()])
+        x = x.filter(read("$.resourceType", "string") == resource_type)
+    return x.select(*keep, *[read(p, t).alias(c) for c, (p, t) in paths.items()])

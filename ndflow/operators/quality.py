@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ndflow.functions.jsonfn import RFC3339_RE
+from ndflow.functions.jsonfn import RFC3339_RE, is_one_value
 
 
 # Rule messages, in the order the rules are checked.
@@ -51,18 +51,20 @@ def _jtype(v: Column, path: str) -> Column:
 
 
 def chunk_contract_error(doc: Column) -> Column:
-    """First rule a chunk document breaks, NULL if it meets the contract."""
-    v = F.try_parse_json(doc)
+    """First rule a chunk document breaks, NULL if it meets the contract.
+    A text that is not exactly one JSON value is no Bundle.  Fields are read
+    one by one, so the document's size does not matter."""
+    doc = F.when(is_one_value(doc), doc)
     n = F.coalesce(F.json_array_length(F.get_json_object(doc, "$.entry")), F.lit(0))
-    total = F.try_variant_get(v, "$.total", "long")
-    ts = F.try_variant_get(v, "$.timestamp", "string")
+    h = F.from_json(doc, "resourceType string, type string, id string, total long, timestamp string")
+    total, ts = h["total"], h["timestamp"]
     entries = F.from_json(F.get_json_object(doc, "$.entry"), "array<string>")
     rt_list = F.transform(entries, lambda e: F.get_json_object(e, "$.resource.resourceType"))
-    return (F.when(F.coalesce(F.try_variant_get(v, "$.resourceType", "string"), F.lit("")) != "Bundle",
+    return (F.when(F.coalesce(h["resourceType"], F.lit("")) != "Bundle",
                    CHUNK_RULES["bundle"])
-            .when(~F.coalesce(F.try_variant_get(v, "$.type", "string"), F.lit("")).isin("document", "collection"),
+            .when(~F.coalesce(h["type"], F.lit("")).isin("document", "collection"),
                   CHUNK_RULES["type"])
-            .when(~F.coalesce(F.try_variant_get(v, "$.id", "string"), F.lit("")).rlike(r"^.+-chunk-[0-9]+$"),
+            .when(~F.coalesce(h["id"], F.lit("")).rlike(r"^.+-chunk-[0-9]+$"),
                   CHUNK_RULES["id"])
             .when(n == 0, CHUNK_RULES["entries"])
             .when(total.isNotNull() & (total != n), CHUNK_RULES["total"])
@@ -76,13 +78,20 @@ STEP_NAMES = ("torch", "local_import", "http_import", "dimp", "validation", "csv
               "parquet_conversion")
 
 
+def safe_path(path: Column) -> Column:
+    """Whether a relative path stays below its root: cleaned of ``.``, empty and
+    ``name/..`` parts, it must not be absolute nor begin with ``..``."""
+    part = F.filter(F.split(path, "/"), lambda x: (x != "") & (x != "."))
+    up = F.aggregate(part, F.array().cast("array<string>"), lambda a, x: F.when(
+        (x == "..") & (F.size(a) > 0) & (F.get(a, F.size(a) - 1) != ".."), F.slice(a, F.lit(1), F.size(a) - 1)).otherwise(F.concat(a, F.array(x))))
+    return ~path.startswith("/") & ~F.coalesce(F.get(up, F.lit(0)).startswith(".."), F.lit(False))
+
+
 def manifest_error(file_name: Column, file_path: Column, file_size: Column, line_count: Column,
                    source_step: Column) -> Column:
     """First failing manifest rule (extension, safe path, size, lines,
     step)."""
-    # a path is unsafe when absolute or when, cleaned, it climbs above its root
-    cleaned = F.regexp_replace(F.regexp_replace(file_path, r"(^|/)\./", "$1"), r"/+", "/")
-    unsafe = cleaned.startswith("/") | cleaned.startswith("..")
+    unsafe = ~safe_path(file_path)
     return (F.when(~F.lower(file_name).endswith(".ndjson"), MANIFEST_RULES["extension"])
             .when(unsafe, F.concat(F.lit(MANIFEST_RULES["path"]), file_path))
             .when(file_size <= 0, MANIFEST_RULES["size"])
@@ -91,8 +100,9 @@ def manifest_error(file_name: Column, file_path: Column, file_size: Column, line
 
 
 def query_doc_error(doc: Column) -> Column:
-    """Cohort-query document check; first failure, NULL when valid."""
-    v = F.try_parse_json(doc)
+    """Cohort-query document check; first failure, NULL when valid.  (A
+    query is a small parameter document; beyond 16 MiB it is not valid.)"""
+    v = F.when(is_one_value(doc), F.try_parse_json(doc))
     has = lambda p: F.try_variant_get(v, p, "variant").isNotNull()
     return (F.when(F.length(doc) == 0, QUERY_DOC_RULES["empty"])
             .when(v.isNull() | ~F.coalesce(F.schema_of_variant(v), F.lit("")).startswith("OBJECT"), QUERY_DOC_RULES["json"])

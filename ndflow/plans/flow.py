@@ -1,58 +1,91 @@
-"""End-to-end flow (E1): import -> quarantine -> size guard -> de-identify ->
-NDJSON / CSV / Parquet, as one composition of DataFrame operators.
-
-``plan_flow`` is lazy (one DataFrame per output); ``run_flow`` writes each
-sink once (one job per sink) and returns the written paths.
+"""End-to-end flow (E1): import -> quarantine -> route -> size guard -> split
+-> de-identify -> validate -> NDJSON / CSV / Parquet and ledger rows, as one
+composition of DataFrame operators.
+
+``plan_flow`` is lazy (one DataFrame per output).  ``run_flow`` writes each
+sink once, one folder per source file, so a rerun replaces only the files it
+processes, and skips files that an earlier run finished.
+
+Bundles over the budget are packed (B4) for the size rule and the ledger's
+chunk count.  De-identifying entry by entry gives the same document whether a
+bundle is cut into chunks or not (D8), so the document itself stays one row
+and is not shuffled.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ndflow.functions.jsonfn import json_size
-from ndflow.operators.deid import pseudonym, rebuild, security_meta
+from ndflow.functions.jsonfn import STRICT_JSON, json_size, one_line
+from ndflow.operators.bundle import BUNDLE_OVERHEAD, entry_sizes, pack_breaks, route
+from ndflow.operators.deid_doc import deidentify_documents
+from ndflow.operators.flatten import ENCOUNTER_PATHS, PATIENT_PATHS, flatten
 from ndflow.sinks.files import output_name, write_csv, write_ndjson, write_parquet
 from ndflow.sources.ndjson import parse_lines, quarantine
 
-# Paths kept from a text resource.  The id is pseudonymised
-# with the row's own type (``Type/id``); source and text are kept; any other
-# field is dropped.
-TEXT_PATHS = {"id": ("$.id", "string"), "source": ("$.source", "string"), "text": ("$.text", "string")}
-
-
-def deidentify_text_resources(ok: DataFrame, secret: str) -> DataFrame:
-    """Flatten (declared paths), apply the rule table, rebuild the document
-    with security labels; the pseudonym is keyed by ``Type/id``."""
-    v = F.try_parse_json(F.col("value"))
-    flat = ok.select("file_name", "line_no", "resource_type",
-                     *[F.try_variant_get(v, p, t).alias(c) for c, (p, t) in TEXT_PATHS.items()])
-    d = flat.select("file_name", "line_no", "resource_type", "source", "text",
-                    pseudonym(F.col("resource_type"), F.col("id"), secret).alias("id"))
-    doc = F.to_json(rebuild({"id": "id", "meta": security_meta(), "resourceType": "resource_type",
-                             "source": "source", "text": "text"}))
-    return d.select("file_name", "line_no", "resource_type", "id", doc.alias("value"))
+#: Columns of a line that identify its file's version, where the scan has them.
+FILE_KEYS = ("file_name", "file_size", "file_mtime")
+#: Types that are flattened into tables (F1).
+FLAT_TYPES = {"Patient": PATIENT_PATHS, "Encounter": ENCOUNTER_PATHS}
+
+
+def _routed(ok: DataFrame, threshold: int) -> DataFrame:
+    """Canonical size, route and, for bundles, entry sizes and packing.
+
+    ``over_*`` name what exceeds the budget: a resource, or the first entry of
+    a large bundle that no chunk can hold."""
+    x = ok.withColumn("value", one_line(F.col("value"))).withColumn("size", json_size(F.col("value")))
+    x = x.withColumn("route", route(F.col("resource_type"), F.col("size"), threshold))
+    bundle = F.col("route").startswith("bundle")
+    entries = F.transform(F.from_json("value", "entry array<string>", STRICT_JSON)["entry"], one_line)
+    x = x.withColumn("_e", F.when(bundle, F.coalesce(entries, F.array().cast("array<string>"))))
+    x = x.withColumn("_s", entry_sizes(F.col("_e")))
+    split = F.col("route") == "bundle_split"
+    at = F.array_position(F.transform("_s", lambda s: s + BUNDLE_OVERHEAD > threshold), True).cast("int")
+    x = x.withColumn("_at", F.when(split & (at > 0), at))
+    e = F.try_element_at("_e", F.col("_at"))
+    single_over = (F.col("route") == "single_resource") & (F.col("size") > threshold)
+    chunks = F.when(split & F.col("_at").isNull() & (F.size("_e") > 0), F.size(pack_breaks(F.col("_s"), threshold)))
+    return x.select(
+        *ok.columns, "size", "route", F.coalesce(F.size("_e"), F.lit(0)).alias("n_entries"),
+        F.coalesce(chunks, F.lit(1)).alias("total_chunks"), (F.col("_at").isNotNull() | single_over).alias("is_over"),
+        F.when(F.col("_at").isNotNull(), F.coalesce(F.get_json_object(e, "$.resource.resourceType"), F.lit("Unknown")))
+        .otherwise(F.col("resource_type")).alias("over_type"),
+        F.when(F.col("_at").isNotNull(), F.coalesce(F.get_json_object(e, "$.resource.id"), F.lit("unknown")))
+        .otherwise(F.col("resource_id")).alias("over_id"),
+        F.when(F.col("_at").isNotNull(), F.try_element_at("_s", F.col("_at"))).otherwise(F.col("size")).alias("over_size"))
 
 
 def plan_flow(lines: DataFrame, secret: str, threshold: int) -> dict[str, DataFrame]:
+    """Lazy outputs: ``parsed``, ``routed``, ``rejects`` (lines of white space
+    are skipped, not rejected), ``oversized`` and ``deidentified``."""
     parsed = parse_lines(lines)
-    rejects = quarantine(parsed)
-    ok = parsed.filter(F.col("status") == "ok").withColumn("size", json_size(F.col("value")))
-    oversized = ok.filter(F.col("size") > threshold)
-    accepted = ok.filter(F.col("size") <= threshold)
-    deid = deidentify_text_resources(accepted, secret)
-    return {"parsed": parsed, "rejects": rejects, "oversized": oversized, "deidentified": deid}
+    routed = _routed(parsed.filter(F.col("status") == "ok"), threshold)
+    accepted = routed.filter(~F.col("is_over")).select(
+        *[c for c in FILE_KEYS if c in lines.columns], "line_no", "resource_type", "route", "n_entries", "total_chunks", "size", "value")
+    return {"parsed": parsed, "rejects": quarantine(parsed.filter(~F.col("blank_trimmed"))), "routed": routed,
+            "oversized": routed.filter(F.col("is_over")), "deidentified": deidentify_documents(accepted, secret)}
+
+
+def _stages(status: Column, blank: Column, is_over: Column, route_: Column) -> dict[str, Column]:
+    ok = status == "ok"
+    fine = ok & ~F.coalesce(is_over, F.lit(False))
+    return {"lines": F.lit(True), "blank": blank, "rejected": ~blank & (status != "ok"), "oversized": ok & F.coalesce(is_over, F.lit(False)),
+            "accepted": fine, "bundle_split": fine & (route_ == "bundle_split"), "bundle_direct": fine & (route_ == "bundle_direct")}
+
+
+def _staged(plan: dict[str, DataFrame], threshold: int) -> tuple[DataFrame, dict[str, Column]]:
+    parsed = plan["parsed"]
+    sized = parsed.withColumn("_b", F.octet_length("value").cast("long") + 1)
+    x = _routed(sized.withColumn("value", F.when(F.col("status") == "ok", F.col("value")).otherwise(F.lit("{}"))), threshold)
+    return x, _stages(F.col("status"), F.col("blank_trimmed"), F.col("is_over"), F.col("route"))
 
 
 def stage_counts(plan: dict[str, DataFrame], threshold: int) -> DataFrame:
-    """Rows per stage from one aggregate over the parsed lines:
+    """Rows and bytes per stage from one aggregate over the parsed lines:
     (stage, n, bytes)."""
-    p = plan["parsed"].select("status", json_size(F.col("value")).alias("_size"),
-                              (F.octet_length("value").cast("long") + 1).alias("_b"))
-    ok = F.col("status") == "ok"
-    stages = {"lines": F.lit(True), "blank": F.col("status") == "blank",
-              "rejected": ~F.col("status").isin("ok", "blank"),
-              "oversized": ok & (F.col("_size") > threshold), "accepted": ok & (F.col("_size") <= threshold)}
+    p, stages = _staged(plan, threshold)
     g = p.agg(*[F.count_if(c).alias(f"n_{k}") for k, c in stages.items()],
               *[F.sum(F.when(c, F.col("_b")).otherwise(0)).cast("long").alias(f"b_{k}") for k, c in stages.items()])
     rows = F.array(*[F.struct(F.lit(k).alias("stage"), F.col(f"n_{k}").alias("n"), F.col(f"b_{k}").alias("bytes"))
@@ -60,36 +93,83 @@ def stage_counts(plan: dict[str, DataFrame], threshold: int) -> DataFrame:
     return g.select(F.inline(rows))
 
 
-def run_flow(lines: DataFrame, secret: str, threshold: int, out_dir: str) -> dict[str, str]:
-    """Write every sink once; returns their paths."""
-    plan = plan_flow(lines, secret, threshold)
-    paths = {k: f"{out_dir}/{k}" for k in ("ndjson", "rejects", "oversized", "csv", "parquet")}
-    deid = plan["deidentified"].withColumn("output_file", output_name(F.col("file_name")))
-    write_ndjson(deid, paths["ndjson"], partition_col="output_file")
-    plan["rejects"].write.mode("overwrite").parquet(paths["rejects"])
-    plan["oversized"].select("file_name", "line_no", "resource_type", "resource_id", "size") \
-        .write.mode("overwrite").parquet(paths["oversized"])
-    flat = plan["deidentified"].select("file_name", "line_no", "resource_type", "id")
-    write_csv(flat, paths["csv"])
-    write_parquet(flat, paths["parquet"], partition_by=["resource_type"])
+def ledger_rows(plan: dict[str, DataFrame], threshold: int) -> DataFrame:
+    """One ledger row per source file: counts per stage and chunks written."""
+    p, stages = _staged(plan, threshold)
+    keys = [c for c in FILE_KEYS if c in p.columns]
+    g = p.groupBy(*keys).agg(*[F.count_if(c).alias(k) for k, c in stages.items()],
+                             F.sum(F.when(stages["accepted"], F.col("total_chunks"))).alias("chunks"))
+    status = F.when(F.col("accepted") + F.col("oversized") + F.col("rejected") == 0, "empty").when(
+        F.col("oversized") + F.col("rejected") > 0, "completed_with_rejects").otherwise("completed")
+    return g.select("*", F.lit("dimp").alias("step"), status.alias("status"))
+
+
+def pending_lines(lines: DataFrame, ledger: DataFrame | None) -> DataFrame:
+    """Lines of files that no finished run has processed in the same
+    version (name, and size and time where the scan has them)."""
+    if ledger is None:
+        return lines
+    keys = [c for c in FILE_KEYS if c in lines.columns and c in ledger.columns]
+    return lines.join(F.broadcast(ledger.select(*keys).distinct()) if _small(ledger) else ledger.select(*keys).distinct(), keys, "left_anti")
+
+
+def _small(df: DataFrame, limit: int = 1_000_000) -> bool:
+    return df.limit(limit + 1).count() <= limit
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
+def run_flow(lines: DataFrame, secret: str, threshold: int, out_dir: str, resume: bool = True) -> dict[str, str]:
+    """Write every sink once; returns their paths.
+
+    Every sink has one folder per source file and is overwritten by folder, so
+    earlier files' output stays.  The ledger is written last: a file counts as
+    done only when all its outputs are there."""
+    spark = lines.sparkSession
+    paths = {k: f"{out_dir}/{k}" for k in ("ndjson", "rejects", "oversized", "csv", "parquet", "ledger")}
+    done = spark.read.parquet(paths["ledger"]) if resume and _exists(spark, paths["ledger"]) else None
+    plan = plan_flow(pending_lines(lines, done), secret, threshold)
+    deid = plan["deidentified"]
+    write_ndjson(deid.withColumn("output_file", output_name(F.col("file_name"))), paths["ndjson"], partition_col="output_file")
+    by_file = ["file_name"]
+    write_parquet(plan["rejects"], paths["rejects"], by_file)
+    write_parquet(plan["oversized"].select("file_name", "line_no", "resource_type", "resource_id", "size", "over_type", "over_id", "over_size"),
+                  paths["oversized"], by_file)
+    index = deid.select("file_name", "line_no", "resource_type", F.get_json_object("value", "$.id").alias("id"), "route", "n_entries")
+    write_csv(index, paths["csv"], by_file)
+    write_parquet(index, paths["parquet"], ["resource_type", "file_name"])
+    for kind, cols in FLAT_TYPES.items():
+        flat = flatten(deid, cols, kind, keep=("file_name", "line_no"))
+        for fmt, write in (("csv", write_csv), ("parquet", write_parquet)):
+            paths[f"{fmt}_{kind}"] = f"{out_dir}/{fmt}_{kind}"
+            write(flat, paths[f"{fmt}_{kind}"], by_file)
+    write_parquet(ledger_rows(plan, threshold).withColumn("completed_at", F.current_timestamp()), paths["ledger"], by_file)
     return paths
 
 
 def import_directory(spark, src: str, dest: str, source_step: str = "local_import") -> DataFrame:
-    """Check the source (S5), scan every ``*.ndjson`` under it (S1/S3),
-    land the lines unchanged in ``dest`` (one folder per input file, via the
-    committer), and return one manifest row per file (file size from the
-    file system, non-blank line count, type from the name)."""
-    from ndflow.sources.ndjson import check_source, is_blank_trimmed, name_to_type, read_ndjson
+    """Check the source (S5), land the lines of every ``*.ndjson`` under it
+    unchanged in ``dest`` (one folder per input file, by relative path), and
+    return one manifest row per file, empty files included: relative path,
+    name, type from the name, the file's own size, non-blank lines,
+    ``created_at``.
+
+    Files are told apart by their path below ``src``; ``read_ndjson`` of
+    ``dest`` gives each line its original file again."""
+    from ndflow.sources.ndjson import check_source, is_blank_trimmed, list_files, name_to_type, read_ndjson
 
     err = check_source(spark, src)
     if err:
         raise ValueError(err)
-    lines = read_ndjson(spark, src)
-    lines.select("value", "file_name").write.mode("overwrite").partitionBy("file_name").text(dest)
-    return (lines.groupBy("file_name").agg(
-        F.first("file_size").alias("file_size"),
-        F.count_if(~is_blank_trimmed(F.col("value"))).cast("int").alias("line_count"))
-        .select("file_name", F.concat(F.lit(source_step + "/"), F.col("file_name")).alias("file_path"),
-                name_to_type(F.col("file_name")).alias("resource_type"), "file_size",
-                F.lit(source_step).alias("source_step"), "line_count"))
+    lines = read_ndjson(spark, src, line_numbers=False)
+    lines.select("value", F.col("rel_path").alias("source_file")).write.mode("overwrite").option(
+        "partitionOverwriteMode", "dynamic").partitionBy("source_file").text(dest)
+    counts = lines.groupBy("rel_path").agg(F.count_if(~is_blank_trimmed(F.col("value"))).cast("int").alias("line_count"))
+    files = list_files(spark, src)
+    m = files.join(counts, "rel_path", "left")
+    return m.select("file_name", F.concat(F.lit(source_step + "/"), F.col("rel_path")).alias("file_path"),
+                    name_to_type(F.col("file_name")).alias("resource_type"), "file_size", F.lit(source_step).alias("source_step"),
+                    F.coalesce("line_count", F.lit(0)).alias("line_count"), F.current_timestamp().alias("created_at"))

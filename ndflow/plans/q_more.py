@@ -18,7 +18,7 @@ from ndflow.operators.flatten import ENCOUNTER_PATHS, PATIENT_PATHS, flatten
 from ndflow.plans import fixtures as FX
 from ndflow.plans.flow import plan_flow, stage_counts
 from ndflow.plans.q_ops import BASE_URL
-from ndflow.plans.registry import register, with_ctes
+from ndflow.plans.registry import register, sql_json_size, with_ctes
 from ndflow.session import scratch_path
 from ndflow.sinks.files import output_name, write_csv, write_ndjson, write_parquet
 from ndflow.sources.fetch import extraction_urls, fetch, host_of
@@ -29,7 +29,7 @@ SECRET = "ndflow-demo-key"  # example key handed in as a parameter, as a user wo
 
 
 def s_pseudo(t: str, i: str) -> str:
-    return f"substr(sha256('{SECRET}:' || {t} || '/' || {i}), 1, 16)"
+    return f"substr(sha256('{SECRET}:' || {t} || '/' || {i}), 1, 32)"
 
 
 def _scratch(spark, name):
@@ -136,7 +136,7 @@ def q_security_tags(spark, sf_dir):
 
 def _external_patient_rule(doc: dict) -> dict:
     """Example external de-identifier: keyed id hash, names and phones out."""
-    h = hashlib.sha256(f"{SECRET}:Patient/{doc['id']}".encode()).hexdigest()[:16]
+    h = hashlib.sha256(f"{SECRET}:Patient/{doc['id']}".encode()).hexdigest()[:32]
     return {"gender": doc.get("gender"), "id": h, "resourceType": doc["resourceType"]}
 
 
@@ -149,13 +149,17 @@ def q_external_deidentify(spark, sf_dir):
 
 @register("pseudonym_map", sql=with_ctes(FX.SQL_PATIENT_LINES, _SQL_PFLAT, select=f"""
 SELECT resource_type, resource_id, {s_pseudo('resource_type', 'resource_id')} AS pseudonym,
-       upper(substr(resource_type, 1, 2)) || '_' || lpad(CAST(row_number() OVER (PARTITION BY resource_type ORDER BY resource_id) AS VARCHAR), 5, '0') AS sequential
-FROM (SELECT DISTINCT 'Patient' AS resource_type, id AS resource_id FROM pflat
-      UNION SELECT DISTINCT 'Encounter', id FROM eflat)"""))
+       upper(substr(resource_type, 1, 2)) || '_' || CASE WHEN n < 100000 THEN lpad(CAST(n AS VARCHAR), 5, '0') ELSE CAST(n AS VARCHAR) END AS sequential,
+       1 AS uses
+FROM (SELECT *, row_number() OVER (PARTITION BY resource_type ORDER BY resource_id) AS n FROM (SELECT DISTINCT 'Patient' AS resource_type, id AS resource_id FROM pflat
+      UNION SELECT DISTINCT 'Encounter', id FROM eflat))"""))
 def q_pseudonym_map(spark, sf_dir):
     p = _patients(spark, sf_dir).select(F.lit("Patient").alias("resource_type"), F.col("id").alias("resource_id"))
     e = _encounters(spark, sf_dir).select(F.lit("Encounter").alias("resource_type"), F.col("id").alias("resource_id"))
-    return D.pseudonym_map(p.unionByName(e), SECRET)
+    m = D.pseudonym_map(p.unionByName(e), SECRET)
+    # how many resources share a sequential pseudonym: 1 everywhere
+    uses = m.groupBy("resource_type", "sequential").agg(F.count(F.lit(1)).cast("int").alias("uses"))
+    return m.join(uses, ["resource_type", "sequential"])
 
 
 from ndflow.plans.q_bundle import _sql_split  # noqa: E402
@@ -165,30 +169,35 @@ _SQL_SPLIT_T2 = _sql_split(FX.FX_ORDERS_THRESHOLD)
 CLAIM_SCHEMA = "fullUrl string, resource struct<id string, quantity bigint, resourceType string, status string>"
 
 
-def _deid_entries(entries):
-    """De-identify Claim entries (id pseudonym) before packing."""
+def _deid_entries(entries, key):
+    """De-identify Claim entries (id and fullUrl) before packing (H9/D8);
+    ``key`` is a column (subqueries cannot stand inside array functions)."""
     def one(e):
         s = F.from_json(e, CLAIM_SCHEMA)
         r = s["resource"]
-        return F.to_json(F.struct(s["fullUrl"].alias("fullUrl"), F.struct(
-            D.pseudonym(F.lit("Claim"), r["id"], SECRET).alias("id"), r["quantity"].alias("quantity"),
+        return F.to_json(F.struct(D.pseudonymize_reference(s["fullUrl"], key).alias("fullUrl"), F.struct(
+            D.pseudonym(F.lit("Claim"), r["id"], key).alias("id"), r["quantity"].alias("quantity"),
             r["resourceType"].alias("resourceType"), r["status"].alias("status")).alias("resource")))
     return F.transform(entries, one)
 
 
 @register("split_invariance", sql=with_ctes(FX.SQL_ORDER_ENTRIES, _SQL_SPLIT_T2, select="""
-SELECT bundle_id, CAST(n AS INTEGER) AS entry_count, true AS equal FROM bstatus WHERE status = 'ok'"""))
+SELECT bundle_id, CAST(n AS INTEGER) AS entry_count, true AS equal, false AS leaks FROM bstatus WHERE status = 'ok'"""))
 def q_split_invariance(spark, sf_dir):
     """De-identified entries, packed, chunked and reassembled equal the
     unsplit de-identified bundle for every bundle.  The oracle states the
-    invariant: every packable bundle appears once with ``equal = true``."""
-    b = FX.order_bundles(spark, sf_dir).withColumn("entries", _deid_entries(F.col("entries")))
-    whole = b.select("bundle_id", B.bundle_document(b).alias("_whole"))
+    invariant: every packable bundle appears once with ``equal = true``, and
+    no original entry id occurs anywhere in its text (``leaks = false``)."""
+    b = FX.order_bundles(spark, sf_dir)
+    ids = F.transform("entries", lambda e: F.from_json(e, CLAIM_SCHEMA)["resource"]["id"])
+    b = b.select("*", ids.alias("_ids"), D.key_column(SECRET).alias("_key"))
+    b = b.withColumn("entries", _deid_entries(F.col("entries"), F.col("_key"))).drop("sizes", "entry_bytes", "max_entry", "_key")
+    whole = b.select("bundle_id", "_ids", B.bundle_document(b).alias("_whole"))
     r = B.reassemble(B.chunk_rows(B.split_bundles(b, FX.FX_ORDERS_THRESHOLD)))
     j = r.join(whole, "bundle_id")
     canon = F.regexp_replace("document", r',"total":[0-9]+', "")
     return j.select("bundle_id", "entry_count", (canon == F.regexp_replace("_whole", r',"total":[0-9]+', ""))
-                    .alias("equal"))
+                    .alias("equal"), F.exists("_ids", lambda i: F.contains(F.col("document"), i)).alias("leaks"))
 
 
 # ---------------------------------------------------------------------------
@@ -247,29 +256,31 @@ def q_ndjson_roundtrip(spark, sf_dir):
 @register("manifest_validity", sql=with_ctes(f"""
 man AS (
   SELECT page_id, name AS file_name,
-         CASE page_id % 5 WHEN 0 THEN '../escape/' || name WHEN 1 THEN '/abs/' || name ELSE 'import/' || name END AS file_path,
+         CASE page_id % 5 WHEN 0 THEN '../escape/' || name WHEN 1 THEN '/abs/' || name WHEN 2 THEN 'import/../../' || name
+              WHEN 3 THEN 'a/./b/../' || name ELSE 'import/' || name END AS file_path, page_id % 5 IN (0, 1, 2) AS unsafe,
          CAST(strlen(html) AS BIGINT) AS file_size,
          CAST(length(html) - length(replace(html, chr(10), '')) AS INTEGER) AS line_count,
          CASE WHEN page_id % 7 = 3 THEN 'archive' ELSE 'http_import' END AS source_step
   FROM (SELECT page_id, html, regexp_replace(regexp_replace(url, '^[a-zA-Z]+://[^/]*/', ''), '[/?#=&]', '_', 'g') || '.ndjson' AS name FROM pages))""",
     select="""
 SELECT page_id, CASE WHEN NOT ends_with(lower(file_name), '.ndjson') THEN 'file_name must end with .ndjson'
-  WHEN starts_with(file_path, '/') OR starts_with(file_path, '..') THEN 'unsafe file_path detected: ' || file_path
+  WHEN unsafe THEN 'unsafe file_path detected: ' || file_path
   WHEN file_size <= 0 THEN 'file_size must be greater than 0'
   WHEN line_count < 0 THEN 'line_count cannot be negative'
   WHEN source_step NOT IN ('torch', 'local_import', 'http_import', 'dimp', 'validation', 'csv_conversion', 'parquet_conversion')
     THEN 'invalid source_step: ' || source_step END AS manifest_error
 FROM man"""))
 def q_manifest_validity(spark, sf_dir):
-    """P6 over a manifest of the pages (fixed values: page_id mod 5 = 0 climbs
-    out of the root, mod 5 = 1 is absolute; mod 7 = 3 names an unknown
-    step)."""
+    """P6 over a manifest of the pages (fixed values: page_id mod 5 = 0 and 2
+    climb out of the root, 1 is absolute, 3 stays inside through ``..``; mod
+    7 = 3 names an unknown step)."""
     p = FX.table(spark, sf_dir, "pages")
     name = F.concat(F.regexp_replace(F.regexp_replace("url", "^[a-zA-Z]+://[^/]*/", ""), "[/?#=&]", "_"),
                     F.lit(".ndjson"))
     m5 = F.col("page_id") % 5
     path = (F.when(m5 == 0, F.concat(F.lit("../escape/"), F.col("name")))
-            .when(m5 == 1, F.concat(F.lit("/abs/"), F.col("name"))).otherwise(F.concat(F.lit("import/"), F.col("name"))))
+            .when(m5 == 1, F.concat(F.lit("/abs/"), F.col("name")))
+            .when(m5 == 2, F.concat(F.lit("import/../../"), F.col("name"))).when(m5 == 3, F.concat(F.lit("a/./b/../"), F.col("name"))).otherwise(F.concat(F.lit("import/"), F.col("name"))))
     m = p.select("page_id", "html", name.alias("name")).select(
         "page_id", F.col("name").alias("file_name"), path.alias("file_path"),
         F.octet_length("html").cast("long").alias("file_size"),
@@ -533,7 +544,7 @@ FLOW_THRESHOLD = 10_000
 
 @register("end_to_end_counts", sql=with_ctes(FX.SQL_DOCUMENT_LINES, """
 p AS (
-  SELECT value, CASE WHEN length(value) = 0 THEN 'blank'
+  SELECT value, CASE WHEN trim(value, ' ' || chr(9) || chr(13) || chr(10)) = '' THEN 'blank'
     WHEN NOT json_valid(value) THEN 'bad' WHEN json_type(value) <> 'OBJECT' THEN 'bad'
     WHEN json_type(value, '$.resourceType') IS NULL OR json_type(value, '$.resourceType') <> 'VARCHAR' THEN 'bad'
     WHEN json_type(value, '$.id') IS NOT NULL AND json_type(value, '$.id') <> 'VARCHAR' THEN 'bad'
@@ -546,7 +557,8 @@ SELECT stage, n, bytes FROM (
   UNION ALL SELECT 'blank', count(*), CAST(coalesce(sum(b), 0) AS BIGINT) FROM p WHERE st = 'blank'
   UNION ALL SELECT 'rejected', count(*), CAST(coalesce(sum(b), 0) AS BIGINT) FROM p WHERE st = 'bad'
   UNION ALL SELECT 'oversized', count(*), CAST(coalesce(sum(b), 0) AS BIGINT) FROM p WHERE st = 'ok' AND size > {FLOW_THRESHOLD}
-  UNION ALL SELECT 'accepted', count(*), CAST(coalesce(sum(b), 0) AS BIGINT) FROM p WHERE st = 'ok' AND size <= {FLOW_THRESHOLD})"""))
+  UNION ALL SELECT 'accepted', count(*), CAST(coalesce(sum(b), 0) AS BIGINT) FROM p WHERE st = 'ok' AND size <= {FLOW_THRESHOLD}
+  UNION ALL SELECT 'bundle_split', 0, CAST(0 AS BIGINT) UNION ALL SELECT 'bundle_direct', 0, CAST(0 AS BIGINT))"""))
 def q_end_to_end_counts(spark, sf_dir):
     """Lines, blank, rejected, oversized and accepted rows and bytes of
     the import -> quarantine -> size guard -> de-identify flow."""
@@ -557,18 +569,64 @@ def q_end_to_end_counts(spark, sf_dir):
 SELECT file_name, line_no, CAST(to_json(struct_pack(
    id := {s_pseudo("json_extract_string(value, '$.resourceType')", "json_extract_string(value, '$.id')")},
    meta := {_SQL_SECURITY}, resourceType := json_extract_string(value, '$.resourceType'),
-   source := json_extract_string(value, '$.source'), text := json_extract_string(value, '$.text'))) AS VARCHAR) AS value
+   source := json_extract_string(value, '$.source'))) AS VARCHAR) AS value
 FROM fx_lines
 WHERE json_valid(value) AND json_type(value) = 'OBJECT' AND json_type(value, '$.resourceType') = 'VARCHAR'
   AND (json_type(value, '$.id') IS NULL OR json_type(value, '$.id') = 'VARCHAR')
   AND strlen(value) + 5 * (length(value) - length(translate(value, '<>&', ''))) <= {FLOW_THRESHOLD}"""))
 def q_deidentified_documents(spark, sf_dir):
-    """E1 output rows: accepted text resources, de-identified with security
-    labels, as they are written to the NDJSON sink."""
+    """E1 output rows: accepted resources, de-identified (free text goes) with
+    security labels, as they are written to the NDJSON sink."""
     d = plan_flow(FX.document_lines(spark, sf_dir), SECRET, FLOW_THRESHOLD)["deidentified"]
     return d.select("file_name", "line_no", "value")
 
 
+def _mixed_lines(spark, sf_dir):
+    """One input of all kinds: patients, encounters, bundles of conversations
+    (small, large, and with an entry over the budget) and documents."""
+    b = FX.conversation_bundles(spark, sf_dir)
+    parts = [("patients", FX.patient_lines(spark, sf_dir).select("value")), ("encounters", FX.encounter_lines(spark, sf_dir).select("value")),
+             ("bundles", b.select(B.bundle_document(b).alias("value"))), ("documents", FX.document_lines(spark, sf_dir, numbered=False).select("value"))]
+    out = None
+    for name, df in parts:
+        x = df.select(F.lit(name + ".ndjson").alias("file_name"), F.lit(None).cast("long").alias("line_no"), "value")
+        out = x if out is None else out.unionAll(x)
+    return out
+
+
+MIXED_THRESHOLD = FX.FX_BUNDLE_THRESHOLD
+
+
+@register("flow_mixed", sql=with_ctes(FX.SQL_PATIENT_LINES, FX.SQL_CONVERSATION_ENTRIES, _sql_split(MIXED_THRESHOLD), f"""
+docs AS (
+  SELECT json_extract_string(value, '$.resourceType') AS t, {sql_json_size('value')} AS size FROM (
+    SELECT CAST(to_json(struct_pack(id := CAST(doc_id AS VARCHAR), resourceType := lang, source := source, text := text)) AS VARCHAR) AS value
+    FROM documents WHERE doc_id % 50 NOT IN (7, 17, 27, 37, 47, 45))),
+bdone AS (
+  SELECT b.status, CASE WHEN b.should_split THEN 'bundle_split' ELSE 'bundle_direct' END AS route, b.n,
+         (SELECT max(total_chunks) FROM chunk_full c WHERE c.bundle_id = b.bundle_id) AS chunks
+  FROM bstatus b)""", select=f"""
+SELECT 'patients.ndjson' AS file_name, 'Patient' AS resource_type, 'single_resource' AS route, count(*) AS n, CAST(0 AS BIGINT) AS entries,
+       count(*) AS chunks, count(*) AS n_gender, count(*) AS n_country, CAST(0 AS BIGINT) AS n_name, CAST(0 AS BIGINT) AS leaks FROM fx_patient
+UNION ALL SELECT 'encounters.ndjson', 'Encounter', 'single_resource', count(*), 0, count(*), 0, 0, 0, 0 FROM fx_encounter
+UNION ALL SELECT 'bundles.ndjson', 'Bundle', route, count(*), CAST(sum(n) AS BIGINT), CAST(sum(CASE WHEN route = 'bundle_split' THEN chunks ELSE 1 END) AS BIGINT), 0, 0, 0, 0
+  FROM bdone WHERE status = 'ok' GROUP BY route
+UNION ALL SELECT 'documents.ndjson', t, 'single_resource', count(*), 0, count(*), 0, 0, 0, 0 FROM docs WHERE size <= {MIXED_THRESHOLD} GROUP BY t"""))
+def q_flow_mixed(spark, sf_dir):
+    """E1 over mixed types: per file, type and route the documents written, the
+    entries they still hold, chunks, and which fields were kept or removed;
+    ``leaks`` counts documents in which a turn's or patient's id survives."""
+    plan = plan_flow(_mixed_lines(spark, sf_dir), SECRET, MIXED_THRESHOLD)
+    d = plan["deidentified"]
+    v = F.col("value")
+    urn = F.regexp_count(v, F.lit(r'"fullUrl":"urn:uuid:[0-9a-f]{32}"'))
+    leak = v.rlike(r'urn:uuid:turn-|"id":"[0-9]+(-[0-9]+)?"|"reference":"Patient/[0-9]{1,31}"')
+    return d.groupBy("file_name", "resource_type", "route").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(urn).cast("long").alias("entries"), F.sum("total_chunks").cast("long").alias("chunks"),
+        F.count(F.get_json_object(v, "$.gender")).alias("n_gender"), F.count(F.get_json_object(v, "$.address[0].country")).alias("n_country"),
+        F.count(F.get_json_object(v, "$.name")).alias("n_name"), F.count_if(leak).alias("leaks"))
+
+
 @register("eta_stream", sql=with_ctes(FX.SQL_PROGRESS, select=f"""
 SELECT run_id, items AS n, CAST(len(w) AS INTEGER) AS window_samples,
        CASE WHEN len(w) >= 2 AND items - w[1].items > 0 AND (epoch_us(ts) - epoch_us(w[1].ts)) / 1e6 > 0

@@ -61,6 +61,23 @@ def grouped_row_number(df: DataFrame, keys: list[str], order_col: str, name: str
     return out.drop("_one")
 
 
+def range_row_number(df: DataFrame, keys: list[str], order_col: str, name: str) -> DataFrame:
+    """``row_number() OVER (PARTITION BY keys ORDER BY order_col)`` through
+    sampled ranges of (keys, order_col): no bucket expression is needed, and a
+    key of any size and any id pattern is cut into even parts.  The ranged rows
+    are written once to the shared folder, so their part numbers are fixed."""
+    import uuid
+
+    from ndflow.session import scratch_path
+    spark = df.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    path = scratch_path(spark, f"ranges-{uuid.uuid4().hex}")
+    df.repartitionByRange(parts, *keys, order_col).withColumn("_bk", F.spark_partition_id()).write.parquet(path)
+    one = spark.read.parquet(path).withColumn("_one", F.lit(1).cast("long"))
+    out = grouped_running_sums(one, keys, [order_col], {name: "_one"}, F.col("_bk"))
+    return out.select(*df.columns, name)
+
+
 def grouped_forward_fill(df: DataFrame, keys: list[str], order_col: str, cols: list[str],
                          bucket: Column) -> DataFrame:
     """``last(c, ignorenulls) OVER (PARTITION BY keys ORDER BY order_col)`` for

@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ndflow.functions.jsonfn import one_line
+
 # Prefix of a de-identified output file name.
 OUTPUT_PREFIX = "dimped_"
 
@@ -20,8 +22,9 @@ def output_name(file_name: Column, prefix: str = OUTPUT_PREFIX) -> Column:
 
 
 def to_ndjson_line(value: Column) -> Column:
-    """K1: one compact JSON object per line (keys sorted via VARIANT)."""
-    return F.to_json(F.try_parse_json(value))
+    """K1: one JSON object per line, compact with sorted keys; a value beyond
+    the VARIANT limit keeps its own text on one line."""
+    return one_line(value)
 
 
 def write_ndjson(df: DataFrame, path: str, value_col: str = "value", partition_col: str | None = None,
@@ -38,14 +41,15 @@ def write_ndjson(df: DataFrame, path: str, value_col: str = "value", partition_c
     w.text(path)
 
 
-def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """K4: flat frame to CSV with a header."""
-    df.write.mode(mode).option("header", True).csv(path)
+def write_csv(df: DataFrame, path: str, partition_by: list[str] | None = None, mode: str = "overwrite") -> None:
+    """K4: flat frame to CSV with a header; partitioned output replaces only the
+    folders it writes."""
+    w = df.write.mode(mode).option("header", True).option("partitionOverwriteMode", "dynamic")
+    (w.partitionBy(*partition_by) if partition_by else w).csv(path)
 
 
 def write_parquet(df: DataFrame, path: str, partition_by: list[str] | None = None, mode: str = "overwrite") -> None:
-    """K5: Parquet, optionally partitioned (e.g. by resource type)."""
-    w = df.write.mode(mode)
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(path)
+    """K5: Parquet, optionally partitioned (e.g. by resource type); partitioned
+    output replaces only the folders it writes."""
+    w = df.write.mode(mode).option("partitionOverwriteMode", "dynamic")
+    (w.partitionBy(*partition_by) if partition_by else w).parquet(path)

@@ -9,7 +9,8 @@ Line numbers need the order of lines inside a file.  A file may span many
 splits, so instead of a window over the whole file (one task per file) each
 split's line count is aggregated into a small table (one row per split), the
 split offsets are a prefix sum over that table, and a line's number is its
-split offset plus its index inside the split.
+split offset plus its index inside the split.  Numbers are made on demand:
+a scan without them reads once and shuffles nothing.
 """
 
 from __future__ import annotations
@@ -50,42 +51,117 @@ def check_source(spark: SparkSession, path: str) -> str | None:
     return "directory holds no .ndjson files"
 
 
-def read_ndjson(spark: SparkSession, path: str | list[str], recursive: bool = True,
-                glob: str = NDJSON_GLOB, broadcast_limit_bytes: int = 64 << 20) -> DataFrame:
+def read_ndjson(spark: SparkSession, path: str | list[str], recursive: bool = True, glob: str = NDJSON_GLOB,
+                line_numbers: bool = True, files: Column | None = None, broadcast_limit_bytes: int = 64 << 20) -> DataFrame:
     """Every line of every ``*.ndjson`` file (any letter case) under
-    ``path``, with ``file_path, file_name, file_size, file_mtime, line_no``.
-    ``glob`` changes the file filter (Spark's own text output is ``*.txt``).
-    ``broadcast_limit_bytes`` bounds the split-offset table that is
-    broadcast (see ``number_lines_by_split``)."""
-    r = spark.read.option("pathGlobFilter", glob)
-    if recursive:
-        r = r.option("recursiveFileLookup", "true")
-    raw = r.text(path if isinstance(path, str) else list(path))
-    x = raw.select(
-        "value",
-        F.col("_metadata.file_path").alias("file_path"),
-        _decode_name(F.col("_metadata.file_name")).alias("file_name"),
-        F.col("_metadata.file_size").alias("file_size"),
-        F.col("_metadata.file_modification_time").alias("file_mtime"),
-        F.col("_metadata.file_block_start").alias("_blk"),
-        F.monotonically_increasing_id().alias("_mid"))
-    bound = split_count_bound(spark, raw)
-    return number_lines_by_split(x, broadcast=bound * SPLIT_ROW_BYTES <= broadcast_limit_bytes)
-
-
+    ``path``, with ``file_path, rel_path, file_name, file_size, file_mtime`` and,
+    unless ``line_numbers`` is false, ``line_no``.
+
+    ``rel_path`` (the path below ``path``) tells files of equal name apart; for a
+    directory written by ``import_directory`` it and ``file_name`` are those of
+    the original file.  ``files`` is a condition on ``_metadata`` fields, e.g.
+    ``F.col("_metadata.file_modification_time") > t``: it is applied to the
+    listing, below everything else, so other files are not read.
+
+    Numbering reads the text twice (once for the lines per split).  Where only
+    some lines need numbers (rejects), scan with ``line_numbers=False`` and give
+    those lines to ``add_line_numbers``: the text is then never shuffled."""
+    x = scan_splits(spark, path, recursive, glob, files)
+    if not line_numbers:
+        return x.drop(*SPLIT_COLUMNS)
+    return add_line_numbers(x, x, broadcast_limit_bytes)
+
+
+#: Where a line stands: start of its file split, and a number that grows inside
+#: the split.
+SPLIT_COLUMNS = ("split_start", "split_pos")
 # Bytes one split-offset row takes in a broadcast relation (path + 3 longs),
 # a generous estimate.
 SPLIT_ROW_BYTES = 512
 
 
-def split_count_bound(spark: SparkSession, raw: DataFrame) -> int:
-    """Upper bound of the number of file splits of a scan, from the file
-    listing Spark already holds: files + total bytes / split size."""
-    files = len(raw.inputFiles())
-    size = int(str(raw._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    split = int(spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(
-        spark.conf.get("spark.sql.files.maxPartitionBytes", "128m")))
-    return files + size // max(split, 1) + 1
+def scan_splits(spark: SparkSession, path: str | list[str], recursive: bool = True, glob: str = NDJSON_GLOB,
+                files: Column | None = None) -> DataFrame:
+    """The lines with their file and, in ``SPLIT_COLUMNS``, their place in it."""
+    r = spark.read.option("pathGlobFilter", glob)
+    if recursive:
+        r = r.option("recursiveFileLookup", "true")
+    raw = r.text(path if isinstance(path, str) else list(path))
+    if files is not None:
+        raw = raw.filter(files)
+    full = F.col("_metadata.file_path")
+    rel = _below(spark, full, [path] if isinstance(path, str) else list(path))
+    rel, name = _original(rel)
+    return raw.select("value", full.alias("file_path"), rel.alias("rel_path"), name.alias("file_name"),
+                      F.col("_metadata.file_size").alias("file_size"), F.col("_metadata.file_modification_time").alias("file_mtime"),
+                      F.col("_metadata.file_block_start").alias("split_start"), F.monotonically_increasing_id().alias("split_pos"))
+
+
+def add_line_numbers(lines: DataFrame, scan: DataFrame, broadcast_limit_bytes: int = 64 << 20) -> DataFrame:
+    """``line_no`` for ``lines``, which come from ``scan`` (``scan_splits``) by
+    filters and added columns.
+
+    One row per split holds the lines before it; ``lines`` join that table.
+    It is broadcast while its size, bounded from the bytes and files of the
+    scan, allows it; beyond, the join shuffles only ``lines``, so give it the
+    few that need a number."""
+    splits = scan.groupBy("file_path", "split_start").agg(F.count(F.lit(1)).alias("_n"), F.min("split_pos").alias("_m0"))
+    before = Window.partitionBy("file_path").orderBy("split_start").rowsBetween(Window.unboundedPreceding, -1)
+    offs = splits.select("file_path", "split_start", "_m0", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    if split_count_bound(scan) * SPLIT_ROW_BYTES <= broadcast_limit_bytes:
+        offs = F.broadcast(offs)
+    out = lines.join(offs, ["file_path", "split_start"], "inner")
+    return out.select(*[c for c in lines.columns if c not in SPLIT_COLUMNS],
+                      (F.col("_off") + F.col("split_pos") - F.col("_m0") + 1).cast("long").alias("line_no"))
+
+
+def split_count_bound(scan: DataFrame) -> int:
+    """Upper bound of the number of splits of a scan: its partitions (each holds
+    whole splits) times what the open cost lets one partition pack.  Counted in
+    the JVM; no path reaches the driver's Python."""
+    spark = scan.sparkSession
+    to_bytes = spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes
+    split = int(to_bytes(spark.conf.get("spark.sql.files.maxPartitionBytes", "128m")))
+    cost = int(to_bytes(spark.conf.get("spark.sql.files.openCostInBytes", "4m")))
+    parts = scan._jdf.queryExecution().toRdd().getNumPartitions()
+    return parts * (split // max(cost, 1) + 2)
+
+
+def list_files(spark: SparkSession, path: str, glob: str = NDJSON_GLOB) -> DataFrame:
+    """``rel_path, file_name, file_size, file_mtime`` of the files under
+    ``path``; contents are not read.  A scan gives empty files no row, so the
+    paths come from the listing, which stays in the JVM."""
+    from pyspark.sql.classic.column import Column as JvmColumn
+    raw = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", glob).load(path)
+    jvm = spark.sparkContext._jvm
+    paths = JvmColumn(jvm.org.apache.spark.sql.functions.lit(raw._jdf.inputFiles()))
+    names = spark.range(1).select(F.explode(paths).alias("value"))
+    rel = names.select(_below(spark, F.col("value"), [path]).alias("rel_path")).distinct()
+    seen = raw.select(_below(spark, F.col("_metadata.file_path"), [path]).alias("rel_path"), F.col("length").alias("_size"),
+                      F.col("modificationTime").alias("file_mtime"))
+    return rel.join(seen, "rel_path", "left").select("rel_path", F.regexp_extract("rel_path", "([^/]+)$", 1).alias("file_name"),
+                                                     F.coalesce("_size", F.lit(0)).alias("file_size"), "file_mtime")
+
+
+def _below(spark: SparkSession, full: Column, roots: list[str]) -> Column:
+    """A file's decoded path below the scanned root."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    decoded = _decode_name(full)
+    rel = decoded
+    for root in roots:
+        p = jvm.org.apache.hadoop.fs.Path(root)
+        base = p.getFileSystem(conf).makeQualified(p).toUri().getPath().rstrip("/") + "/"
+        at = F.locate(base, decoded)
+        rel = F.when(at > 0, decoded.substr(at + len(base), F.length(decoded))).otherwise(rel)
+    return rel
+
+
+def _original(rel: Column) -> tuple[Column, Column]:
+    """Relative path and name of the original file: those of the landing
+    folder's value for a landed file, else the file's own."""
+    landed = F.regexp_extract(rel, "^source_file=([^/]+)/[^/]+$", 1)
+    path = F.when(landed != "", _decode_name(landed)).otherwise(rel)
+    return path, F.regexp_extract(path, "([^/]+)$", 1)
 
 
 def _decode_name(name: Column) -> Column:
@@ -94,20 +170,6 @@ def _decode_name(name: Column) -> Column:
     return F.url_decode(F.replace(name, F.lit("+"), F.lit("%2B")))
 
 
-def number_lines_by_split(x: DataFrame, broadcast: bool = False) -> DataFrame:
-    """Line numbers from (file_path, _blk, _mid) as produced by the scan.
-
-    The split table (one row per split) is joined back to the lines.  When
-    its size is bounded (``broadcast``), it is broadcast so the lines are
-    never shuffled; otherwise the join shuffles (correct, slower)."""
-    splits = x.groupBy("file_path", "_blk").agg(F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_m0"))
-    before = Window.partitionBy("file_path").orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
-    offs = splits.select("file_path", "_blk", "_m0", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-    out = x.join(F.broadcast(offs) if broadcast else offs, ["file_path", "_blk"], "inner")
-    return out.select(*[c for c in x.columns if not c.startswith("_")],
-                      (F.col("_off") + F.col("_mid") - F.col("_m0") + 1).cast("long").alias("line_no"))
-
-
 def is_blank_trimmed(value: Column) -> Column:
     return F.trim(value, F.lit(WHITESPACE)) == ""
 
@@ -185,41 +247,39 @@ def quarantine(parsed: DataFrame) -> DataFrame:
                       status_message(F.col("status")).alias("error"), "value")
 
 
-def file_counts(parsed: DataFrame, bucket: Column | None = None) -> DataFrame:
-    """A1 + failfast stop point per file, in one pass over the lines.
+#: Lines of one counting slice: their parsed flags fit the bits of a long.
+SLICE_LINES = 62
+
+
+def file_counts(parsed: DataFrame, keys: tuple[str, ...] = ("file_name",)) -> DataFrame:
+    """A1 + failfast stop point per file.  ``keys`` tell files apart (give
+    ``("rel_path",)`` for a scanned directory).
 
-    ``n_parsed``: lines that parse as JSON objects; ``n_nonblank``: lines
-    not blank after trimming; ``first_error_line``: where a failfast read
-    stops; ``n_parsed_before_error``: the reference's per-file count.
+    ``n_parsed``: lines that parse as JSON objects; ``n_nonblank``: lines not
+    blank after trimming; ``first_error_line``: where a failfast read stops;
+    ``n_parsed_before_error``: the reference's per-file count.
 
-    Lines are cut into (file, bucket) slices (default: 2^20 line numbers); a
-    running "error seen" flag inside each slice gives the parsed lines before
-    the slice's first error; a small per-slice table then combines: slices
-    before the file's first error count fully, the slice holding it counts up
-    to it, later slices not at all.
+    Lines are counted per slice of 62 line numbers, combined map-side and
+    without a sort; a slice keeps its parsed lines as bits of a long.  Slices
+    before the file's first error count whole, the one that holds it counts
+    the bits below it.
     """
-    from ndflow.plans.seq import ID_BUCKET
-    bk = bucket if bucket is not None else F.floor(F.col("line_no") / F.lit(ID_BUCKET))
     err = ~F.col("parsed") & (F.col("status") != "blank")
-    x = parsed.select("file_name", "line_no", "parsed", "status", "blank_trimmed", bk.alias("_bk"),
-                      err.alias("_err"))
-    upto = Window.partitionBy("file_name", "_bk").orderBy("line_no").rowsBetween(Window.unboundedPreceding, 0)
-    x = x.select("*", F.max(F.col("_err").cast("int")).over(upto).alias("_seen"))
-    per = x.groupBy("file_name", "_bk").agg(
-        F.count(F.lit(1)).alias("n_lines"),
-        F.count_if(~F.col("blank_trimmed")).alias("n_nonblank"),
-        F.count_if(F.col("parsed")).alias("n_parsed"),
-        F.min(F.when(F.col("_err"), F.col("line_no"))).alias("_e"),
-        F.count_if(F.col("parsed") & (F.col("_seen") == 0)).alias("_before"),
-        F.count_if(F.col("status") == "ok").alias("n_valid"))
-    first_bk = F.min(F.when(F.col("_e").isNotNull(), F.col("_bk"))).over(Window.partitionBy("file_name"))
-    per = per.select("*", first_bk.alias("_ebk"))
-    contrib = (F.when(F.col("_ebk").isNull() | (F.col("_bk") < F.col("_ebk")), F.col("n_parsed"))
-               .when(F.col("_bk") == F.col("_ebk"), F.col("_before")).otherwise(F.lit(0)))
-    return per.groupBy("file_name").agg(
-        F.sum("n_lines").alias("n_lines"), F.sum("n_nonblank").alias("n_nonblank"),
-        F.sum("n_parsed").alias("n_parsed"), F.min("_e").alias("first_error_line"),
-        F.sum("n_valid").alias("n_valid"), F.sum(contrib).alias("n_parsed_before_error"))
+    at = F.col("line_no") % SLICE_LINES
+    per = parsed.groupBy(*keys, F.floor(F.col("line_no") / SLICE_LINES).alias("_sl")).agg(
+        F.count(F.lit(1)).alias("n_lines"), F.count_if(~F.col("blank_trimmed")).alias("n_nonblank"), F.count_if(F.col("parsed")).alias("n_parsed"),
+        F.count_if(F.col("status") == "ok").alias("n_valid"), F.min(F.when(err, F.col("line_no"))).alias("_e"),
+        F.bit_or(F.when(F.col("parsed"), F.call_function("shiftleft", F.lit(1).cast("long"), at.cast("int"))).otherwise(0)).alias("_bits"))
+    first = per.groupBy(*keys).agg(F.min("_e").alias("first_error_line"))
+    from ndflow.plans.seq import join_null_safe
+    x = join_null_safe(per, first, list(keys))
+    e = F.col("first_error_line")
+    below = F.call_function("shiftleft", F.lit(1).cast("long"), (e % SLICE_LINES).cast("int")) - 1
+    before = (F.when(e.isNull() | (F.col("_sl") < F.floor(e / SLICE_LINES)), F.col("n_parsed"))
+              .when(F.col("_sl") == F.floor(e / SLICE_LINES), F.bit_count(F.col("_bits").bitwiseAND(below)).cast("long")).otherwise(F.lit(0)))
+    return x.groupBy(*keys).agg(
+        F.sum("n_lines").alias("n_lines"), F.sum("n_nonblank").alias("n_nonblank"), F.sum("n_parsed").alias("n_parsed"),
+        F.min("first_error_line").alias("first_error_line"), F.sum("n_valid").alias("n_valid"), F.sum(before).alias("n_parsed_before_error"))
 
 
 def name_to_type(file_name: Column) -> Column:
@@ -231,8 +291,9 @@ def name_to_type(file_name: Column) -> Column:
 
 
 def manifest(parsed: DataFrame, source_step: str = "local_import", root: str = "import") -> DataFrame:
-    """One manifest row per file.  Sizes are bytes of the lines plus their
-    newline (the file size when read from disk: use ``file_size`` there)."""
+    """S4 over lines that come from a table: one manifest row per file, sizes are
+    the bytes of the lines plus a newline each.  Files on disk have their own
+    size, time and empty files: use ``import_directory``."""
     return (parsed.groupBy("file_name").agg(
         F.sum(F.octet_length("value") + 1).cast("long").alias("file_size"),
         F.count_if(~F.col("blank_trimmed")).cast("int").alias("line_count"))

@@ -23,7 +23,9 @@ def pending_files(inputs: DataFrame, outputs: DataFrame, keys=("file_name", "fil
 def ingest_available(spark: SparkSession, src_dir: str, sink_dir: str, checkpoint: str,
                      max_files_per_trigger: int | None = None, glob: str = NDJSON_GLOB) -> int:
     """Process every file not yet seen (``availableNow``), append lines
-    with their file path to ``sink_dir`` (Parquet); returns rows added."""
+    with their file path to ``sink_dir`` (Parquet); returns rows added, counted
+    in the sink (from Parquet footers), however many micro-batches ran."""
+    before = _sink_rows(spark, sink_dir)
     r = (spark.readStream.format("text").option("pathGlobFilter", glob)
          .option("recursiveFileLookup", "true"))
     if max_files_per_trigger:
@@ -32,4 +34,11 @@ def ingest_available(spark: SparkSession, src_dir: str, sink_dir: str, checkpoin
     q = (s.writeStream.format("parquet").option("path", sink_dir).option("checkpointLocation", checkpoint)
          .outputMode("append").trigger(availableNow=True).start())
     q.awaitTermination()
-    return sum(int(p.get("numInputRows", 0)) for p in q.recentProgress)
+    return _sink_rows(spark, sink_dir) - before
+
+
+def _sink_rows(spark: SparkSession, sink_dir: str) -> int:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(sink_dir)
+    if not p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p):
+        return 0
+    return spark.read.schema("value string, file_path string").parquet(sink_dir).count()

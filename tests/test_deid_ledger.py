@@ -25,7 +25,7 @@ def test_rule_table_drops_unlisted_and_unknown_action(spark):
     df = spark.createDataFrame([("1", "Doe", "1950-02-03", "12345")], "id string, family string, birth string, zip string")
     out = D.apply_rules(df, {"id": "pseudonym", "family": "drop", "birth": "year", "zip": "prefix3"}, "Patient", "k")
     r = out.collect()[0]
-    assert out.columns == ["id", "birth", "zip"] and r.birth == "1950" and r.zip == "123**" and len(r.id) == 16
+    assert out.columns == ["id", "birth", "zip"] and r.birth == "1950" and r.zip == "123**" and len(r.id) == 32
     try:
         D.apply_rules(df, {"id": "shuffle"}, "Patient", "k")
         assert False
