@@ -111,6 +111,7 @@ ERROR_CLASSES = {
     "permission": ("filesystem", "Permission denied"),
     "other": ("validation", "An error occurred"),
 }
+# Message parts that tell a full disk or a refused access.
 DISK_PATTERNS = ("no space left", "disk full")
 PERMISSION_PATTERNS = ("permission denied", "access denied")
 
@@ -137,7 +138,7 @@ def step_error_type(http_status: Column, msg: Column) -> Column:
 
 
 def should_retry(error_type: Column, current: Column, max_retries: Column | int) -> Column:
-    """X9."""
+    """Whether a failed attempt is tried again (transient, and attempts left)."""
     return (error_type == "transient") & (current < max_retries)
 
 

@@ -1,14 +1,14 @@
 """Run ledger: questions asked of ``jobs`` and ``steps`` tables (J2, J3,
 O1-O3, L1-L5, A5, X15, X17, X18).
 
-``jobs(job_id, created_at, input_source, input_type, status, total_files,
-total_bytes, error_message)`` and ``steps(job_id, step_id, pos, name, status,
+``jobs(job_id, created_at, input_source, input_type, status, current_step,
+total_files, total_bytes, error_message)`` and ``steps(job_id, step_id, pos, name, status,
 started_at, completed_at, files_processed, bytes_processed, retry_count,
 error_type, error_message, http_status)``.  Step order inside a job is
 ``(pos, step_id)``.
 
-Per-job facts are aggregates over steps (combined map-side) joined to jobs on
-``job_id``: one shuffle per side, no window over a whole job table.
+Per-job facts are aggregates over steps joined to jobs on ``job_id``: one
+shuffle per side, no window over a whole job table.
 """
 
 from __future__ import annotations
@@ -79,12 +79,24 @@ def step_summary(steps: DataFrame) -> DataFrame:
                     F.col("_all_done").alias("all_completed"))
 
 
+def current_steps(jobs: DataFrame, steps: DataFrame) -> DataFrame:
+    """The step row each job names as its current one: an equi join on
+    (job_id, name); of several steps of that name the first by position.
+
+    Position and retries travel in one long, so the minimum is a hash
+    aggregate, combined before the shuffle."""
+    at = F.min(F.col("pos").cast("long") * F.lit(1 << 32) + F.col("retry_count"))
+    s = steps.groupBy("job_id", F.col("name").alias("current_step")).agg(at.alias("_at"))
+    return jobs.join(s, ["job_id", "current_step"], "left").select(
+        *jobs.columns, F.shiftright("_at", 32).cast("int").alias("current_pos"),
+        F.col("_at").bitwiseAND(F.lit((1 << 32) - 1)).cast("int").alias("current_retries"))
+
+
 def job_list(jobs: DataFrame, steps: DataFrame, as_of: Column) -> DataFrame:
     """Every job with status symbol, current step, files,
     retries of the current step and age at ``as_of`` (sorted newest first by
     the caller's ``orderBy``; no collect)."""
-    s = step_summary(steps)
-    j = jobs.join(s, "job_id", "left")
+    j = current_steps(jobs, steps)
     age_us = F.unix_micros(as_of.cast("timestamp")) - F.unix_micros(F.col("created_at").cast("timestamp"))
     return j.select("job_id", "status", status_symbol(F.col("status")).alias("symbol"),
                     F.coalesce("current_step", F.lit("")).alias("current_step"),
@@ -122,8 +134,7 @@ def job_status(jobs: DataFrame, steps: DataFrame) -> DataFrame:
     g = by_key(lines, "job_id").groupBy("job_id").agg(
         F.sort_array(F.collect_list(F.struct("pos", "step_id", "line"))).alias("_l"))
     g = g.select("job_id", F.array_join(F.col("_l.line"), "\n").alias("steps_text"))
-    s = step_summary(steps).select("job_id", "current_step")
-    return (jobs.join(s, "job_id", "left").join(g, "job_id", "left")
+    return (jobs.join(g, "job_id", "left")
             .select("job_id", F.concat(
                 F.lit("Status: "), F.col("status"), F.lit(" | Current Step: "), F.coalesce("current_step", F.lit("")),
                 F.lit(" | Files: "), F.col("total_files").cast("string"),
@@ -150,17 +161,21 @@ def blocked_steps(steps: DataFrame) -> DataFrame:
 
 
 def resume_point(jobs: DataFrame, steps: DataFrame) -> DataFrame:
-    """Where ``continue`` resumes: the current step unless completed
-    (``retry`` when failed, ``run`` otherwise), else the next step after it
-    (``blocked`` if it needs an import that is not done), else ``done``."""
+    """Where ``continue`` resumes: nowhere (``done``) when the job is
+    completed, else the current step unless completed (``retry`` when failed,
+    ``run`` otherwise), else the next step after it (``blocked`` if it needs an
+    import that is not done), else ``done``."""
+    if "status" not in jobs.columns:
+        jobs = jobs.withColumn("status", F.lit(None).cast("string"))
     s = step_summary(steps)
     nx = next_steps(steps).select("job_id", F.col("step_id").alias("current_step_id"),
                                   F.col("next_step").alias("_after"))
-    j = jobs.select("job_id").join(s, "job_id", "left").join(nx, ["job_id", "current_step_id"], "left")
-    step = (F.when(F.col("current_step").isNull(), F.lit(None))
+    j = jobs.select("job_id", "status").join(s, "job_id", "left").join(nx, ["job_id", "current_step_id"], "left")
+    over = F.col("current_step").isNull() | F.coalesce(F.col("status") == "completed", F.lit(False))
+    step = (F.when(over, F.lit(None))
             .when(F.col("current_status") != "completed", F.col("current_step"))
             .otherwise(F.col("_after")))
-    action = (F.when(F.col("current_step").isNull(), "done")
+    action = (F.when(over, "done")
               .when(F.col("current_status") == "failed", "retry")
               .when(F.col("current_status") != "completed", "run")
               .when(F.col("_after").isNull(), "done")
@@ -169,31 +184,6 @@ def resume_point(jobs: DataFrame, steps: DataFrame) -> DataFrame:
     return j.select("job_id", step.alias("resume_step"), action.alias("action"))
 
 
-def step_events(steps: DataFrame) -> DataFrame:
-    """Append-only transition events of every step, derived from its final
-    row: init, start, complete/fail, and (retry, fail) per retry.  A
-    completed step without ``completed_at`` gets a stray ``start`` after its
-    completion, which the transition audit must catch.  Events per step are
-    bounded by the retry limit."""
-    st = F.col("status")
-    base = (F.when(st == "pending", F.array(F.lit("init")))
-            .when(st == "in_progress", F.array(F.lit("init"), F.lit("start")))
-            .when(st == "completed", F.when(F.col("completed_at").isNull(),
-                                            F.array(F.lit("init"), F.lit("start"), F.lit("complete"), F.lit("start")))
-                  .otherwise(F.array(F.lit("init"), F.lit("start"), F.lit("complete"))))
-            .otherwise(F.concat(F.array(F.lit("init"), F.lit("start"), F.lit("fail")),
-                                F.flatten(F.array_repeat(F.array(F.lit("retry"), F.lit("fail")),
-                                                         F.col("retry_count"))))))
-    x = steps.select("job_id", "step_id", "started_at", F.posexplode(base).alias("seq", "event"))
-    ev = F.col("event")
-    to_status = (F.when(ev == "init", "pending").when(ev.isin("start", "retry"), "in_progress")
-                 .when(ev == "complete", "completed").otherwise("failed"))
-    ts = F.coalesce(F.col("started_at"), F.lit("2000-01-01 00:00:00").cast("timestamp_ntz")) + \
-        F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.col("seq").cast("decimal(18,6)"))
-    return x.select("job_id", "step_id", F.col("seq").cast("int"), "event", to_status.alias("to_status"),
-                    ts.alias("ts"))
-
-
 def ledger_state(events: DataFrame) -> DataFrame:
     """L4: latest state per step from its events (``max_by`` on time, a
     partial aggregate) and the retry count."""
@@ -216,10 +206,10 @@ def bad_transitions(events: DataFrame) -> DataFrame:
 
 
 def job_error(jobs: DataFrame, steps: DataFrame) -> DataFrame:
-    """First failing job rule, NULL when valid."""
-    s = step_summary(steps).select("job_id", "current_step")
-    names = steps.groupBy("job_id").agg(F.collect_set("name").alias("_names"))
-    j = jobs.join(s, "job_id", "left").join(names, "job_id", "left")
+    """First failing job rule, NULL when valid.  A job's current step must
+    be one of its steps (semi-join flag on job and name)."""
+    known = steps.select("job_id", F.col("name").alias("current_step"), F.lit(True).alias("_known")).distinct()
+    j = jobs.join(known, ["job_id", "current_step"], "left")
     src, it = F.col("input_source"), F.col("input_type")
     err = (F.when(F.coalesce(F.col("job_id"), F.lit("")) == "", JOB_RULES["id"])
            .when(~F.col("job_id").rlike(UUID_RE), JOB_RULES["uuid"])
@@ -228,8 +218,7 @@ def job_error(jobs: DataFrame, steps: DataFrame) -> DataFrame:
                  JOB_RULES["http"])
            .when(~it.isin(*INPUT_TYPES), F.concat(F.lit(JOB_RULES["input_type"]), it))
            .when(~F.col("status").isin(*JOB_STATUSES), F.concat(F.lit(JOB_RULES["status"]), F.col("status")))
-           .when(F.col("current_step").isNotNull() & ~F.array_contains(F.col("_names"), F.col("current_step")),
-                 JOB_RULES["current"])
+           .when((F.coalesce("current_step", F.lit("")) != "") & F.col("_known").isNull(), JOB_RULES["current"])
            .when(F.col("total_files") < 0, JOB_RULES["files"])
            .when(F.col("total_bytes") < 0, JOB_RULES["bytes"]))
     return j.select("job_id", err.alias("job_error"))

@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ndflow.functions.scalars import backoff_ms, classify_error, step_error_type
+from ndflow.functions.scalars import backoff_ms, classify_error, should_retry, step_error_type
 from ndflow.plans.seq import grouped_running_sums, join_null_safe
 
 # Default retry configuration (attempts, first and largest backoff).
@@ -49,7 +49,7 @@ def retry_outcomes(log: DataFrame, max_attempts: int = MAX_ATTEMPTS, initial_ms:
     j = join_null_safe(per, ranked, ["call_id", "attempt"])
     outcome = (F.when(F.col("success"), "succeeded")
                .when(F.col("error_type") == "non_transient", "failed_non_transient")
-               .when(F.col("attempt") >= max_attempts, "exhausted")
+               .when(~should_retry(F.col("error_type"), F.col("attempt"), max_attempts), "exhausted")
                .otherwise("retry_pending"))
     return j.select("call_id", F.col("attempt").alias("attempts"), outcome.alias("outcome"),
                     F.when(~F.col("success"), F.col("message")).alias("last_error"),

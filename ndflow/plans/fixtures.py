@@ -99,8 +99,6 @@ fx_bundles AS (
 
 FX_ORDERS_THRESHOLD = 700
 
-# Bundle type per order status.
-ORDER_BUNDLE_TYPE = {"F": "collection", "O": "searchset", "P": "history"}
 
 
 def order_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -276,7 +274,6 @@ fx_encounter AS (
 # Job status per order status; input kind per order priority;
 # step name per position; step status from (linestatus, returnflag);
 # error message per partkey mod 4; HTTP status per suppkey mod 5.
-JOB_STATUS = {"F": "completed", "O": "in_progress", "P": "failed"}
 STEP_NAMES_AFTER_IMPORT = ["dimp", "validation", "csv_conversion", "parquet_conversion", "http_import", "archive"]
 ERROR_MESSAGES = ["connection refused", "HTTP 503: service unavailable", "invalid resource: missing id",
                   "context deadline exceeded"]
@@ -336,8 +333,10 @@ def ledger_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def ledger_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """jobs(job_id, created_at, input_source, input_type, status, total_files,
-    total_bytes, error_message); current step is derived from ``steps``."""
+    """jobs(job_id, created_at, input_source, input_type, status, current_step,
+    total_files, total_bytes, error_message).  Fixed values: the current step is
+    the import for o_orderkey mod 3 = 0, dimp for 1, validation for 2; jobs with
+    fewer steps name one they do not have."""
     o = table(spark, sf_dir, "orders")
     pr = F.col("o_orderpriority")
     k = F.col("o_orderkey").cast("string")
@@ -351,10 +350,14 @@ def ledger_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
            .otherwise(F.concat(F.lit("./input/"), ck)))
     st = F.col("o_orderstatus")
     status = F.when(st == "F", "completed").when(st == "O", "in_progress").when(st == "P", "failed")
+    imp = F.when(pr.isin("2-HIGH", "3-MEDIUM"), "torch").when(pr == "1-URGENT", "http_import").otherwise("local_import")
+    m3 = F.col("o_orderkey") % 3
+    current = F.when(m3 == 0, imp).when(m3 == 1, STEP_NAMES_AFTER_IMPORT[0]).otherwise(STEP_NAMES_AFTER_IMPORT[1])
     return o.select(
         _uuid_from(F.col("o_orderkey")).alias("job_id"),
         F.col("o_orderdate").alias("created_at"),
         src.alias("input_source"), itype.alias("input_type"), status.alias("status"),
+        current.alias("current_step"),
         (F.col("o_totalprice") / 10000).cast("int").alias("total_files"),
         (F.col("o_totalprice") * 100).cast("long").alias("total_bytes"),
         F.when(st == "P", F.lit("step failed")).alias("error_message"))
@@ -404,12 +407,47 @@ ledger_jobs AS (
          CASE o_orderpriority WHEN '1-URGENT' THEN 'http_url' WHEN '2-HIGH' THEN 'torch_result_url'
               WHEN '3-MEDIUM' THEN 'crtdl_file' ELSE 'local_directory' END AS input_type,
          CASE o_orderstatus WHEN 'F' THEN 'completed' WHEN 'O' THEN 'in_progress' WHEN 'P' THEN 'failed' END AS status,
+         CASE o_orderkey % 3 WHEN 0 THEN CASE WHEN o_orderpriority IN ('2-HIGH', '3-MEDIUM') THEN 'torch'
+              WHEN o_orderpriority = '1-URGENT' THEN 'http_import' ELSE 'local_import' END
+              WHEN 1 THEN 'dimp' ELSE 'validation' END AS current_step,
          CAST(trunc(o_totalprice / 10000) AS INTEGER) AS total_files,
          CAST(trunc(o_totalprice * 100) AS BIGINT) AS total_bytes,
          CASE WHEN o_orderstatus = 'P' THEN 'step failed' END AS error_message
   FROM fx_jobs)"""
 
 
+# --------------------------------------------------------------------------
+# FX-EVENTS: events as the append-only log of step transitions
+# --------------------------------------------------------------------------
+
+# Transition and resulting status per event type.
+STEP_EVENTS = {"signup": ("init", "pending"), "view": ("start", "in_progress"), "click": ("retry", "in_progress"),
+               "purchase": ("complete", "completed"), "error": ("fail", "failed")}
+
+
+def step_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(job_id, step_id, seq, event, to_status, ts): the user is the job, a day
+    of the user is a step; the log is as it comes, with forbidden transitions."""
+    e = table(spark, sf_dir, "events")
+    t = F.col("event_type")
+    ev, to = F.lit(None).cast("string"), F.lit(None).cast("string")
+    for k, (name, status) in STEP_EVENTS.items():
+        ev, to = F.when(t == k, name).otherwise(ev), F.when(t == k, status).otherwise(to)
+    job = F.col("user_id").cast("string")
+    return e.select(job.alias("job_id"), F.concat(job, F.lit(":"), F.date_format("ts", "yyyy-MM-dd")).alias("step_id"),
+                    F.col("event_id").alias("seq"), ev.alias("event"), to.alias("to_status"), "ts")
+
+
+SQL_STEP_EVENTS = """
+events_l AS (
+  SELECT CAST(user_id AS VARCHAR) AS job_id, CAST(user_id AS VARCHAR) || ':' || strftime(ts, '%Y-%m-%d') AS step_id, event_id AS seq, ts,
+         CASE event_type WHEN 'signup' THEN 'init' WHEN 'view' THEN 'start' WHEN 'click' THEN 'retry' WHEN 'purchase' THEN 'complete'
+              WHEN 'error' THEN 'fail' END AS event,
+         CASE event_type WHEN 'signup' THEN 'pending' WHEN 'view' THEN 'in_progress' WHEN 'click' THEN 'in_progress'
+              WHEN 'purchase' THEN 'completed' WHEN 'error' THEN 'failed' END AS to_status
+  FROM events)"""
+
+
 # --------------------------------------------------------------------------
 # FX-PROGRESS: per user, events ordered by (ts, event_id) are progress samples
 # --------------------------------------------------------------------------
@@ -442,7 +480,6 @@ progress AS (
 
 # HTTP status per event type; message for 'error' events by
 # event_id mod 6 (status 0 = no HTTP answer).
-CALL_STATUS = {"view": 200, "click": 503, "purchase": 429, "signup": 400, "error": 0}
 CALL_ERROR_MESSAGES = ["dial tcp 10.0.0.7:443: connection refused", "read: connection reset by peer",
                        "unexpected EOF", "write /jobs/out.part: no space left on device",
                        "open /jobs/in.ndjson: permission denied", "geofence lookup failed"]

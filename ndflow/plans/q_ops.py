@@ -318,12 +318,13 @@ def _ledger(spark, sf_dir):
     return FX.ledger_jobs(spark, sf_dir), FX.ledger_steps(spark, sf_dir)
 
 
-@register("job_list", sql=with_ctes(FX.SQL_LEDGER, _SQL_SSUM, select=f"""
-SELECT j.job_id, j.status, {s_job_symbol('j.status')} AS symbol, coalesce(s.cur.name, '') AS current_step,
-       j.total_files AS files, coalesce(s.cur.retry_count, 0) AS retries,
+@register("job_list", sql=with_ctes(FX.SQL_LEDGER, select=f"""
+SELECT j.job_id, j.status, {s_job_symbol('j.status')} AS symbol, j.current_step,
+       j.total_files AS files, coalesce((SELECT arg_min(retry_count, (pos, retry_count)) FROM ledger_steps s
+         WHERE s.job_id = j.job_id AND s.name = j.current_step), 0) AS retries,
        {s_format_age("(epoch_us(TIMESTAMP '" + AS_OF + "') - epoch_us(j.created_at))")} AS age,
        strftime(j.created_at, '%Y-%m-%d %H:%M:%S') AS created_at
-FROM ledger_jobs j LEFT JOIN ssum s ON j.job_id = s.job_id"""))
+FROM ledger_jobs j"""))
 def q_job_list(spark, sf_dir):
     jobs, steps = _ledger(spark, sf_dir)
     return L.job_list(jobs, steps, F.lit(AS_OF).cast("timestamp_ntz")).orderBy(F.desc("created_at"), "job_id")
@@ -344,10 +345,10 @@ def q_jobs_complete(spark, sf_dir):
 
 
 @register("next_pending", sql=with_ctes(FX.SQL_LEDGER, _SQL_SSUM, select="""
-SELECT job_id, np.name AS next_pending_step FROM ssum"""))
+SELECT j.job_id, s.np.name AS next_pending_step FROM ledger_jobs j LEFT JOIN ssum s ON s.job_id = j.job_id"""))
 def q_next_pending(spark, sf_dir):
-    _, steps = _ledger(spark, sf_dir)
-    return L.step_summary(steps).select("job_id", "next_pending_step")
+    jobs, steps = _ledger(spark, sf_dir)
+    return jobs.select("job_id").join(L.step_summary(steps).select("job_id", "next_pending_step"), "job_id", "left")
 
 
 @register("next_step", sql=with_ctes(FX.SQL_LEDGER, select="""
@@ -370,8 +371,8 @@ def q_blocked_steps(spark, sf_dir):
 
 @register("resume_point", sql=with_ctes(FX.SQL_LEDGER, _SQL_SSUM, select="""
 SELECT j.job_id,
-  CASE WHEN s.cur IS NULL THEN NULL WHEN s.cur.status <> 'completed' THEN s.cur.name ELSE nx.next_step END AS resume_step,
-  CASE WHEN s.cur IS NULL THEN 'done' WHEN s.cur.status = 'failed' THEN 'retry'
+  CASE WHEN s.cur IS NULL OR j.status = 'completed' THEN NULL WHEN s.cur.status <> 'completed' THEN s.cur.name ELSE nx.next_step END AS resume_step,
+  CASE WHEN s.cur IS NULL OR j.status = 'completed' THEN 'done' WHEN s.cur.status = 'failed' THEN 'retry'
        WHEN s.cur.status <> 'completed' THEN 'run' WHEN nx.next_step IS NULL THEN 'done'
        WHEN nx.next_step IN ('dimp', 'validation', 'csv_conversion', 'parquet_conversion') AND NOT coalesce(s.import_done, false) THEN 'blocked'
        ELSE 'run' END AS action
@@ -390,45 +391,27 @@ _SQL_STEP_LINE = f"""
  || CASE WHEN error_message IS NOT NULL THEN ' | Error: ' || error_message ELSE '' END"""
 
 
-@register("job_status", sql=with_ctes(FX.SQL_LEDGER, _SQL_SSUM, select=f"""
+@register("job_status", sql=with_ctes(FX.SQL_LEDGER, select=f"""
 SELECT j.job_id,
-  'Status: ' || j.status || ' | Current Step: ' || coalesce(s.cur.name, '') || ' | Files: ' || CAST(j.total_files AS VARCHAR)
+  'Status: ' || j.status || ' | Current Step: ' || coalesce(j.current_step, '') || ' | Files: ' || CAST(j.total_files AS VARCHAR)
     || CASE WHEN j.error_message IS NOT NULL THEN ' | Error: ' || j.error_message ELSE '' END AS summary,
   coalesce(t.steps_text, '') AS steps_text
-FROM ledger_jobs j LEFT JOIN ssum s ON j.job_id = s.job_id
+FROM ledger_jobs j
 LEFT JOIN (SELECT job_id, string_agg({_SQL_STEP_LINE}, chr(10) ORDER BY pos, step_id) AS steps_text
            FROM ledger_steps GROUP BY job_id) t ON t.job_id = j.job_id"""))
 def q_job_status(spark, sf_dir):
     return L.job_status(*_ledger(spark, sf_dir))
 
 
-_SQL_EVENTS = """
-ev_base AS (
-  SELECT job_id, step_id, started_at,
-    CASE status WHEN 'pending' THEN ['init']
-      WHEN 'in_progress' THEN ['init', 'start']
-      WHEN 'completed' THEN CASE WHEN completed_at IS NULL THEN ['init', 'start', 'complete', 'start'] ELSE ['init', 'start', 'complete'] END
-      ELSE list_concat(['init', 'start', 'fail'], flatten(list_transform(range(retry_count), lambda i: ['retry', 'fail'])))
-    END AS evs
-  FROM ledger_steps),
-events_l AS (
-  SELECT job_id, step_id, CAST(u.i - 1 AS INTEGER) AS seq, u.e AS event,
-    CASE u.e WHEN 'init' THEN 'pending' WHEN 'start' THEN 'in_progress' WHEN 'retry' THEN 'in_progress'
-             WHEN 'complete' THEN 'completed' ELSE 'failed' END AS to_status,
-    coalesce(started_at, TIMESTAMP '2000-01-01 00:00:00') + to_seconds(u.i - 1) AS ts
-  FROM ev_base, LATERAL (SELECT unnest(evs) AS e, unnest(generate_series(1, len(evs))) AS i) u)"""
-
-
-@register("ledger_state", sql=with_ctes(FX.SQL_LEDGER, _SQL_EVENTS, select="""
+@register("ledger_state", sql=with_ctes(FX.SQL_STEP_EVENTS, select="""
 SELECT job_id, step_id, arg_max(to_status, (ts, seq)) AS status,
        count(*) FILTER (WHERE event = 'retry') AS retries, count(*) AS n_events
 FROM events_l GROUP BY job_id, step_id"""))
 def q_ledger_state(spark, sf_dir):
-    _, steps = _ledger(spark, sf_dir)
-    return L.ledger_state(L.step_events(steps))
+    return L.ledger_state(FX.step_events(spark, sf_dir))
 
 
-@register("bad_transitions", sql=with_ctes(FX.SQL_LEDGER, _SQL_EVENTS, select="""
+@register("bad_transitions", sql=with_ctes(FX.SQL_STEP_EVENTS, select="""
 SELECT job_id, step_id, seq, from_status, to_status FROM (
   SELECT job_id, step_id, seq, to_status, lag(to_status) OVER (PARTITION BY job_id, step_id ORDER BY ts, seq) AS from_status
   FROM events_l)
@@ -436,8 +419,7 @@ WHERE from_status IS NOT NULL AND from_status <> to_status
   AND NOT ((from_status = 'pending' AND to_status = 'in_progress') OR (from_status = 'in_progress' AND to_status IN ('completed', 'failed'))
            OR (from_status = 'failed' AND to_status = 'in_progress'))"""))
 def q_bad_transitions(spark, sf_dir):
-    _, steps = _ledger(spark, sf_dir)
-    return L.bad_transitions(L.step_events(steps))
+    return L.bad_transitions(FX.step_events(spark, sf_dir))
 
 
 @register("step_validity", sql=with_ctes(FX.SQL_LEDGER, select="""
@@ -456,7 +438,7 @@ def q_step_validity(spark, sf_dir):
     return steps.select("job_id", "step_id", L.step_error(steps).alias("step_error"))
 
 
-@register("job_validity", sql=with_ctes(FX.SQL_LEDGER, _SQL_SSUM, select=f"""
+@register("job_validity", sql=with_ctes(FX.SQL_LEDGER, select=f"""
 SELECT j.job_id,
   CASE WHEN coalesce(j.job_id, '') = '' THEN 'job_id is required'
        WHEN NOT regexp_matches(j.job_id, '{L.UUID_RE}') THEN 'invalid job_id: must be a valid UUID'
@@ -465,10 +447,11 @@ SELECT j.job_id,
             THEN 'input_source must be a valid HTTP(S) URL when input_type is http_url'
        WHEN j.input_type NOT IN ('local_directory', 'http_url', 'crtdl_file', 'torch_result_url') THEN 'invalid input_type: ' || j.input_type
        WHEN j.status NOT IN ('pending', 'in_progress', 'completed', 'failed') THEN 'invalid status: ' || j.status
+       WHEN NOT EXISTS (SELECT 1 FROM ledger_steps s WHERE s.job_id = j.job_id AND s.name = j.current_step) THEN 'current_step not found in job steps'
        WHEN j.total_files < 0 THEN 'total_files cannot be negative'
        WHEN j.total_bytes < 0 THEN 'total_bytes cannot be negative'
   END AS job_error
-FROM ledger_jobs j LEFT JOIN ssum s ON j.job_id = s.job_id"""))
+FROM ledger_jobs j"""))
 def q_job_validity(spark, sf_dir):
     return L.job_error(*_ledger(spark, sf_dir))
 

@@ -55,8 +55,9 @@ def apply_session_defaults(spark: SparkSession) -> None:
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for checkpoints and intermediate tables.
 
-    Reads ``spark.checkpoint.dir`` (the cluster's shared folder).  Only when
-    nothing is configured (local tests) a temporary folder is used.
+    Reads ``spark.checkpoint.dir`` (the cluster's shared folder).  Only where
+    that is unset and Spark runs on this machine alone (``local``, as in tests)
+    a temporary folder is used; on a cluster it would not be shared.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     try:
@@ -66,6 +67,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if not d and sc is not None:
         d = sc.getCheckpointDir()
     if not d:
+        master = spark.conf.get("spark.master", "")
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         d = tempfile.mkdtemp(prefix="ndflow-ckpt-")
         if sc is not None:
             sc.setCheckpointDir(d)
@@ -97,7 +101,7 @@ def ship_package(spark: SparkSession) -> None:
     root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
     base = scratch_path(spark, f"pyfiles-{uuid.uuid4().hex[:12]}")
     if "://" in base and not base.startswith("file:"):
-        staging = tempfile.mkdtemp(prefix="ndflow-pyfiles-")  # zip locally, Spark ships it
+        staging = tempfile.mkdtemp(prefix="ndflow-pyfiles-")  # on the driver; Spark's file server ships it
     else:
         staging = base.replace("file:", "", 1)
         os.makedirs(staging, exist_ok=True)

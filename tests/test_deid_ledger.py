@@ -67,18 +67,30 @@ def test_ledger_summary_resume_and_audit(spark):
             ("j3", "f", 1, "torch", "failed", t, None, 0, 0, 0, "non_transient", "bad", 400),
             ("j3", "g", 2, "validation", "pending", None, None, 0, 0, 0, None, None, None)]
     steps = steps_frame(spark, rows)
-    jobs = spark.createDataFrame([("j1",), ("j2",), ("j3",), ("j4",)], "job_id string")
+    jobs = spark.createDataFrame([("j1", "failed", "dimp"), ("j2", "in_progress", "validation"), ("j3", "failed", None), ("j4", "pending", "")],
+                                 "job_id string, status string, current_step string")
+    assert {r.job_id: r.current_retries for r in L.current_steps(jobs, steps).collect()} == {"j1": 2, "j2": None, "j3": None, "j4": None}
+    full = jobs.select("*", *[F.lit(v).alias(k) for k, v in {"input_source": "x", "input_type": "local_directory", "total_files": 1, "total_bytes": 1}.items()])
+    full = full.withColumn("job_id", F.concat(F.lit("00000000-0000-0000-0000-00000000000"), F.substring("job_id", 2, 1)))
+    own = steps.withColumn("job_id", F.concat(F.lit("00000000-0000-0000-0000-00000000000"), F.substring("job_id", 2, 1)))
+    errs = {r.job_id[-1]: r.job_error for r in L.job_error(full, own).collect()}
+    assert errs == {"1": None, "2": "current_step not found in job steps", "3": None, "4": None}
+    finished = jobs.withColumn("status", F.lit("completed"))
+    assert {(r.resume_step, r.action) for r in L.resume_point(finished, steps).collect()} == {(None, "done")}
     rp = {r.job_id: (r.resume_step, r.action) for r in L.resume_point(jobs, steps).collect()}
     assert rp == {"j1": ("dimp", "retry"), "j2": (None, "done"), "j3": ("torch", "retry"), "j4": (None, "done")}
     done = {r.job_id: r.complete for r in L.jobs_complete(jobs, steps).collect()}
     assert done == {"j1": False, "j2": True, "j3": False, "j4": False}
     blocked = {(r.job_id, r.name) for r in L.blocked_steps(steps).collect()}
     assert blocked == {("j3", "validation")}
-    ev = L.step_events(steps)
+    log = [("b", "init", "pending"), ("b", "start", "in_progress"), ("b", "fail", "failed"), ("b", "retry", "in_progress"), ("b", "fail", "failed"),
+           ("c", "init", "pending"), ("e", "start", "in_progress"), ("e", "complete", "completed"), ("e", "start", "in_progress")]
+    ev = spark.createDataFrame([("j", s, i, e, to, t) for i, (s, e, to) in enumerate(log)],
+                               "job_id string, step_id string, seq int, event string, to_status string, ts timestamp_ntz")
     state = {r.step_id: (r.status, r.retries) for r in L.ledger_state(ev).collect()}
-    assert state["b"] == ("failed", 2) and state["c"] == ("pending", 0)
-    bad = {r.step_id for r in L.bad_transitions(ev).collect()}
-    assert bad == {"e"}  # completed without completed_at: stray start after complete
+    assert state == {"b": ("failed", 1), "c": ("pending", 0), "e": ("in_progress", 0)}
+    bad = {(r.step_id, r.seq) for r in L.bad_transitions(ev).collect()}
+    assert bad == {("e", 8)}  # completed steps do not start again
     errs = {r.step_id: r.e for r in steps.select("step_id", L.step_error(steps).alias("e")).collect()}
     assert errs["e"].startswith("completed_at must be set") and errs["a"] is None
 
