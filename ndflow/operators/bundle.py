@@ -6,7 +6,9 @@ Input is a *bundle frame*: one row per bundle with
     bundle_id STRING, bundle_type STRING, timestamp STRING (raw text, nullable),
     entries ARRAY<STRING>  (each entry a compact JSON object, in order)
 
-plus any pass-through columns.  A bundle is one record of the input (one
+optionally ``rest STRING`` (a JSON object of the bundle's other fields: meta,
+identifier, link, ...) and ``has_id BOOLEAN`` (false where ``bundle_id`` is only
+the file and line of a bundle without id), plus any pass-through columns.  A bundle is one record of the input (one
 NDJSON line), so all of B1-B7 are narrow: one row in, rows out, no shuffle.
 Only reassembly (B8) and statistics (B9) group by bundle, and those groups are
 bounded by the size of one input line.
@@ -47,15 +49,34 @@ def _splice(header: Column, joined_entries: Column) -> Column:
     return F.concat(F.lit('{"entry":['), joined_entries, F.lit("]"), F.substring(header, 12, 1 << 30))
 
 
+def _own_id(df: DataFrame) -> Column:
+    """The id the document itself carries."""
+    return F.when(F.col("has_id"), F.col("bundle_id")) if "has_id" in df.columns else F.col("bundle_id")
+
+
+def _rest_size(df: DataFrame, escape_html: bool) -> Column:
+    """Bytes the other fields add: their object without braces, and a comma."""
+    if "rest" not in df.columns:
+        return F.lit(0)
+    return F.when(F.length("rest") > 2, json_size(F.col("rest"), escape_html) - 1).otherwise(F.lit(0))
+
+
+def _with_rest(df: DataFrame, doc: Column) -> Column:
+    """The document with the bundle's other fields at its end."""
+    if "rest" not in df.columns:
+        return doc
+    return F.when(F.length("rest") > 2, F.concat(F.substring(doc, 1, F.length(doc) - 1), F.lit(","), F.substring("rest", 2, F.length("rest")))).otherwise(doc)
+
+
 def entry_sizes(entries: Column, escape_html: bool = True) -> Column:
     """B1 applied to every entry."""
     return F.transform(entries, lambda e: json_size(e, escape_html))
 
 
 def bundle_document(df: DataFrame) -> Column:
-    """The canonical JSON document of a bundle frame row."""
-    h = _header(F.col("bundle_id"), F.col("bundle_type"), F.col("timestamp"))
-    return _splice(h, F.array_join("entries", ","))
+    """The JSON document of a bundle frame row, every field of it."""
+    h = _header(_own_id(df), F.col("bundle_type"), F.col("timestamp"))
+    return _with_rest(df, _splice(h, F.array_join("entries", ",")))
 
 
 def bundle_size(escape_html: bool = True) -> Column:
@@ -103,9 +124,11 @@ def split_bundles(df: DataFrame, threshold: int, overhead: int = BUNDLE_OVERHEAD
     """B5 + P7: one row per bundle with the split plan.
 
     Adds ``original_size, was_split, total_chunks, breaks, sizes, status,
-    error_resource_type, error_resource_id, error_size``.  ``status`` is one of
-    ``ok``, ``invalid`` (id or type missing), ``empty`` (no entries),
-    ``oversized`` (one entry alone exceeds the budget; reject-table row).
+    error_resource_type, error_resource_id, error_size``.  A bundle within the
+    budget is ``ok`` as it is, with or without id, type and entries (one chunk).
+    A larger one is ``invalid`` (no type), ``empty`` (nothing to split),
+    ``oversized`` (one entry alone exceeds the budget; reject-table row) or
+    ``ok``.  The size counts every field of the bundle.
     The per-entry work (sizes, packing) is array functions on the bundle's
     own row: narrow, no shuffle.
     """
@@ -114,17 +137,19 @@ def split_bundles(df: DataFrame, threshold: int, overhead: int = BUNDLE_OVERHEAD
     produced = {"original_size", "status", "breaks", "was_split", "total_chunks", "error_resource_type",
                 "error_resource_id", "error_size"}
     d = with_entry_sizes(df.drop(*[c for c in df.columns if c in produced]), escape_html)
-    h = _header(F.col("bundle_id"), F.col("bundle_type"), F.col("timestamp"))
+    d = d.withColumn("entries", F.coalesce("entries", F.array().cast("array<string>"))) if "entries" in d.columns else d
+    h = _header(_own_id(d), F.col("bundle_type"), F.col("timestamp"))
     hs = F.octet_length(h).cast("long") + (escape_growth(h) if escape_html else F.lit(0))
     n = F.size("entries")
-    size = hs + F.coalesce(F.col("entry_bytes"), F.lit(0)) + F.greatest(n - 1, F.lit(0))
+    size = hs + F.coalesce(F.col("entry_bytes"), F.lit(0)) + F.greatest(n - 1, F.lit(0)) + _rest_size(d, escape_html)
     d = d.select("*", size.alias("original_size"))
     split = F.col("original_size") > threshold
     # the first oversized entry is searched only when the largest one is over
     over_pos = F.array_position(F.transform("sizes", lambda x: x + overhead > threshold), True)
     over = F.when(split & (F.col("max_entry") + overhead > threshold), (over_pos - 1).cast("int"))
     d = d.select("*", over.alias("_over"))
-    status = (F.when(F.col("bundle_id").isNull() | F.col("bundle_type").isNull(), "invalid")
+    status = (F.when(~split, "ok")
+              .when(F.col("bundle_id").isNull() | F.col("bundle_type").isNull(), "invalid")
               .when(n == 0, "empty")
               .when(F.col("_over").isNotNull(), "oversized")
               .otherwise("ok"))
@@ -154,7 +179,7 @@ def chunk_rows(split: DataFrame, escape_html: bool = True) -> DataFrame:
     ok = split.filter(F.col("status") == "ok").drop(*[c for c in split.columns if c in produced])
     x = ok.select("*", F.posexplode("breaks").alias("chunk_index", "first_index"))
     nxt = F.try_element_at(F.col("breaks"), F.col("chunk_index") + 2)
-    end = F.when(F.col("chunk_index") + 1 < F.col("total_chunks"), nxt).otherwise(F.size("entries"))
+    end = F.when(F.col("chunk_index") + 1 < F.col("total_chunks"), nxt).otherwise(F.size("entries"))  # 0 of an empty bundle
     x = x.select("*", (end - F.col("first_index")).cast("int").alias("n_entries"))
     start = F.col("first_index") + 1
     chunk_id = F.concat(F.col("bundle_id"), F.lit("-chunk-"), F.col("chunk_index").cast("string"))
@@ -165,17 +190,17 @@ def chunk_rows(split: DataFrame, escape_html: bool = True) -> DataFrame:
     ts_fmt = F.coalesce(rfc3339_normalized(F.col("timestamp")), F.lit(ZERO_TIME))
     h = _header(F.col("chunk_id"), F.col("bundle_type"), ts_fmt, F.col("n_entries"))
     hs = F.octet_length(h).cast("long") + (escape_growth(h) if escape_html else F.lit(0))
-    est = hs + F.col("_chunk_bytes") + (F.col("n_entries") - 1)
+    est = hs + F.coalesce("_chunk_bytes", F.lit(0)) + F.greatest(F.col("n_entries") - 1, F.lit(0))
     return x.select("*", est.alias("estimated_size")).drop("_chunk_bytes")
 
 
 def chunk_document(chunks: DataFrame) -> Column:
     """The chunk as a Bundle document; ``timestamp`` only when it parsed,
-    ``total`` only for searchset/history."""
+    ``total`` only for searchset/history; the bundle's other fields on each."""
     ts = rfc3339_normalized(F.col("timestamp"))
     total = F.when(F.col("bundle_type").isin(*TOTAL_TYPES), F.col("n_entries"))
     h = _header(F.col("chunk_id"), F.col("bundle_type"), ts, total)
-    return _splice(h, F.array_join("chunk_entries", ","))
+    return _with_rest(chunks, _splice(h, F.array_join("chunk_entries", ",")))
 
 
 def reassemble(chunks: DataFrame, keep_columns: tuple[str, ...] = ()) -> DataFrame:
@@ -183,10 +208,12 @@ def reassemble(chunks: DataFrame, keep_columns: tuple[str, ...] = ()) -> DataFra
 
     Entries are concatenated by ``chunk_index``; type is the original's,
     ``timestamp`` kept if it parsed, ``total`` only for searchset/history.
-    The original bundle id is restored (H9).  One shuffle by bundle id; each
-    chunk travels as one pre-joined string, so the group holds
-    ``total_chunks`` values.
+    The original bundle id is restored (H9), and with it every other field
+    (``rest``).  One shuffle by bundle id; each chunk travels as one pre-joined
+    string, so the group holds ``total_chunks`` values.
     """
+    asked = keep_columns
+    keep_columns = tuple(dict.fromkeys([*keep_columns, *(c for c in ("rest", "has_id") if c in chunks.columns)]))
     per_chunk = chunks.select(
         "bundle_id", "bundle_type", "timestamp", "chunk_index", "n_entries", *keep_columns,
         F.array_join("chunk_entries", ",").alias("_joined"))
@@ -199,25 +226,31 @@ def reassemble(chunks: DataFrame, keep_columns: tuple[str, ...] = ()) -> DataFra
               F.count(F.lit(1)).cast("int").alias("n_chunks")))
     ts = rfc3339_normalized(F.col("timestamp"))
     total = F.when(F.col("bundle_type").isin(*TOTAL_TYPES), F.col("entry_count"))
-    h = _header(F.col("bundle_id"), F.col("bundle_type"), ts, total)
+    h = _header(_own_id(g), F.col("bundle_type"), ts, total)
     joined = F.array_join(F.col("_parts._joined"), ",")
-    return g.select("bundle_id", "bundle_type", *keep_columns, "entry_count",
+    return g.select("bundle_id", "bundle_type", *asked, "entry_count",
                     (F.col("n_chunks") > 1).alias("was_reassembled"),
-                    _splice(h, joined).alias("document"))
+                    _with_rest(g, _splice(h, joined)).alias("document"))
 
 
-def chunk_stats(chunks: DataFrame) -> DataFrame:
+def chunk_stats(chunks: DataFrame, bundles: DataFrame | None = None) -> DataFrame:
     """Per bundle: entries, chunks, smallest/largest/integer-average
-    estimated chunk size."""
-    return (chunks.groupBy("bundle_id")
-            .agg(F.first("original_size").alias("original_size"),
-                 F.sum("n_entries").cast("long").alias("original_entries"),
-                 F.count(F.lit(1)).alias("chunks_created"),
-                 F.min("estimated_size").alias("smallest_chunk_size"),
-                 F.max("estimated_size").alias("largest_chunk_size"),
-                 F.sum("estimated_size").alias("_total"))
-            .withColumn("average_chunk_size", F.expr("_total div chunks_created"))
-            .drop("_total"))
+    estimated chunk size.  With ``bundles`` (the split frame) bundles without
+    chunks are there too, with zeros."""
+    g = (chunks.groupBy("bundle_id")
+         .agg(F.first("original_size").alias("original_size"),
+              F.sum("n_entries").cast("long").alias("original_entries"),
+              F.count(F.lit(1)).alias("chunks_created"),
+              F.min("estimated_size").alias("smallest_chunk_size"),
+              F.max("estimated_size").alias("largest_chunk_size"),
+              F.sum("estimated_size").alias("_total"))
+         .withColumn("average_chunk_size", F.expr("_total div chunks_created"))
+         .drop("_total"))
+    if bundles is None:
+        return g
+    zero = ("original_entries", "chunks_created", "smallest_chunk_size", "largest_chunk_size", "average_chunk_size")
+    x = bundles.select("bundle_id", "original_size").join(g.drop("original_size"), "bundle_id", "left")
+    return x.select("bundle_id", "original_size", *[F.coalesce(c, F.lit(0)).alias(c) for c in zero])
 
 
 def route(resource_type: Column, size: Column, threshold: int) -> Column:
@@ -246,21 +279,31 @@ def oversized_resources(res: DataFrame, threshold: int, escape_html: bool = True
 BUNDLE_LINE_SCHEMA = "resourceType string, id string, type string, timestamp string, entry array<string>"
 
 
+#: Fields of a bundle that have columns of their own; ``total`` is made anew.
+BUNDLE_FIELDS = ("resourceType", "id", "type", "timestamp", "entry", "total")
+
+
 def bundles_from_lines(lines: DataFrame, value_col: str = "value", canonicalize: bool = True) -> DataFrame:
     """Parse Bundle lines into a bundle frame (P7 fields checked by
     ``bundle_structure``).  ``from_json`` keeps each entry's JSON text and
     handles lines beyond the VARIANT size limit; with ``canonicalize`` each
     entry is re-serialised compact with sorted keys (what the reference
-    measures), one entry at a time."""
+    measures), one entry at a time.  Other fields travel in ``rest``; a bundle
+    without id takes its file and line as ``bundle_id`` (``has_id`` false)."""
     p = F.from_json(F.col(value_col), BUNDLE_LINE_SCHEMA, STRICT_JSON)
-    x = lines.select("*", p.alias("_b"))
+    fields = F.from_json(F.col(value_col), "map<string, variant>", STRICT_JSON)
+    rest = F.to_json(F.map_filter(fields, lambda k, v: ~k.isin(*BUNDLE_FIELDS)))
+    x = lines.select("*", p.alias("_b"), rest.alias("_rest"))
     entries = F.col("_b.entry")
     if canonicalize:
-        entries = F.transform(entries, lambda e: F.coalesce(F.to_json(F.try_parse_json(e)), e))
+        entries = F.transform(entries, one_line)
+    place = [F.col(c).cast("string") for c in ("file_name", "line_no") if c in lines.columns]
+    fallback = F.concat_ws(":", *place) if place else F.lit(None).cast("string")
     return x.select(
-        *lines.columns,
-        F.col("_b.id").alias("bundle_id"), F.col("_b.type").alias("bundle_type"),
-        F.col("_b.timestamp").alias("timestamp"), entries.alias("entries"))
+        *[c for c in lines.columns if c not in ("bundle_id", "bundle_type", "timestamp", "entries", "rest", "has_id")],
+        F.coalesce(F.col("_b.id"), fallback).alias("bundle_id"), F.col("_b.type").alias("bundle_type"),
+        F.col("_b.timestamp").alias("timestamp"), entries.alias("entries"),
+        F.coalesce("_rest", F.lit("{}")).alias("rest"), F.col("_b.id").isNotNull().alias("has_id"))
 
 
 # Bundle structure rules, in the order they are checked.

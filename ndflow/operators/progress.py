@@ -3,19 +3,19 @@
 A progress table holds ``(run_id, ts, seq, items, bytes)`` samples with a
 per-run sample number ``n`` (1, 2, ... in ``(ts, seq)`` order, from the
 two-level row number).  Rolling windows look back a fixed number of samples,
-so instead of a window over a whole run (one task per run) each sample is
-copied to the next ``k`` sample numbers and regrouped by ``(run_id, n)``:
-one shuffle, groups of at most ``k`` rows, exact results, and a run holding a
-third of all samples still spreads over every task.
+so instead of a window over a whole run (one task per run) the window runs
+inside ranges of sample numbers, each with the last samples of the range
+before it: one shuffle, no row copies but those, exact results, and a run
+holding a third of all samples still spreads over every task.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ndflow.functions.scalars import format_bytes, format_bytes_rate, format_duration, format_items_rate
-from ndflow.plans.seq import by_key, grouped_running_sums, join_null_safe
+from ndflow.plans.seq import grouped_running_sums, join_null_safe
 
 # ETA window (last samples kept, and their maximum age in seconds).
 WINDOW_SAMPLES = 10
@@ -29,16 +29,23 @@ def number_samples(samples: DataFrame, bucket: Column | None = None) -> DataFram
     return grouped_running_sums(one, ["run_id"], ["ts", "seq"], {"n": "_one"}, bucket=b).drop("_one")
 
 
-def lookback(samples: DataFrame, k: int, cols: list[str]) -> DataFrame:
+# Samples of one run handled by one window task.
+LOOKBACK_BUCKET = 1 << 14
+
+
+def lookback(samples: DataFrame, k: int, cols: list[str], bucket: int = LOOKBACK_BUCKET) -> DataFrame:
     """For every sample, the array ``prev`` of the previous ``k-1`` samples
-    and itself (oldest first) as ``struct(n, cols...)``."""
-    x = samples.select("run_id", "n", *cols, F.explode(F.sequence(F.lit(0), F.lit(k - 1))).alias("_d"))
-    x = x.select("run_id", (F.col("n") + F.col("_d")).alias("_target"), F.struct("n", *cols).alias("_s"))
-    g = by_key(x, "run_id", "_target").groupBy("run_id", "_target").agg(
-        F.sort_array(F.collect_list("_s")).alias("prev"))
-    # keep only targets that are real samples (their own copy is the last)
-    g = g.filter(F.element_at("prev", -1)["n"] == F.col("_target"))
-    return g.select("run_id", F.col("_target").alias("n"), "prev")
+    and itself (oldest first) as ``struct(n, cols...)``.
+
+    A bounded window inside (run, range of sample numbers); the last ``k-1``
+    samples of a range are also given to the next one as its start."""
+    own = F.floor((F.col("n") - 1) / F.lit(bucket))
+    tail = (F.col("n") - 1) % bucket >= bucket - (k - 1)
+    x = samples.select("run_id", "n", F.struct("n", *cols).alias("_s"), own.alias("_own"),
+                       F.explode(F.when(tail, F.array(own, own + 1)).otherwise(F.array(own))).alias("_bk"))
+    w = Window.partitionBy("run_id", "_bk").orderBy("n").rowsBetween(-(k - 1), 0)
+    x = x.select("run_id", "n", "_own", "_bk", F.collect_list("_s").over(w).alias("prev"))
+    return x.filter(F.col("_bk") == F.col("_own")).select("run_id", "n", "prev")
 
 
 def eta_window(samples: DataFrame, window_samples: int = WINDOW_SAMPLES,

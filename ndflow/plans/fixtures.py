@@ -71,8 +71,10 @@ def bundles_from_entries(entries: DataFrame, meta: DataFrame | None = None) -> D
     if meta is None:
         return b.select("bundle_id", F.lit("collection").alias("bundle_type"),
                         F.lit(None).cast("string").alias("timestamp"), *cols[3:])
-    # left join: a bundle without metadata is kept (status "invalid" later)
-    return b.join(meta, "bundle_id", "left").select(*cols)
+    # full join: a bundle without metadata and one without entries are kept
+    x = b.join(meta, "bundle_id", "full")
+    none = {"entries": F.array().cast("array<string>"), "sizes": F.array().cast("array<bigint>"), "entry_bytes": F.lit(0).cast("long")}
+    return x.select(*[F.coalesce(c, none[c]).alias(c) if c in none else F.col(c) for c in cols])
 
 
 def conversation_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -138,12 +140,12 @@ fx_entries AS (
                                     resourceType := 'Claim', status := l_linestatus))) AS VARCHAR) AS entry
   FROM lineitem),
 fx_bundles AS (
-  SELECT e.bundle_id,
+  SELECT 'order-' || o.o_orderkey AS bundle_id,
          CASE o.o_orderstatus WHEN 'F' THEN 'collection' WHEN 'O' THEN 'searchset' WHEN 'P' THEN 'history' END AS bundle_type,
          strftime(o.o_orderdate, '%Y-%m-%dT%H:%M:%SZ') AS timestamp,
-         e.entries
+         coalesce(e.entries, []) AS entries
   FROM (SELECT bundle_id, list(entry ORDER BY pos, entry) AS entries FROM fx_entries GROUP BY bundle_id) e
-  JOIN orders o ON e.bundle_id = 'order-' || o.o_orderkey)"""
+  RIGHT JOIN orders o ON e.bundle_id = 'order-' || o.o_orderkey)"""
 
 
 # --------------------------------------------------------------------------

@@ -33,9 +33,9 @@ bhead AS (
   FROM fx_bundles),
 bsplit AS (
   SELECT h.bundle_id, h.bundle_type, h.timestamp,
-         CAST({sql_json_size('h.header')} + s.tot + s.n - 1 AS BIGINT) AS original_size,
-         s.n, s.first_over
-  FROM bhead h JOIN (
+         CAST({sql_json_size('h.header')} + coalesce(s.tot, 0) + greatest(coalesce(s.n, 0) - 1, 0) AS BIGINT) AS original_size,
+         coalesce(s.n, 0) AS n, s.first_over
+  FROM bhead h LEFT JOIN (
      SELECT bundle_id, sum(size) AS tot, count(*) AS n,
             min(CASE WHEN size + {OH} > {threshold} THEN idx END) AS first_over
      FROM entry_sz GROUP BY bundle_id) s ON h.bundle_id = s.bundle_id),
@@ -59,7 +59,8 @@ chunks AS (
   SELECT bundle_id, chunk AS chunk_index, CAST(count(*) AS INTEGER) AS n_entries,
          CAST(min(idx) AS INTEGER) AS first_index, sum(size) AS tot,
          string_agg(entry, ',' ORDER BY idx) AS joined
-  FROM packed GROUP BY bundle_id, chunk),
+  FROM packed GROUP BY bundle_id, chunk
+  UNION ALL SELECT bundle_id, 0, 0, 0, 0, '' FROM bstatus WHERE n = 0 AND status = 'ok'),
 chunk_full AS (
   SELECT c.*, b.bundle_type, b.timestamp, b.original_size,
          CAST(max(c.chunk_index) OVER (PARTITION BY c.bundle_id) + 1 AS INTEGER) AS total_chunks,
@@ -73,7 +74,7 @@ chunk_est AS (
 
 
 def _sql_est() -> str:
-    return f"CAST({sql_json_size('est_header')} + tot + n_entries - 1 AS BIGINT)"
+    return f"CAST({sql_json_size('est_header')} + tot + greatest(n_entries - 1, 0) AS BIGINT)"
 
 
 # ---------------------------------------------------------------------------
@@ -109,32 +110,45 @@ def q_split_bundles(spark, sf_dir):
                     "error_resource_type", "error_resource_id", "error_size")
 
 
+def _not_split(split, *cols):
+    """Bundles that have no chunks, with their status and NULL chunk columns."""
+    return split.filter(F.col("status") != "ok").select("bundle_id", "status", *[F.lit(None).cast(t).alias(c) for c, t in cols])
+
+
 @register("pack_greedy", sql=with_ctes(FX.SQL_CONVERSATION_ENTRIES, _sql_split(T1), select="""
-SELECT bundle_id, idx AS entry_index, chunk AS chunk_index FROM packed"""))
+SELECT bundle_id, 'ok' AS status, idx AS entry_index, chunk AS chunk_index FROM packed
+UNION ALL SELECT bundle_id, status, NULL, NULL FROM bstatus WHERE status <> 'ok'"""))
 def q_pack_greedy(spark, sf_dir):
-    ch = B.chunk_rows(B.split_bundles(FX.conversation_bundles(spark, sf_dir), T1))
-    return ch.select("bundle_id", "chunk_index",
-                     F.explode(F.sequence(F.col("first_index"), F.col("first_index") + F.col("n_entries") - 1))
-                     .alias("entry_index"))
+    split = B.split_bundles(FX.conversation_bundles(spark, sf_dir), T1)
+    ch = B.chunk_rows(split)
+    got = ch.select("bundle_id", "status",
+                    F.explode(F.sequence(F.col("first_index"), F.col("first_index") + F.col("n_entries") - 1))
+                    .alias("entry_index"), "chunk_index")
+    return got.unionByName(_not_split(split, ("entry_index", "int"), ("chunk_index", "int")))
 
 
 @register("chunk_rows", sql=with_ctes(FX.SQL_CONVERSATION_ENTRIES, _sql_split(T1), select=f"""
-SELECT chunk_id, bundle_id, chunk_index, total_chunks, n_entries, first_index, {_sql_est()} AS estimated_size
-FROM chunk_est"""))
+SELECT chunk_id, bundle_id, 'ok' AS status, chunk_index, total_chunks, n_entries, first_index, {_sql_est()} AS estimated_size
+FROM chunk_est UNION ALL SELECT NULL, bundle_id, status, NULL, NULL, NULL, NULL, NULL FROM bstatus WHERE status <> 'ok'"""))
 def q_chunk_rows(spark, sf_dir):
-    ch = B.chunk_rows(B.split_bundles(FX.conversation_bundles(spark, sf_dir), T1))
-    return ch.select("chunk_id", "bundle_id", "chunk_index", "total_chunks", "n_entries", "first_index",
-                     "estimated_size")
+    split = B.split_bundles(FX.conversation_bundles(spark, sf_dir), T1)
+    ch = B.chunk_rows(split).select("chunk_id", "bundle_id", "status", "chunk_index", "total_chunks", "n_entries", "first_index",
+                                    "estimated_size")
+    return ch.unionByName(_not_split(split, *[(c, t) for c, t in ch.dtypes if c not in ("bundle_id", "status")]))
 
 
 @register("chunk_stats", sql=with_ctes(FX.SQL_CONVERSATION_ENTRIES, _sql_split(T1), select=f"""
-SELECT bundle_id, any_value(original_size) AS original_size, CAST(sum(n_entries) AS BIGINT) AS original_entries,
-       count(*) AS chunks_created, min(est) AS smallest_chunk_size, max(est) AS largest_chunk_size,
-       CAST(sum(est) // count(*) AS BIGINT) AS average_chunk_size
-FROM (SELECT *, {_sql_est()} AS est FROM chunk_est) GROUP BY bundle_id"""))
+SELECT b.bundle_id, b.original_size, coalesce(original_entries, 0) AS original_entries, coalesce(chunks_created, 0) AS chunks_created,
+       coalesce(smallest_chunk_size, 0) AS smallest_chunk_size, coalesce(largest_chunk_size, 0) AS largest_chunk_size,
+       coalesce(average_chunk_size, 0) AS average_chunk_size
+FROM bstatus b LEFT JOIN (
+  SELECT bundle_id, CAST(sum(n_entries) AS BIGINT) AS original_entries,
+         count(*) AS chunks_created, min(est) AS smallest_chunk_size, max(est) AS largest_chunk_size,
+         CAST(sum(est) // count(*) AS BIGINT) AS average_chunk_size
+  FROM (SELECT *, {_sql_est()} AS est FROM chunk_est) GROUP BY bundle_id) s ON s.bundle_id = b.bundle_id"""))
 def q_chunk_stats(spark, sf_dir):
-    ch = B.chunk_rows(B.split_bundles(FX.conversation_bundles(spark, sf_dir), T1))
-    return B.chunk_stats(ch)
+    split = B.split_bundles(FX.conversation_bundles(spark, sf_dir), T1)
+    return B.chunk_stats(B.chunk_rows(split), split)
 
 
 def _orders_chunks(spark, sf_dir):

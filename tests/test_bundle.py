@@ -72,9 +72,30 @@ def test_one_oversized_entry_fails_bundle(spark):
 
 
 def test_empty_and_missing_id(spark):
-    df = frame(spark, [("b1", "collection", None, []), (None, "collection", None, [entry(1)])])
-    st = {r.bundle_id: r.status for r in B.split_bundles(df, 1000).collect()}
-    assert st["b1"] == "empty" and st[None] == "invalid"
+    rows = [("b1", "collection", None, []), (None, "collection", None, [entry(1)])]
+    df = frame(spark, rows)
+    st = {r.bundle_id: (r.status, r.total_chunks) for r in B.split_bundles(df, 1000).collect()}
+    assert st == {"b1": ("ok", 1), None: ("ok", 1)}  # within the budget: as they are
+    st = {r.bundle_id: r.status for r in B.split_bundles(df, 10).collect()}
+    assert st == {"b1": "empty", None: "invalid"}
+    stats = {r.bundle_id: tuple(r)[2:] for r in B.chunk_stats(B.chunk_rows(B.split_bundles(df, 10)), B.split_bundles(df, 10)).collect()}
+    assert stats == {"b1": (0, 0, 0, 0, 0), None: (0, 0, 0, 0, 0)}
+
+
+def test_other_fields_count_and_survive(spark):
+    doc = {"resourceType": "Bundle", "id": "b", "type": "batch", "meta": {"tag": ["<x>"]}, "identifier": {"value": "B7"}, "link": [{"u": 1}],
+           "entry": [json.loads(entry(i, pad=100)) for i in range(6)]}
+    small = {"resourceType": "Bundle", "type": "batch", "entry": []}
+    lines = spark.createDataFrame([("f", 1, json.dumps(doc, indent=1).replace("\n", " ")), ("f", 2, json.dumps(small))], "file_name string, line_no long, value string")
+    b = B.bundles_from_lines(lines)
+    split = B.split_bundles(b, 600)
+    size = {r.bundle_id: r.original_size for r in split.collect()}
+    canon = lambda d: json.dumps(d, sort_keys=True, separators=(",", ":"))
+    assert size == {"b": len(canon(doc)) + 10, "f:2": len(canon(small))}
+    back = {r.bundle_id: r for r in B.reassemble(B.chunk_rows(split)).collect()}
+    assert back["b"].was_reassembled and json.loads(back["b"].document) == doc and json.loads(back["f:2"].document) == small
+    ch = B.chunk_rows(split).filter("bundle_id = 'b'")
+    assert all(json.loads(r.d)["meta"] == doc["meta"] for r in ch.select(B.chunk_document(ch).alias("d")).collect())
 
 
 def test_html_escapes_count_in_size(spark):
