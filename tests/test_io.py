@@ -75,7 +75,29 @@ def test_fetch_retries_transient_then_fails_fast(spark, tmp_dir):
     assert (got["ok"].status, got["ok"].line_count) == ("ok", 2)
     assert (got["flaky"].status, got["flaky"].attempts) == ("ok", 2)
     assert (got["missing"].status, got["missing"].attempts, got["missing"].http_status) == ("failed", 1, 404)
-    assert not os.path.exists(tmp_dir + "/dl/c.ndjson")
+    assert sorted(r.value for r in spark.read.text(got["ok"].file_path).collect()) == ["", '{"a":1}', '{"b":2}']
+    # a later failure, and another URL with a taken name, leave earlier files alone
+    again = spark.createDataFrame([("missing", "a.ndjson"), ("flaky", "b.ndjson"), ("ok", "b.ndjson")], "url string, file_name string")
+    fetch(again, tmp_dir + "/dl", fetcher, initial_ms=1).collect()
+    assert spark.read.text(got["ok"].file_path).count() == 3
+    assert spark.read.text(tmp_dir + "/dl/file_name=b.ndjson").count() == 4
+    assert not os.path.exists(tmp_dir + "/dl/file_name=c.ndjson")
+
+
+def test_lines_of_a_broken_attempt_do_not_count(spark, tmp_dir):
+    from ndflow.sources.fetch import fetch
+    tries = {}
+
+    def breaks_once(url):
+        tries[url] = tries.get(url, 0) + 1
+        yield b'{"a":1}\n'
+        if tries[url] == 1:
+            raise OSError("connection reset by peer")
+        yield b'{"a":2}'
+
+    r = fetch(spark.createDataFrame([("u", "f")], "url string, file_name string"), tmp_dir + "/dl", breaks_once, initial_ms=1).first()
+    assert (r.status, r.attempts, r.line_count, r.file_size) == ("ok", 2, 2, 15)
+    assert spark.read.text(tmp_dir + "/dl").count() == 2
 
 
 def test_run_flow_writes_every_sink(spark, tmp_dir):
