@@ -22,7 +22,7 @@ from ndflow.operators.bundle import BUNDLE_OVERHEAD, entry_sizes, pack_breaks, r
 from ndflow.operators.deid_doc import deidentify_documents
 from ndflow.operators.flatten import ENCOUNTER_PATHS, PATIENT_PATHS, flatten
 from ndflow.sinks.files import output_name, write_csv, write_ndjson, write_parquet
-from ndflow.sources.ndjson import parse_lines, quarantine
+from ndflow.sources.ndjson import NDJSON_GLOB, parse_lines, quarantine
 
 #: Columns of a line that identify its file's version, where the scan has them.
 FILE_KEYS = ("file_name", "file_size", "file_mtime")
@@ -150,7 +150,7 @@ def run_flow(lines: DataFrame, secret: str, threshold: int, out_dir: str, resume
     return paths
 
 
-def import_directory(spark, src: str, dest: str, source_step: str = "local_import") -> DataFrame:
+def import_directory(spark, src: str, dest: str, source_step: str = "local_import", glob: str = NDJSON_GLOB) -> DataFrame:
     """Check the source (S5), land the lines of every ``*.ndjson`` under it
     unchanged in ``dest`` (one folder per input file, by relative path), and
     return one manifest row per file, empty files included: relative path,
@@ -161,14 +161,14 @@ def import_directory(spark, src: str, dest: str, source_step: str = "local_impor
     ``dest`` gives each line its original file again."""
     from ndflow.sources.ndjson import check_source, is_blank_trimmed, list_files, name_to_type, read_ndjson
 
-    err = check_source(spark, src)
+    err = check_source(spark, src) if glob == NDJSON_GLOB else None
     if err:
         raise ValueError(err)
-    lines = read_ndjson(spark, src, line_numbers=False)
+    lines = read_ndjson(spark, src, line_numbers=False, glob=glob)
     lines.select("value", F.col("rel_path").alias("source_file")).write.mode("overwrite").option(
         "partitionOverwriteMode", "dynamic").partitionBy("source_file").text(dest)
     counts = lines.groupBy("rel_path").agg(F.count_if(~is_blank_trimmed(F.col("value"))).cast("int").alias("line_count"))
-    files = list_files(spark, src)
+    files = list_files(spark, src, glob)
     m = files.join(counts, "rel_path", "left")
     return m.select("file_name", F.concat(F.lit(source_step + "/"), F.col("rel_path")).alias("file_path"),
                     name_to_type(F.col("file_name")).alias("resource_type"), "file_size", F.lit(source_step).alias("source_step"),

@@ -169,16 +169,17 @@ _SQL_SPLIT_T2 = _sql_split(FX.FX_ORDERS_THRESHOLD)
 CLAIM_SCHEMA = "fullUrl string, resource struct<id string, quantity bigint, resourceType string, status string>"
 
 
-def _deid_entries(entries, key):
-    """De-identify Claim entries (id and fullUrl) before packing (H9/D8);
-    ``key`` is a column (subqueries cannot stand inside array functions)."""
-    def one(e):
-        s = F.from_json(e, CLAIM_SCHEMA)
-        r = s["resource"]
-        return F.to_json(F.struct(D.pseudonymize_reference(s["fullUrl"], key).alias("fullUrl"), F.struct(
-            D.pseudonym(F.lit("Claim"), r["id"], key).alias("id"), r["quantity"].alias("quantity"),
-            r["resourceType"].alias("resourceType"), r["status"].alias("status")).alias("resource")))
-    return F.transform(entries, one)
+def _deid_entries(entries):
+    """De-identify Claim entry rows (id and fullUrl) before packing (H9/D8);
+    keeps the original id as ``_id``."""
+    x = entries.select("bundle_id", "pos", F.from_json("entry", CLAIM_SCHEMA).alias("s"))
+    r = F.col("s.resource")
+    x = x.select("bundle_id", "pos", r["id"].alias("_id"), r.alias("r"), D.pseudonymize_reference(F.col("s.fullUrl"), SECRET).alias("u"),
+                 D.pseudonym(F.lit("Claim"), r["id"], SECRET).alias("i"))
+    doc = F.to_json(F.struct(F.col("u").alias("fullUrl"), F.struct(
+        F.col("i").alias("id"), F.col("r.quantity").alias("quantity"), F.col("r.resourceType").alias("resourceType"),
+        F.col("r.status").alias("status")).alias("resource")))
+    return x.select("bundle_id", "pos", doc.alias("entry"), "_id")
 
 
 @register("split_invariance", sql=with_ctes(FX.SQL_ORDER_ENTRIES, _SQL_SPLIT_T2, select="""
@@ -188,16 +189,15 @@ def q_split_invariance(spark, sf_dir):
     unsplit de-identified bundle for every bundle.  The oracle states the
     invariant: every packable bundle appears once with ``equal = true``, and
     no original entry id occurs anywhere in its text (``leaks = false``)."""
-    b = FX.order_bundles(spark, sf_dir)
-    ids = F.transform("entries", lambda e: F.from_json(e, CLAIM_SCHEMA)["resource"]["id"])
-    b = b.select("*", ids.alias("_ids"), D.key_column(SECRET).alias("_key"))
-    b = b.withColumn("entries", _deid_entries(F.col("entries"), F.col("_key"))).drop("sizes", "entry_bytes", "max_entry", "_key")
-    whole = b.select("bundle_id", "_ids", B.bundle_document(b).alias("_whole"))
+    e = _deid_entries(FX.order_entries(spark, sf_dir))
+    b = FX.bundles_from_entries(e, FX.order_bundle_meta(spark, sf_dir))
+    ids = e.groupBy("bundle_id").agg(F.collect_list("_id").alias("_ids"))
+    whole = b.select("bundle_id", B.bundle_document(b).alias("_whole")).join(ids, "bundle_id", "left")
     r = B.reassemble(B.chunk_rows(B.split_bundles(b, FX.FX_ORDERS_THRESHOLD)))
     j = r.join(whole, "bundle_id")
     canon = F.regexp_replace("document", r',"total":[0-9]+', "")
     return j.select("bundle_id", "entry_count", (canon == F.regexp_replace("_whole", r',"total":[0-9]+', ""))
-                    .alias("equal"), F.exists("_ids", lambda i: F.contains(F.col("document"), i)).alias("leaks"))
+                    .alias("equal"), F.coalesce(F.exists("_ids", lambda i: F.contains(F.col("document"), F.concat(i, F.lit('"')))), F.lit(False)).alias("leaks"))
 
 
 # ---------------------------------------------------------------------------
