@@ -33,8 +33,8 @@ from ndflow.llm.textcore import U64, Slice, Words, slices
 TRAIN_DOCS = 20_000
 BITS = 20
 THRESHOLD = 0.7
-MIN_DOCS = 3
-MIN_Z = 2.5
+MIN_DOCS = 5
+MIN_Z = 4.0
 L2 = 0.02
 SWAP_WEIGHT = 4.0
 STEPS = 300
