@@ -27,6 +27,7 @@ WINDOW = 8
 MIN_WORDS = 20
 MAX_REPEAT_PCT = 30
 MIN_GROUP = 100
+QUARTILES = (0.25, 0.75)
 #: Interquartile ranges beyond the quartile at which a fence stands.
 SPREAD = 4.0
 #: Added to each fence, so that a measure without spread (all zero) still
@@ -103,23 +104,19 @@ def fences(m: DataFrame) -> DataFrame:
     per = good.groupBy("lang", "source").agg(F.count(F.lit(1)).alias("n"), *[F.kll_sketch_agg_double(k).alias(k) for k in names])
     merged = [F.sum("n").alias("n"), *[F.kll_merge_agg_double(k).alias(k) for k in names]]
     by_lang = per.groupBy("lang").agg(*merged)
-    every = by_lang.agg(*merged)
-
-    def renamed(df, p):
-        return df.select(*[F.col(c).alias(p + c) for c in df.columns])
-
+    every = by_lang.agg(*merged).select(*[
+        F.when(F.col("n") > 0, F.kll_sketch_get_quantile_double(k, F.lit(p))).alias(f"{k}{i}")  # an empty sketch has no quantiles
+        for k in names for i, p in enumerate(QUARTILES)]).first()  # one row of numbers
+    a = per.withColumnsRenamed({c: f"a_{c}" for c in per.columns})
+    b = by_lang.withColumnsRenamed({c: f"b_{c}" for c in by_lang.columns})
     groups = m.select("lang", "source").distinct()
-    a, b, c = renamed(per, "a_"), renamed(by_lang, "b_"), renamed(every, "c_")
     g = (groups.join(a, groups["lang"].eqNullSafe(a["a_lang"]) & groups["source"].eqNullSafe(a["a_source"]), "left")
-         .join(b, F.col("lang").eqNullSafe(b["b_lang"]), "left").join(F.broadcast(c), F.lit(True), "left"))
-    out = []
-    for k in names:
-        s = F.when(F.col("a_n") >= MIN_GROUP, F.col(f"a_{k}")).when(F.col("b_n") >= MIN_GROUP, F.col(f"b_{k}")).otherwise(F.col(f"c_{k}"))
-        out.append(s.alias(k))
-    g = g.select("lang", "source", *out)
-    q = {k: (F.kll_sketch_get_quantile_double(F.col(k), F.lit(0.25)), F.kll_sketch_get_quantile_double(F.col(k), F.lit(0.75))) for k in names}
+         .join(b, F.col("lang").eqNullSafe(b["b_lang"]), "left"))
     cols = []
-    for k, (q1, q3) in q.items():
+    for k in names:
+        q1, q3 = (F.when(F.col("a_n") >= MIN_GROUP, F.kll_sketch_get_quantile_double(F.col(f"a_{k}"), F.lit(p)))
+                  .when(F.col("b_n") >= MIN_GROUP, F.kll_sketch_get_quantile_double(F.col(f"b_{k}"), F.lit(p)))
+                  .otherwise(F.lit(every[f"{k}{i}"]).cast("double")) for i, p in enumerate(QUARTILES))
         room = F.lit(SPREAD) * (q3 - q1) + F.lit(MARGIN[k])
         cols += [(q1 - room).alias(f"lo_{k}"), (q3 + room).alias(f"hi_{k}")]
     return g.select("lang", "source", *cols)
