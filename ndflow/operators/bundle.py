@@ -168,19 +168,21 @@ def split_bundles(df: DataFrame, threshold: int, overhead: int = BUNDLE_OVERHEAD
     return d.select("*", F.coalesce(F.size("breaks"), F.lit(0)).alias("total_chunks")).drop("_over")
 
 
-def chunk_rows(split: DataFrame, escape_html: bool = True) -> DataFrame:
-    """One row per chunk of every ``ok`` bundle.
+def chunk_rows(split: DataFrame, escape_html: bool = True, keep_failed: bool = False) -> DataFrame:
+    """One row per chunk of every ``ok`` bundle; with ``keep_failed`` also
+    one row, without chunk values, of every bundle that has no chunks.
 
     Adds ``chunk_index, first_index, chunk_id, n_entries, chunk_entries,
     estimated_size``.  ``estimated_size`` follows the reference: it always
     counts ``timestamp`` (zero time when unset) and ``total`` (H11).
     """
     produced = {"chunk_index", "first_index", "n_entries", "chunk_entries", "chunk_id", "estimated_size"}
-    ok = split.filter(F.col("status") == "ok").drop(*[c for c in split.columns if c in produced])
-    x = ok.select("*", F.posexplode("breaks").alias("chunk_index", "first_index"))
+    all_ = split.drop(*[c for c in split.columns if c in produced])
+    x = (all_.select("*", F.posexplode_outer("breaks").alias("chunk_index", "first_index")) if keep_failed
+         else all_.filter(F.col("status") == "ok").select("*", F.posexplode("breaks").alias("chunk_index", "first_index")))
     nxt = F.try_element_at(F.col("breaks"), F.col("chunk_index") + 2)
     end = F.when(F.col("chunk_index") + 1 < F.col("total_chunks"), nxt).otherwise(F.size("entries"))  # 0 of an empty bundle
-    x = x.select("*", (end - F.col("first_index")).cast("int").alias("n_entries"))
+    x = x.select("*", (end - F.col("first_index")).cast("int").alias("n_entries"))  # NULL, as all below, without a chunk
     start = F.col("first_index") + 1
     chunk_id = F.concat(F.col("bundle_id"), F.lit("-chunk-"), F.col("chunk_index").cast("string"))
     x = x.select("*", F.slice("entries", start, F.col("n_entries")).alias("chunk_entries"),
@@ -190,7 +192,7 @@ def chunk_rows(split: DataFrame, escape_html: bool = True) -> DataFrame:
     ts_fmt = F.coalesce(rfc3339_normalized(F.col("timestamp")), F.lit(ZERO_TIME))
     h = _header(F.col("chunk_id"), F.col("bundle_type"), ts_fmt, F.col("n_entries"))
     hs = F.octet_length(h).cast("long") + (escape_growth(h) if escape_html else F.lit(0))
-    est = hs + F.coalesce("_chunk_bytes", F.lit(0)) + F.greatest(F.col("n_entries") - 1, F.lit(0))
+    est = F.when(F.col("chunk_index").isNotNull(), hs + F.coalesce("_chunk_bytes", F.lit(0)) + F.greatest(F.col("n_entries") - 1, F.lit(0)))
     return x.select("*", est.alias("estimated_size")).drop("_chunk_bytes")
 
 
@@ -233,24 +235,17 @@ def reassemble(chunks: DataFrame, keep_columns: tuple[str, ...] = ()) -> DataFra
                     _with_rest(g, _splice(h, joined)).alias("document"))
 
 
-def chunk_stats(chunks: DataFrame, bundles: DataFrame | None = None) -> DataFrame:
+def chunk_stats(chunks: DataFrame) -> DataFrame:
     """Per bundle: entries, chunks, smallest/largest/integer-average
-    estimated chunk size.  With ``bundles`` (the split frame) bundles without
-    chunks are there too, with zeros."""
-    g = (chunks.groupBy("bundle_id")
-         .agg(F.first("original_size").alias("original_size"),
-              F.sum("n_entries").cast("long").alias("original_entries"),
-              F.count(F.lit(1)).alias("chunks_created"),
-              F.min("estimated_size").alias("smallest_chunk_size"),
-              F.max("estimated_size").alias("largest_chunk_size"),
-              F.sum("estimated_size").alias("_total"))
-         .withColumn("average_chunk_size", F.expr("_total div chunks_created"))
-         .drop("_total"))
-    if bundles is None:
-        return g
-    zero = ("original_entries", "chunks_created", "smallest_chunk_size", "largest_chunk_size", "average_chunk_size")
-    x = bundles.select("bundle_id", "original_size").join(g.drop("original_size"), "bundle_id", "left")
-    return x.select("bundle_id", "original_size", *[F.coalesce(c, F.lit(0)).alias(c) for c in zero])
+    estimated chunk size.  Bundles without chunks (rows that ``chunk_rows``
+    keeps with ``keep_failed``) have zeros."""
+    def zero(c):
+        return F.coalesce(c, F.lit(0))
+    g = chunks.groupBy("bundle_id").agg(
+        F.first("original_size").alias("original_size"), zero(F.sum("n_entries")).cast("long").alias("original_entries"),
+        F.count("chunk_index").alias("chunks_created"), zero(F.min("estimated_size")).alias("smallest_chunk_size"),
+        zero(F.max("estimated_size")).alias("largest_chunk_size"), zero(F.sum("estimated_size")).alias("_total"))
+    return g.withColumn("average_chunk_size", F.expr("_total div greatest(chunks_created, 1)")).drop("_total")
 
 
 def route(resource_type: Column, size: Column, threshold: int) -> Column:

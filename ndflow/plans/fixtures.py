@@ -60,21 +60,20 @@ def bundles_from_entries(entries: DataFrame, meta: DataFrame | None = None) -> D
     ``bundle_type``/``timestamp`` per bundle (joined on ``bundle_id``).
     """
     from ndflow.functions.jsonfn import json_size
-    sized = entries.select("bundle_id", "pos", "entry", json_size(F.col("entry")).alias("size"))
     from ndflow.plans.seq import by_key
-    b = (by_key(sized, "bundle_id").groupBy("bundle_id")
-         .agg(F.sort_array(F.collect_list(F.struct("pos", "entry", "size"))).alias("_e"),
-              F.sum("size").alias("entry_bytes"), F.max("size").alias("max_entry"))
-         .select("bundle_id", F.col("_e.entry").alias("entries"), F.col("_e.size").alias("sizes"),
-                 "entry_bytes", "max_entry"))
-    cols = ["bundle_id", "bundle_type", "timestamp", "entries", "sizes", "entry_bytes", "max_entry"]
-    if meta is None:
-        return b.select("bundle_id", F.lit("collection").alias("bundle_type"),
-                        F.lit(None).cast("string").alias("timestamp"), *cols[3:])
-    # full join: a bundle without metadata and one without entries are kept
-    x = b.join(meta, "bundle_id", "full")
-    none = {"entries": F.array().cast("array<string>"), "sizes": F.array().cast("array<bigint>"), "entry_bytes": F.lit(0).cast("long")}
-    return x.select(*[F.coalesce(c, none[c]).alias(c) if c in none else F.col(c) for c in cols])
+    sized = entries.select("bundle_id", "pos", "entry", json_size(F.col("entry")).alias("size"),
+                           F.lit("collection" if meta is None else None).cast("string").alias("bundle_type"), F.lit(None).cast("string").alias("timestamp"))
+    if meta is not None:
+        # metadata rows join the entry rows of their bundle in the one grouping:
+        # bundles without entries and entries without metadata are both kept
+        sized = sized.unionByName(meta.select("bundle_id", F.lit(None).cast("long").alias("pos"), F.lit(None).cast("string").alias("entry"),
+                                              F.lit(None).cast("long").alias("size"), "bundle_type", "timestamp"))
+    b = by_key(sized, "bundle_id").groupBy("bundle_id").agg(
+        F.sort_array(F.collect_list(F.when(F.col("entry").isNotNull(), F.struct("pos", "entry", "size")))).alias("_e"),
+        F.coalesce(F.sum("size"), F.lit(0)).alias("entry_bytes"), F.max("size").alias("max_entry"),
+        F.max("bundle_type").alias("bundle_type"), F.max("timestamp").alias("timestamp"))
+    return b.select("bundle_id", "bundle_type", "timestamp", F.col("_e.entry").alias("entries"), F.col("_e.size").alias("sizes"),
+                    "entry_bytes", "max_entry")
 
 
 def conversation_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -110,31 +110,24 @@ def q_split_bundles(spark, sf_dir):
                     "error_resource_type", "error_resource_id", "error_size")
 
 
-def _not_split(split, *cols):
-    """Bundles that have no chunks, with their status and NULL chunk columns."""
-    return split.filter(F.col("status") != "ok").select("bundle_id", "status", *[F.lit(None).cast(t).alias(c) for c, t in cols])
-
-
 @register("pack_greedy", sql=with_ctes(FX.SQL_CONVERSATION_ENTRIES, _sql_split(T1), select="""
 SELECT bundle_id, 'ok' AS status, idx AS entry_index, chunk AS chunk_index FROM packed
 UNION ALL SELECT bundle_id, status, NULL, NULL FROM bstatus WHERE status <> 'ok'"""))
 def q_pack_greedy(spark, sf_dir):
-    split = B.split_bundles(FX.conversation_bundles(spark, sf_dir), T1)
-    ch = B.chunk_rows(split)
-    got = ch.select("bundle_id", "status",
-                    F.explode(F.sequence(F.col("first_index"), F.col("first_index") + F.col("n_entries") - 1))
-                    .alias("entry_index"), "chunk_index")
-    return got.unionByName(_not_split(split, ("entry_index", "int"), ("chunk_index", "int")))
+    ch = B.chunk_rows(B.split_bundles(FX.conversation_bundles(spark, sf_dir), T1), keep_failed=True)
+    return ch.select("bundle_id", "status", "chunk_index",
+                     F.explode_outer(F.sequence(F.col("first_index"), F.col("first_index") + F.col("n_entries") - 1))
+                     .alias("entry_index"))
 
 
 @register("chunk_rows", sql=with_ctes(FX.SQL_CONVERSATION_ENTRIES, _sql_split(T1), select=f"""
 SELECT chunk_id, bundle_id, 'ok' AS status, chunk_index, total_chunks, n_entries, first_index, {_sql_est()} AS estimated_size
 FROM chunk_est UNION ALL SELECT NULL, bundle_id, status, NULL, NULL, NULL, NULL, NULL FROM bstatus WHERE status <> 'ok'"""))
 def q_chunk_rows(spark, sf_dir):
-    split = B.split_bundles(FX.conversation_bundles(spark, sf_dir), T1)
-    ch = B.chunk_rows(split).select("chunk_id", "bundle_id", "status", "chunk_index", "total_chunks", "n_entries", "first_index",
-                                    "estimated_size")
-    return ch.unionByName(_not_split(split, *[(c, t) for c, t in ch.dtypes if c not in ("bundle_id", "status")]))
+    ch = B.chunk_rows(B.split_bundles(FX.conversation_bundles(spark, sf_dir), T1), keep_failed=True)
+    has = F.col("chunk_index").isNotNull()
+    return ch.select("chunk_id", "bundle_id", "status", "chunk_index", F.when(has, F.col("total_chunks")).alias("total_chunks"), "n_entries",
+                     "first_index", "estimated_size")
 
 
 @register("chunk_stats", sql=with_ctes(FX.SQL_CONVERSATION_ENTRIES, _sql_split(T1), select=f"""
@@ -147,8 +140,7 @@ FROM bstatus b LEFT JOIN (
          CAST(sum(est) // count(*) AS BIGINT) AS average_chunk_size
   FROM (SELECT *, {_sql_est()} AS est FROM chunk_est) GROUP BY bundle_id) s ON s.bundle_id = b.bundle_id"""))
 def q_chunk_stats(spark, sf_dir):
-    split = B.split_bundles(FX.conversation_bundles(spark, sf_dir), T1)
-    return B.chunk_stats(B.chunk_rows(split), split)
+    return B.chunk_stats(B.chunk_rows(B.split_bundles(FX.conversation_bundles(spark, sf_dir), T1), keep_failed=True))
 
 
 def _orders_chunks(spark, sf_dir):

@@ -78,7 +78,7 @@ def test_empty_and_missing_id(spark):
     assert st == {"b1": ("ok", 1), None: ("ok", 1)}  # within the budget: as they are
     st = {r.bundle_id: r.status for r in B.split_bundles(df, 10).collect()}
     assert st == {"b1": "empty", None: "invalid"}
-    stats = {r.bundle_id: tuple(r)[2:] for r in B.chunk_stats(B.chunk_rows(B.split_bundles(df, 10)), B.split_bundles(df, 10)).collect()}
+    stats = {r.bundle_id: tuple(r)[2:] for r in B.chunk_stats(B.chunk_rows(B.split_bundles(df, 10), keep_failed=True)).collect()}
     assert stats == {"b1": (0, 0, 0, 0, 0), None: (0, 0, 0, 0, 0)}
 
 
