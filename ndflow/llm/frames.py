@@ -36,6 +36,14 @@ def stored(df: DataFrame, spark: SparkSession, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def pinned(df: DataFrame, spark: SparkSession, name: str, limit: int = 10_000) -> DataFrame:
+    """A computed table made fixed: up to ``limit`` rows are held as they are (a
+    few hundred KB), more are ``stored``.  For per-source and per-range tables,
+    which are small as a rule: saves writing many near-empty files."""
+    rows = df.limit(limit + 1).collect()
+    return spark.createDataFrame(rows, df.schema) if len(rows) <= limit else stored(df, spark, name)
+
+
 def bounded_sample(df: DataFrame, key: Column, bound: int) -> DataFrame:
     """About ``bound`` rows when there are more (all when not), chosen by a
     hash of ``key``: the same rows on every run."""
@@ -81,7 +89,7 @@ def global_rank(df: DataFrame, spark: SparkSession, order: list[Column], name: s
     range partitions, their counts, and the row number inside each."""
     cols = df.columns
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    x = stored(df.repartitionByRange(parts, *order).withColumn("_pid", F.spark_partition_id()), spark, label)
+    x = pinned(df.repartitionByRange(parts, *order).withColumn("_pid", F.spark_partition_id()), spark, label)
     n = x.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     n = n.select(F.col("_pid").alias("_p"), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))

@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ndflow.llm.frames import global_rank, key_block, order_key, stored
+from ndflow.llm.frames import global_rank, key_block, order_key, pinned, stored
 from ndflow.plans.seq import grouped_running_sums, join_null_safe
 
 WEIGHTS = (3, 1, 2)
@@ -46,7 +46,7 @@ def source_targets(slim: DataFrame, spark: SparkSession, weights=WEIGHTS, budget
     per = slim.groupBy("source").agg(F.sum("size").cast("long").alias("source_size"))
     ranked = global_rank(per, spark, [F.col("source").asc_nulls_last()], "rank", "sources")
     w = F.element_at(F.array(*[F.lit(float(x)) for x in weights]), (F.col("rank") % len(weights) + 1).cast("int"))
-    t = stored(ranked.withColumn("weight", w).withColumn("cap", (F.col("source_size") * max_passes).cast("double")), spark, "targets")
+    t = pinned(ranked.withColumn("weight", w).withColumn("cap", (F.col("source_size") * max_passes).cast("double")), spark, "targets")
     total = t.agg(F.coalesce(F.sum("source_size"), F.lit(0)).alias("s")).first()["s"]
     level, stopped = 0.0, -1
     while True:  # each round raises the level; it ends when no more targets stop
@@ -88,7 +88,7 @@ def mix(docs: DataFrame, spark: SparkSession, weights=WEIGHTS, budget: float = B
     """``doc_id, source, size, crc, source_size, target, copies, taken`` of
     every row: how often it is taken (0 to 2) and its words times that."""
     slim = stored(_sized(docs, id_col, text_col, source_col), spark, "mix")
-    targets = stored(source_targets(slim, spark, weights, budget), spark, "mixtargets")
+    targets = source_targets(slim, spark, weights, budget)
     total = targets.agg(F.coalesce(F.sum("source_size"), F.lit(0)).alias("s"), F.count(F.lit(1)).alias("n")).first()
     t = F.broadcast(targets) if total["n"] <= BROADCAST_SOURCES else targets
     x = join_null_safe(slim, t, ["source"])
@@ -112,7 +112,7 @@ def _cut(x: DataFrame, spark: SparkSession, budget: float):
     s = stored(copies.select("c.f", "c.pass", *_TIE).repartitionByRange(parts, *order).withColumn("pid", F.spark_partition_id()), spark, "queue")
     sums = s.groupBy("pid").agg(F.sum("size").alias("n"), F.max(F.struct(*order)).alias("last"))
     upto = sums.withColumn("upto", F.sum("n").over(Window.orderBy("pid").rowsBetween(Window.unboundedPreceding, 0)))  # one row per range
-    upto = stored(upto, spark, "queuesums")
+    upto = pinned(upto, spark, "queuesums")
     whole = upto.filter(F.col("upto") <= budget).agg(F.max(F.struct("pid", "upto", "last")).alias("m")).first()["m"]
     crossing = upto.filter(F.col("upto") > budget).agg(F.min("pid").alias("p")).first()["p"]
     cut = whole["last"] if whole else None
@@ -136,7 +136,7 @@ def mixed_documents(docs: DataFrame, spark: SparkSession, weights=WEIGHTS, budge
     m = m.withColumn("at", F.struct(order_key(F.col("doc_id"), F.col("crc")).alias("key"), "doc_id", "crc"))
     ends = m.groupBy("source").agg(*[F.max(F.when((F.col("copies") > p) & (F.col("size") > 0), F.col("at"))).alias(f"end{p}")
                                      for p in range(MAX_PASSES)])
-    ends = stored(ends, spark, "ends").withColumnRenamed("source", "_src")
+    ends = pinned(ends, spark, "ends").withColumnRenamed("source", "_src")
     if ends.count() <= BROADCAST_SOURCES:
         ends = F.broadcast(ends)
     text, ident = docs[f"`{text_col}`"].cast("string"), docs[f"`{id_col}`"].cast("long")
