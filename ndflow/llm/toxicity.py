@@ -163,7 +163,8 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     lab = pick(labels, _id=(id_col, "long"), y=(label_col, "int")).dropna()
     lab = bounded_sample(lab, F.col("_id"), bound)
     d = pick(docs, doc_id=(id_col, "long"), text=(text_col, "string")).filter(F.col("text").isNotNull())
-    rows = d.join(lab, d["doc_id"] == lab["_id"]).select("text", "y").mapInArrow(_gather, "f array<int>, y int")
+    # the sample has about ``bound`` rows at most: broadcast, so texts are not shuffled
+    rows = d.join(F.broadcast(lab), d["doc_id"] == lab["_id"]).select("text", "y").mapInArrow(_gather, "f array<int>, y int")
     feats, y = [], []
     for b in rows.toArrow().to_batches():
         col = b.column(0)
