@@ -318,7 +318,9 @@ def _packed(col):
 
 
 def one_per_component(docs: DataFrame, spark: SparkSession, id_col: str = "doc_id", text_col: str = "text", **kw) -> DataFrame:
-    """One document of each component (the smallest id), all columns kept."""
+    """One document of each component (the smallest id), all columns kept.
+    Documents without words or without an id stay; rows that repeat the staying
+    document's id stay with it."""
     c = jaccard_components(docs, spark, id_col, text_col, **kw)
     lose = c.filter("component_id <> doc_id").select(F.col("doc_id").alias("_lose")).distinct()
     return docs.join(lose, docs[f"`{id_col}`"].cast("long") == lose["_lose"], "left_anti")

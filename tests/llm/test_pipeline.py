@@ -41,3 +41,16 @@ def test_columns_and_empty_input(spark):
         out = stage(spark, docs, SF)
         assert out.columns == docs.columns + (["shard"] if name == "sharding" else [])
         assert out.count() == 0
+
+
+def test_odd_rows_pass_every_stage(spark, odd_docs, odd_frame):
+    """Nulls, empty and very long texts, repeated rows and clashing columns."""
+    docs = odd_frame
+    for name, stage in P.STAGES:
+        out = stage(spark, docs, SF)
+        extra = ["shard"] if name == "sharding" else []
+        assert sorted(out.columns) == sorted(set(docs.columns) | set(extra))
+        rows = out.select("doc_id", "text").collect()
+        known = {(d, t) for d, t in odd_docs}
+        assert rows and all((r.doc_id, r.text) in known for r in rows)
+    assert P.drop_near_copies(spark, odd_frame, SF).filter("text is null or text = ''").count() == 3  # link with nothing, so stay
