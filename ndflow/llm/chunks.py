@@ -2,13 +2,13 @@
 equal word runs across documents.
 
 Documents are dealt into chunks: ranges of ``doc_id`` of about ``CHUNK_BYTES``
-of text.  A chunk announces the hashes of its word runs once each, packed into
+of text (see ``CHUNK_BYTES``).  A chunk announces the hashes of its word runs once each, packed into
 one binary row per (key bucket, chunk): 4 bytes a hash instead of one row a
 run.  A bucket's task sees which hashes several chunks share and sends each of
 those chunks its part back.  A run that a third of all documents hold thus
 costs one entry per chunk, never one per document or per pair.
 
-Buckets and chunks grow in number with the input, not in size.
+Buckets and chunks grow in number with the input before they grow in size.
 """
 
 from __future__ import annotations
@@ -24,9 +24,15 @@ from pyspark.sql import functions as F
 from ndflow.llm.frames import text_bytes
 from ndflow.llm.textcore import U64
 
+#: Text of a chunk, and at most so many chunks (beyond, chunks grow: 100 MB of
+#: text each at 100 TB); keys of a bucket, and at most so many bucket bits.
 CHUNK_BYTES = 12 << 20
+MAX_CHUNKS = 1 << 20
 BUCKET_BYTES = 4 << 20
+MAX_BITS = 20
+#: Ids sampled for the chunks' bounds: per chunk, and at most in all (32 MB).
 SAMPLE_PER_CHUNK = 50
+MAX_SAMPLE = 1 << 22
 
 
 class Plan:
@@ -35,13 +41,13 @@ class Plan:
     def __init__(self, docs: DataFrame, id_col: str, text_col: str, chunk_bytes: int = CHUNK_BYTES):
         size = text_bytes(docs, text_col)
         n = docs.filter(F.col(id_col).isNotNull()).count()
-        chunks = max(1, -(-size // chunk_bytes))
+        chunks = min(max(1, -(-size // chunk_bytes)), MAX_CHUNKS)
         entries = size // 6 + 1  # a word and its space are about six bytes
-        self.bits = min(15, max(3, int(entries * 4 // BUCKET_BYTES).bit_length()))
+        self.bits = min(MAX_BITS, max(3, int(entries * 4 // BUCKET_BYTES).bit_length()))
         self.bounds = np.zeros(0, np.int64)
         if chunks > 1:
-            # range bounds from a hash sample of ids, a fixed number per chunk
-            share = min(1.0, SAMPLE_PER_CHUNK * chunks / max(n, 1))
+            # range bounds from a hash sample of ids; they shape the chunks, not the result
+            share = min(1.0, min(SAMPLE_PER_CHUNK * chunks, MAX_SAMPLE) / max(n, 1))
             pick = F.pmod(F.xxhash64(id_col, F.lit("chunk")), F.lit(1 << 30)) < F.lit(int(share * (1 << 30)) + 1)
             ids = np.sort(docs.filter(F.col(id_col).isNotNull() & pick).select(id_col).toPandas().iloc[:, 0].to_numpy(np.int64))
             self.bounds = np.unique(ids[(np.arange(1, chunks) * len(ids)) // chunks]) if len(ids) else ids
