@@ -1,9 +1,10 @@
 """Registered queries of this subpackage: each runs its operator with
 production parameters over the whole table and returns the digest columns.
 
-None has an SQL twin: quantile sketches, classifiers, flows, fingerprints and
-tokenizers are not SQL; ``tests/llm`` holds each against brute force, an exact
-round trip or held-out accuracy.
+Decontamination, substring dedup and the Jaccard join have an SQL twin
+(``oracles``); sketches, classifiers, flows, hash orders and tokenizers are not
+SQL.  ``tests/llm`` holds each against brute force, an exact round trip or
+held-out accuracy.
 """
 
 from __future__ import annotations
@@ -11,16 +12,18 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ndflow.llm import decontam, langid, mixing, ngramjoin, quality, sharding, substrings, tokencount, toxicity, urlrules
+from ndflow.llm import decontam, langid, mixing, ngramjoin, oracles, quality, sharding, substrings, tokencount, toxicity, urlrules
 from ndflow.llm.frames import id_remainder, table
 
 QUERIES = {}
 ORACLES: dict[str, str] = {}
 
 
-def register(name: str):
+def register(name: str, sql: str | None = None):
     def deco(fn):
         QUERIES[name] = fn
+        if sql is not None:
+            ORACLES[name] = sql.strip()
         return fn
     return deco
 
@@ -37,12 +40,12 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.digest(sharding.reshard(docs, spark, source_shard(docs["source"])))
 
 
-@register("op2_decontaminate")
+@register("op2_decontaminate", oracles.DECONTAMINATE)
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.digest(decontam.scan_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
 
 
-@register("op3_substring_dedup")
+@register("op3_substring_dedup", oracles.SUBSTRING_DEDUP)
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.dedup_digest(table(spark, sf_dir, "documents"))
 
@@ -71,7 +74,7 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return x.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "lang_pred", "score")
 
 
-@register("op8_ngram_jaccard")
+@register("op8_ngram_jaccard", oracles.JACCARD)
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngramjoin.jaccard_components(table(spark, sf_dir, "documents"), spark)
 
