@@ -84,6 +84,12 @@ def run_starts(sorted_values: np.ndarray) -> np.ndarray:
     return np.concatenate([[0], np.flatnonzero(sorted_values[1:] != sorted_values[:-1]) + 1]) if len(sorted_values) else np.zeros(0, np.int64)
 
 
+def run_ends(starts: np.ndarray, n: int) -> np.ndarray:
+    """Where the runs that begin at ``starts`` end, of ``n`` values; without
+    values there is no run."""
+    return np.concatenate([starts[1:], [n]])[:len(starts)].astype(np.int64)
+
+
 def unpack(column: pa.ChunkedArray, dtype) -> tuple[np.ndarray, np.ndarray]:
     """All values of a binary column and the row each comes from."""
     parts = [np.frombuffer(x.as_py(), dtype) for x in column]

@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ndflow.llm.chunks import Plan, bucket_runs, run_starts, short_keys, text_arrays, unpack
+from ndflow.llm.chunks import Plan, bucket_runs, run_ends, run_starts, short_keys, text_arrays, unpack
 from ndflow.llm.components import components
 from ndflow.llm.frames import pick, stored
 from ndflow.llm.textcore import NON_SPACE, U64, Slice, Words, member, mix64, slices, window_hashes, window_starts
@@ -140,7 +140,7 @@ def _frequencies(table: pa.Table) -> pa.Table:
     order = np.argsort(chunk, kind="stable")  # keys stay sorted inside a chunk
     key, df, chunk = key[order], df[order], chunk[order]
     st = run_starts(chunk)
-    end = np.concatenate([st[1:], [len(chunk)]]).astype(np.int64)
+    end = run_ends(st, len(chunk))
     bucket = table.column("bucket")[0].as_py()
     return pa.table({"chunk": pa.array(chunk[st], pa.int32()), "bucket": pa.array([bucket] * len(st), pa.int32()),
                      "keys": pa.array([key[a:z].tobytes() for a, z in zip(st, end, strict=True)], pa.binary()),

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ndflow.llm.chunks import Plan, bucket_runs, run_starts, short_keys, text_arrays, unpack
+from ndflow.llm.chunks import Plan, bucket_runs, run_ends, run_starts, short_keys, text_arrays, unpack
 from ndflow.llm.frames import pick
 from ndflow.llm.textcore import CHECK_BASE, NON_SPACE, U64, Slice, Words, cover, doc_sums, member, slices, window_hashes, window_starts
 
@@ -99,7 +99,7 @@ def _anchors(table: pa.Table) -> pa.Table:
         order = np.argsort(chunk, kind="stable")
         key, chunk = key[order], chunk[order]
         st = run_starts(chunk)
-        for lo, hi in zip(st, np.concatenate([st[1:], [len(chunk)]]), strict=True):
+        for lo, hi in zip(st, run_ends(st, len(chunk)), strict=True):
             out["chunk"].append(int(chunk[lo]))
             out["bucket"].append(table.column("bucket")[0].as_py())
             out["keys"].append(np.sort(key[lo:hi]).tobytes())
@@ -156,7 +156,7 @@ def _earlier(table: pa.Table) -> pa.Table:
     order = np.argsort(chunk, kind="stable")
     h, c, chunk = h[order], c[order], chunk[order]
     st = run_starts(chunk)
-    for lo, hi in zip(st, np.concatenate([st[1:], [len(chunk)]]).astype(np.int64), strict=True):
+    for lo, hi in zip(st, run_ends(st, len(chunk)), strict=True):
         out["chunk"].append(int(chunk[lo]))
         out["prints"].append(h[lo:hi].tobytes())
         out["checks"].append(c[lo:hi].tobytes())

@@ -133,3 +133,30 @@ def test_jaccard_chains_and_tiles(spark, monkeypatch):
     monkeypatch.setattr(ngramjoin, "Plan", lambda d, i, t: __import__("ndflow.llm.chunks", fromlist=["Plan"]).Plan(d, i, t, chunk_bytes=2000))
     assert rows(ngramjoin.jaccard_components(f, spark, k=5, pct=80), "doc_id", "component_id") == sorted(
         ((d, c) for d, _, c in brute.jaccard_components(docs, 5, 80)), key=str)
+
+
+def distinct_docs(n, lead=0):
+    """Texts of their own words but for seven that all hold, ``lead`` words in."""
+    return [(i, " ".join([f"a{i}_{j}" for j in range(lead)] + [f"c{j}" for j in range(7)] + [f"z{i}_{j}" for j in range(300)])) for i in range(n)]
+
+
+def test_jaccard_without_shared_shingles(spark, monkeypatch):
+    """One document, three distinct ones, several chunks without a repeat."""
+    one, three, many = [(1, "only one short text here today")], [(i, f"a{i} b{i} c{i} d{i} e{i} f{i}") for i in range(3)], distinct_docs(12)
+    cols = ("doc_id", "n_shingles", "component_id")
+    for docs in (one, three):
+        f = spark.createDataFrame(docs, "doc_id long, text string")
+        assert rows(ngramjoin.jaccard_components(f, spark), *cols) == sorted(brute.jaccard_components(docs), key=str)
+    assert ngramjoin.one_per_component(spark.createDataFrame(three, "doc_id long, text string"), spark, k=5, pct=80).count() == 3
+    monkeypatch.setattr(ngramjoin, "Plan", lambda d, i, t: __import__("ndflow.llm.chunks", fromlist=["Plan"]).Plan(d, i, t, chunk_bytes=3000))
+    f = spark.createDataFrame(many, "doc_id long, text string")
+    assert rows(ngramjoin.jaccard_components(f, spark), *cols) == sorted(brute.jaccard_components(many), key=str)
+
+
+def test_substring_dedup_without_repeats(spark, monkeypatch):
+    """Chunks that share keys which are no block, blocks but no window, nothing."""
+    monkeypatch.setattr(substrings, "Plan", lambda d, i, t: __import__("ndflow.llm.chunks", fromlist=["Plan"]).Plan(d, i, t, chunk_bytes=3000))
+    for docs in (distinct_docs(1), distinct_docs(12), distinct_docs(12, lead=1), [(i, t.replace("c", f"c{i}")) for i, t in distinct_docs(12)]):
+        f = spark.createDataFrame(docs, "doc_id long, text string")
+        got = rows(substrings.dedup_digest(f), "doc_id", "n_words", "n_removed", "kept_sha256")
+        assert got == sorted(brute.substring_dedup(docs), key=str)
