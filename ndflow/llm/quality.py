@@ -3,7 +3,9 @@
 Method: instead of fixed cutoffs, every measure gets cutoffs from the corpus:
 a mergeable quantile sketch (KLL) per language and source, far-out fences
 (quartile plus ``SPREAD`` interquartile ranges plus a small margin), and a
-join that gives each document the fences of its group.  Groups with fewer than
+join that gives each document the fences of its group.  Symbols and repeated
+lines are zero in most documents, so that both quartiles are: their fence is at
+least their ``TAIL`` quantile, and ``FLOOR`` holds only below it.  Groups with fewer than
 ``MIN_GROUP`` documents take the merged sketch of their language, and below
 that the merged sketch of all.
 
@@ -28,12 +30,18 @@ MIN_WORDS = 20
 MAX_REPEAT_PCT = 30
 MIN_GROUP = 100
 QUARTILES = (0.25, 0.75)
+#: Upper-tail quantile below which no fence of a mostly-zero measure lies.
+TAIL = {"symbols": 0.97, "dup_lines": 0.995}
+#: Size of a sketch: ranks are off by about 0.2 %, exact up to so many rows.
+SKETCH_K = 1600
 #: Interquartile ranges beyond the quartile at which a fence stands.
 SPREAD = 4.0
-#: Added to each fence, so that a measure without spread (all zero) still
-#: leaves room: symbols per character, repeated lines per 100 words, characters
-#: per word.
-MARGIN = {"symbols": 0.03, "dup_lines": 2.0, "word_len": 1.0}
+#: Added to each fence, so that a measure without spread still leaves room:
+#: characters per word.
+MARGIN = {"word_len": 1.0}
+#: Least fence of the mostly-zero measures: symbols per character, repeated
+#: lines per 100 words.
+FLOOR = {"symbols": 0.03, "dup_lines": 0.1}
 WORD_SPLIT = r"[\x20\x09-\x0D]+"
 SYMBOLS = r"[#*$%&|<>]"
 #: Groups in the fence table below which it is broadcast.
@@ -94,6 +102,11 @@ def _ratios() -> dict[str, Column]:
             "word_len": F.col("word_chars") / n}
 
 
+def _points(measure: str) -> tuple[float, ...]:
+    """Quantiles that the fence of a measure is made of."""
+    return (*QUARTILES, TAIL.get(measure, QUARTILES[1]))
+
+
 def fences(m: DataFrame) -> DataFrame:
     """Per (lang, source): ``lo_<measure>`` and ``hi_<measure>``.
 
@@ -101,12 +114,12 @@ def fences(m: DataFrame) -> DataFrame:
     into its language's and those into the one of all."""
     names = list(_ratios())
     good = m.filter(~F.col("base_failed")).select("lang", "source", *[e.alias(k) for k, e in _ratios().items()])
-    per = good.groupBy("lang", "source").agg(F.count(F.lit(1)).alias("n"), *[F.kll_sketch_agg_double(k).alias(k) for k in names])
-    merged = [F.sum("n").alias("n"), *[F.kll_merge_agg_double(k).alias(k) for k in names]]
+    per = good.groupBy("lang", "source").agg(F.count(F.lit(1)).alias("n"), *[F.kll_sketch_agg_double(k, SKETCH_K).alias(k) for k in names])
+    merged = [F.sum("n").alias("n"), *[F.kll_merge_agg_double(k, SKETCH_K).alias(k) for k in names]]
     by_lang = per.groupBy("lang").agg(*merged)
     every = by_lang.agg(*merged).select(*[
         F.when(F.col("n") > 0, F.kll_sketch_get_quantile_double(k, F.lit(p))).alias(f"{k}{i}")  # an empty sketch has no quantiles
-        for k in names for i, p in enumerate(QUARTILES)]).first()  # one row of numbers
+        for k in names for i, p in enumerate(_points(k))]).first()  # one row of numbers
     a = per.withColumnsRenamed({c: f"a_{c}" for c in per.columns})
     b = by_lang.withColumnsRenamed({c: f"b_{c}" for c in by_lang.columns})
     groups = m.select("lang", "source").distinct()
@@ -114,11 +127,13 @@ def fences(m: DataFrame) -> DataFrame:
          .join(b, F.col("lang").eqNullSafe(b["b_lang"]), "left"))
     cols = []
     for k in names:
-        q1, q3 = (F.when(F.col("a_n") >= MIN_GROUP, F.kll_sketch_get_quantile_double(F.col(f"a_{k}"), F.lit(p)))
+        q1, q3, tail = (F.when(F.col("a_n") >= MIN_GROUP, F.kll_sketch_get_quantile_double(F.col(f"a_{k}"), F.lit(p)))
                   .when(F.col("b_n") >= MIN_GROUP, F.kll_sketch_get_quantile_double(F.col(f"b_{k}"), F.lit(p)))
-                  .otherwise(F.lit(every[f"{k}{i}"]).cast("double")) for i, p in enumerate(QUARTILES))
-        room = F.lit(SPREAD) * (q3 - q1) + F.lit(MARGIN[k])
-        cols += [(q1 - room).alias(f"lo_{k}"), (q3 + room).alias(f"hi_{k}")]
+                  .otherwise(F.lit(every[f"{k}{i}"]).cast("double")) for i, p in enumerate(_points(k)))
+        room = F.lit(SPREAD) * (q3 - q1) + F.lit(MARGIN.get(k, 0.0))
+        # an empty corpus has no quantiles and no fences
+        hi = F.when(q3.isNotNull(), F.greatest(q3 + room, tail, F.lit(FLOOR[k]))) if k in FLOOR else q3 + room
+        cols += [(q1 - room).alias(f"lo_{k}"), hi.alias(f"hi_{k}")]
     return g.select("lang", "source", *cols)
 
 

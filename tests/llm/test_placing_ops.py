@@ -144,6 +144,21 @@ def test_fences_follow_the_group(spark):
     assert sum(not v for k, v in got.items() if k < 5000) == 0
 
 
+def test_fences_of_mostly_zero_measures_follow_the_group(spark):
+    """A symbol share and repeated lines usual in a fifth of one source's
+    documents are outliers in a source that has none."""
+    def text(i, marks, again):
+        words = [f"w{i}x{j}" for j in range(40)]
+        lines = [f"l{i}", *[f"r{i}"] * (1 + again)]
+        return " ".join(w + "##" * (j < marks) for j, w in enumerate(words)) + "\n" + "\n".join(lines)
+    docs = [(i, text(i, 10 if i % 5 == 0 else 0, 2 if i % 5 == 1 else 0), "en", "a") for i in range(200)]
+    docs += [(1000 + i, text(i + 100, 0, 0), "en", "b") for i in range(200)]
+    docs += [(5000, text(150, 10, 0), "en", "b"), (5001, text(151, 0, 2), "en", "b"), (5002, text(152, 40, 0), "en", "a"), (5003, text(153, 0, 12), "en", "a")]
+    got = {r.doc_id: r.kept for r in quality.judge(spark.createDataFrame(docs, "doc_id long, text string, lang string, source string"), spark).collect()}
+    assert not got[5000] and not got[5001] and not got[5002] and not got[5003]
+    assert sum(v for k, v in got.items() if k < 1000) >= 0.95 * 200 and all(v for k, v in got.items() if 1000 <= k < 5000)
+
+
 def test_small_groups_take_the_merged_sketch(spark):
     rnd = random.Random(2)
     docs = [(i, " ".join("".join(rnd.choices("abcdefgh", k=4 + rnd.randrange(3))) for _ in range(30)), "en" if i else None, f"s{i % 60}") for i in range(240)]
