@@ -52,3 +52,35 @@ reach AS (
   UNION SELECT l.b, r.root FROM reach r JOIN both_ways l ON l.a = r.doc_id)
 SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, c.component_id
 FROM d LEFT JOIN n ON n.doc_id = d.doc_id JOIN (SELECT doc_id, min(root) AS component_id FROM reach GROUP BY doc_id) c ON c.doc_id = d.doc_id"""
+
+
+_PERMS = """SELECT a || b || c || d || e AS filter_order FROM
+  (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS a), (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS b), (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS c),
+  (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS d), (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS e)
+  WHERE len(list_distinct([a, b, c, d, e])) = 5"""
+
+FILTER_AUDIT = f"""
+WITH d AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), {_WORD}) AS w FROM documents),
+lab AS (SELECT doc_id, max(quality) AS quality, max(toxic) AS toxic FROM labels GROUP BY doc_id),
+f AS (
+  SELECT d.part, coalesce(lab.quality = 1, false) AS good, coalesce(lab.toxic = 1, false) AS tox,
+    [len(w) < 200, 100 * len(list_distinct(w)) < 50 * len(w), 100 * len(regexp_replace(t, '[^A-Z]', '', 'g')) > 3 * len(t),
+     regexp_matches(t, '[#$%&*|]'), coalesce(d.doc_id > min(d.doc_id) OVER (PARTITION BY t), false)] AS bad
+  FROM d LEFT JOIN lab ON lab.doc_id = d.doc_id),
+g AS (SELECT part, good, tox, bad, count(*) AS n FROM f GROUP BY ALL),
+o AS (SELECT filter_order, CAST(unnest([1, 2, 3, 4, 5]) AS INTEGER) AS step FROM ({_PERMS})),
+x AS (
+  SELECT g.*, o.*, bad[ascii(filter_order[step]) - 64] AS hit,
+    len(list_filter(generate_series(1, step - 1), lambda i: bad[ascii(filter_order[i]) - 64])) > 0 AS gone,
+    len(list_filter(bad, lambda b: b)) AS n_bad
+  FROM g CROSS JOIN o),
+y AS (
+  SELECT part, filter_order, step, coalesce(sum(n) FILTER (NOT gone AND NOT hit), 0) AS kept, coalesce(sum(n) FILTER (NOT gone AND hit), 0) AS removed,
+    coalesce(sum(n) FILTER (gone AND hit), 0) AS redundant, coalesce(sum(n) FILTER (hit AND n_bad = 1), 0) AS unique_fails,
+    coalesce(sum(n) FILTER (NOT gone AND hit AND good), 0) AS good_lost, coalesce(sum(n) FILTER (NOT gone AND hit AND tox), 0) AS toxic_lost
+  FROM x GROUP BY ALL)
+SELECT part, filter_order, step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed, CAST(redundant AS BIGINT) AS redundant,
+  CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+  CAST(sum(removed) OVER (PARTITION BY part, filter_order[step]) AS BIGINT) AS shapley
+FROM y"""

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ndflow.llm import decontam, langid, mixing, ngramjoin, oracles, quality, sharding, substrings, tokencount, toxicity, urlrules
+from ndflow.llm import decontam, filteraudit, langid, mixing, ngramjoin, oracles, quality, sharding, substrings, tokencount, toxicity, urlrules
 from ndflow.llm.frames import id_remainder, table
 
 QUERIES = {}
@@ -91,3 +91,8 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = toxicity.train(docs, table(spark, sf_dir, "labels").filter(~held_out))
     x = toxicity.score(docs, model)
     return x.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "score", "predicted")
+
+
+@register("op13_filter_audit", oracles.FILTER_AUDIT)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filteraudit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), spark)

@@ -199,3 +199,24 @@ def member(sorted_keys: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarr
     i = np.searchsorted(sorted_keys, x)
     i[i == len(sorted_keys)] = 0
     return sorted_keys[i] == x, i
+
+
+def run_lengths(sorted_values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where runs of equal values start, and how long each is."""
+    if not len(sorted_values):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    at = np.concatenate([[0], np.flatnonzero(sorted_values[1:] != sorted_values[:-1]) + 1])
+    return at, np.diff(np.concatenate([at, [len(sorted_values)]]))
+
+
+def separator_cuts(data: np.ndarray, word: np.ndarray, max_bytes: int) -> Iterator[tuple[int, int]]:
+    """Byte ranges of about ``max_bytes`` that cover a text and end before a byte
+    that is no word byte, so no word is cut."""
+    a, n = 0, len(data)
+    while a < n:
+        b = min(n, a + max_bytes)
+        while b < n and word[data[b]]:
+            gaps = np.flatnonzero(~word[data[b:b + max_bytes]])
+            b = b + int(gaps[0]) if len(gaps) else min(n, b + max_bytes)
+        yield a, b
+        a = b
