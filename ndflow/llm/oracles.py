@@ -94,3 +94,26 @@ s AS (
   FROM e q JOIN e c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id),
 r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5"""
+
+COLLOCATIONS = f"""
+WITH p AS (SELECT coalesce(lang, 'und') AS lang, doc_id, unnest(string_split_regex({_LOWER}, '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w FROM p),
+g AS (
+  SELECT lang, k, list_slice(w, i, i + k - 1) AS g
+  FROM (SELECT lang, w, k, unnest(generate_series(1, len(w) - k + 1)) AS i FROM w CROSS JOIN (SELECT unnest([1, 2, 3, 4]) AS k))),
+f AS (SELECT lang, k, g, count(*) AS f FROM g GROUP BY ALL),
+n AS (SELECT lang, sum(f) AS n FROM f WHERE k = 1 GROUP BY lang),
+c AS (SELECT lang, k, g, f AS a FROM f WHERE k > 1 AND f >= 30),
+cuts AS (
+  SELECT c.lang, c.g, c.a, x.k AS cut, x.f AS l, y.f AS r, (2000000 * CAST(c.a AS HUGEINT)) // (x.f + y.f) AS score
+  FROM c JOIN f x ON x.lang = c.lang AND x.k < c.k AND x.g = c.g[1:x.k] JOIN f y ON y.lang = c.lang AND y.k = c.k - x.k AND y.g = c.g[x.k + 1:]),
+best AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, cut) = 1),
+left_over AS (
+  SELECT best.* FROM best ANTI JOIN c q ON q.lang = best.lang AND q.k > len(best.g) AND 100 * q.a >= 80 * best.a
+    AND contains(' ' || array_to_string(q.g, ' ') || ' ', ' ' || array_to_string(best.g, ' ') || ' ')),
+r AS (
+  SELECT *, array_to_string(g, ' ') AS phrase,
+    row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, array_to_string(g, ' ')) AS rank FROM left_over)
+SELECT r.lang, r.rank, r.phrase, CAST(r.a AS BIGINT) AS a, CAST(r.l AS BIGINT) AS l, CAST(r.r AS BIGINT) AS r, CAST(n.n AS BIGINT) AS n,
+  CAST(r.score AS BIGINT) AS score
+FROM r JOIN n ON n.lang = r.lang WHERE rank <= 2000"""

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ndflow.llm import bitslice, decontam, filteraudit, langid, mixing, ngramjoin, oracles, quality, sharding, substrings, tokencount, toxicity, urlrules
+from ndflow.llm import bitslice, collocations, decontam, filteraudit, langid, mixing, ngramjoin, oracles, quality, sharding, substrings, tokencount, toxicity, urlrules
 from ndflow.llm.frames import id_remainder, table
 
 QUERIES = {}
@@ -93,6 +93,11 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return x.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "score", "predicted")
 
 
+@register("op11_collocations", oracles.COLLOCATIONS)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"), spark)
+
+
 @register("op12_topk_search", oracles.TOPK_SEARCH)
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bitslice.top_similar(table(spark, sf_dir, "embeddings"), spark)
