@@ -131,9 +131,9 @@ class Block:
     def __init__(self, n: int, dim: int, low: int, bits: int, ids: bytes, slices: bytes):
         self.n, self.low, self.bits = n, low, bits
         self.ids = np.frombuffer(ids, np.int64)
-        s = np.frombuffer(slices, U64).reshape(dim, bits, -1)
         self.words = -(-n // 64)
-        self.stack = np.stack([s, ~s]).reshape(2 * dim * bits, -1)  # row (sign * dim + d) * bits + bit
+        s = np.frombuffer(slices, U64).reshape(dim * bits, self.words)
+        self.stack = np.concatenate([s, ~s])  # row (sign * dim + d) * bits + bit
         self.rows = np.zeros(self.words, U64)
         full, rest = divmod(n, 64)
         self.rows[:full] = ~U64(0)
