@@ -54,7 +54,7 @@ ORDER = 4
 MIN_COUNT, COVER_PCT, SCALE, KEEP = 30, 80, 2_000_000, 2000
 NO_LANG = "und"
 #: Words combined by a task before it writes them out; a longer text is read in pieces.
-COMBINE_WORDS = 2 << 20
+COMBINE_WORDS = 1 << 20
 PIECE_BYTES = 4 << 20
 #: Rows of a range of the sorted streams; bits of the frequency bitmap.
 RANGE_ROWS = 400_000
@@ -222,13 +222,16 @@ def _windows(batches, bitmap):
         for j in range(1, ORDER):
             on = on & np.concatenate([link[j - 1:], np.zeros(j - 1, bool)])
             size = size + on
+        del one, two, on, follows
         vocabulary, spelled = run.words()
+        run.spelled, run.parts = [], []
         ids = np.searchsorted(vocabulary, h).astype(U64) + U64(1)  # 0: no word here
         at = np.flatnonzero(mine & (size > 0))
         cols = [np.where(size[at] > j, np.concatenate([ids[j:], np.zeros(j, U64)])[at], U64(0)) for j in range(ORDER)]
         # a window as two numbers: language and two words, two words
         head, tail = (lang[at].astype(U64) << U64(48)) | (cols[0] << U64(24)) | cols[1], (cols[2] << U64(24)) | cols[3]
         one = size[at] == 1
+        del ids, cols, h, lang, size, at, link
         alone = np.sort(head[one])
         first, n = run_lengths(alone)
         yield from _spell(langs, spelled, alone[first], np.zeros(len(first), U64), n)
