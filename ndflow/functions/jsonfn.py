@@ -6,6 +6,8 @@ scan; the JSON parsers among them run interpreted.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -68,6 +70,40 @@ def parse_status(value: Column) -> Column:
             .otherwise(F.lit("ok")))
 
 
+# What ends a checked line; a text cannot hold it by chance.
+_END = uuid.uuid4().hex
+
+
+def checked_header(value: Column) -> Column:
+    """Strict check and header of a line that starts with ``{``, in one pass:
+    NULL or anything but two elements unless the line is exactly one JSON value.
+
+    The text becomes the first element of ``[TEXT,{"id":END}]``.  If it is one
+    value, the array has two elements and ends with ``END``; a closing bracket or
+    a comma inside the text ends the array early or makes it longer.  The first
+    element then holds ``resourceType`` and ``id``; other fields are skipped, not
+    built, and duplicate keys keep the last value."""
+    wrapped = F.concat(F.lit("["), value, F.lit(',{"id":"' + _END + '"}]'))
+    return F.when(_is_object(value), F.from_json(wrapped, f"array<struct<{_struct_ddl(HEADER_SCHEMA)}>>", STRICT_JSON))
+
+
+def header_status(value: Column, header: Column) -> Column:
+    """``parse_status`` from the ``checked_header`` of a line.  Lines that start
+    otherwise are no objects; only they take the general check."""
+    whole = (F.size(header) == 2) & (F.try_variant_get(F.try_element_at(header, F.lit(2))["id"], "$", "string") == _END)
+    return (F.when(F.length(value) == 0, F.lit("blank"))
+            .when(_is_object(value), F.when(F.coalesce(whole, F.lit(False)), F.lit("ok")).otherwise(F.lit("invalid_json")))
+            .when(is_one_value(value), F.lit("not_object")).otherwise(F.lit("invalid_json")))
+
+
+def _is_object(value: Column) -> Column:
+    return F.substring(F.ltrim(value, F.lit(" \t\r\n")), 1, 1) == "{"
+
+
+def _struct_ddl(fields: str) -> str:
+    return ", ".join(f"{n}: {t}" for n, t in (f.split() for f in fields.split(", ")))
+
+
 def strict_parse(value: Column) -> tuple[Column, Column]:
     """``(doc, status)``: the VARIANT of a strictly valid value and its status.
     The VARIANT is NULL for a value that is not valid, or beyond 16 MiB (use

@@ -11,7 +11,9 @@ template.  An external de-identifier stays possible through ``external``
 from __future__ import annotations
 
 import json
+import time
 from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -129,37 +131,46 @@ def pseudonym_map(resources: DataFrame, secret: str, prefix_len: int = 2) -> Dat
                              F.when(F.length(num) < 5, F.lpad(num, 5, "0")).otherwise(num)).alias("sequential"))
 
 
+@dataclass(frozen=True)
+class Retry:
+    """How a call is tried again (D6): network-type failures
+    (``ConnectionError``, ``TimeoutError``, or any exception with ``transient =
+    True``) up to ``max_attempts`` times with capped exponential backoff; other
+    failures stop at once."""
+
+    max_attempts: int = 5
+    initial_ms: int = 1000
+    max_ms: int = 30000
+
+    def call(self, work: Callable):
+        """``(ok, error kind, error, attempts, result)``; never raises."""
+        attempts = 0
+        while True:
+            attempts += 1
+            try:
+                return True, None, None, attempts, work()
+            except Exception as e:  # noqa: BLE001 - classified and kept as a row
+                passing = isinstance(e, (ConnectionError, TimeoutError)) or bool(getattr(e, "transient", False))
+                if passing and attempts < self.max_attempts:
+                    time.sleep(min(self.initial_ms * 2 ** (attempts - 1), self.max_ms) / 1000.0)
+                    continue
+                return False, "transient" if passing else "non_transient", f"{type(e).__name__}: {e}", attempts, None
+
+
 def external(df: DataFrame, fn: Callable[[dict], dict], doc_col: str = "value",
              key_col: str = "src_key", max_attempts: int = 5, initial_ms: int = 1000,
              max_ms: int = 30000) -> DataFrame:
     """Run a document-in, document-out de-identifier on every row through
-    Arrow batches.  Output ``(key, ok, error_type, error, attempts, value)``.
-    Network-type failures (``ConnectionError``, ``TimeoutError``, or any
-    exception with ``transient = True``) are retried with capped exponential
-    backoff (D6); other failures stop at once.  A failing document becomes a
-    row with ``ok = false`` instead of failing the job.  Batch size follows
+    Arrow batches, tried again as ``Retry`` says.  Output ``(key, ok,
+    error_type, error, attempts, value)``: a failing document becomes a row with
+    ``ok = false`` instead of failing the job.  Batch size follows
     ``spark.sql.execution.arrow.maxRecordsPerBatch``."""
-    import time
-
     import pandas as pd
 
-    def transient(e: Exception) -> bool:
-        return isinstance(e, (ConnectionError, TimeoutError)) or bool(getattr(e, "transient", False))
+    retry = Retry(max_attempts, initial_ms, max_ms)
 
     def one(doc: str):
-        attempts = 0
-        while True:
-            attempts += 1
-            try:
-                res = fn(json.loads(doc))
-                return True, None, None, attempts, json.dumps(res, sort_keys=True, separators=(",", ":"),
-                                                             ensure_ascii=False)
-            except Exception as e:  # noqa: BLE001 - classified and kept as a row
-                if transient(e) and attempts < max_attempts:
-                    time.sleep(min(initial_ms * 2 ** (attempts - 1), max_ms) / 1000.0)
-                    continue
-                kind = "transient" if transient(e) else "non_transient"
-                return False, kind, f"{type(e).__name__}: {e}", attempts, None
+        return retry.call(lambda: json.dumps(fn(json.loads(doc)), sort_keys=True, separators=(",", ":"), ensure_ascii=False))
 
     def run(batches):
         for pdf in batches:

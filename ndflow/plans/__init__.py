@@ -3,10 +3,6 @@
 
 def load_catalog():
     """Import every query module so that their ``@register`` calls run."""
-    from ndflow.plans import q_bundle, q_ops, q_scan  # noqa: F401
-    try:
-        from ndflow.plans import q_more  # noqa: F401
-    except ImportError:  # pragma: no cover
-        pass
+    from ndflow.plans import q_bundle, q_flow, q_more, q_ops, q_scan  # noqa: F401
     from ndflow.plans.registry import ORACLES, QUERIES
     return QUERIES, ORACLES

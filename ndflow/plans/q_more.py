@@ -577,7 +577,7 @@ WHERE json_valid(value) AND json_type(value) = 'OBJECT' AND json_type(value, '$.
 def q_deidentified_documents(spark, sf_dir):
     """E1 output rows: accepted resources, de-identified (free text goes) with
     security labels, as they are written to the NDJSON sink."""
-    d = plan_flow(FX.document_lines(spark, sf_dir), SECRET, FLOW_THRESHOLD)["deidentified"]
+    d = plan_flow(FX.document_lines(spark, sf_dir), SECRET, FLOW_THRESHOLD, rules={"*": {"source": "keep"}})["deidentified"]
     return d.select("file_name", "line_no", "value")
 
 

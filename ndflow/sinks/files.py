@@ -21,23 +21,31 @@ def output_name(file_name: Column, prefix: str = OUTPUT_PREFIX) -> Column:
     return F.concat(F.lit(prefix), file_name)
 
 
+def output_path(rel_path: Column, prefix: str = OUTPUT_PREFIX) -> Column:
+    """K2 for a file below a source: its folder, and the output name, so that
+    files of one name in two folders stay apart."""
+    name = F.regexp_extract(rel_path, "([^/]+)$", 1)
+    return F.concat(F.regexp_replace(rel_path, "[^/]+$", ""), output_name(name, prefix))
+
+
 def to_ndjson_line(value: Column) -> Column:
     """K1: one JSON object per line, compact with sorted keys; a value beyond
     the VARIANT limit keeps its own text on one line."""
     return one_line(value)
 
 
-def write_ndjson(df: DataFrame, path: str, value_col: str = "value", partition_col: str | None = None,
+def write_ndjson(df: DataFrame, path: str, value_col: str = "value", partition_col: str | tuple[str, ...] | None = None,
                  mode: str = "overwrite") -> None:
-    """K1/K2: text lines; with ``partition_col`` one folder per source file.
+    """K1/K2: text lines; with ``partition_col`` (or several) one folder per
+    source file.
     ``overwrite`` with dynamic partition overwrite replaces only the
     partitions written (resume-safe)."""
     cols = [to_ndjson_line(F.col(value_col)).alias("value")]
-    if partition_col:
-        cols.append(F.col(partition_col))
+    parts = (partition_col,) if isinstance(partition_col, str) else partition_col or ()
+    cols += [F.col(c) for c in parts]
     w = df.select(*cols).write.mode(mode).option("partitionOverwriteMode", "dynamic")
-    if partition_col:
-        w = w.partitionBy(partition_col)
+    if parts:
+        w = w.partitionBy(*parts)
     w.text(path)
 
 

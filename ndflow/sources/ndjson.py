@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ndflow.functions.jsonfn import header_fields, parse_status
+from ndflow.functions.jsonfn import checked_header, header_status
 
 # Case-insensitive match of the record file extension.
 NDJSON_GLOB = "*.[nN][dD][jJ][sS][oO][nN]"
@@ -63,13 +63,23 @@ def read_ndjson(spark: SparkSession, path: str | list[str], recursive: bool = Tr
     ``F.col("_metadata.file_modification_time") > t``: it is applied to the
     listing, below everything else, so other files are not read.
 
-    Numbering reads the text twice (once for the lines per split).  Where only
-    some lines need numbers (rejects), scan with ``line_numbers=False`` and give
-    those lines to ``add_line_numbers``: the text is then never shuffled."""
+    Numbering reads the text twice (once for the lines per split) and never
+    shuffles it: the table of splits is broadcast, and where it could pass
+    ``broadcast_limit_bytes`` the files are taken in as many groups as keep every
+    group's table below it.  Where only some lines need numbers (rejects), scan
+    with ``line_numbers=False`` and give those lines to ``add_line_numbers``."""
     x = scan_splits(spark, path, recursive, glob, files)
     if not line_numbers:
         return x.drop(*SPLIT_COLUMNS)
-    return add_line_numbers(x, x, broadcast_limit_bytes)
+    groups = max(1, -(-split_count_bound(x) * SPLIT_ROW_BYTES // broadcast_limit_bytes))
+    out = None
+    for g in range(groups):
+        if groups > 1:
+            own = F.pmod(F.xxhash64("_metadata.file_path"), F.lit(groups)) == g  # a condition on the listing: each file is read in one group
+            x = scan_splits(spark, path, recursive, glob, own if files is None else files & own)
+        part = _with_offsets(x, F.broadcast(split_offsets(x)))
+        out = part if out is None else out.unionAll(part)
+    return out
 
 
 #: Where a line stands: start of its file split, and a number that grows inside
@@ -81,8 +91,9 @@ SPLIT_ROW_BYTES = 512
 
 
 def scan_splits(spark: SparkSession, path: str | list[str], recursive: bool = True, glob: str = NDJSON_GLOB,
-                files: Column | None = None) -> DataFrame:
-    """The lines with their file and, in ``SPLIT_COLUMNS``, their place in it."""
+                files: Column | None = None, root: str | None = None) -> DataFrame:
+    """The lines with their file and, in ``SPLIT_COLUMNS``, their place in it.
+    ``rel_path`` is below ``root`` where ``path`` lists single files of it."""
     r = spark.read.option("pathGlobFilter", glob)
     if recursive:
         r = r.option("recursiveFileLookup", "true")
@@ -90,7 +101,7 @@ def scan_splits(spark: SparkSession, path: str | list[str], recursive: bool = Tr
     if files is not None:
         raw = raw.filter(files)
     full = F.col("_metadata.file_path")
-    rel = _below(spark, full, [path] if isinstance(path, str) else list(path))
+    rel = _below(spark, full, [root] if root else [path] if isinstance(path, str) else list(path))
     rel, name = _original(rel)
     return raw.select("value", full.alias("file_path"), rel.alias("rel_path"), name.alias("file_name"),
                       F.col("_metadata.file_size").alias("file_size"), F.col("_metadata.file_modification_time").alias("file_mtime"),
@@ -105,16 +116,32 @@ def add_line_numbers(lines: DataFrame, scan: DataFrame, broadcast_limit_bytes: i
     It is broadcast while its size, bounded from the bytes and files of the
     scan, allows it; beyond, the join shuffles only ``lines``, so give it the
     few that need a number."""
-    splits = scan.groupBy("file_path", "split_start").agg(F.count(F.lit(1)).alias("_n"), F.min("split_pos").alias("_m0"))
-    before = Window.partitionBy("file_path").orderBy("split_start").rowsBetween(Window.unboundedPreceding, -1)
-    offs = splits.select("file_path", "split_start", "_m0", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    offs = split_offsets(scan)
     if split_count_bound(scan) * SPLIT_ROW_BYTES <= broadcast_limit_bytes:
         offs = F.broadcast(offs)
+    return _with_offsets(lines, offs)
+
+
+def split_offsets(scan: DataFrame, files: tuple[str, ...] = ("file_path",)) -> DataFrame:
+    """One row per file split: its first position and the lines of the file
+    before it (``files``: the columns that make up one file)."""
+    splits = scan.groupBy(*dict.fromkeys([*files, "file_path"]), "split_start").agg(F.count(F.lit(1)).alias("_n"), F.min("split_pos").alias("_m0"))
+    before = Window.partitionBy(*files).orderBy("file_path", "split_start").rowsBetween(Window.unboundedPreceding, -1)
+    return splits.select("file_path", "split_start", "_m0", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+
+
+def _with_offsets(lines: DataFrame, offs: DataFrame) -> DataFrame:
     out = lines.join(offs, ["file_path", "split_start"], "inner")
     return out.select(*[c for c in lines.columns if c not in SPLIT_COLUMNS],
                       (F.col("_off") + F.col("split_pos") - F.col("_m0") + 1).cast("long").alias("line_no"))
 
 
+def number_splits(rows: DataFrame, scan: DataFrame, file_key: str = "rel_path") -> DataFrame:
+    """``line_no`` for some ``rows`` of a stored ``scan`` with ``SPLIT_COLUMNS``,
+    counted through all parts of a file (``file_key``).  Reads no text."""
+    return _with_offsets(rows, split_offsets(scan, (file_key,))).drop("file_path")
+
+
 def split_count_bound(scan: DataFrame) -> int:
     """Upper bound of the number of splits of a scan: its partitions (each holds
     whole splits) times what the open cost lets one partition pack.  Counted in
@@ -128,19 +155,27 @@ def split_count_bound(scan: DataFrame) -> int:
 
 
 def list_files(spark: SparkSession, path: str, glob: str = NDJSON_GLOB) -> DataFrame:
-    """``rel_path, file_name, file_size, file_mtime`` of the files under
-    ``path``; contents are not read.  A scan gives empty files no row, so the
-    paths come from the listing, which stays in the JVM."""
-    from pyspark.sql.classic.column import Column as JvmColumn
+    """``file_path, rel_path, source_path, file_name, file_size, file_mtime`` of
+    the files under ``path``; contents are not read.  ``source_path`` is the
+    original's path for a landed file.  A scan gives empty files no row, so their
+    paths come from the reader's own listing, as a JVM dataset."""
     raw = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", glob).load(path)
     jvm = spark.sparkContext._jvm
-    paths = JvmColumn(jvm.org.apache.spark.sql.functions.lit(raw._jdf.inputFiles()))
-    names = spark.range(1).select(F.explode(paths).alias("value"))
-    rel = names.select(_below(spark, F.col("value"), [path]).alias("rel_path")).distinct()
+    listed = spark._jsparkSession.createDataset(jvm.scala.collection.immutable.ArraySeq.unsafeWrapArray(raw._jdf.inputFiles()), jvm.org.apache.spark.sql.Encoders.STRING())
+    names = DataFrame(listed.toDF(), spark).distinct()
+    names = names.select(_decode_name(F.col("value")).alias("file_path"), _below(spark, F.col("value"), [path]).alias("rel_path"))
     seen = raw.select(_below(spark, F.col("_metadata.file_path"), [path]).alias("rel_path"), F.col("length").alias("_size"),
                       F.col("modificationTime").alias("file_mtime"))
-    return rel.join(seen, "rel_path", "left").select("rel_path", F.regexp_extract("rel_path", "([^/]+)$", 1).alias("file_name"),
-                                                     F.coalesce("_size", F.lit(0)).alias("file_size"), "file_mtime")
+    x = names.join(seen, "rel_path", "left").withColumn("file_size", F.coalesce("_size", F.lit(0)))
+    source, _ = _original(F.col("rel_path"))
+    return x.select("file_path", "rel_path", source.alias("source_path"), F.regexp_extract("rel_path", "([^/]+)$", 1).alias("file_name"), "file_size", "file_mtime")
+
+
+def file_versions(files: DataFrame) -> DataFrame:
+    """The version of every source file of a listing: ``rel_path, file_name,
+    file_size, file_mtime``; a landed file counts with all its parts."""
+    g = files.groupBy(F.col("source_path").alias("rel_path")).agg(F.sum("file_size").alias("file_size"), F.max("file_mtime").alias("file_mtime"))
+    return g.select("rel_path", F.regexp_extract("rel_path", "([^/]+)$", 1).alias("file_name"), "file_size", "file_mtime")
 
 
 def _below(spark: SparkSession, full: Column, roots: list[str]) -> Column:
@@ -180,8 +215,8 @@ def parse_lines(lines: DataFrame, value_col: str = "value", mode: str = "quarant
     ``status``: ``blank`` (empty line, skipped), ``invalid_json``,
     ``not_object``, ``missing_resource_type``, ``bad_resource_type``,
     ``bad_id`` or ``ok``.  ``resource_type`` is set only when it is a string;
-    ``resource_id`` is ``''`` when absent (P2).  Two streaming passes per
-    line (strict validity, header fields); the document itself is not built.
+    ``resource_id`` is ``''`` when absent (P2).  One streaming pass per line
+    gives validity and header; the document itself is not built.
 
     ``mode="failfast"`` keeps the reference's rule that a bad line stops the
     run: the job fails with the file and line of a bad line it meets (use
@@ -190,8 +225,8 @@ def parse_lines(lines: DataFrame, value_col: str = "value", mode: str = "quarant
     if mode not in ("quarantine", "failfast"):
         raise ValueError(f"unknown mode {mode!r}")
     value = F.col(value_col)
-    x = lines.select("*", parse_status(value).alias("_st"), header_fields(value).alias("_h"))
-    rt, rid = F.col("_h.resourceType"), F.col("_h.id")
+    x = lines.select("*", checked_header(value).alias("_h")).select("*", header_status(value, F.col("_h")).alias("_st"))
+    rt, rid = F.col("_h")[0]["resourceType"], F.col("_h")[0]["id"]
     rt_t = F.when(rt.isNotNull(), F.schema_of_variant(rt))
     id_t = F.when(rid.isNotNull(), F.schema_of_variant(rid))
     ok_obj = F.col("_st") == "ok"
