@@ -47,7 +47,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ndflow.llm.frames import pick, stored
+from ndflow.llm.frames import lean, pick, stored
 from ndflow.llm.textcore import U64, Slice, Words, mix64, run_lengths, separator_cuts, slices, window_hashes
 
 ORDER = 4
@@ -185,7 +185,7 @@ def _count_keys(batches):
 
 def frequent_bitmap(d: DataFrame, spark: SparkSession, min_count: int) -> np.ndarray:
     """A bitmap with the top bits of all keys that stand ``min_count`` times."""
-    keys = d.mapInArrow(_count_keys, "h long, c int").groupBy("h").agg(F.sum("c").alias("c")).filter(F.col("c") >= min_count)
+    keys = d.mapInArrow(lean(_count_keys), "h long, c int").groupBy("h").agg(F.sum("c").alias("c")).filter(F.col("c") >= min_count)
     keys = stored(keys.select("h"), spark, "frequent")
     bits = int(np.clip(int(keys.count() * 32).bit_length(), MIN_BITS, MAX_BITS))
     cell = F.expr(f"shiftrightunsigned(h, {64 - bits})")
@@ -326,8 +326,8 @@ def phrase_counts(docs: DataFrame, spark: SparkSession, min_count: int = MIN_COU
     least ``min_count`` times; ``k`` 0 is the language's number of words."""
     d = pick(docs, lang=(lang_col, "string"), text=(text_col, "string"))
     bitmap = spark.sparkContext.broadcast(frequent_bitmap(d, spark, min_count))
-    w = stored(d.mapInArrow(lambda it: _windows(it, bitmap.value), WINDOW_SCHEMA), spark, "windows")
-    x = _ranges(w, range_rows, "lang", "key").mapInArrow(_prefix_counts(min_count), WINDOW_SCHEMA)
+    w = stored(d.mapInArrow(lean(lambda it: _windows(it, bitmap.value)), WINDOW_SCHEMA), spark, "windows")
+    x = _ranges(w, range_rows, "lang", "key").mapInArrow(lean(_prefix_counts(min_count)), WINDOW_SCHEMA)
     f = x.groupBy("lang", "key", "k").agg(F.sum("c").alias("f"))
     return stored(f.filter((F.col("f") >= min_count) | (F.col("k") == 0)), spark, "counts")
 

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ndflow.llm.frames import filter_docs, pick, text_bytes
+from ndflow.llm.frames import filter_docs, lean, pick, text_bytes
 from ndflow.llm.textcore import ALNUM, LOWER, U64, Words, cover, doc_sums, member, slices, window_hashes, window_starts
 
 NGRAM = 10
@@ -135,7 +135,7 @@ def scan_documents(docs: DataFrame, benchmark: DataFrame, n: int = NGRAM, id_col
     scans = []
     for part in parts:
         index = spark.sparkContext.broadcast(_index(part, n))
-        scans.append(d.mapInArrow(lambda it, index=index: _scan(it, index), SCAN_SCHEMA) if len(parts) == 1 else
+        scans.append(d.mapInArrow(lean(lambda it, index=index: _scan(it, index)), SCAN_SCHEMA) if len(parts) == 1 else
                      _keyed(d).mapInArrow(lambda it, index=index: _keyed_scan(it, index), "_k string, " + SCAN_SCHEMA))
     if len(scans) == 1:
         return scans[0]

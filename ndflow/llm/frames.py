@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import inspect
 import uuid
 
 import numpy as np
@@ -17,6 +19,40 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def _give_back() -> None:
+    """Hand freed memory of this worker back to the system: Arrow's pool, and
+    the C library's where it has the call."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # not glibc
+        pass
+
+
+def lean(fn):
+    """A function over Arrow batches (``mapInArrow``) or groups
+    (``applyInArrow``) whose worker keeps no freed memory afterwards: workers
+    are reused by later stages and sit next to each other in an executor."""
+    def call(*args):
+        try:
+            out = fn(*args)
+            if isinstance(out, pa.Table):
+                return out
+        finally:
+            _give_back()
+        return _streamed(out)
+
+    # Spark counts the arguments
+    return (lambda a: call(a)) if len(inspect.signature(fn).parameters) == 1 or fn.__defaults__ else (lambda a, b: call(a, b))
+
+
+def _streamed(batches):
+    try:
+        yield from batches
+    finally:
+        _give_back()
+
+
 def pick(df: DataFrame, **cols: tuple[str, str]) -> DataFrame:
     """Only the named inputs, as ``new name=(column, type)``: whatever else the
     table holds cannot clash with the columns an operator makes."""
@@ -69,7 +105,7 @@ def filter_docs(docs: DataFrame, text_col: str, verdict) -> DataFrame:
                 keep = np.concatenate([verdict(s) for s in slices(b.column(at))])
                 yield b.filter(pa.array(keep))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(lean(run), docs.schema)
 
 
 def order_key(*cols: Column) -> Column:

@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 
 from ndflow.llm.chunks import Plan, bucket_runs, run_ends, run_starts, short_keys, text_arrays, unpack
 from ndflow.llm.components import components
-from ndflow.llm.frames import pick, stored
+from ndflow.llm.frames import lean, pick, stored
 from ndflow.llm.textcore import NON_SPACE, U64, Slice, Words, member, mix64, slices, window_hashes, window_starts
 
 SHINGLE = 4
@@ -263,7 +263,7 @@ def _verified_links(cand: DataFrame, spark: SparkSession, pct: int, tile: int) -
     leaders = salts.join(cand.select(F.col("rep").alias("lead"), F.col("n").alias("lead_n"), F.col("shared").alias("lead_shared")),
                          F.col("to") == F.col("lead"))
     star = (members.groupBy("leader", "salt").cogroup(leaders.groupBy("to", "part"))
-            .applyInArrow(lambda x, y: _with_leader(x, y, pct), "a long, b long"))
+            .applyInArrow(lean(lambda x, y: _with_leader(x, y, pct)), "a long, b long"))
     star = stored(star, spark, "star")
     comp = stored(components(star, spark, "starcc"), spark, "starcomp")
     # lists that still hold two components
@@ -283,7 +283,7 @@ def _verified_links(cand: DataFrame, spark: SparkSession, pct: int, tile: int) -
     x = x.select("rep", "block", "comp", "tile", other.alias("other")).select(
         "rep", "block", "comp", "tile", F.least("tile", "other").alias("t1"), F.greatest("tile", "other").alias("t2"))
     x = x.join(cand.select("rep", "n", "shared"), "rep")
-    more = x.groupBy("block", "t1", "t2").applyInArrow(lambda t: _product(t, pct), "a long, b long")
+    more = x.groupBy("block", "t1", "t2").applyInArrow(lean(lambda t: _product(t, pct)), "a long, b long")
     return star.unionAll(stored(more, spark, "product"))
 
 
@@ -291,17 +291,17 @@ def jaccard_components(docs: DataFrame, spark: SparkSession, id_col: str = "doc_
                        pct: int = PERCENT, tile: int = TILE) -> DataFrame:
     """``doc_id, n_shingles, component_id`` of every document row."""
     d = pick(docs, doc_id=(id_col, "long"), text=(text_col, "string"))
-    slim = stored(d.mapInArrow(lambda it: _sets(it, k), _SETS), spark, "sets")
+    slim = stored(d.mapInArrow(lean(lambda it: _sets(it, k)), _SETS), spark, "sets")
     plan = Plan(d, "doc_id", "text")
     bits = plan.bits
     classes = slim.filter("n_shingles > 0 and doc_id is not null").groupBy("n_shingles", "f1", "f2").agg(F.min("doc_id").alias("rep"))
     classes = stored(classes, spark, "classes")
     texts = d.filter(F.col("doc_id").isNotNull()).select("doc_id", "text", plan.chunk_of(F.col("doc_id"), spark).alias("chunk"))
     by_chunk = texts.groupBy("chunk")
-    freq = by_chunk.applyInArrow(lambda t: _announce(t, bits, k), _FREQ).groupBy("bucket").applyInArrow(_frequencies, _SHARED)
+    freq = by_chunk.applyInArrow(lean(lambda t: _announce(t, bits, k)), _FREQ).groupBy("bucket").applyInArrow(lean(_frequencies), _SHARED)
     reps = classes.select(plan.chunk_of(F.col("rep"), spark).alias("chunk"), F.lit(-1).alias("bucket"), _packed(F.col("rep")).alias("keys"),
                           F.lit(b"").alias("counts"))
-    cand = by_chunk.cogroup(freq.unionAll(reps).groupBy("chunk")).applyInArrow(lambda a, b: _candidates(a, b, bits, k, pct), _CAND)
+    cand = by_chunk.cogroup(freq.unionAll(reps).groupBy("chunk")).applyInArrow(lean(lambda a, b: _candidates(a, b, bits, k, pct)), _CAND)
     cand = stored(cand, spark, "candidates")
     links = _verified_links(cand, spark, pct, tile)
     comp = stored(components(links, spark), spark, "components")

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ndflow.llm.chunks import Plan, bucket_runs, run_ends, run_starts, short_keys, text_arrays, unpack
-from ndflow.llm.frames import pick
+from ndflow.llm.frames import lean, pick
 from ndflow.llm.textcore import CHECK_BASE, NON_SPACE, U64, Slice, Words, cover, doc_sums, member, slices, window_hashes, window_starts
 
 WINDOW = 13
@@ -232,11 +232,11 @@ def _run(docs: DataFrame, id_col: str, text_col: str, finish, schema: str) -> Da
     bits = plan.bits
     texts = d.filter(F.col("doc_id").isNotNull()).select("doc_id", "text", plan.chunk_of(F.col("doc_id"), spark).alias("chunk"))
     by_chunk = texts.groupBy("chunk")
-    index = by_chunk.applyInArrow(lambda t: _announce(t, bits), _INDEX)
-    anchors = index.groupBy("bucket").applyInArrow(_anchors, _ANCHORS)
-    windows = by_chunk.cogroup(anchors.groupBy("chunk")).applyInArrow(lambda a, b: _extend(a, b, bits), _WINDOWS)
-    earlier = windows.groupBy("bucket").applyInArrow(_earlier, _EARLIER)
-    out = by_chunk.cogroup(earlier.groupBy("chunk")).applyInArrow(lambda a, b: _remove(a, b, finish), schema)
+    index = by_chunk.applyInArrow(lean(lambda t: _announce(t, bits)), _INDEX)
+    anchors = index.groupBy("bucket").applyInArrow(lean(_anchors), _ANCHORS)
+    windows = by_chunk.cogroup(anchors.groupBy("chunk")).applyInArrow(lean(lambda a, b: _extend(a, b, bits)), _WINDOWS)
+    earlier = windows.groupBy("bucket").applyInArrow(lean(_earlier), _EARLIER)
+    out = by_chunk.cogroup(earlier.groupBy("chunk")).applyInArrow(lean(lambda a, b: _remove(a, b, finish)), schema)
 
     def whole(batches):
         for b in batches:

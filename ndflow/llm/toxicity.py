@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ndflow.llm.frames import bounded_sample, filter_docs, pick
+from ndflow.llm.frames import bounded_sample, filter_docs, lean, pick
 from ndflow.llm.textcore import U64, Slice, Words, slices
 
 TRAIN_DOCS = 20_000
@@ -164,7 +164,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     lab = bounded_sample(lab, F.col("_id"), bound)
     d = pick(docs, doc_id=(id_col, "long"), text=(text_col, "string")).filter(F.col("text").isNotNull())
     # the sample has about ``bound`` rows at most: broadcast, so texts are not shuffled
-    rows = d.join(F.broadcast(lab), d["doc_id"] == lab["_id"]).select("text", "y").mapInArrow(_gather, "f array<int>, y int")
+    rows = d.join(F.broadcast(lab), d["doc_id"] == lab["_id"]).select("text", "y").mapInArrow(lean(_gather), "f array<int>, y int")
     feats, y = [], []
     for b in rows.toArrow().to_batches():
         col = b.column(0)
@@ -184,7 +184,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
             for s in slices(b.column(1)):
                 yield pa.RecordBatch.from_arrays([b.column(0).slice(s.lo, s.n_docs), pa.array(m.value.scores(s), pa.float64())], names=["doc_id", "score"])
 
-    return d.mapInArrow(run, "doc_id long, score double").select("doc_id", "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
+    return d.mapInArrow(lean(run), "doc_id long, score double").select("doc_id", "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
 
 
 def keep_clean(docs: DataFrame, model: Model, text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
