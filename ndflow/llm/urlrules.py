@@ -2,24 +2,31 @@
 
 Method, per host: the path's segments are a branch of the host's tree.
 1. Variable segments become wildcards: numbers, ids and dates by their shape,
-   then any node with ``MIN_CHILDREN`` or more literal children none of which
-   is common (``MAX_CHILD_SHARE``).
-2. Sibling templates that differ in one literal segment are merged when their
-   labelled shares do not differ by more than ``MERGE_Z`` standard errors from
-   the siblings' common share.
-3. A template is rejected when its smoothed labelled purity (blocked labels
-   plus ``PRIOR_WEIGHT`` times the overall share, over labels plus
-   ``PRIOR_WEIGHT``) is above ``REJECT``.
-Labels are the verdicts of the fixed rules, where one fits; templates without
-labels are allowed.
+   then any node with ``MIN_CHILDREN`` or more children none of which is common
+   (``MAX_CHILD_SHARE``).  Branches that a wildcard joins are looked at again,
+   until no node changes, so wildcards nest; the tree has no depth limit.
+2. Sibling templates that differ in one literal segment are merged when they are
+   alike: a template with labels when its labelled share does not differ by more
+   than ``MERGE_Z`` standard errors from the siblings' common share, one without
+   labels when all labelled siblings are alike.
+3. A template is rejected when its smoothed labelled purity is above ``REJECT``:
+   blocked labels of its merged siblings plus ``PRIOR_WEIGHT`` times the purity of
+   the branch above it, over labels plus ``PRIOR_WEIGHT``.  The branch's purity is
+   smoothed by its own parent in the same way, up to the host, and the host's by
+   the share of all labels.  So a template without labels takes its verdict from
+   its siblings and branch, and on a host without any label from all hosts.
+Labels are the verdicts of the fixed rules, where one fits.
 
 Paths are reduced to (host, template) counts with a partial aggregate first, so
 a host with a third of all pages is no single task; templates go back to the
-pages by a join of which only rejected templates are the other side.
+pages by a join of which only rejected templates are the other side.  Nodes are
+told apart by 64-bit hashes of their path.
 
 Defined results: host and path are empty for a null url or one without
 ``://``; such pages have no rule and share the empty template; repeated rows
-each give a row; other columns are ignored.
+each give a row and count as often; a purity of exactly ``REJECT`` is allowed;
+urls of any length and depth are read whole; an empty table gives no rows, one
+without labels allows all; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -39,8 +46,6 @@ PRIOR_WEIGHT = 5.0
 REJECT = 0.5
 #: Rejected templates below which their table is broadcast.
 BROADCAST_TEMPLATES = 100_000
-#: Depth of the tree: what lies below is one wildcard segment.
-DEPTH = 16
 
 _URL = r"(?s)^.*?://([^/?#]*)([^?#]*)"
 
@@ -77,23 +82,48 @@ def templates(pages: DataFrame) -> DataFrame:
                                             F.coalesce(F.sum("label"), F.lit(0)).alias("blocked"))
 
 
+def _prefixes(segs: Column) -> Column:
+    """Hash of the first 1, 2, ... segments."""
+    return F.aggregate(segs, F.array().cast("array<bigint>"), lambda a, x: F.concat(a, F.array(F.xxhash64(F.try_element_at(a, F.lit(-1)), x))))
+
+
 def _wildcards(t: DataFrame) -> DataFrame:
     """Add ``template``: segments under nodes with many rare children become
-    ``*``."""
-    seg = t.select("host", "raw", "n", F.posexplode(F.split("raw", "/")).alias("pos", "seg"))
-    seg = seg.withColumn("prefix", F.array_join(F.slice(F.split("raw", "/"), F.lit(1), F.col("pos")), "/"))
-    child = seg.groupBy("host", "pos", "prefix", "seg").agg(F.sum("n").alias("n"))
-    node = child.groupBy("host", "pos", "prefix").agg(F.count(F.lit(1)).alias("kids"), F.sum("n").alias("all"), F.max("n").alias("top"))
-    many = node.filter((F.col("kids") >= MIN_CHILDREN) & (F.col("top") <= MAX_CHILD_SHARE * F.col("all"))).select("host", "pos", "prefix", F.lit(True).alias("wild"))
-    x = seg.join(many, ["host", "pos", "prefix"], "left")
-    back = x.groupBy("host", "raw").agg(F.array_sort(F.collect_list(F.struct("pos", F.when(F.col("wild"), "*").otherwise(F.col("seg")).alias("seg")))).alias("s"))
-    return t.join(back.select("host", "raw", F.array_join(F.col("s.seg"), "/").alias("template")), ["host", "raw"])
+    ``*``, again and again until no node changes."""
+    t = t.withColumn("segs", F.split("raw", "/"))
+    while True:
+        seg = t.select("host", "raw", "n", F.posexplode(F.arrays_zip("segs", _prefixes(F.col("segs")).alias("h"))).alias("pos", "s"))
+        seg = seg.select("host", "raw", "n", "pos", F.col("s.segs").alias("seg"), F.col("s.h").alias("h"))
+        up = F.lag("h", 1, 0).over(Window.partitionBy("host", "raw").orderBy("pos"))  # the segments of one path
+        seg = seg.withColumn("node", up)
+        child = seg.groupBy("host", "pos", "node", "seg").agg(F.sum("n").alias("n"))
+        node = child.groupBy("host", "pos", "node").agg(F.count(F.lit(1)).alias("kids"), F.sum("n").alias("all"), F.max("n").alias("top"))
+        many = node.filter((F.col("kids") >= MIN_CHILDREN) & (F.col("top") <= MAX_CHILD_SHARE * F.col("all"))).select("host", "pos", "node", F.lit(True).alias("wild"))
+        x = seg.join(many, ["host", "pos", "node"], "left")
+        back = x.groupBy("host", "raw").agg(F.array_sort(F.collect_list(F.struct("pos", F.when(F.col("wild"), "*").otherwise(F.col("seg")).alias("seg")))).alias("s"),
+                                            F.coalesce(F.max("wild"), F.lit(False)).alias("changed"))
+        t = t.drop("segs").join(back.select("host", "raw", F.col("s.seg").alias("segs"), "changed"), ["host", "raw"])
+        t = stored(t, t.sparkSession, "urltree")
+        if t.filter("changed").isEmpty():
+            return t.drop("changed").withColumn("template", F.array_join("segs", "/")).drop("segs")
+        t = t.drop("changed")
+
+
+def _branch_purity(leaf: DataFrame, prior: float) -> DataFrame:
+    """``host, template, above``: the smoothed purity of the branch that holds
+    each template, from the host down."""
+    segs = F.split("template", "/")
+    x = leaf.select("host", "template", "labelled", "blocked", F.posexplode(F.slice(_prefixes(segs), F.lit(1), F.size(segs) - 1)).alias("pos", "h"))
+    node = x.groupBy("host", "pos", "h").agg(F.sum("labelled").alias("n"), F.sum("blocked").alias("b"))
+    y = x.select("host", "template", "pos", "h").join(node, ["host", "pos", "h"])
+    y = y.groupBy("host", "template").agg(F.array_sort(F.collect_list(F.struct("pos", "n", "b"))).alias("way"))  # one per segment
+    fold = F.aggregate("way", F.lit(prior).cast("double"), lambda p, w: (w["b"] + PRIOR_WEIGHT * p) / (w["n"] + PRIOR_WEIGHT))
+    return y.select("host", "template", fold.alias("above"))
 
 
 def rejected(t: DataFrame) -> DataFrame:
     """(host, raw) of the templates to reject."""
-    spark = t.sparkSession
-    t = stored(_wildcards(t), spark, "urltree")
+    t = _wildcards(t)
     leaf = t.groupBy("host", "template").agg(F.sum("labelled").alias("labelled"), F.sum("blocked").alias("blocked"))
     total = leaf.agg(F.sum("labelled").alias("n"), F.sum("blocked").alias("b")).first()
     prior = (total["b"] / total["n"]) if total["n"] else 0.0
@@ -102,15 +132,18 @@ def rejected(t: DataFrame) -> DataFrame:
     parts = F.split("template", "/")
     open_ = F.concat_ws("/", F.slice(parts, F.lit(1), F.col("pos")), F.array(F.lit("+")), F.slice(parts, F.col("pos") + 2, F.size(parts)))
     sib = seg.withColumn("open", open_)
-    fam = sib.groupBy("host", "open", "pos").agg(F.sum("labelled").alias("fn"), F.sum("blocked").alias("fb"))
+    fam = sib.groupBy("host", "open", "pos").agg(F.sum("labelled").alias("fn"), F.sum("blocked").alias("fb")).filter("fn > 0")
     j = sib.join(fam, ["host", "open", "pos"])
     share, fshare = F.col("blocked") / F.col("labelled"), F.col("fb") / F.col("fn")
-    near = (F.col("labelled") > 0) & (F.abs(share - fshare) <= MERGE_Z * F.sqrt(fshare * (1 - fshare) / F.col("labelled")) + 1e-9)
-    best = j.filter(near).groupBy("host", "template").agg(F.max(F.struct("fn", "fb")).alias("m"))
-    s = leaf.join(best, ["host", "template"], "left")
+    far = F.abs(share - fshare) > MERGE_Z * F.sqrt(fshare * (1 - fshare) / F.col("labelled")) + 1e-9
+    j = j.withColumn("far", (F.col("labelled") > 0) & far)
+    split = j.filter("far").select("host", "open", "pos").distinct().withColumn("unlike", F.lit(True))
+    j = j.join(split, ["host", "open", "pos"], "left")
+    best = j.filter(~F.col("far") & ((F.col("labelled") > 0) | F.col("unlike").isNull())).groupBy("host", "template").agg(F.max(F.struct("fn", "fb")).alias("m"))
+    s = leaf.join(best, ["host", "template"], "left").join(_branch_purity(leaf, prior), ["host", "template"], "left")
     n, b = F.coalesce(F.col("m.fn"), F.col("labelled")), F.coalesce(F.col("m.fb"), F.col("blocked"))
-    purity = (b + F.lit(PRIOR_WEIGHT * prior)) / (n + F.lit(PRIOR_WEIGHT))
-    bad = s.filter((n > 0) & (purity > REJECT)).select("host", "template")
+    purity = (b + PRIOR_WEIGHT * F.coalesce("above", F.lit(prior))) / (n + PRIOR_WEIGHT)
+    bad = s.filter(purity > REJECT).select("host", "template")
     return t.join(bad, ["host", "template"]).select(F.col("host").alias("_host"), F.col("raw").alias("_raw"), F.lit(True).alias("_bad"))
 
 
@@ -120,8 +153,7 @@ def judge(pages: DataFrame, spark: SparkSession, id_col: str = "page_id", url_co
     x = pages.select(pages[f"`{id_col}`"].cast("long").alias("page_id"), pages[f"`{url_col}`"].cast("string").alias("_url"))
     x = x.select("page_id", host.alias("host"), path.alias("path")).withColumn("segs", F.split("path", "/"))
     rule, verdict = rule_of(F.col("host"), F.col("path"), rules)
-    raw = F.array_join(F.concat(F.transform(F.slice(F.col("segs"), 1, DEPTH), shape),
-                                F.when(F.size("segs") > DEPTH, F.array(F.lit("{deep}"))).otherwise(F.array().cast("array<string>"))), "/")
+    raw = F.array_join(F.transform("segs", shape), "/")
     x = x.select("*", rule.alias("rule"), verdict.alias("ruled"), raw.alias("raw"))
     t = templates(x.withColumn("label", F.when(F.col("ruled").isNotNull(), (F.col("ruled") == "block").cast("int"))))
     bad = stored(rejected(t), spark, "urlbad")

@@ -143,3 +143,59 @@ def jaccard_components(docs, k=4, pct=85):
             index[g].append(i)
     comp = {s: find(r) for r, s in reps}
     return [(d, len(s), comp.get(s) if s else d) for d, s in sets]
+
+
+def url_verdicts(urls, rules, shape, min_children=20, max_share=0.2, merge_z=2.0, weight=5.0, reject=0.5):
+    """Verdict of every url by the template tree, plainly.  ``shape``: a segment
+    with its variable part generalised."""
+    rows = []
+    for u in urls:
+        u = u or ""
+        m = re.match(r"(?s)^.*?://([^/?#]*)([^?#]*)", u)
+        host, path = (m[1].translate(UPPER), m[2]) if m else ("", "")
+        fits = [(len(h + p), v) for v, h, p in rules if (host == h or host.endswith("." + h)) and path.startswith(p)]
+        rows.append((host, [shape(x) for x in path.split("/")], max(fits)[1] if fits else None))
+    names = {(h, tuple(s)): list(s) for h, s, _ in rows}
+    count = Counter((h, tuple(s)) for h, s, _ in rows)
+    while True:
+        kids = defaultdict(Counter)
+        for (h, raw), s in names.items():
+            for i, x in enumerate(s):
+                kids[h, tuple(s[:i])][x] += count[h, raw]
+        wild = {k for k, c in kids.items() if len(c) >= min_children and max(c.values()) <= max_share * sum(c.values())}
+        if not wild:
+            break
+        names = {(h, raw): ["*" if (h, tuple(s[:i])) in wild else x for i, x in enumerate(s)] for (h, raw), s in names.items()}
+    leaf, node = defaultdict(lambda: [0, 0]), defaultdict(lambda: [0, 0])
+    for h, raw, verdict in rows:
+        t = tuple(names[h, tuple(raw)])
+        for at, key in [(leaf, (h, t)), *[(node, (h, t[:i])) for i in range(1, len(t))]]:
+            at[key][0] += verdict is not None
+            at[key][1] += verdict == "block"
+    n, b = sum(v[0] for v in leaf.values()), sum(v[1] for v in leaf.values())
+    prior = b / n if n else 0.0
+    family = defaultdict(list)
+    for h, t in leaf:
+        for i, x in enumerate(t):
+            if x and not re.search(r"[*{]", x):
+                family[h, i, t[:i] + ("+",) + t[i + 1:]].append(t)
+    bad = set()
+    for h, t in leaf:
+        own, best = leaf[h, t], []
+        for (fh, _, _), members in family.items():
+            if fh != h or t not in members:
+                continue
+            fn, fb = (sum(leaf[h, m][k] for m in members) for k in (0, 1))
+            if not fn:
+                continue
+            share = fb / fn
+            far = {m: leaf[h, m][0] > 0 and abs(leaf[h, m][1] / leaf[h, m][0] - share) > merge_z * (share * (1 - share) / leaf[h, m][0]) ** 0.5 + 1e-9 for m in members}
+            if not far[t] and (own[0] or not any(far.values())):
+                best.append((fn, fb))
+        above = prior
+        for i in range(1, len(t)):
+            above = (node[h, t[:i]][1] + weight * above) / (node[h, t[:i]][0] + weight)
+        fn, fb = max(best, default=tuple(own))
+        if (fb + weight * above) / (fn + weight) > reject:
+            bad.add((h, t))
+    return [v or ("block" if (h, tuple(names[h, tuple(s)])) in bad else "allow") for h, s, v in rows]

@@ -205,3 +205,28 @@ def test_registered_urls_match_rules(spark):
     p = spark.read.parquet(f"{SF}/pages.parquet")
     got = {r.page_id: (r.host, r.path, r.rule) for r in urlrules.judge(p, spark).collect()}
     assert got == {r.page_id: brute.url_rule(r.url)[:3] for r in p.select("page_id", "url").collect()}
+
+
+def test_verdicts_match_a_plain_tree(spark):
+    """Rejections, merges, branches without labels, nested wildcards and deep
+    paths against the method in plain Python; and the registered pages."""
+    names = ["".join(x) for x in itertools.product("klmnopqr", repeat=2)]
+    urls = [f"http://a.net/{lang}/{i}" for lang, n in (("es", 9), ("fr", 7), ("en", 5), ("de", 4)) for i in range(n)]
+    urls += [f"http://b.net/es/{i}" for i in range(2)] + [f"http://b.net/en/{i}" for i in range(3)] + ["http://c.com/x/1", "http://c.com/y/1"] * 4
+    urls += [f"http://u.net/{top}/{a}/{b}{i}/page" for top in ("es", "in") for i, (a, b) in enumerate(itertools.product(names[:30], names[30:32]))]
+    urls += [f"http://d.org/{'x/' * 60}{i}" for i in range(3)] + [f"http://e.example.com/en/{i}" for i in range(6)] + ["http://e.example.com/de/1", "http://e.example.com/q/z/1"]
+    urls += [None, "", "http://a.net", "http://a.net/"] + [f"http://f.com/p/{i}" for i in range(200)]
+    p = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    segs = sorted({x for u in urls if u and "://" in u for x in brute.url_rule(u)[1].split("/")} | {""})
+    shaped = {r.s: r.t for r in spark.createDataFrame([(x,) for x in segs], "s string").select("s", urlrules.shape(F.col("s")).alias("t")).collect()}
+    got = {r.page_id: r for r in urlrules.judge(p, spark).collect()}
+    want = brute.url_verdicts(urls, urlrules.RULES, shaped.__getitem__)
+    assert [got[i].verdict for i in range(len(urls))] == want
+    free = [(got[i].host, want[i]) for i in range(len(urls)) if got[i].rule is None]
+    assert {"a.net", "u.net"} <= {h for h, v in free if v == "block"} and {"b.net", "d.org"} <= {h for h, v in free if v == "allow"}
+    pages = spark.read.parquet(f"{SF}/pages.parquet")
+    urls = [r.url for r in pages.orderBy("page_id").collect()]
+    segs = sorted({x for u in urls if u and "://" in u for x in brute.url_rule(u)[1].split("/")} | {""})
+    shaped = {r.s: r.t for r in spark.createDataFrame([(x,) for x in segs], "s string").select("s", urlrules.shape(F.col("s")).alias("t")).collect()}
+    got = [r.verdict for r in urlrules.judge(pages, spark).orderBy("page_id").collect()]
+    assert got == brute.url_verdicts(urls, urlrules.RULES, shaped.__getitem__)
