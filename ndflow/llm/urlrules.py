@@ -13,8 +13,8 @@ Method, per host: the path's segments are a branch of the host's tree.
    blocked labels of its merged siblings plus ``PRIOR_WEIGHT`` times the purity of
    the branch above it, over labels plus ``PRIOR_WEIGHT``.  The branch's purity is
    smoothed by its own parent in the same way, up to the host, and the host's by
-   the share of all labels.  So a template without labels takes its verdict from
-   its siblings and branch, and on a host without any label from all hosts.
+   the share of all labels, ``PRIOR_CAP`` at most.  So a template without labels
+   takes its verdict from its siblings and branch; a host without any is allowed.
 Labels are the verdicts of the fixed rules, where one fits.
 
 Paths are reduced to (host, template) counts with a partial aggregate first, so
@@ -43,6 +43,9 @@ MIN_CHILDREN = 20
 MAX_CHILD_SHARE = 0.2
 MERGE_Z = 2.0
 PRIOR_WEIGHT = 5.0
+#: Labels come from rules and are no sample of all pages, so their share counts
+#: at most so much for a host that has none.
+PRIOR_CAP = 0.25
 REJECT = 0.5
 #: Rejected templates below which their table is broadcast.
 BROADCAST_TEMPLATES = 100_000
@@ -126,7 +129,7 @@ def rejected(t: DataFrame) -> DataFrame:
     t = _wildcards(t)
     leaf = t.groupBy("host", "template").agg(F.sum("labelled").alias("labelled"), F.sum("blocked").alias("blocked"))
     total = leaf.agg(F.sum("labelled").alias("n"), F.sum("blocked").alias("b")).first()
-    prior = (total["b"] / total["n"]) if total["n"] else 0.0
+    prior = min(total["b"] / total["n"], PRIOR_CAP) if total["n"] else 0.0
     # siblings: the same template with one literal segment left open
     seg = leaf.select("*", F.posexplode(F.split("template", "/")).alias("pos", "seg")).filter((F.col("seg") != "") & ~F.col("seg").rlike(r"[*{]"))
     parts = F.split("template", "/")

@@ -145,7 +145,7 @@ def jaccard_components(docs, k=4, pct=85):
     return [(d, len(s), comp.get(s) if s else d) for d, s in sets]
 
 
-def url_verdicts(urls, rules, shape, min_children=20, max_share=0.2, merge_z=2.0, weight=5.0, reject=0.5):
+def url_verdicts(urls, rules, shape, min_children=20, max_share=0.2, merge_z=2.0, weight=5.0, cap=0.25, reject=0.5):
     """Verdict of every url by the template tree, plainly.  ``shape``: a segment
     with its variable part generalised."""
     rows = []
@@ -173,7 +173,7 @@ def url_verdicts(urls, rules, shape, min_children=20, max_share=0.2, merge_z=2.0
             at[key][0] += verdict is not None
             at[key][1] += verdict == "block"
     n, b = sum(v[0] for v in leaf.values()), sum(v[1] for v in leaf.values())
-    prior = b / n if n else 0.0
+    prior = min(b / n, cap) if n else 0.0
     family = defaultdict(list)
     for h, t in leaf:
         for i, x in enumerate(t):

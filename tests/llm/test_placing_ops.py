@@ -212,7 +212,7 @@ def test_verdicts_match_a_plain_tree(spark):
     paths against the method in plain Python; and the registered pages."""
     names = ["".join(x) for x in itertools.product("klmnopqr", repeat=2)]
     urls = [f"http://a.net/{lang}/{i}" for lang, n in (("es", 9), ("fr", 7), ("en", 5), ("de", 4)) for i in range(n)]
-    urls += [f"http://b.net/es/{i}" for i in range(2)] + [f"http://b.net/en/{i}" for i in range(3)] + ["http://c.com/x/1", "http://c.com/y/1"] * 4
+    urls += ["http://b.net/es/1"] + [f"http://b.net/en/{i}" for i in range(3)] + ["http://c.com/x/1", "http://c.com/y/1"] * 4
     urls += [f"http://u.net/{top}/{a}/{b}{i}/page" for top in ("es", "in") for i, (a, b) in enumerate(itertools.product(names[:30], names[30:32]))]
     urls += [f"http://d.org/{'x/' * 60}{i}" for i in range(3)] + [f"http://e.example.com/en/{i}" for i in range(6)] + ["http://e.example.com/de/1", "http://e.example.com/q/z/1"]
     urls += [None, "", "http://a.net", "http://a.net/"] + [f"http://f.com/p/{i}" for i in range(200)]
