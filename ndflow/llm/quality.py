@@ -1,21 +1,29 @@
 """Adaptive quality rules (operator 5), DataFrame functions only.
 
-Method: instead of fixed cutoffs, every measure gets cutoffs from the corpus:
-a mergeable quantile sketch (KLL) per language and source, far-out fences
-(quartile plus ``SPREAD`` interquartile ranges plus a small margin), and a
-join that gives each document the fences of its group.  Symbols and repeated
-lines are zero in most documents, so that both quartiles are: their fence is at
-least their ``TAIL`` quantile, and ``FLOOR`` holds only below it.  Groups with fewer than
-``MIN_GROUP`` documents take the merged sketch of their language, and below
-that the merged sketch of all.
+Method: instead of fixed cutoffs, every measure gets cutoffs from the corpus: a
+mergeable quantile sketch per language and source, far-out fences, and a join
+that gives each document the fences of its group.  A sketch is a histogram of
+counts over bins of 2 % relative width (and one for zero), so sketches merge by
+addition, cover every document, and give the same fences on every run.
+
+A fence is the upper quartile plus ``SPREAD`` interquartile ranges plus a small
+margin.  Symbols and repeated lines are zero in most documents; where they are
+zero in more than half of a group, the quartiles are those of the values above
+zero, and the language's fence, made in the same way, holds where it is lower:
+junk that fills one source's values does not set that source's fence.  Where
+fewer than ``RARE`` of a group's documents have any, a value above ``FLOOR`` is an
+outlier.  Groups with fewer than ``MIN_GROUP`` documents take the merged sketch of
+their language, and below that the merged sketch of all.
 
 Base measures are taken in one pass inside each row (arrays and higher-order
 functions; no shuffle): words, characters in words, symbols, repeated lines,
 words in repeated 8-word windows.  Windows are compared by 64-bit hashes.
 
 Defined results: a null or empty text has no words and fails the base rules; a
-null language or source is a group of its own; one output row per input row;
-other columns are ignored; empty input gives no rows.
+null language or source is a group of its own; values equal to a fence are
+inside; repeated rows count as often and give a row each; texts of any length are
+read whole, inside their row; other columns are ignored; empty input gives no
+rows.
 """
 
 from __future__ import annotations
@@ -30,10 +38,11 @@ MIN_WORDS = 20
 MAX_REPEAT_PCT = 30
 MIN_GROUP = 100
 QUARTILES = (0.25, 0.75)
-#: Upper-tail quantile below which no fence of a mostly-zero measure lies.
-TAIL = {"symbols": 0.97, "dup_lines": 0.995}
-#: Size of a sketch: ranks are off by about 0.2 %, exact up to so many rows.
-SKETCH_K = 1600
+#: Share of documents with a value above zero, below which any is an outlier.
+RARE = 0.01
+#: Ratio of a bin's bounds.  Values from 1e-9 to 1e9 are about 2,100 bins.
+BIN = 1.02
+ZERO_BIN = -(1 << 30)
 #: Interquartile ranges beyond the quartile at which a fence stands.
 SPREAD = 4.0
 #: Added to each fence, so that a measure without spread still leaves room:
@@ -102,38 +111,77 @@ def _ratios() -> dict[str, Column]:
             "word_len": F.col("word_chars") / n}
 
 
-def _points(measure: str) -> tuple[float, ...]:
-    """Quantiles that the fence of a measure is made of."""
-    return (*QUARTILES, TAIL.get(measure, QUARTILES[1]))
+def _bin(x: Column) -> Column:
+    """Number of a value's bin: its upper bound is ``BIN`` to that power."""
+    return F.when(x > 0, F.ceil(F.log(x) / F.log(F.lit(BIN))).cast("int")).otherwise(ZERO_BIN)
+
+
+def _upper(b: Column) -> Column:
+    return F.when(b == ZERO_BIN, 0.0).otherwise(F.pow(F.lit(BIN), b.cast("double")))
+
+
+def _quantile(bins: Column, n: Column, p: float) -> Column:
+    """Upper bound of the bin that holds the ``p`` quantile of ``n`` values;
+    ``bins`` are ordered ``(b, n)``.  Null without values."""
+    want = F.greatest(F.lit(1), F.ceil(F.lit(p) * n)).cast("long")
+    start = F.struct(F.lit(0).cast("long").alias("seen"), F.lit(None).cast("int").alias("at"))
+    found = F.aggregate(bins, start, lambda a, x: F.struct((a["seen"] + x["n"]).alias("seen"), F.coalesce(
+        a["at"], F.when(a["seen"] + x["n"] >= want, x["b"])).alias("at")), lambda a: a["at"])
+    return _upper(found)
+
+
+def sketches(m: DataFrame) -> DataFrame:
+    """``lang, source, measure, b, n``: documents that pass the base rules, per
+    bin of each measure."""
+    rows = F.array(*[F.struct(F.lit(k).alias("measure"), _bin(e).alias("b")) for k, e in _ratios().items()])
+    x = m.filter(~F.col("base_failed")).select("lang", "source", F.inline(rows))
+    return x.groupBy("lang", "source", "measure", "b").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _level(h: DataFrame, keys: list[str], tag: str) -> DataFrame:
+    """Fences of the merged sketches of one level, a row per key: ``<tag>_n``
+    and, per measure, ``<tag>_lo_``, ``<tag>_hi_`` and ``<tag>_rare_``."""
+    g = h.groupBy(*keys, "measure", "b").agg(F.sum("n").alias("n"))
+    g = g.groupBy(*keys, "measure").agg(F.sum("n").alias("all"), F.sum(F.when(F.col("b") != ZERO_BIN, F.col("n")).otherwise(0)).alias("above"),
+                                        F.array_sort(F.collect_list(F.struct("b", "n"))).alias("bins"))  # a few thousand bins
+    mostly_zero = F.col("measure").isin(*FLOOR) & (2 * F.col("above") < F.col("all"))
+    bins = F.when(mostly_zero, F.filter("bins", lambda x: x["b"] != ZERO_BIN)).otherwise(F.col("bins"))
+    g = g.withColumn("bins", bins).withColumn("of", F.when(mostly_zero, F.col("above")).otherwise(F.col("all")))
+    g = g.withColumn("q1", _quantile(F.col("bins"), F.col("of"), QUARTILES[0])).withColumn("q3", _quantile(F.col("bins"), F.col("of"), QUARTILES[1]))
+    margin = F.lit(0.0)
+    for k, v in MARGIN.items():
+        margin = F.when(F.col("measure") == k, F.lit(v)).otherwise(margin)
+    room = F.lit(SPREAD) * (F.col("q3") - F.col("q1")) + margin
+    g = g.select(*keys, "measure", "all", (F.col("q1") / BIN - room).alias("lo"), (F.col("q3") + room).alias("hi"),
+                 mostly_zero.alias("zeros"), (F.col("above") < RARE * F.col("all")).alias("rare"))
+    cols = [F.max("all").alias(f"{tag}_n")]
+    for k in _ratios():
+        cols += [F.max(F.when(F.col("measure") == k, F.col(c))).alias(f"{tag}_{c}_{k}") for c in ("lo", "hi", "zeros", "rare")]
+    return g.groupBy(*keys).agg(*cols)
 
 
 def fences(m: DataFrame) -> DataFrame:
-    """Per (lang, source): ``lo_<measure>`` and ``hi_<measure>``.
-
-    Sketches of documents that pass the base rules; sketches of a group merge
-    into its language's and those into the one of all."""
-    names = list(_ratios())
-    good = m.filter(~F.col("base_failed")).select("lang", "source", *[e.alias(k) for k, e in _ratios().items()])
-    per = good.groupBy("lang", "source").agg(F.count(F.lit(1)).alias("n"), *[F.kll_sketch_agg_double(k, SKETCH_K).alias(k) for k in names])
-    merged = [F.sum("n").alias("n"), *[F.kll_merge_agg_double(k, SKETCH_K).alias(k) for k in names]]
-    by_lang = per.groupBy("lang").agg(*merged)
-    every = by_lang.agg(*merged).select(*[
-        F.when(F.col("n") > 0, F.kll_sketch_get_quantile_double(k, F.lit(p))).alias(f"{k}{i}")  # an empty sketch has no quantiles
-        for k in names for i, p in enumerate(_points(k))]).first()  # one row of numbers
-    a = per.withColumnsRenamed({c: f"a_{c}" for c in per.columns})
-    b = by_lang.withColumnsRenamed({c: f"b_{c}" for c in by_lang.columns})
+    """Per (lang, source): ``lo_<measure>`` and ``hi_<measure>``."""
+    h = stored(sketches(m), m.sparkSession, "sketches")
+    a = _level(h, ["lang", "source"], "a").withColumnsRenamed({"lang": "a_lang", "source": "a_source"})
+    b = _level(h, ["lang"], "b").withColumnRenamed("lang", "b_lang")
+    every = _level(h, [], "c").first()  # one row of numbers
     groups = m.select("lang", "source").distinct()
     g = (groups.join(a, groups["lang"].eqNullSafe(a["a_lang"]) & groups["source"].eqNullSafe(a["a_source"]), "left")
          .join(b, F.col("lang").eqNullSafe(b["b_lang"]), "left"))
+
+    def at(col: str, kind: str) -> Column:
+        c = F.lit(every[f"c_{col}"]).cast(kind)
+        return F.when(F.col("a_n") >= MIN_GROUP, F.col(f"a_{col}")).when(F.col("b_n") >= MIN_GROUP, F.col(f"b_{col}")).otherwise(c)
+
     cols = []
-    for k in names:
-        q1, q3, tail = (F.when(F.col("a_n") >= MIN_GROUP, F.kll_sketch_get_quantile_double(F.col(f"a_{k}"), F.lit(p)))
-                  .when(F.col("b_n") >= MIN_GROUP, F.kll_sketch_get_quantile_double(F.col(f"b_{k}"), F.lit(p)))
-                  .otherwise(F.lit(every[f"{k}{i}"]).cast("double")) for i, p in enumerate(_points(k)))
-        room = F.lit(SPREAD) * (q3 - q1) + F.lit(MARGIN.get(k, 0.0))
-        # an empty corpus has no quantiles and no fences
-        hi = F.when(q3.isNotNull(), F.greatest(q3 + room, tail, F.lit(FLOOR[k]))) if k in FLOOR else q3 + room
-        cols += [(q1 - room).alias(f"lo_{k}"), hi.alias(f"hi_{k}")]
+    for k in _ratios():
+        hi = at(f"hi_{k}", "double")
+        if k in FLOOR:
+            parent = F.when(F.col("b_n") >= MIN_GROUP, F.col(f"b_hi_{k}")).otherwise(F.lit(every[f"c_hi_{k}"]).cast("double"))
+            own = F.when(at(f"rare_{k}", "boolean"), F.lit(0.0)).when(at(f"zeros_{k}", "boolean"), F.least(hi, parent)).otherwise(hi)
+            hi = F.when(at(f"rare_{k}", "boolean").isNotNull(), F.greatest(own, F.lit(FLOOR[k])))  # an empty corpus has no fences
+        cols += [at(f"lo_{k}", "double").alias(f"lo_{k}"), hi.alias(f"hi_{k}")]
     return g.select("lang", "source", *cols)
 
 

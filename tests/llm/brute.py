@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 from collections import Counter, defaultdict
 
@@ -199,3 +200,45 @@ def url_verdicts(urls, rules, shape, min_children=20, max_share=0.2, merge_z=2.0
         if (fb + weight * above) / (fn + weight) > reject:
             bad.add((h, t))
     return [v or ("block" if (h, tuple(names[h, tuple(s)])) in bad else "allow") for h, s, v in rows]
+
+
+def quality_verdicts(docs, min_group=100, spread=4.0, rare=0.01, step=1.02):
+    """docs: (id, text, lang, source) -> kept per row, by sorted binned values."""
+    floor, margin = {"symbols": 0.03, "dup_lines": 0.1}, {"word_len": 1.0}
+    rows = []
+    for _, t, lang, source in docs:
+        n, chars, sym, dup, _, failed = base_measures(t)
+        rows.append((lang, source, failed, {"symbols": sym / max(chars, 1), "dup_lines": 100.0 * dup / max(n, 1), "word_len": chars / max(n, 1)}))
+    groups = defaultdict(lambda: defaultdict(list))
+    for lang, source, failed, m in rows:
+        if not failed:
+            for key in ((lang, source), (lang,), ()):
+                for k, v in m.items():
+                    groups[key][k].append(step ** math.ceil(math.log(v) / math.log(step)) if v > 0 else 0.0)
+
+    def fence(key, k):
+        v = sorted(groups[key][k])
+        above = [x for x in v if x > 0]
+        zeros = k in floor and 2 * len(above) < len(v)
+        of = above if zeros else v
+        if not of:
+            return None, None, zeros, len(above) < rare * len(v)
+        q1, q3 = (of[max(1, math.ceil(p * len(of))) - 1] for p in (0.25, 0.75))
+        room = spread * (q3 - q1) + margin.get(k, 0.0)
+        return q1 / step - room, q3 + room, zeros, len(above) < rare * len(v)
+
+    out = []
+    for lang, source, failed, m in rows:
+        ok = not failed
+        for k, v in m.items():
+            size = {key: len(groups[key][k]) for key in ((lang, source), (lang,), ())}
+            key = next((x for x in ((lang, source), (lang,)) if size[x] >= min_group), ())
+            lo, hi, zeros, few = fence(key, k)
+            if k in floor:
+                parent = fence((lang,) if size[lang,] >= min_group else (), k)[1]
+                hi = 0.0 if few else min(x for x in (hi, parent) if x is not None) if zeros else hi
+                hi = max(hi, floor[k])
+            ok &= hi is None or v <= hi
+            ok &= k != "word_len" or lo is None or v >= lo
+        out.append(ok)
+    return out

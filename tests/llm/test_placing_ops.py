@@ -230,3 +230,26 @@ def test_verdicts_match_a_plain_tree(spark):
     shaped = {r.s: r.t for r in spark.createDataFrame([(x,) for x in segs], "s string").select("s", urlrules.shape(F.col("s")).alias("t")).collect()}
     got = [r.verdict for r in urlrules.judge(pages, spark).orderBy("page_id").collect()]
     assert got == brute.url_verdicts(urls, urlrules.RULES, shaped.__getitem__)
+
+
+def test_quality_verdicts_match_plain_quantiles_and_repeat(spark):
+    """Groups of all sizes against sorted lists; junk that is a tenth of one
+    source goes, and a rerun over other partitions gives the same verdicts."""
+    rnd = random.Random(8)
+    docs = []
+    for i in range(900):
+        source = ("big", "big", "code", "junky", "tiny")[i % 5] if i % 45 else f"rare{i}"
+        words = ["".join(rnd.choices("abcdefgh", k=2 + rnd.randrange(7))) for _ in range(30 + rnd.randrange(40))]
+        if source == "code" or rnd.random() < 0.08:
+            words = [w + "#" * (j % 9 == 0) for j, w in enumerate(words)]
+        if source == "junky" and i % 50 == 3:
+            words = [w + "$$$$$$" for w in words]
+        lines = " ".join(words) + ("\nsame line\nsame line" if rnd.random() < 0.1 else "")
+        docs.append((i, lines if i % 97 else None, "en" if i % 3 else None, source))
+    df = spark.createDataFrame(docs, "doc_id long, text string, lang string, source string")
+    got = {r.doc_id: r.kept for r in quality.judge(df, spark).collect()}
+    assert [got[i] for i in range(len(docs))] == brute.quality_verdicts(docs)
+    assert got == {r.doc_id: r.kept for r in quality.judge(df.repartition(7), spark).collect()}
+    junk = [i for i, t, _, _ in docs if t and "$$$$$$" in t]
+    assert len(junk) > 10 and not any(got[i] for i in junk)
+    assert sum(got[i] for i, t, _, s in docs if s == "code" and t) > 0.9 * sum(s == "code" for *_, s in docs)
