@@ -11,9 +11,11 @@ The set is broadcast only while the benchmark's text is below
 part one pass over the documents, and the parts' spans are merged per row.
 
 Defined results: a null or wordless document has no words, no hits and
-``items`` empty; a null or wordless item matches nothing; a null ``item_id``
-is ignored; repeated items count once; every input row gives one output row,
-repeated rows included; other columns of the inputs are ignored.
+``items`` empty; a null or wordless item matches nothing; an item without an id
+hits words and is not listed; an id is listed once, whether its item is repeated
+or has several texts; every input row gives one output row, repeated rows
+included; texts of any length are read whole; empty documents give no rows, an
+empty benchmark hits nothing; other columns of the inputs are ignored.
 """
 
 from __future__ import annotations
@@ -112,7 +114,7 @@ def _scan(batches: Iterator[pa.RecordBatch], index) -> Iterator[pa.RecordBatch]:
             spans = [_spans(hit, w.first[d], w.first[d + 1]) if n_hit[d] else [] for d in range(s.n_docs)]
             yield pa.RecordBatch.from_arrays(
                 [ids.slice(s.lo, s.n_docs), pa.array(w.counts(), pa.int64()), pa.array(n_hit, pa.int64()),
-                 pa.array(spans, _SPANS), pa.array([sorted(idx.items[i] for i in x) for x in items], pa.list_(pa.string()))],
+                 pa.array(spans, _SPANS), pa.array([sorted({idx.items[i] for i in x} - {None}) for x in items], pa.list_(pa.string()))],
                 names=["doc_id", "n_words", "n_hit", "spans", "items"])
 
 
@@ -121,7 +123,7 @@ def _item_parts(items: DataFrame, limit: int) -> list[DataFrame]:
     parts = -(-text_bytes(items, "text") // limit)
     if parts <= 1:
         return [items]
-    return [items.filter(F.pmod(F.xxhash64("item_id"), F.lit(parts)) == p) for p in range(parts)]
+    return [items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)) == p) for p in range(parts)]
 
 
 def scan_documents(docs: DataFrame, benchmark: DataFrame, n: int = NGRAM, id_col: str = "doc_id", text_col: str = "text",
@@ -130,18 +132,26 @@ def scan_documents(docs: DataFrame, benchmark: DataFrame, n: int = NGRAM, id_col
     ranges) and ``items`` (ids of the items with windows in it, sorted)."""
     spark = docs.sparkSession
     d = pick(docs, doc_id=(id_col, "long"), text=(text_col, "string"))
-    b = pick(benchmark, item_id=(item_col, "string"), text=(item_text, "string")).dropna().distinct()
+    b = _items(benchmark, item_col, item_text)
     parts = _item_parts(b, broadcast_bytes)
-    scans = []
+    if len(parts) == 1:
+        index = spark.sparkContext.broadcast(_index(parts[0], n))
+        return d.mapInArrow(lean(lambda it: _scan(it, index)), SCAN_SCHEMA)
+    return _marked_by_parts(d, parts, n).drop("_k")
+
+
+def _items(benchmark: DataFrame, item_col: str, item_text: str) -> DataFrame:
+    return pick(benchmark, item_id=(item_col, "string"), text=(item_text, "string")).dropna(subset=["text"]).distinct()
+
+
+def _marked_by_parts(d: DataFrame, parts: list[DataFrame], n: int) -> DataFrame:
+    """``scan_documents`` over the parts of a large benchmark: one pass each,
+    spans and items merged per text (``_k``)."""
+    u = None
     for part in parts:
-        index = spark.sparkContext.broadcast(_index(part, n))
-        scans.append(d.mapInArrow(lean(lambda it, index=index: _scan(it, index)), SCAN_SCHEMA) if len(parts) == 1 else
-                     _keyed(d).mapInArrow(lambda it, index=index: _keyed_scan(it, index), "_k string, " + SCAN_SCHEMA))
-    if len(scans) == 1:
-        return scans[0]
-    u = scans[0]
-    for x in scans[1:]:
-        u = u.unionAll(x)
+        index = d.sparkSession.sparkContext.broadcast(_index(part, n))
+        x = _keyed(d).mapInArrow(lean(lambda it, index=index: _keyed_scan(it, index)), "_k string, " + SCAN_SCHEMA)
+        u = x if u is None else u.unionAll(x)
     span = "array<struct<start:int,stop:int>>"
 
     def join(a, x):  # a: merged runs so far, x: the next one by start
@@ -156,7 +166,7 @@ def scan_documents(docs: DataFrame, benchmark: DataFrame, n: int = NGRAM, id_col
     g = g.withColumn("spans", F.aggregate("_s", F.array().cast(span), join))
     n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda a, x: a + x["stop"] - x["start"])
     copies = F.explode(F.sequence(F.lit(1), (F.col("_n") / F.lit(len(parts))).cast("int")))
-    return g.select("doc_id", "n_words", n_hit.alias("n_hit"), "spans", "items", copies.alias("_c")).drop("_c")
+    return g.select("_k", "doc_id", "n_words", n_hit.alias("n_hit"), "spans", "items", copies.alias("_c")).drop("_c")
 
 
 def _keyed(d: DataFrame) -> DataFrame:
@@ -176,7 +186,7 @@ def clean_documents(docs: DataFrame, benchmark: DataFrame, n: int = NGRAM, text_
     """The documents without any benchmark window, all their columns kept; one
     pass per part of the benchmark."""
     sc = docs.sparkSession.sparkContext
-    b = pick(benchmark, item_id=(item_col, "string"), text=(item_text, "string")).dropna().distinct()
+    b = _items(benchmark, item_col, item_text)
     for part in _item_parts(b, broadcast_bytes):
         index = sc.broadcast(_index(part, n))
         docs = filter_docs(docs, text_col, lambda s, index=index: _clean(s, index.value))
@@ -193,34 +203,58 @@ def _index(items: DataFrame, n: int) -> NgramIndex:
     return NgramIndex([(r.item_id, r.text) for r in items.orderBy("item_id", "text").toLocalIterator()], n)
 
 
-def remove_spans(docs: DataFrame, benchmark: DataFrame, n: int = NGRAM, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def remove_spans(docs: DataFrame, benchmark: DataFrame, n: int = NGRAM, id_col: str = "doc_id", text_col: str = "text",
+                 broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """``doc_id, text, n_removed``: texts with the hit spans cut out (from the
     first byte of a span's first word to the last byte of its last word)."""
     spark: SparkSession = docs.sparkSession
     d = pick(docs, doc_id=(id_col, "long"), text=(text_col, "string"))
-    b = pick(benchmark, item_id=("item_id", "string"), text=("text", "string")).dropna().distinct()
-    if text_bytes(b, "text") > BROADCAST_BYTES:
-        raise ValueError("benchmark too large to cut spans in one pass; drop documents instead")
+    b = _items(benchmark, "item_id", "text")
+    parts = _item_parts(b, broadcast_bytes)
+    if len(parts) > 1:
+        return _cut_marked(d, _marked_by_parts(d, parts, n))
     index = spark.sparkContext.broadcast(_index(b, n))
 
     def cut(batches):
         for batch in batches:
             for s in slices(batch.column(1)):
                 w, hit, _ = _scan_slice(s, index.value)
-                out, n_hit = [], doc_sums(hit, w.first)
-                for i in range(s.n_docs):
-                    lo, hi = int(s.offsets[i]), int(s.offsets[i + 1])
-                    keep, at = [], lo
-                    for x in _spans(hit, w.first[i], w.first[i + 1]):
-                        keep.append(s.data[at:w.start[w.first[i] + x["start"]]].tobytes())
-                        at = int(w.end[w.first[i] + x["stop"] - 1])
-                    out.append(b"".join([*keep, s.data[at:hi].tobytes()]).decode())
+                n_hit = doc_sums(hit, w.first)
+                out = [_without(s, w, i, _spans(hit, w.first[i], w.first[i + 1])) for i in range(s.n_docs)]
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(s.lo, s.n_docs), pa.array(out, pa.string()), pa.array(n_hit, pa.int64())],
                                                  names=["doc_id", "text", "n_removed"])
 
     return d.mapInArrow(cut, "doc_id long, text string, n_removed long")
 
 
+def _without(s, w: Words, i: int, spans: list[dict]) -> str:
+    """Document ``i`` of a slice without some of its words."""
+    lo, hi = int(s.offsets[i]), int(s.offsets[i + 1])
+    keep, at = [], lo
+    for x in spans:
+        keep.append(s.data[at:w.start[w.first[i] + x["start"]]].tobytes())
+        at = int(w.end[w.first[i] + x["stop"] - 1])
+    return b"".join([*keep, s.data[at:hi].tobytes()]).decode()
+
+
+def _cut_marked(d: DataFrame, marked: DataFrame) -> DataFrame:
+    """Cut the merged spans of a benchmark in parts: texts meet their spans by
+    fingerprint, only those that have any."""
+    spans = marked.filter("n_hit > 0").groupBy("_k").agg(F.first("spans").alias("spans"), F.first("n_hit").alias("n_removed"))
+    x = _keyed(d).join(spans, "_k", "left").select("doc_id", "text", "spans", F.coalesce("n_removed", F.lit(0)).cast("long").alias("n_removed"))
+
+    def cut(batches):
+        for batch in batches:
+            marks = batch.column(2).to_pylist()
+            for s in slices(batch.column(1)):
+                w = Words(s, ALNUM, lower=True)
+                out = [_without(s, w, i, marks[s.lo + i] or []) for i in range(s.n_docs)]
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(s.lo, s.n_docs), pa.array(out, pa.string()), batch.column(3).slice(s.lo, s.n_docs)],
+                                                 names=["doc_id", "text", "n_removed"])
+
+    return x.mapInArrow(lean(cut), "doc_id long, text string, n_removed long")
+
+
 def digest(scan: DataFrame) -> DataFrame:
     """The contract's columns of ``scan_documents``."""
     return scan.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),

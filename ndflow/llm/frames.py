@@ -89,6 +89,18 @@ def bounded_sample(df: DataFrame, key: Column, bound: int) -> DataFrame:
     return df.filter(F.pmod(F.xxhash64(key, F.lit("sample")), F.lit(1 << 30)) < F.lit(int((1 << 30) * (bound / n))))
 
 
+def per_value_sample(df: DataFrame, value: Column, key: Column, counts: dict, bound: int) -> DataFrame:
+    """About ``bound`` rows of every value that has more (all of one that has
+    not), chosen by a hash of ``key``: the same rows on every run."""
+    many = {v: n for v, n in counts.items() if n > bound}
+    if not many:
+        return df
+    share = F.lit(1 << 30)
+    for v, n in many.items():
+        share = F.when(value == v, F.lit(int((1 << 30) * (bound / n)))).otherwise(share)
+    return df.filter(F.pmod(F.xxhash64(key, F.lit("sample")), F.lit(1 << 30)) < share)
+
+
 def text_bytes(df: DataFrame, col: str) -> int:
     """Total UTF-8 bytes of a text column."""
     return df.agg(F.coalesce(F.sum(F.octet_length(col).cast("long")), F.lit(0))).first()[0]

@@ -6,14 +6,17 @@ characters, lower-cased).  The model is one matrix of log-probabilities
 all its documents are the non-zeros of a sparse matrix, the rows of the log
 matrix at their buckets are summed per document.
 
-Training counts come from labelled rows, at most about ``TRAIN_DOCS`` of them
-(a hash sample when there are more), counted per (language, bucket) by Spark.
+Training counts come from labelled rows, at most about ``TRAIN_DOCS`` of each
+language (a hash sample of a language with more), counted per (language, bucket)
+by Spark; priors come from all labelled rows.
 The matrix has at most ``MATRIX_CELLS`` cells: many languages get fewer
 buckets.
 
 Defined results: a null text or one without a letter is ``und`` with score 0;
 without any training row every text is ``und``; ties go to the language first
-in code point order; one output row per input row.
+in code point order; repeated rows give a row each; texts of any length are read
+whole, in pieces; every language with a usable row is learnt; an empty table gives
+no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -25,15 +28,18 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ndflow.llm.frames import bounded_sample, pick
+from ndflow.llm.frames import per_value_sample, pick
 from ndflow.llm.textcore import Slice, slices
 
-TRAIN_DOCS = 20_000
+TRAIN_DOCS = 8_000
 ORDERS = (2, 3)
 BUCKETS = 1 << 16
 MATRIX_CELLS = 1 << 24
 SMOOTHING = 0.5
 UNDETERMINED = "und"
+#: A longer document is scored in pieces; numbers summed at a time.
+PIECE_BYTES = 1 << 20
+CELLS = 1 << 20
 #: Odd multipliers of the n-gram hash (fixed values).
 _MULT = (0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D)
 
@@ -45,6 +51,22 @@ def code_points(s: Slice) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer("".join(texts).encode("utf-32-le"), dtype="<u4"), off
 
 
+def point_pieces(s: Slice) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
+    """``(points, offsets, carried)``: a slice's code points; a very long
+    document comes in pieces, each after the last points of the one before."""
+    if s.n_docs > 1 or len(s.data) <= PIECE_BYTES:
+        yield *code_points(s), 0
+        return
+    tail, a, keep = np.zeros(0, "<u4"), 0, max(ORDERS) - 1
+    while a < len(s.data):
+        b = min(len(s.data), a + PIECE_BYTES)
+        while b < len(s.data) and s.data[b] & 0xC0 == 0x80:  # not inside a character
+            b += 1
+        cp = np.concatenate([tail, np.frombuffer(s.data[a:b].tobytes().decode().lower().encode("utf-32-le"), "<u4")])
+        yield cp, np.array([0, len(cp)]), len(tail)
+        tail, a = cp[-keep:], b
+
+
 def gram_buckets(cp: np.ndarray, k: int, bits: int) -> np.ndarray:
     """Bucket of every run of ``k`` characters."""
     m = len(cp) - k + 1
@@ -86,27 +108,37 @@ class Model:
 
     def scores(self, s: Slice) -> np.ndarray:
         """Log joint of every document of a slice with every language."""
-        cp, off = code_points(s)
         out = np.tile(self.prior, (s.n_docs, 1))
-        for k in ORDERS:
-            g = gram_buckets(cp, k, self.bits)
-            if not len(g):
-                continue
-            c = np.zeros((len(g) + 1, len(self.langs)))
-            np.cumsum(self.logp[g], axis=0, dtype=np.float64, out=c[1:])
-            lo = np.minimum(off[:-1], len(g))
-            hi = np.minimum(np.maximum(off[1:] - k + 1, lo), len(g))
-            out += c[hi] - c[lo]
+        for cp, off, behind in point_pieces(s):
+            for k in ORDERS:
+                # a run that ends among the points carried over was counted with them
+                self._add(out, gram_buckets(cp, k, self.bits), np.maximum(off, behind - k + 1 if behind else 0), off[1:] - k + 1)
         return out
 
+    def _add(self, out: np.ndarray, g: np.ndarray, start: np.ndarray, end: np.ndarray) -> None:
+        """Sums of the log rows of each document's n-grams, ``CELLS`` numbers at
+        a time whatever the number of languages."""
+        lo = np.minimum(np.maximum(start[:-1], 0), len(g))
+        hi = np.minimum(np.maximum(end, lo), len(g))
+        step = max(1, CELLS // len(self.langs))
+        for a in range(0, len(g), step):
+            b = min(len(g), a + step)
+            d0, d1 = np.searchsorted(hi, a, side="right"), np.searchsorted(lo, b, side="left")
+            if d0 >= d1:
+                continue
+            c = np.zeros((b - a + 1, len(self.langs)))
+            np.cumsum(self.logp[g[a:b]], axis=0, dtype=np.float64, out=c[1:])
+            out[d0:d1] += c[np.clip(hi[d0:d1], a, b) - a] - c[np.clip(lo[d0:d1], a, b) - a]
+
 
 def train(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", key: Column | None = None,
           bound: int = TRAIN_DOCS) -> Model:
     """Fit on rows with a text and a language; ``key`` decides the sample."""
     key = F.col(text_col) if key is None else key
-    rows = bounded_sample(labelled.filter(F.col(text_col).isNotNull() & F.col(lang_col).isNotNull()), key, bound)
-    per_lang = {r[0]: r[1] for r in rows.groupBy(lang_col).count().toLocalIterator()}
+    rows = labelled.filter(F.col(text_col).isNotNull() & F.col(lang_col).isNotNull())
+    per_lang = {r[0]: r[1] for r in rows.groupBy(lang_col).count().toLocalIterator()}  # one row per language
     langs = sorted(per_lang)
+    rows = per_value_sample(rows, F.col(lang_col), key, per_lang, bound)
     bits = BUCKETS.bit_length() - 1
     while len(langs) << bits > MATRIX_CELLS:
         bits -= 1

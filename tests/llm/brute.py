@@ -23,7 +23,7 @@ def decontam(docs, items, n=10):
         w = ALNUM.findall((t or "").translate(UPPER))
         k = min(n, len(w))
         for p in range(len(w) - k + 1 if k else 0):
-            windows[tuple(w[p:p + k])].add(str(i))
+            windows[tuple(w[p:p + k])].add(i if i is None else str(i))
     lengths = {len(k) for k in windows}
     out = []
     for d, t in docs:
@@ -34,7 +34,7 @@ def decontam(docs, items, n=10):
                 own = windows.get(tuple(w[p:p + k]))
                 if own:
                     hit.update(range(p, p + k))
-                    found |= own
+                    found |= own - {None}  # an item without an id is not listed
         sha = hashlib.sha256(",".join(sorted(found)).encode()).hexdigest()
         out.append((d, len(w), len(hit), len(found), sha, bool(hit)))
     return out

@@ -1,13 +1,15 @@
 """Language, toxicity and token counts: held-out accuracy and exact counts."""
 
 import random
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from conftest import SF, rows
 from pyspark.sql import functions as F
 
-from ndflow.llm import langid, queries, tokencount, toxicity
+from ndflow.llm import langid, queries, textcore, tokencount, toxicity
 from ndflow.llm.frames import bounded_sample
 
 
@@ -18,6 +20,40 @@ def test_language_held_out_accuracy(spark):
     assert all(0 <= r.score <= 1 for r in x)
 
 
+def test_languages_of_few_rows_are_learnt(spark):
+    """One language in a thousand rows, with a bound far below the others."""
+    rows_ = [(i, f"the cat and the dog number {i} went home", "en") for i in range(3000)] + [(5000, "der hund und die katze gehen nach hause", "de")]
+    df = spark.createDataFrame(rows_, "doc_id long, text string, lang string")
+    model = langid.train(df, key=F.col("doc_id"), bound=50)
+    assert model.langs == ["de", "en"] and abs(np.exp(model.prior).sum() - 1) < 1e-9 and abs(np.exp(model.prior[0]) - 1 / 3001) < 1e-9
+    got = langid.predict(spark.createDataFrame([(1, "katze gehen nach hause"), (2, "the dog and the cat")], "doc_id long, text string"), model).orderBy("doc_id").collect()
+    assert [r.lang_pred for r in got] == ["de", "en"]
+
+
+def test_very_long_texts_are_scored_in_pieces(monkeypatch):
+    """Pieces of any length give the same sums, and 50 MB stay small."""
+    r = np.random.default_rng(1)
+    model = langid.Model(["a", "b", "c"], np.log(r.random((1 << 10, 3))).astype(np.float32), np.log(np.full(3, 1 / 3)), 10)
+    s = next(textcore.slices(pa.array(["Été 你好 \U0001f600 wörd " * 40])))
+    want = model.scores(s)
+    for piece, cells in ((7, 5), (64, 1 << 20), (1 << 20, 9)):
+        monkeypatch.setattr(langid, "PIECE_BYTES", piece)
+        monkeypatch.setattr(langid, "CELLS", cells)
+        assert np.allclose(model.scores(s), want)
+    many = next(textcore.slices(pa.array(["ab", "", "c", "déf ghi" * 9, "x" * 50])))
+    assert np.allclose(model.scores(many), np.concatenate([model.scores(next(textcore.slices(pa.array([many.doc(i).decode()])))) if len(many.doc(i)) else model.prior[None]
+                                                           for i in range(5)]))
+    monkeypatch.undo()
+    big = langid.Model([str(i) for i in range(256)], np.zeros((1 << 10, 256), np.float32), np.zeros(256), 10)
+    s = next(textcore.slices(pa.array(["some words in a row " * (50 << 20 >> 4)]).slice(0, 1), 1 << 19))
+    s = textcore.Slice(0, 1, s.data[:50 << 20], np.array([0, 50 << 20]))
+    tracemalloc.start()
+    big.scores(textcore.Slice(0, 1, s.data[:6 << 20], np.array([0, 6 << 20])))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 100 << 20  # independent of the text: one piece at a time
+
+
 def test_language_matches_a_plain_classifier(spark):
     """Scores of the batch form against dictionary counts, document by document."""
     train = [("the cat sat", "en"), ("le chat est", "fr"), ("the dog", "en"), ("un chien été", "fr")]

@@ -48,7 +48,7 @@ def test_cover():
 def test_decontamination(spark, odd_docs, odd_frame):
     items = some_items(odd_docs)
     cols = ("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
-    want = sorted(brute.decontam(odd_docs, [x for x in items if x[0] is not None]), key=str)
+    want = sorted(brute.decontam(odd_docs, items), key=str)
     b = bench(spark, items)
     assert rows(decontam.digest(decontam.scan_documents(odd_frame, b)), *cols) == want
     assert any(x[2] for x in want)
@@ -65,6 +65,22 @@ def test_decontamination(spark, odd_docs, odd_frame):
         1 for x in want if x[0] is None and not x[5])
 
 
+def test_decontamination_lists_ids_once(spark, odd_docs, odd_frame):
+    """Two texts under one id, a repeated item and an item without an id, in one
+    part and in several; spans are cut alike."""
+    w = max((t for _, t in odd_docs if t), key=len).split()
+    items = [(7, " ".join(w[20:40])), (7, " ".join(w[60:75])), (7, " ".join(w[20:40])), (None, " ".join(w[100:115])), (None, "two words"), (8, "one")]
+    cols = ("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+    want = sorted(brute.decontam(odd_docs, items), key=str)
+    b = bench(spark, items)
+    for size in (1 << 20, 60):
+        assert rows(decontam.digest(decontam.scan_documents(odd_frame, b, broadcast_bytes=size)), *cols) == want
+    assert any(x[0] == 1004 and x[2] == 2 and x[3] == 0 for x in want)
+    whole = rows(decontam.remove_spans(odd_frame, b), "doc_id", "text", "n_removed")
+    assert rows(decontam.remove_spans(odd_frame, b, broadcast_bytes=60), "doc_id", "text", "n_removed") == whole
+    assert sum(r[2] for r in whole) == sum(x[2] for x in want)
+
+
 def test_decontamination_cuts_spans(spark):
     d = spark.createDataFrame([(1, "Keep this. One two three, four! And that."), (2, "clean")], "doc_id long, text string")
     b = spark.createDataFrame([(1, "one TWO three four")], "item_id long, text string")
