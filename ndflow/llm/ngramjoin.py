@@ -26,7 +26,9 @@ Shingles are compared by 64-bit hashes.  Defined results: a null or empty text
 has an empty set and is its own component; fewer words than the shingle length
 make one shingle of the whole; documents with a null ``doc_id`` stand for
 nobody and take the component of an equal set, else null; repeated rows each
-give a row; other columns are ignored.
+give a row; several texts under one id are documents of their own, with the
+components of their sets; texts of any length are read whole, in slices; an empty
+table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -152,12 +154,14 @@ _CAND = "rep long, n long, shared binary, prefix array<long>"
 
 def _candidates(docs: pa.Table, lists: pa.Table, bits: int, k: int, pct: int) -> pa.Table:
     """Class representatives of a chunk with a shared shingle in their prefix.
-    ``lists`` holds the chunk's shared keys and, as bucket -1, the ids of its
-    representatives."""
+    ``lists`` holds the chunk's shared keys and, as bucket -1, its classes: the
+    representative's id, the set's fingerprints, the class's node."""
     out: dict[str, list] = {"rep": [], "n": [], "shared": [], "prefix": []}
     if docs.num_rows and lists.num_rows:
         bucket = lists.column("bucket").to_numpy()
-        reps = np.sort(unpack(lists.filter(pa.array(bucket < 0)).column("keys"), np.dtype(">i8"))[0].astype(np.int64))
+        own_classes = unpack(lists.filter(pa.array(bucket < 0)).column("keys"), np.dtype(">i8"))[0].astype(np.int64).reshape(-1, 4)
+        node_of = {(a, b, c): node for a, b, c, node in own_classes.tolist()}
+        reps = np.unique(own_classes[:, 0])
         freq = lists.filter(pa.array(bucket >= 0))
         key, row = unpack(freq.column("keys"), np.uint32)
         df, _ = unpack(freq.column("counts"), np.uint16)
@@ -171,13 +175,15 @@ def _candidates(docs: pa.Table, lists: pa.Table, bits: int, k: int, pct: int) ->
             if not wanted.any():
                 continue
             h, first = shingle_sets(s, k)
+            f1, f2 = fingerprints(h, first)
             found, at = member(key, short_keys(h, bits))
             own = np.concatenate([[0], np.cumsum(~found)])
             for i in np.flatnonzero(wanted).tolist():
                 lo, hi = int(first[i]), int(first[i + 1])
-                n, rep = hi - lo, int(ids[s.lo + i])
+                n = hi - lo
+                rep = node_of.get((int(ids[s.lo + i]), int(f1[i]), int(f2[i])))  # None: the class has another representative
                 room = n - (pct * n + 99) // 100 + 1 - int(own[hi] - own[lo])
-                if n == 0 or room <= 0 or rep in done:
+                if rep is None or n == 0 or room <= 0 or rep in done:
                     continue
                 done.add(rep)  # a repeated row stands once
                 sh = h[lo:hi][found[lo:hi]]
@@ -290,26 +296,40 @@ def _verified_links(cand: DataFrame, spark: SparkSession, pct: int, tile: int) -
 def jaccard_components(docs: DataFrame, spark: SparkSession, id_col: str = "doc_id", text_col: str = "text", k: int = SHINGLE,
                        pct: int = PERCENT, tile: int = TILE) -> DataFrame:
     """``doc_id, n_shingles, component_id`` of every document row."""
+    return class_components(docs, spark, id_col, text_col, k, pct, tile).select("doc_id", "n_shingles", "component_id")
+
+
+def class_components(docs: DataFrame, spark: SparkSession, id_col: str = "doc_id", text_col: str = "text", k: int = SHINGLE, pct: int = PERCENT,
+                     tile: int = TILE) -> DataFrame:
+    """``jaccard_components`` with the fingerprints ``f1, f2`` of each row's set."""
     d = pick(docs, doc_id=(id_col, "long"), text=(text_col, "string"))
     slim = stored(d.mapInArrow(lean(lambda it: _sets(it, k)), _SETS), spark, "sets")
     plan = Plan(d, "doc_id", "text")
     bits = plan.bits
     classes = slim.filter("n_shingles > 0 and doc_id is not null").groupBy("n_shingles", "f1", "f2").agg(F.min("doc_id").alias("rep"))
+    # a class is a node; its name is the representative's id, and where several
+    # texts under one id stand for classes, a hash of the set
+    shared = classes.groupBy("rep").agg(F.count(F.lit(1)).alias("_m")).filter("_m > 1").select(F.col("rep").alias("_rep"), F.lit(True).alias("_shared"))
+    classes = classes.join(shared, classes["rep"] == shared["_rep"], "left").drop("_rep")
+    classes = classes.withColumn("node_id", F.when(F.col("_shared"), F.xxhash64("n_shingles", "f1", "f2", "rep")).otherwise(F.col("rep"))).drop("_shared")
     classes = stored(classes, spark, "classes")
     texts = d.filter(F.col("doc_id").isNotNull()).select("doc_id", "text", plan.chunk_of(F.col("doc_id"), spark).alias("chunk"))
     by_chunk = texts.groupBy("chunk")
     freq = by_chunk.applyInArrow(lean(lambda t: _announce(t, bits, k)), _FREQ).groupBy("bucket").applyInArrow(lean(_frequencies), _SHARED)
-    reps = classes.select(plan.chunk_of(F.col("rep"), spark).alias("chunk"), F.lit(-1).alias("bucket"), _packed(F.col("rep")).alias("keys"),
+    reps = classes.select(plan.chunk_of(F.col("rep"), spark).alias("chunk"), F.lit(-1).alias("bucket"),
+                          F.concat(*[_packed(F.col(c)) for c in ("rep", "f1", "f2", "node_id")]).alias("keys"),
                           F.lit(b"").alias("counts"))
     cand = by_chunk.cogroup(freq.unionAll(reps).groupBy("chunk")).applyInArrow(lean(lambda a, b: _candidates(a, b, bits, k, pct)), _CAND)
     cand = stored(cand, spark, "candidates")
     links = _verified_links(cand, spark, pct, tile)
     comp = stored(components(links, spark), spark, "components")
-    c = classes.join(comp, classes["rep"] == comp["node"], "left").select("n_shingles", "f1", "f2", F.coalesce("component", "rep").alias("component_id"))
+    c = classes.join(comp, classes["node_id"] == comp["node"], "left").select("n_shingles", "f1", "f2", "rep", F.coalesce("component", "node_id").alias("_c"))
+    smallest = c.groupBy("_c").agg(F.min("rep").alias("component_id"))  # node names are not all ids
+    c = c.join(smallest, "_c").select("n_shingles", "f1", "f2", "component_id")
     c = c.withColumnsRenamed({"n_shingles": "_n", "f1": "_f1", "f2": "_f2"})
     out = slim.join(c, (slim["n_shingles"] == c["_n"]) & (slim["f1"] == c["_f1"]) & (slim["f2"] == c["_f2"]), "left")
     own = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
-    return out.select("doc_id", "n_shingles", own.alias("component_id"))
+    return out.select("doc_id", "n_shingles", "f1", "f2", own.alias("component_id"))
 
 
 def _packed(col):
@@ -320,7 +340,32 @@ def _packed(col):
 def one_per_component(docs: DataFrame, spark: SparkSession, id_col: str = "doc_id", text_col: str = "text", **kw) -> DataFrame:
     """One document of each component (the smallest id), all columns kept.
     Documents without words or without an id stay; rows that repeat the staying
-    document's id stay with it."""
-    c = jaccard_components(docs, spark, id_col, text_col, **kw)
-    lose = c.filter("component_id <> doc_id").select(F.col("doc_id").alias("_lose")).distinct()
-    return docs.join(lose, docs[f"`{id_col}`"].cast("long") == lose["_lose"], "left_anti")
+    document's id and set stay with it.  Of several texts under one id each is
+    judged by itself."""
+    c = stored(class_components(docs, spark, id_col, text_col, **kw), spark, "verdicts")
+    gone = F.coalesce(F.col("component_id") != F.col("doc_id"), F.lit(False))
+    by_id = c.filter("doc_id is not null").groupBy(F.col("doc_id").alias("_lose")).agg(F.min(gone).alias("all"), F.max(gone).alias("any")).filter("any")
+    own = docs[f"`{id_col}`"].cast("long")
+    out = docs.join(by_id.filter("all").select("_lose"), own == F.col("_lose"), "left_anti")
+    mixed = by_id.filter("not all").select("_lose")
+    if mixed.isEmpty():
+        return out
+    # ids of which one text goes and another stays: their rows by set
+    some = out.join(mixed, own == F.col("_lose"), "left_semi")
+    k = kw.get("k", SHINGLE)
+    lost = c.filter(gone).join(mixed, F.col("doc_id") == F.col("_lose"), "left_semi").select(F.col("doc_id").alias("_lose"), "f1", "f2").distinct()
+    names = [f"_c{i}" for i in range(len(docs.columns))]
+    x = some.toDF(*names)
+    at_id, at_text = docs.columns.index(id_col), docs.columns.index(text_col)
+
+    def fingerprint(batches):
+        for b in batches:
+            for s in slices(b.column(at_text)):
+                f1, f2 = fingerprints(*shingle_sets(s, k))
+                yield pa.RecordBatch.from_arrays([*[v.slice(s.lo, s.n_docs) for v in b.columns], pa.array(f1), pa.array(f2)], names=[*names, "f1", "f2"])
+
+    types = ", ".join(f"{n} {f.dataType.simpleString()}" for n, f in zip(names, docs.schema.fields, strict=True))
+    x = x.withColumn(names[at_text], F.col(names[at_text]).cast("string")).mapInArrow(lean(fingerprint), f"{types}, f1 long, f2 long")
+    kept = x.join(lost.withColumnsRenamed({"f1": "_f1", "f2": "_f2"}), (F.col(names[at_id]).cast("long") == F.col("_lose")) & (F.col("f1") == F.col("_f1")) & (
+        F.col("f2") == F.col("_f2")), "left_anti").select(*names).toDF(*docs.columns)
+    return out.join(mixed, own == F.col("_lose"), "left_anti").unionAll(kept)

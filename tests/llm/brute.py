@@ -125,7 +125,7 @@ def jaccard_components(docs, k=4, pct=85):
         if s and d is not None:
             by_set[s].append(d)
     reps = [(min(v), s) for s, v in by_set.items()]
-    parent = {r: r for r, _ in reps}
+    parent = list(range(len(reps)))  # a class is a node: two texts under one id are two
 
     def find(x):
         while parent[x] != x:
@@ -138,11 +138,14 @@ def jaccard_components(docs, k=4, pct=85):
         shared = Counter(j for g in s for j in index[g])
         for j, n in shared.items():
             if 100 * n >= pct * (len(s) + len(reps[j][1]) - n):
-                a, b = find(reps[i][0]), find(reps[j][0])
+                a, b = find(i), find(j)
                 parent[max(a, b)] = min(a, b)
         for g in s:
             index[g].append(i)
-    comp = {s: find(r) for r, s in reps}
+    low = {}
+    for i, (r, _) in enumerate(reps):
+        low[find(i)] = min(low.get(find(i), r), r)
+    comp = {s: low[find(i)] for i, (_, s) in enumerate(reps)}
     return [(d, len(s), comp.get(s) if s else d) for d, s in sets]
 
 

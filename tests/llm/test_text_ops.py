@@ -176,3 +176,16 @@ def test_substring_dedup_without_repeats(spark, monkeypatch):
         f = spark.createDataFrame(docs, "doc_id long, text string")
         got = rows(substrings.dedup_digest(f), "doc_id", "n_words", "n_removed", "kept_sha256")
         assert got == sorted(brute.substring_dedup(docs), key=str)
+
+
+def test_several_texts_under_one_id(spark, small_docs):
+    """Each text keeps its links and is judged by itself."""
+    w = [t.split() for _, t in sorted(small_docs, key=lambda x: -len(x[1]))[:6]]
+    a, b, c = (" ".join(x[:150]) for x in w[:3])
+    near = lambda t, i: " ".join(x if j != 75 else f"z{i}" for j, x in enumerate(t.split()))
+    docs = [(5, a), (5, b), (5, c), (3, near(a, 1)), (7, near(b, 2)), (9, near(b, 3)), (5, a), (11, "one two three four five"), (12, c), (None, near(c, 4)), (5, None)]
+    f = spark.createDataFrame([(d, t, i) for i, (d, t) in enumerate(docs)], "doc_id long, text string, f1 int")
+    assert rows(ngramjoin.jaccard_components(f, spark), "doc_id", "n_shingles", "component_id") == sorted(brute.jaccard_components(docs), key=str)
+    kept = ngramjoin.one_per_component(f, spark)
+    # a under 5 goes with 3; b and c under 5 stay, and so do rows without id or text
+    assert kept.columns == f.columns and sorted(r.f1 for r in kept.collect()) == [1, 2, 3, 7, 9, 10]
