@@ -55,14 +55,15 @@ def input_kind(source: Column, is_dir: Column, is_query_doc: Column) -> Column:
 
 # Host names that are rewritten to the configured base URL.
 INTERNAL_HOSTS = ("torch", "torch-proxy", "localhost", "127.0.0.1")
-URL_HOST_RE = r"^[a-zA-Z][a-zA-Z0-9+.\-]*://([^/?#:]*)"
+URL_HOST_RE = r"^[a-zA-Z][a-zA-Z0-9+.\-]*://(?:[^/?#@]*@)?([^/?#:]*)"
 URL_PATH_RE = r"^[a-zA-Z][a-zA-Z0-9+.\-]*://[^/?#]*([^?#]*)"
 URL_QUERY_RE = r"^[^?#]*\?([^#]*)"
 
 
 def absolute_url(raw: Column, base_url: str) -> Column:
     """Relative URL -> base + URL; absolute URL on an internal host ->
-    base scheme and host with the URL's path and query; others unchanged."""
+    base scheme and host with the URL's path and query; others unchanged.  The
+    host is compared as written, without user and port."""
     is_abs = raw.startswith("http://") | raw.startswith("https://")
     host = F.regexp_extract(raw, URL_HOST_RE, 1)
     path = F.regexp_extract(raw, URL_PATH_RE, 1)
@@ -70,7 +71,7 @@ def absolute_url(raw: Column, base_url: str) -> Column:
     base_origin = F.regexp_extract(F.lit(base_url), r"^([a-zA-Z][a-zA-Z0-9+.\-]*://[^/?#]*)", 1)
     rewritten = F.concat(base_origin, path, F.when(query != "", F.concat(F.lit("?"), query)).otherwise(F.lit("")))
     return (F.when(~is_abs, F.concat(F.lit(base_url), raw))
-            .when(F.lower(host).isin(*INTERNAL_HOSTS), rewritten)
+            .when(host.isin(*INTERNAL_HOSTS), rewritten)
             .otherwise(raw))
 
 

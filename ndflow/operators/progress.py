@@ -48,20 +48,36 @@ def lookback(samples: DataFrame, k: int, cols: list[str], bucket: int = LOOKBACK
     return x.filter(F.col("_bk") == F.col("_own")).select("run_id", "n", "prev")
 
 
+def lags(samples: DataFrame, k: int, cols: list[str], bucket: int = LOOKBACK_BUCKET) -> DataFrame:
+    """For every sample its columns and those of the ``k`` samples before it,
+    ``<col>_1`` (the one just before) to ``<col>_k``; NULL where the run has none.
+    Ranges of sample numbers as in ``lookback``, plain columns instead of arrays."""
+    own = F.floor((F.col("n") - 1) / F.lit(bucket))
+    tail = (F.col("n") - 1) % bucket >= bucket - k
+    x = samples.select("run_id", "n", *cols, own.alias("_own"), F.explode(F.when(tail, F.array(own, own + 1)).otherwise(F.array(own))).alias("_bk"))
+    w = Window.partitionBy("run_id", "_bk").orderBy("n")
+    x = x.select("*", *[F.lag(c, i).over(w).alias(f"{c}_{i}") for c in cols for i in range(1, k + 1)])
+    return x.filter(F.col("_bk") == F.col("_own")).drop("_bk", "_own")
+
+
 def eta_window(samples: DataFrame, window_samples: int = WINDOW_SAMPLES,
                window_seconds: int = WINDOW_SECONDS) -> DataFrame:
     """W1-W3 per sample: samples in the window (last ``window_samples``, newer
     than ``window_seconds`` strictly), average seconds per item, throughput,
     and ETA to the run's final item count (W2; 0 when done)."""
-    lb = lookback(samples, window_samples, ["ts", "items"])
-    now = F.element_at("prev", -1)
-    now_us = F.unix_micros(now["ts"].cast("timestamp"))
-    win = F.filter("prev", lambda s: F.unix_micros(s["ts"].cast("timestamp")) > now_us - window_seconds * 1_000_000)
-    x = lb.select("run_id", "n", now["ts"].alias("ts"), now["items"].alias("items"), win.alias("_w"))
-    first = F.element_at("_w", 1)
-    dt = (now_us_of(F.col("ts")) - now_us_of(first["ts"])) / 1e6
-    di = F.col("items") - first["items"]
-    cnt = F.size("_w")
+    k = window_samples - 1
+    s = samples.select("run_id", "n", now_us_of(F.col("ts")).alias("us"), "items")
+    x = lags(s, k, ["us", "items"])
+    # samples are in time order, so those inside the window are the last ones
+    inside = [F.coalesce(F.col(f"us_{i}") > F.col("us") - window_seconds * 1_000_000, F.lit(False)) for i in range(1, k + 1)]
+    cnt = F.lit(1)
+    for c in inside:
+        cnt = cnt + c.cast("int")
+    first_us, first_items = F.col("us"), F.col("items")
+    for i, c in enumerate(inside, 1):  # the oldest one inside wins
+        first_us, first_items = F.when(c, F.col(f"us_{i}")).otherwise(first_us), F.when(c, F.col(f"items_{i}")).otherwise(first_items)
+    x = x.select("run_id", "n", "items", cnt.alias("_cnt"), ((F.col("us") - first_us) / 1e6).alias("_dt"), (F.col("items") - first_items).alias("_di"))
+    dt, di, cnt = F.col("_dt"), F.col("_di"), F.col("_cnt")
     valid = (cnt >= 2) & (di > 0) & (dt > 0)
     avg = F.when(valid, dt / di)
     total = samples.groupBy("run_id").agg(F.max("items").alias("total_items"))

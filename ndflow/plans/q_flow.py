@@ -330,3 +330,35 @@ def q_cohort_groups(spark, sf_dir):
     visits = g["visits"].select(F.lit("visits").alias("grp"), "id", "patient", F.col("status").alias("x"), F.col("period").alias("y"))
     findings = g["findings"].select(F.lit("findings").alias("grp"), "id", "patient", F.col("price").cast("string").alias("x"), none.alias("y"))
     return people.unionAll(visits).unionAll(findings)
+
+
+# ---- T2: the ETA window by event time
+
+@register("eta_events", sql=with_ctes(FX.SQL_PROGRESS, select=f"""
+SELECT run_id, items AS n, CAST(len(w) AS INTEGER) AS window_samples,
+       CASE WHEN len(w) >= 2 AND items - w[1].items > 0 AND (epoch_us(ts) - epoch_us(w[1].ts)) / 1e6 > 0
+            THEN ((epoch_us(ts) - epoch_us(w[1].ts)) / 1e6) / (items - w[1].items) END AS avg_sec_per_item
+FROM (
+  SELECT run_id, ts, items,
+         list_filter(list(struct_pack(ts := ts, items := items)) OVER (PARTITION BY run_id ORDER BY ts, seq
+                     ROWS BETWEEN 9 PRECEDING AND CURRENT ROW),
+                     lambda s: epoch_us(s.ts) > epoch_us(ts) - {12 * 3600 * 1_000_000}) AS w
+  FROM progress)"""))
+def q_eta_events(spark, sf_dir):
+    """Samples arrive in files of random rows, a few files at a time, so
+    every run's samples come in any order; the state store holds them until the
+    watermark has passed.  A closing row ends the feed."""
+    from ndflow.streaming.event_time import closing_sample, eta_events, event_samples, use_rocksdb
+    from ndflow.streaming.progress import run_available
+    s = FX.progress_samples(spark, sf_dir).select("run_id", "ts", "seq", "items", "bytes")
+    src, sink, ckpt = _scratch(spark, "events-src"), _scratch(spark, "events-sink"), _scratch(spark, "events-ckpt")
+    s.repartition(12, F.xxhash64("run_id", "seq")).write.mode("append").parquet(src)
+    store = spark.conf.get("spark.sql.streaming.stateStore.providerClass")
+    use_rocksdb(spark)
+    try:
+        run_available(eta_events(event_samples(spark, src, 6), "400 days", window_seconds=12 * 3600), sink, ckpt)
+        closing_sample(spark, "2100-01-01 00:00:00").write.mode("append").parquet(src)
+        run_available(eta_events(event_samples(spark, src, 6), "400 days", window_seconds=12 * 3600), sink, ckpt)
+    finally:
+        spark.conf.set("spark.sql.streaming.stateStore.providerClass", store)
+    return spark.read.parquet(sink).select("run_id", F.col("items").alias("n"), "window_samples", "avg_sec_per_item")

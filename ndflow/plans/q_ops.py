@@ -153,7 +153,7 @@ def q_url_to_name(spark, sf_dir):
 @register("absolute_url", sql=with_ctes(_SQL_URLS, select=f"""
 SELECT page_id, raw_url,
   CASE WHEN NOT (starts_with(raw_url, 'http://') OR starts_with(raw_url, 'https://')) THEN '{BASE_URL}' || raw_url
-       WHEN lower(regexp_extract(raw_url, '{X.URL_HOST_RE}', 1)) IN ('torch', 'torch-proxy', 'localhost', '127.0.0.1')
+       WHEN regexp_extract(raw_url, '{X.URL_HOST_RE}', 1) IN ('torch', 'torch-proxy', 'localhost', '127.0.0.1')
        THEN 'https://fhir.example.org:8443' || regexp_extract(raw_url, '{X.URL_PATH_RE}', 1)
             || CASE WHEN regexp_extract(raw_url, '{X.URL_QUERY_RE}', 1) <> '' THEN '?' || regexp_extract(raw_url, '{X.URL_QUERY_RE}', 1) ELSE '' END
        ELSE raw_url END AS absolute_url

@@ -127,23 +127,27 @@ def fetch(urls: DataFrame, dest_dir: str, fetcher: Callable[[str], Iterable[byte
     URL leaves earlier files as they are.
 
     Returns ``(url, file_name, file_path, file_size, line_count, status,
-    attempts, http_status, error)``, one row per URL."""
+    attempts, http_status, error)``, one row per URL and name; a pair that is
+    listed again is downloaded once."""
     import uuid
 
+    from ndflow.plans.seq import join_null_safe
     from ndflow.session import scratch_path
     spark = urls.sparkSession
     staged = scratch_path(spark, f"fetch-{uuid.uuid4().hex}")  # one download, read twice below
+    urls = urls.select(url_col, name_col).distinct().repartition(max(1, urls._jdf.queryExecution().toRdd().getNumPartitions()))
     fetch_lines(urls, fetcher, max_attempts, initial_ms, max_ms, url_col, name_col).write.parquet(staged)
     rows = spark.read.schema(LINE_SCHEMA).parquet(staged).withColumn("url_key", F.substring(F.sha2("url", 256), 1, 16))
     done = rows.filter(F.col("status").isNotNull())
-    ok = done.filter("status = 'ok'").select("url", F.col("attempt").alias("_last"))
-    lines = rows.filter(F.col("status").isNull()).join(ok, "url").filter("attempt = _last")
+    ok = done.filter("status = 'ok'").select("url", "file_name", F.col("attempt").alias("_last"))
+    lines = join_null_safe(rows.filter(F.col("status").isNull()), ok, ["url", "file_name"]).filter("attempt = _last")
     (lines.select("value", "file_name", "url_key").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("file_name", "url_key").text(dest_dir))
-    counts = lines.groupBy("url").agg(F.count_if(F.trim("value") != "").alias("line_count"))
+    counts = lines.groupBy("url", "file_name").agg(F.count_if(F.trim("value") != "").alias("line_count"))
+    counts = counts.withColumnsRenamed({"url": "_u", "file_name": "_f"})
     good = F.col("status") == "ok"
     path = F.concat(F.lit(dest_dir.rstrip("/") + "/file_name="), F.col("file_name"), F.lit("/url_key="), F.col("url_key"))
-    return done.join(counts, "url", "left").select(
+    return done.join(counts, done["url"].eqNullSafe(counts["_u"]) & done["file_name"].eqNullSafe(counts["_f"]), "left").select(
         "url", "file_name", F.when(good, path).alias("file_path"), F.when(good, F.col("n_bytes")).alias("file_size"),
         F.when(good, F.coalesce("line_count", F.lit(0))).alias("line_count"), "status", F.col("attempt").alias("attempts"), "http_status", "error")
 

@@ -59,3 +59,11 @@ def test_rates_and_symbols(spark):
         ["10 B/sec", "2.00 KB/sec", "5.00 MB/sec"]
     assert one(spark, X.status_symbol, ["completed", "pending", "x"]) == ["✓", "○", " "]
     assert one(spark, lambda c: X.status_symbol(c, for_job=False), ["pending"]) == [" "]
+
+
+def test_internal_hosts_are_compared_as_written(spark):
+    from ndflow.functions.scalars import absolute_url
+    cases = {"http://torch:8080/a?x=1": "https://h:1/a?x=1", "http://user:pw@torch/a": "https://h:1/a", "http://Torch/a": "http://Torch/a", "http://torch.org/a": "http://torch.org/a",
+             "/a": "https://h:1/a", "http://h2/u@torch": "http://h2/u@torch"}
+    df = spark.createDataFrame([(k,) for k in cases], "u string")
+    assert {r.u: r.a for r in df.select("u", absolute_url(df["u"], "https://h:1").alias("a")).collect()} == cases

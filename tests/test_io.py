@@ -84,6 +84,13 @@ def test_fetch_retries_transient_then_fails_fast(spark, tmp_dir):
     assert not os.path.exists(tmp_dir + "/dl/file_name=c.ndjson")
 
 
+def test_a_url_listed_twice_lands_once(spark, tmp_dir):
+    from ndflow.sources.fetch import fetch
+    urls = spark.createDataFrame([("u", "f"), ("u", "f"), ("u", "g"), ("v", "f")], "url string, file_name string")
+    got = {(r.url, r.file_name): r.line_count for r in fetch(urls, tmp_dir + "/dl", lambda u: b"1\n2\n3\n").collect()}
+    assert got == {("u", "f"): 3, ("u", "g"): 3, ("v", "f"): 3} and spark.read.text(tmp_dir + "/dl").count() == 9
+
+
 def test_lines_of_a_broken_attempt_do_not_count(spark, tmp_dir):
     from ndflow.sources.fetch import fetch
     tries = {}
