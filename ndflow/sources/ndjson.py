@@ -71,7 +71,8 @@ def read_ndjson(spark: SparkSession, path: str | list[str], recursive: bool = Tr
     x = scan_splits(spark, path, recursive, glob, files)
     if not line_numbers:
         return x.drop(*SPLIT_COLUMNS)
-    groups = max(1, -(-split_count_bound(x) * SPLIT_ROW_BYTES // broadcast_limit_bytes))
+    size = split_count_bound(x) * SPLIT_ROW_BYTES
+    groups = 1 if size <= broadcast_limit_bytes else min(max(1, file_count(x)), -(-size // max(broadcast_limit_bytes, 1)))
     out = None
     for g in range(groups):
         if groups > 1:
@@ -154,6 +155,12 @@ def split_count_bound(scan: DataFrame) -> int:
     return parts * (split // max(cost, 1) + 2)
 
 
+def file_count(scan: DataFrame) -> int:
+    """Files of a scan, counted in the JVM's listing."""
+    jvm = scan.sparkSession.sparkContext._jvm
+    return jvm.java.lang.reflect.Array.getLength(scan._jdf.inputFiles())
+
+
 def list_files(spark: SparkSession, path: str, glob: str = NDJSON_GLOB) -> DataFrame:
     """``file_path, rel_path, source_path, file_name, file_size, file_mtime`` of
     the files under ``path``; contents are not read.  ``source_path`` is the
