@@ -17,7 +17,8 @@ driver sees one cut row.
 
 Defined results: size is the number of words (null or empty: 0, never taken,
 ``taken`` 0); a null source is a source of its own; equal rows are taken alike;
-empty input gives no rows; other columns are ignored.
+texts of any length count by their words, in the JVM; empty input gives no rows;
+other columns are ignored.
 """
 
 from __future__ import annotations

@@ -15,8 +15,8 @@ key blocks, so no task holds a whole shard.
 
 Defined results: size is the UTF-8 bytes of the text (null: none) plus one;
 capacities are equal to within one byte; a null old shard counts as shard 0;
-equal rows (same id and text) share a place; empty input gives no rows; other
-columns are ignored.
+equal rows (same id and text) share a place; texts of any length only add their
+size; empty input gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations

@@ -16,7 +16,8 @@ remove.  A passage in a third of all documents costs one entry per chunk.
 Defined results: a null or empty text has no words (kept_sha256 of the empty
 string); documents with a null ``doc_id`` are left whole and never make others
 lose words; rows with equal ``doc_id`` do not remove from each other; one output
-row per input row; other columns are ignored.
+row per input row; texts of any length are read whole, a very long one as a slice
+of its own; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations

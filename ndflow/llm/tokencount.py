@@ -13,7 +13,9 @@ hold a special token's string, or characters on whose class two Unicode
 versions may differ, go to the tokenizer whole.
 
 Defined results: a null or empty text has 0 bytes and 0 tokens; one output
-row per input row; other columns are ignored.
+row per input row, repeated rows included; texts of any length are counted whole;
+pre-tokens of equal frequency are kept in the table in any order, which changes
+speed only; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations

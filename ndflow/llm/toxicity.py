@@ -17,7 +17,10 @@ texts; scoring is one pass over all documents with the weights broadcast.
 
 Defined results: a null or empty text gets the score of a text without any
 feature; without labels of both kinds the score is the share of toxic labels
-(0 without labels); one output row per input row.
+(0 without labels); equal texts get equal scores, and a score of exactly the
+threshold counts as toxic; repeated rows give a row each, repeated labels count as
+often as they stand there; texts of any length are read whole, in slices; an empty
+table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
