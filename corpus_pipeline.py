@@ -5,6 +5,12 @@ result is placed in shards.
 ``STAGES`` are ``(name, function(spark, docs, sf_dir) -> DataFrame)``; each
 stage reads what its predecessor wrote.  All but the last return the columns of
 ``docs``; the last adds ``shard``.
+
+In every stage a null or empty text is a document like others: it is not toxic,
+is near no other, holds no benchmark window, has no words to mix (mixing takes
+none of it) and is placed by its size of one byte.  Documents without an id are
+never dropped as near copies; repeated rows are judged alike; an empty table
+stays empty.
 """
 
 from __future__ import annotations
