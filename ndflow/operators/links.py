@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import json
 import re
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -70,9 +71,8 @@ def extract_links(docs: DataFrame, value_col: str = "value", keep: tuple[str, ..
                     out.append(document_links(json.loads(t)) if t is not None else ([], []))
                 except ValueError:
                     out.append(([], []))
-            res = [[dict(zip(("type", "id", "url"), r, strict=True)) for r in x] for x, _ in out]
-            refs = [[dict(zip(("path", "target", "ref_type", "ref_id", "inside"), r, strict=True)) for r in x] for _, x in out]
-            yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(res, _RES), pa.array(refs, _REF)], names=[*keep, "resources", "refs"])
+            res, refs = struct_lists([x for x, _ in out], RESOURCES), struct_lists([x for _, x in out], REFS)
+            yield pa.RecordBatch.from_arrays([*b.columns[:-1], res, refs], names=[*keep, "resources", "refs"])
 
     x = docs.select(*keep, value_col)
     schema = ", ".join([*[f"`{f.name}` {f.dataType.simpleString()}" for f in x.schema.fields[:-1]],
@@ -80,8 +80,16 @@ def extract_links(docs: DataFrame, value_col: str = "value", keep: tuple[str, ..
     return x.mapInArrow(run, schema)
 
 
-_RES = pa.list_(pa.struct([("type", pa.string()), ("id", pa.string()), ("url", pa.string())]))
-_REF = pa.list_(pa.struct([("path", pa.string()), ("target", pa.string()), ("ref_type", pa.string()), ("ref_id", pa.string()), ("inside", pa.bool_())]))
+RESOURCES = pa.struct([("type", pa.string()), ("id", pa.string()), ("url", pa.string())])
+REFS = pa.struct([("path", pa.string()), ("target", pa.string()), ("ref_type", pa.string()), ("ref_id", pa.string()), ("inside", pa.bool_())])
+
+
+def struct_lists(rows, kind: pa.StructType) -> pa.ListArray:
+    """Lists of tuples, one list per row, as lists of structs, column by column."""
+    flat = [r for x in rows for r in x]
+    fields = [pa.array([r[i] for r in flat], f.type) for i, f in enumerate(kind)]
+    offsets = pa.array([0, *accumulate(len(x) for x in rows)], pa.int32())
+    return pa.ListArray.from_arrays(offsets, pa.StructArray.from_arrays(fields, names=[f.name for f in kind]))
 
 
 def dangling_links(docs: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:

@@ -98,6 +98,14 @@ def grouped_forward_fill(df: DataFrame, keys: list[str], order_col: str, cols: l
                       *[F.coalesce(f"_f_{c}", f"_c_{c}").alias(c) for c in cols])
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """The rows dealt evenly over all cores.  A table's file can be a few MB, so
+    one task or a handful, while what is made of each of its rows is costly: deal
+    the columns that are needed before that work."""
+    spark = df.sparkSession
+    return df.repartition(max(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * spark.sparkContext.defaultParallelism))
+
+
 def by_key(df: DataFrame, *keys: str) -> DataFrame:
     """Hash-partition on the grouping key before a list-building aggregate
     (``collect_list``).  Such aggregates do not shrink data map-side, so
