@@ -50,27 +50,36 @@ def _jtype(v: Column, path: str) -> Column:
     return F.when(f.isNotNull(), F.schema_of_variant(f))
 
 
+def _with(value: Column, body) -> Column:
+    """``body`` of a value that is made once, however often ``body`` names it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def chunk_contract_error(doc: Column) -> Column:
     """First rule a chunk document breaks, NULL if it meets the contract.
     A text that is not exactly one JSON value is no Bundle.  Fields are read
     one by one, so the document's size does not matter."""
-    doc = F.when(is_one_value(doc), doc)
-    n = F.coalesce(F.json_array_length(F.get_json_object(doc, "$.entry")), F.lit(0))
-    h = F.from_json(doc, "resourceType string, type string, id string, total long, timestamp string")
-    total, ts = h["total"], h["timestamp"]
-    entries = F.from_json(F.get_json_object(doc, "$.entry"), "array<string>")
-    rt_list = F.transform(entries, lambda e: F.get_json_object(e, "$.resource.resourceType"))
-    return (F.when(F.coalesce(h["resourceType"], F.lit("")) != "Bundle",
-                   CHUNK_RULES["bundle"])
-            .when(~F.coalesce(h["type"], F.lit("")).isin("document", "collection"),
-                  CHUNK_RULES["type"])
-            .when(~F.coalesce(h["id"], F.lit("")).rlike(r"^.+-chunk-[0-9]+$"),
-                  CHUNK_RULES["id"])
-            .when(n == 0, CHUNK_RULES["entries"])
-            .when(total.isNotNull() & (total != n), CHUNK_RULES["total"])
-            .when(ts.isNotNull() & ~ts.rlike(RFC3339_RE), CHUNK_RULES["timestamp"])
-            .when(~F.forall(rt_list, lambda t: F.coalesce(t, F.lit("")) != ""),
-                  CHUNK_RULES["entry_type"]))
+    def header(d, h):
+        return (F.when(F.coalesce(h["resourceType"], F.lit("")) != "Bundle",
+                       CHUNK_RULES["bundle"])
+                .when(~F.coalesce(h["type"], F.lit("")).isin("document", "collection"),
+                      CHUNK_RULES["type"])
+                .when(~F.coalesce(h["id"], F.lit("")).rlike(r"^.+-chunk-[0-9]+$"),
+                      CHUNK_RULES["id"])
+                .otherwise(_with(F.get_json_object(d, "$.entry"), lambda t: _with(
+                    F.coalesce(F.json_array_length(t), F.lit(0)), lambda n: entries(h, t, n)))))
+
+    def entries(h, text, n):
+        total, ts = h["total"], h["timestamp"]
+        rt_list = F.transform(F.from_json(text, "array<string>"), lambda e: F.get_json_object(e, "$.resource.resourceType"))
+        return (F.when(n == 0, CHUNK_RULES["entries"])
+                .when(total.isNotNull() & (total != n), CHUNK_RULES["total"])
+                .when(ts.isNotNull() & ~ts.rlike(RFC3339_RE), CHUNK_RULES["timestamp"])
+                .when(~F.forall(rt_list, lambda t: F.coalesce(t, F.lit("")) != ""),
+                      CHUNK_RULES["entry_type"]))
+
+    fields = "resourceType string, type string, id string, total long, timestamp string"
+    return _with(doc, lambda v: _with(F.when(is_one_value(v), v), lambda d: _with(F.from_json(d, fields), lambda h: header(d, h))))
 
 
 # Known step names (manifest ``source_step`` and ledger).
