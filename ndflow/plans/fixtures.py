@@ -52,28 +52,29 @@ def conversation_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
     return c.select(cid.alias("bundle_id"), F.col("turn").cast("long").alias("pos"), entry.alias("entry"))
 
 
-def bundles_from_entries(entries: DataFrame, meta: DataFrame | None = None) -> DataFrame:
+def bundles_from_entries(entries: DataFrame, meta: DataFrame | None = None, lists: tuple[str, ...] = ()) -> DataFrame:
     """Group an entry table into one row per bundle with an ordered entry array.
 
     A bundle is one record of the input (one NDJSON line), so the group size
     here is bounded by what one input line already held.  ``meta`` may add
-    ``bundle_type``/``timestamp`` per bundle (joined on ``bundle_id``).
+    ``bundle_type``/``timestamp`` per bundle (joined on ``bundle_id``).  Entry
+    columns named in ``lists`` become one list per bundle, in no order.
     """
     from ndflow.functions.jsonfn import json_size
     from ndflow.plans.seq import by_key
     sized = entries.select("bundle_id", "pos", "entry", json_size(F.col("entry")).alias("size"),
-                           F.lit("collection" if meta is None else None).cast("string").alias("bundle_type"), F.lit(None).cast("string").alias("timestamp"))
+                           F.lit("collection" if meta is None else None).cast("string").alias("bundle_type"), F.lit(None).cast("string").alias("timestamp"), *lists)
     if meta is not None:
         # metadata rows join the entry rows of their bundle in the one grouping:
         # bundles without entries and entries without metadata are both kept
         sized = sized.unionByName(meta.select("bundle_id", F.lit(None).cast("long").alias("pos"), F.lit(None).cast("string").alias("entry"),
-                                              F.lit(None).cast("long").alias("size"), "bundle_type", "timestamp"))
+                                              F.lit(None).cast("long").alias("size"), "bundle_type", "timestamp"), allowMissingColumns=True)
     b = by_key(sized, "bundle_id").groupBy("bundle_id").agg(
         F.sort_array(F.collect_list(F.when(F.col("entry").isNotNull(), F.struct("pos", "entry", "size")))).alias("_e"),
         F.coalesce(F.sum("size"), F.lit(0)).alias("entry_bytes"), F.max("size").alias("max_entry"),
-        F.max("bundle_type").alias("bundle_type"), F.max("timestamp").alias("timestamp"))
+        F.max("bundle_type").alias("bundle_type"), F.max("timestamp").alias("timestamp"), *[F.collect_list(c).alias(c) for c in lists])
     return b.select("bundle_id", "bundle_type", "timestamp", F.col("_e.entry").alias("entries"), F.col("_e.size").alias("sizes"),
-                    "entry_bytes", "max_entry")
+                    "entry_bytes", "max_entry", *lists)
 
 
 def conversation_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -211,7 +212,8 @@ fx_lines AS (
 
 def patient_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(value) Patient resources as canonical JSON lines."""
-    c = table(spark, sf_dir, "customer")
+    from ndflow.plans.seq import spread
+    c = spread(table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_name"))
     n = table(spark, sf_dir, "nation")
     k = F.col("c_custkey")
     birth = F.format_string("%04d-%02d-%02d", (1940 + k % 60).cast("int"), (1 + k % 12).cast("int"),
@@ -237,7 +239,8 @@ def encounter_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Encounters referencing their patient.  Fixed values: orders with
     o_orderkey mod 97 = 5 reference a patient id shifted by 1,000,000 (a
     dangling reference)."""
-    o = table(spark, sf_dir, "orders")
+    from ndflow.plans.seq import spread
+    o = spread(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate"))
     subj = F.when(F.col("o_orderkey") % 97 == 5, F.col("o_custkey") + 1000000).otherwise(F.col("o_custkey"))
     res = F.to_json(F.struct(
         F.col("o_orderkey").cast("string").alias("id"),

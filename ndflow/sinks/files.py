@@ -7,10 +7,13 @@ the reference's ``.part`` + rename rule (K3) is the committer's job here.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ndflow.functions.jsonfn import one_line
+from ndflow.session import scratch_path
 
 # Prefix of a de-identified output file name.
 OUTPUT_PREFIX = "dimped_"
@@ -49,6 +52,14 @@ def write_ndjson(df: DataFrame, path: str, value_col: str = "value", partition_c
     w.text(path)
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once to the shared folder: what several branches of a plan
+    read is then made once."""
+    path = scratch_path(df.sparkSession, f"{name}-{uuid.uuid4().hex[:12]}")
+    write_parquet(df, path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def write_csv(df: DataFrame, path: str, partition_by: list[str] | None = None, mode: str = "overwrite") -> None:
     """K4: flat frame to CSV with a header; partitioned output replaces only the
     folders it writes."""
