@@ -36,8 +36,9 @@ def flatten(lines: DataFrame, paths: dict[str, tuple[str, str]], resource_type:
     of the value.  A value beyond the VARIANT limit is read path by path.
     ``resource_type`` keeps the rows of one type.  An ``array<...>`` type keeps
     every element of a path; a path with ``[0]`` takes the first."""
-    v = F.try_parse_json(F.col(value_col))
-    x = lines.select(*keep, F.col(value_col).alias("_text"), v.alias("_v"))
+    # filters on the parsed value stay above the explode; pushed below a plain
+    # projection they would parse every text once more
+    x = lines.select(*keep, F.col(value_col).alias("_text")).select("*", F.explode(F.array(F.try_parse_json("_text"))).alias("_v"))
 
     def read(path, kind):
         by_path = F.get_json_object("_text", path)
