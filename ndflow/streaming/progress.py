@@ -30,28 +30,30 @@ def eta_stream(samples: DataFrame, window_samples: int = WINDOW_SAMPLES,
     window_us = window_seconds * 1_000_000
 
     def update(key, batches, state):
+        import numpy as np
         import pandas as pd
 
+        # plain arrays: a run has few samples in a micro-batch, and frame operations cost more than they
+        parts = [(x["ts"].to_numpy("datetime64[us]").astype("int64"), x["seq"].to_numpy(), x["items"].to_numpy()) for x in batches]
+        stamps, seqs, counts = (np.concatenate(c) for c in zip(*parts, strict=True))
+        order = np.lexsort((seqs, stamps))
+        stamps, seqs, counts = stamps[order], seqs[order], counts[order]
         ts_us, items = (list(state.get[0]), list(state.get[1])) if state.exists else ([], [])
-        rows = pd.concat(list(batches), ignore_index=True).sort_values(["ts", "seq"], kind="stable")
-        out = []
-        stamps = rows["ts"].astype("datetime64[us]").astype("int64")
-        for t, s, it, tsv in zip(stamps, rows["seq"], rows["items"], rows["ts"]):
-            ts_us.append(int(t))
-            items.append(int(it))
-            ts_us, items = ts_us[-window_samples:], items[-window_samples:]
-            keep = [i for i, x in enumerate(ts_us) if x > t - window_us]
-            first = keep[0]
-            ts_us, items = ts_us[first:], items[first:]
-            avg = None
-            if len(ts_us) >= 2:
-                dt = (ts_us[-1] - ts_us[0]) / 1e6
-                di = items[-1] - items[0]
-                if di > 0 and dt > 0:
-                    avg = dt / di
-            out.append((key[0], tsv, int(s), int(it), len(ts_us), avg))
-        state.update((ts_us, items))
-        yield pd.DataFrame(out, columns=["run_id", "ts", "seq", "items", "window_samples", "avg_sec_per_item"])
+        old = len(ts_us)
+        ts_us += stamps.tolist()
+        items += counts.tolist()
+        first, sizes, avgs = 0, [], []
+        for i in range(old, len(ts_us)):
+            t = ts_us[i]
+            first = max(first, i + 1 - window_samples)
+            while ts_us[first] <= t - window_us:
+                first += 1
+            seconds, done = (t - ts_us[first]) / 1e6, items[i] - items[first]
+            sizes.append(i + 1 - first)
+            avgs.append(seconds / done if i > first and done > 0 and seconds > 0 else None)
+        state.update((ts_us[first:], items[first:]))
+        yield pd.DataFrame({"run_id": np.full(len(stamps), key[0]), "ts": stamps.view("datetime64[us]"), "seq": seqs, "items": counts,
+                            "window_samples": np.array(sizes, "int32"), "avg_sec_per_item": np.array(avgs, "float64")}, copy=False)
 
     return (samples.select("run_id", "ts", "seq", "items")
             .groupBy("run_id")
