@@ -17,6 +17,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -44,13 +45,12 @@ class EtaProcessor(StatefulProcessor):
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         if key[0] == NO_RUN:
             return
-        newest = None
+        new = []
         for x in rows:
-            us = x["ts"].astype("datetime64[us]").astype("int64")
-            self.waiting.appendList(list(zip(us.tolist(), x["seq"].tolist(), x["items"].tolist(), strict=True)))
-            newest = max(newest or int(us.max()), int(us.max()))
-        if newest is not None:
-            self.handle.registerTimer(newest // 1000 + 1)
+            new += zip(x["ts"].to_numpy("datetime64[us]").astype("int64").tolist(), x["seq"].tolist(), x["items"].tolist(), strict=True)
+        if new:
+            self.waiting.appendList(new)
+            self.handle.registerTimer(max(new)[0] // 1000 + 1)
         yield from self._emit(key, timerValues.getCurrentWatermarkInMs())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
@@ -59,6 +59,8 @@ class EtaProcessor(StatefulProcessor):
     def _emit(self, key, watermark_ms: int) -> Iterator[pd.DataFrame]:
         """The waiting samples that the watermark has passed, in order."""
         limit = watermark_ms * 1000
+        if limit <= 0:  # before the first watermark nothing is ready
+            return
         samples = [tuple(r) for r in self.waiting.get()]
         ready = sorted(r for r in samples if r[0] <= limit)
         if not ready:
@@ -77,8 +79,9 @@ class EtaProcessor(StatefulProcessor):
             seconds, done = (t - ts[0]) / 1e6, it - items[0]
             out.append((key[0], t, seq, it, len(ts), seconds / done if len(ts) >= 2 and done > 0 and seconds > 0 else None))
         self.last.update((ts, items))
-        x = pd.DataFrame(out, columns=["run_id", "ts", "seq", "items", "window_samples", "avg_sec_per_item"])
-        yield x.assign(ts=pd.to_datetime(x["ts"], unit="us"), window_samples=x["window_samples"].astype("int32"), avg_sec_per_item=x["avg_sec_per_item"].astype("float64"))
+        runs, us, seqs, counts, sizes, avgs = zip(*out, strict=True)
+        yield pd.DataFrame({"run_id": np.array(runs), "ts": np.array(us, "int64").view("datetime64[us]"), "seq": np.array(seqs), "items": np.array(counts),
+                            "window_samples": np.array(sizes, "int32"), "avg_sec_per_item": np.array(avgs, "float64")}, copy=False)
 
     def close(self) -> None:
         pass
