@@ -38,7 +38,7 @@ from ndflow.operators.deid_doc import deidentify_documents, deidentify_rows
 from ndflow.operators.flatten import flatten_tables, infer_schemas, nested_rows
 from ndflow.operators.links import dangling_links
 from ndflow.session import scratch_path
-from ndflow.sinks.files import output_path, write_csv, write_ndjson, write_parquet
+from ndflow.sinks.files import output_path, stored, write_csv, write_ndjson, write_parquet
 from ndflow.sources.ndjson import (NDJSON_GLOB, SPLIT_COLUMNS, file_versions, list_files, number_splits, parse_lines, quarantine, scan_splits,
                                    status_message)
 
@@ -389,7 +389,7 @@ def _remove_old(spark: SparkSession, out_dir: str) -> None:
         _delete(spark, f"{out_dir}/ndjson/output_file={escape(r.path)}/generation={r.generation}")
     if not touched:
         return
-    rel = spark.createDataFrame(old.collect(), old.schema) if _small(old) else old
+    rel = stored(old, "old-versions")  # the ledger changes below
     sinks = [s for s in _folders(spark, out_dir) if s not in ("ndjson", "missing", "dangling", "ledger")]
 
     def clean(sink: str) -> None:

@@ -213,7 +213,9 @@ def _decode_name(name: Column) -> Column:
 
 
 def is_blank_trimmed(value: Column) -> Column:
-    return F.trim(value, F.lit(WHITESPACE)) == ""
+    """Nothing but white space: cut from the left alone, which stops at the first
+    other character (cutting from the right first looks at every one)."""
+    return F.ltrim(value, F.lit(WHITESPACE)) == ""
 
 
 def parse_lines(lines: DataFrame, value_col: str = "value", mode: str = "quarantine") -> DataFrame:
@@ -242,11 +244,14 @@ def parse_lines(lines: DataFrame, value_col: str = "value", mode: str = "quarant
               .when(rt_t != "STRING", "bad_resource_type")
               .when(id_t.isNotNull() & (id_t != "STRING"), "bad_id")
               .otherwise("ok"))
-    y = x.select(*lines.columns, status.alias("status"),
-                 F.when(ok_obj & (rt_t == "STRING"), F.try_variant_get(rt, "$", "string")).alias("resource_type"),
-                 F.when(ok_obj, F.when(id_t.isNull(), F.lit("")).when(id_t == "STRING", F.try_variant_get(rid, "$", "string")))
-                 .alias("_rid"),
-                 is_blank_trimmed(value).alias("blank_trimmed"))
+    outcome = F.struct(status.alias("status"),
+                       F.when(ok_obj & (rt_t == "STRING"), F.try_variant_get(rt, "$", "string")).alias("resource_type"),
+                       F.when(ok_obj, F.when(id_t.isNull(), F.lit("")).when(id_t == "STRING", F.try_variant_get(rid, "$", "string")))
+                       .alias("_rid"),
+                       is_blank_trimmed(value).alias("blank_trimmed"))
+    # filters on the outcome stay above the explode; pushed below a plain projection
+    # they would make and parse every line again for each mention of the status
+    y = x.select(*lines.columns, F.explode(F.array(outcome)).alias("_o")).select(*lines.columns, "_o.*")
     parsed = F.col("status").isin("ok", "missing_resource_type", "bad_resource_type", "bad_id")
     out = y.select(*lines.columns, "status", "resource_type", parsed.alias("parsed"),
                    F.when(parsed, F.col("_rid")).alias("resource_id"), "blank_trimmed")

@@ -122,3 +122,22 @@ def test_waiting_samples_are_not_read_before_a_watermark():
     assert list(p.handleInputRows((1,), iter(rows), h)) == []
     assert [c for c in h.calls if c[0] in ("get", "appendList", "registerTimer")] == [
         ("appendList", ([(7000000, 7, 7), (3000000, 3, 3)],)), ("registerTimer", (7001,))]
+
+
+def test_a_filter_on_the_status_parses_every_line_once(spark):
+    from ndflow.functions import jsonfn as J
+    from ndflow.sources.ndjson import parse_lines
+    texts = ['{"id":"1","resourceType":"A"}', "", " \t\r\n", '{"id":"1"', "[1]", "1", '{"id":1,"resourceType":"A"}', '{"resourceType":5}', ' {"resourceType":"B"} ', "\u00a0", None]
+    lines = spark.createDataFrame([(t,) for t in texts], "t string").select(F.concat("t", F.lit("")).alias("value"))
+    x = parse_lines(lines).filter(F.col("status").isin("ok", "blank") | F.col("blank_trimmed"))
+    assert optimized(x).count(J._END + '"}]') == 1  # the header's parse
+    assert [(r.value, r.status, r.resource_type, r.resource_id, r.blank_trimmed) for r in x.collect()] == [
+        (texts[0], "ok", "A", "1", False), ("", "blank", None, None, True), (" \t\r\n", "invalid_json", None, None, True), (texts[8], "ok", "B", "", False)]
+
+
+def test_sizes_need_no_regex(spark):
+    from ndflow.functions.jsonfn import escape_growth, json_size
+    df = spark.createDataFrame([("ab",), ("<a>&&",), ("\u2028x\u2029",), ("é<\u2028",), ("",), (None,)], "t string")
+    x = df.select(json_size(F.col("t")).alias("n"), escape_growth(F.col("t")).alias("g"))
+    assert "RLIKE" not in optimized(x) and "regexp" not in optimized(x)
+    assert [tuple(r) for r in x.collect()] == [(2, 0), (25, 20), (13, 6), (14, 8), (0, 0), (None, 0)]
