@@ -9,6 +9,7 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import functions as F
 
+from ndflow.functions.jsonfn import STRICT_JSON
 from ndflow.operators import bundle as B
 from ndflow.operators.cohort import extract_groups
 from ndflow.operators.deid_doc import deidentify_documents
@@ -175,27 +176,25 @@ def metamorphic(bundles, threshold: int, secret: str, chunk_rules=None, whole_ru
     """Every splittable bundle de-identified twice, as the chunk documents
     that a service would get and as one document, compared entry by entry, byte
     for byte; ``leaks``: original entry ids left in the chunks' text."""
-    split = B.split_bundles(bundles, threshold)
-    chunks = B.chunk_rows(split)
-    docs = chunks.select("bundle_id", "chunk_index", B.chunk_document(chunks).alias("value"))
-    by_chunk = deidentify_documents(docs, secret, rules=chunk_rules)
-    ok = split.filter("status = 'ok'")
-    ids = F.transform("entries", lambda e: F.get_json_object(e, "$.resource.id"))
-    whole = deidentify_documents(ok.select("bundle_id", B.bundle_document(ok).alias("value"), F.col("total_chunks").cast("int").alias("total_chunks"), ids.alias("ids")),
-                                 secret, rules=whole_rules)
-    entries = lambda c: F.from_json(F.get_json_object(c, "$.entry"), "array<string>")
-    # both sides meet in one grouping by bundle: a join's planner may take the
-    # documents for small and send all of them to the driver to broadcast them
-    parts = by_chunk.select("bundle_id", F.struct("chunk_index", "value").alias("c"))
-    wholes = whole.select("bundle_id", F.struct("value", "total_chunks", "ids").alias("w"))
-    met = by_key(parts.unionByName(wholes, allowMissingColumns=True).filter("bundle_id is not null"), "bundle_id").groupBy("bundle_id").agg(
-        F.sort_array(F.collect_list("c")).alias("_c"), F.count("c").cast("int").alias("chunks"), F.collect_list("w").alias("_w"))
-    j = met.filter("chunks > 0").select("bundle_id", "_c", "chunks", F.explode("_w").alias("_w")).select(
-        "bundle_id", "chunks", "_w.total_chunks", "_w.ids", entries(F.col("_w.value")).alias("_e"),
-        F.transform("_c", lambda c: entries(c["value"])).alias("_parts"), F.array_join("_c.value", "").alias("_text"))
-    return j.select(
-        "bundle_id", F.size("_e").alias("entry_count"), "chunks", (F.flatten("_parts") == F.col("_e")).alias("equal"),
-        (F.col("chunks") == F.col("total_chunks")).alias("all_chunks"), F.exists("ids", lambda i: F.contains(F.col("_text"), F.concat(F.lit('"'), i, F.lit('"')))).alias("leaks"))
+    chunks = B.chunk_rows(B.split_bundles(bundles, threshold)).filter("bundle_id is not null")
+    # the whole document and the original ids travel with the first chunk, and the
+    # documents of a bundle meet before they are de-identified: they are several
+    # times as long afterwards, and then no longer known to lie by bundle
+    whole = F.struct(B.bundle_document(chunks).alias("value"), F.col("total_chunks").cast("int").alias("total_chunks"),
+                     F.transform("entries", lambda e: F.get_json_object(e, "$.resource.id")).alias("ids"))
+    docs = chunks.select("bundle_id", F.struct("chunk_index", B.chunk_document(chunks).alias("value")).alias("c"), F.when(F.col("chunk_index") == 0, whole).alias("w"))
+    met = by_key(docs, "bundle_id").groupBy("bundle_id").agg(F.collect_list("c").alias("c"), F.collect_list("w").alias("w"))
+    x = met.select("bundle_id", F.col("c.chunk_index").alias("places"), F.col("c.value").alias("parts"), F.col("w.value").alias("wholes"), "w.total_chunks", "w.ids")
+    by_chunk = deidentify_documents(x, secret, "parts", rules=chunk_rules)
+    both = deidentify_documents(by_chunk, secret, "wholes", rules=whole_rules)
+    entries = lambda c: F.from_json(c, "entry array<string>", STRICT_JSON)["entry"]
+    j = both.select("bundle_id", F.sort_array(F.arrays_zip("places", "parts")).alias("_c"), F.explode(F.arrays_zip("wholes", "total_chunks", "ids")).alias("_w"))
+    j = j.select("bundle_id", F.size("_c").alias("chunks"), "_w.total_chunks", "_w.ids", entries(F.col("_w.wholes")).alias("_e"),
+                 F.transform("_c.parts", entries).alias("_parts"), F.array_join("_c.parts", "").cast("binary").alias("_text"))
+    # a quote is on every few bytes, an id's first character is not: most searches end with the bare id
+    found = lambda i: F.contains("_text", i.cast("binary")) & F.contains(F.col("_text"), F.concat(F.lit('"'), i, F.lit('"')).cast("binary"))
+    return j.select("bundle_id", F.size("_e").alias("entry_count"), "chunks", (F.flatten("_parts") == F.col("_e")).alias("equal"),
+                    (F.col("chunks") == F.col("total_chunks")).alias("all_chunks"), F.exists("ids", found).alias("leaks"))
 
 
 @register("split_metamorphic", sql=with_ctes(FX.SQL_ORDER_ENTRIES, _sql_split(FX.FX_ORDERS_THRESHOLD), select="""

@@ -141,3 +141,61 @@ def test_sizes_need_no_regex(spark):
     x = df.select(json_size(F.col("t")).alias("n"), escape_growth(F.col("t")).alias("g"))
     assert "RLIKE" not in optimized(x) and "regexp" not in optimized(x)
     assert [tuple(r) for r in x.collect()] == [(2, 0), (25, 20), (13, 6), (14, 8), (0, 0), (None, 0)]
+
+
+def test_metamorphic_documents_meet_before_they_are_rewritten(spark, tmp_dir):
+    from ndflow.plans.q_flow import q_split_metamorphic
+    x = q_split_metamorphic(spark, tables(spark, tmp_dir))
+    plan = x._jdf.queryExecution().executedPlan().toString()
+    # one reading of each table, one dealing out by bundle, one pass through Python for both paths
+    assert optimized(x).count("MapInArrow") == 1 and plan.count("Exchange hashpartitioning(bundle_id") == 1 and plan.count("Scan parquet") == 2
+    assert x.filter("equal and all_chunks and not leaks and entry_count = 5").count() == 120
+
+
+def test_metamorphic_check_of_odd_bundles(spark):
+    from ndflow.plans.q_flow import metamorphic
+    entry = lambda i, n=1: json.dumps({"fullUrl": f"urn:uuid:{i}", "resource": {"id": i, "resourceType": "Claim", "code": {"text": "x" * n}}}, separators=(",", ":"))
+    rows = [("empty", "collection", []), ("none", "collection", None), ("two", "history", [entry("a", 300), entry("b", 300)]), ("over", "collection", [entry("c", 900)]),
+            (None, "collection", [entry("d")]), ("bad", "collection", [entry("e", 300), '{"fullUrl":NaN}', entry("f", 300)]), ("untyped", None, [entry("g")]),
+            ("no-id", "collection", ['{"resource":{"resourceType":"Claim"}}']), ("twice", "collection", [entry("h")]), ("twice", "collection", [entry("i")])]
+    df = spark.createDataFrame([(i, t, None, e) for i, t, e in rows], "bundle_id string, bundle_type string, timestamp string, entries array<string>")
+    got = sorted(map(tuple, metamorphic(df, 700, "k").collect()), key=str)
+    assert got == sorted([("empty", 0, 1, True, True, False), ("none", 0, 1, True, True, False), ("two", 2, 2, True, True, False), ("bad", None, 2, None, True, None),
+                          ("untyped", 1, 1, True, True, False), ("no-id", 1, 1, True, True, None), ("twice", 1, 2, False, False, False), ("twice", 1, 2, False, False, False)], key=str)
+    kept = metamorphic(df, 700, "k", chunk_rules={"*": {"id": "keep"}}).filter("leaks").collect()
+    assert {r.bundle_id for r in kept} == {"two", "bad", "untyped", "twice"}
+
+
+def test_lists_of_documents_are_rewritten_like_single_ones(spark):
+    from ndflow.operators.deid_doc import deidentify_documents
+    good = [json.dumps({"resourceType": "Claim", "id": str(i), "status": "F", "quantity": i, "note": "x", "total": {"value": 1.50}}) for i in range(4)]
+    rows = [(1, good[:2], good[2]), (2, [good[0], "{", None], None), (3, [], "["), (4, None, good[3])]
+    df = spark.createDataFrame(rows, "k int, a array<string>, b string")
+    both = deidentify_documents(deidentify_documents(df, "s", "a"), "s", "b", rules={"Claim": {"quantity": "keep"}})
+    assert optimized(both).count("MapInArrow") == 1 and both.columns == df.columns
+    one = lambda text, **kw: deidentify_documents(spark.createDataFrame([(text,)], "value string"), "s", **kw).first().value
+    got = {r.k: (r.a, r.b) for r in both.collect()}
+    rule = {"rules": {"Claim": {"quantity": "keep"}}}
+    assert got == {1: ([one(good[0]), one(good[1])], one(good[2], **rule)), 2: ([one(good[0]), None, None], None), 3: ([], None), 4: (None, one(good[3], **rule))}
+    assert '"value":1.5}' in got[1][0][0] and '"quantity"' not in got[1][0][0] and '"quantity":2' in got[1][1] and got[1][0][0].count("REDACTED") == 1
+    # on a column that is already done, the second pass works on its result
+    again = deidentify_documents(deidentify_documents(df, "s", "b"), "s", "b")
+    assert {r.k: r.b for r in again.collect()}[4] == one(one(good[3]))
+
+
+def test_a_rewritten_text_equals_the_rewritten_document():
+    from ndflow.operators import deid_doc as D
+    own, seven = D.Deidentifier("k", {"*": {"kept": "tree"}}), "7" * 450
+    texts = ['{"resourceType":"Patient","id":"\\ud83d","birthDate":"1950-02-03","meta":{"profile":["p"],"security":["old"]},"contained":[{"resourceType":"Device","id":"d"}],'
+             '"link":[{"other":{"reference":"#d"}},{"other":{"reference":"Patient/1"}},{}],"name":"n"}', f'{{"total":{seven},"count":1.50,"value":-0,"kept":{{"a":[1e400]}}}}',
+             '{"kept":' + "9" * 5000 + '}', '[{"resourceType":"A","resourceType":"B","id":"1"},3,null]', '"x"', "{}", "[]", "5"]
+    for t in texts:
+        assert own.text(t) == D.text_of(own.document(D.parse(t)))
+    assert own.text(texts[1]) == f'{{"count":1.50,"kept":{{"a":[1e400]}},"total":{seven},"value":0}}' and own.text(texts[2]) == texts[2]
+    assert own.document(D.parse(texts[0]))["meta"] == {"profile": ["p"], "security": [{"code": c, "display": d, "system": D.SECURITY_SYSTEM} for c, d in D.SECURITY_TAGS]}
+    for t in (None, "", "{", '{"a":NaN}', "\ufeff{}"):
+        try:
+            D.parse(t)
+            raise AssertionError(t)
+        except (ValueError, TypeError) as e:
+            assert "JSON" in str(e) or "Expecting" in str(e) or "BOM" in str(e)
